@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadflow.llm import bpe, mixing, winnow
+from leadflow.llm import bpe, mixing, topk, winnow
 from leadflow.llm.common import read_table
 
 
@@ -20,6 +20,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.op3_query(read_table(spark, sf_dir, "documents"))
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.op4_query(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op9_query(read_table(spark, sf_dir, "documents"))
 
@@ -30,7 +34,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3,
+    "op4_topk": op4,
     "op9_mixing": op9,
     "op10_bpe": op10,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_topk": topk.OP4_SQL}
