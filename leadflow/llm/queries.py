@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadflow.llm import bpe, mixing, topk, winnow
+from leadflow.llm import bpe, mixing, topk, toxicity, winnow
 from leadflow.llm.common import read_table
 
 
@@ -24,6 +24,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.op4_query(read_table(spark, sf_dir, "embeddings"))
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op7_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op9_query(read_table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3,
     "op4_topk": op4,
+    "op7_toxicity": op7,
     "op9_mixing": op9,
     "op10_bpe": op10,
 }
