@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadflow.llm import bpe, mixing, topk, toxicity, winnow
+from leadflow.llm import bpe, mixing, pii, secret_scan, topk, toxicity, winnow
 from leadflow.llm.common import read_table
 
 
@@ -24,10 +24,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.op4_query(read_table(spark, sf_dir, "embeddings"))
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.op6_query(read_table(spark, sf_dir, "documents"))
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op7_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op8_query(read_table(spark, sf_dir, "documents"))
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op9_query(read_table(spark, sf_dir, "documents"))
 
@@ -39,7 +47,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3,
     "op4_topk": op4,
+    "op6_secrets": op6,
     "op7_toxicity": op7,
+    "op8_pii": op8,
     "op9_mixing": op9,
     "op10_bpe": op10,
 }
