@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadflow.llm import bpe, mixing, pii, secret_scan, topk, toxicity, winnow
+from leadflow.llm import bpe, minhash, mixing, pii, secret_scan, topk, toxicity, winnow
 from leadflow.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.op1_query(read_table(spark, sf_dir, "documents"))
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.op3_query(read_table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": op1,
     "op3_fingerprints": op3,
     "op4_topk": op4,
     "op6_secrets": op6,
