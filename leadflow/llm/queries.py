@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadflow.llm import bpe, minhash, mixing, pii, secret_scan, topk, toxicity, winnow
+from leadflow.llm import bpe, minhash, mixing, pii, secret_scan, topk, toxicity, winnow, wrapper
 from leadflow.llm.common import read_table
 
 
@@ -20,6 +20,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.op1_query(read_table(spark, sf_dir, "documents"))
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.op2_query(read_table(spark, sf_dir, "pages"))
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.op3_query(read_table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1,
+    "op2_html": op2,
     "op3_fingerprints": op3,
     "op4_topk": op4,
     "op6_secrets": op6,
