@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,3 +62,18 @@ def sliced(batches, max_bytes: int = 8 << 20):
         while start < rows:
             yield batch.slice(start, step)
             start += step
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that materialised() wrote and nothing reads any more."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete shuffle files of finished stages now, not some time later."""
+    gc.collect()
+    spark._jvm.System.gc()

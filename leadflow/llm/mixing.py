@@ -19,16 +19,19 @@ each; nothing depends on the order of rows, so reruns agree.
 from __future__ import annotations
 
 import heapq
+import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from leadflow.llm.common import WORD, checkpointed
+from leadflow.llm.common import WORD, checkpointed, sliced
 
 WEIGHTS, SHARE, TIMES = (5, 2, 1), 1.5, 2
+_WORD = re.compile(WORD)
 BLOCK, SHARD_ROWS, MAX_SOURCES = 64, 4_000, 1_000_000
 
 
@@ -121,3 +124,45 @@ def mix(docs: DataFrame, seed: int = 42, weights=WEIGHTS, share: float = SHARE,
 
 def op9_query(docs: DataFrame) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def first_words(text: str, n: int) -> str:
+    """The text up to the end of its n-th word."""
+    at = 0
+    for i, m in enumerate(_WORD.finditer(text), 1):
+        at = m.end()
+        if i == n:
+            break
+    return text[:at]
+
+
+def apply_mix(docs: DataFrame, **options) -> DataFrame:
+    """The mixed table, with the columns of docs: each row as often as it is taken whole, and a last
+    time with its first words where a part is left. n_chars, if there, follows the text. The draw is
+    by id, source and size, so rows equal in these are drawn in turn by their text."""
+    taken = mix(docs.withColumn("doc_id", F.struct("doc_id", F.xxhash64("text").alias("h"))), **options)
+    taken = taken.groupBy(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.h").alias("_h")).agg(F.max("size").alias("_size"), F.sum("taken").alias("_taken"), F.count("*").alias("_n"))
+    # repeated rows share what they take; one of them carries it
+    once = docs.withColumn("_h", F.xxhash64("text")).withColumnRenamed("doc_id", "_doc_id").dropDuplicates(["_doc_id", "_h"])
+    same = F.col("_doc_id").eqNullSafe(F.col("_id")) & (once["_h"] == taken["_h"])
+    src = once.join(taken, same).filter("_taken > 0").withColumnRenamed("_doc_id", "doc_id")
+    fields = {f.name: f for f in docs.schema.fields}
+    src = src.select(*docs.columns, "_size", "_taken")
+    text_at = docs.columns.index("text")
+    chars_at = docs.columns.index("n_chars") if "n_chars" in fields else None
+
+    def run(batches):
+        for b in sliced(batches):
+            index, texts = [], []
+            for i, (text, size, n) in enumerate(zip(*(b.column(c).to_pylist() for c in (text_at, b.num_columns - 2, b.num_columns - 1)), strict=True)):
+                whole, part = divmod(n, size)
+                index += [i] * (whole + (part > 0))
+                texts += [text] * whole + ([first_words(text, part)] if part else [])
+            out = b.take(pa.array(index, pa.int64())).select(docs.columns)
+            columns = list(out.columns)
+            columns[text_at] = pa.array(texts, out.schema.field(text_at).type)
+            if chars_at is not None:
+                columns[chars_at] = pa.array([len(t) for t in texts], out.schema.field(chars_at).type)
+            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+
+    return src.mapInArrow(run, docs.schema)

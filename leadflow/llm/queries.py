@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadflow.llm import bpe, minhash, mixing, pii, secret_scan, topk, toxicity, winnow, wrapper
+from leadflow.llm import bpe, minhash, mixing, pii, secret_scan, substrings, topk, toxicity, winnow, wrapper
 from leadflow.llm.common import read_table
 
 
@@ -32,6 +32,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.op4_query(read_table(spark, sf_dir, "embeddings"))
 
 
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.op5_query(read_table(spark, sf_dir, "documents"))
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.op6_query(read_table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html": op2,
     "op3_fingerprints": op3,
     "op4_topk": op4,
+    "op5_substrings": op5,
     "op6_secrets": op6,
     "op7_toxicity": op7,
     "op8_pii": op8,
