@@ -147,9 +147,10 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     same = F.col("_doc_id").eqNullSafe(F.col("_id")) & (once["_h"] == taken["_h"])
     src = once.join(taken, same).filter("_taken > 0").withColumnRenamed("_doc_id", "doc_id")
     fields = {f.name: f for f in docs.schema.fields}
-    src = src.select(*docs.columns, "_size", "_taken")
-    text_at = docs.columns.index("text")
-    chars_at = docs.columns.index("n_chars") if "n_chars" in fields else None
+    names = docs.columns
+    src = src.select(*names, "_size", "_taken")
+    text_at = names.index("text")
+    chars_at = names.index("n_chars") if "n_chars" in fields else None
 
     def run(batches):
         for b in sliced(batches):
@@ -158,11 +159,11 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
                 whole, part = divmod(n, size)
                 index += [i] * (whole + (part > 0))
                 texts += [text] * whole + ([first_words(text, part)] if part else [])
-            out = b.take(pa.array(index, pa.int64())).select(docs.columns)
+            out = b.take(pa.array(index, pa.int64())).select(names)
             columns = list(out.columns)
             columns[text_at] = pa.array(texts, out.schema.field(text_at).type)
             if chars_at is not None:
                 columns[chars_at] = pa.array([len(t) for t in texts], out.schema.field(chars_at).type)
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return src.mapInArrow(run, docs.schema)
