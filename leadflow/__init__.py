@@ -1,0 +1 @@
+"""Spark engine for territory-based lead data."""
