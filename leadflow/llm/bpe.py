@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadflow.llm.common import sliced, text_or_empty
+from leadflow.llm.common import sliced, small_batches, text_or_empty
 
 # Fixed value: the published split pattern of this vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -36,7 +36,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 SPACED = re.compile(r"\s | \s")
 BETWEEN = re.compile(r"(?<=\S)(?= \S)")
 END = {".", ",", "!", "?", ";", ":"}
-CACHE_WORDS, CACHE_RUNS = 400_000, 250_000
+CACHE_WORDS, CACHE_RUNS = 100_000, 50_000
 _LOADED: dict[str, "ByteBpe"] = {}
 
 
@@ -151,7 +151,7 @@ class ByteBpe:
         """Encode the words that are not known yet in one walk over their trie."""
         nxt, longest, shorter, size, packed = self.next, self.longest, self.shorter, self.size, self.packed
         beside, done, todo = self.beside, self.words, sorted((w.encode(), w) for w in words)
-        if len(beside) > 2_000_000:
+        if len(beside) > 300_000:
             beside.clear()
         before, states, last = b"", [0], []
         for word, text in todo:
@@ -266,11 +266,12 @@ def tokenizer(path: str) -> ByteBpe:
 
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids_le, decoded): ids as little-endian unsigned 32-bit integers, and the text they decode to."""
+    small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         bpe = tokenizer(path)
-        for b in sliced(batches):
+        for b in sliced(batches, 4 << 20):
             ids = bpe.encode(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())],

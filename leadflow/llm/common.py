@@ -77,3 +77,8 @@ def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete shuffle files of finished stages now, not some time later."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of few rows, so that long texts do not pile up."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from leadflow.llm.common import WORD, checkpointed, sliced
+from leadflow.llm.common import WORD, checkpointed, sliced, small_batches
 
 WEIGHTS, SHARE, TIMES = (5, 2, 1), 1.5, 2
 _WORD = re.compile(WORD)
@@ -147,6 +147,7 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     same = F.col("_doc_id").eqNullSafe(F.col("_id")) & (once["_h"] == taken["_h"])
     src = once.join(taken, same).filter("_taken > 0").withColumnRenamed("_doc_id", "doc_id")
     fields = {f.name: f for f in docs.schema.fields}
+    small_batches(docs.sparkSession)
     names = docs.columns
     src = src.select(*names, "_size", "_taken")
     text_at = names.index("text")

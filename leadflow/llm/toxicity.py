@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadflow.llm.common import partitions, sliced, text_or_empty
+from leadflow.llm.common import partitions, sliced, small_batches, text_or_empty
 
 MAX_LABELLED, MAX_LEXICON, THRESHOLD = 40_000, 20_000, 0.7
 STEMS = (3, 4, 5, 6, 7)
@@ -58,7 +58,7 @@ class Grammar:
         w = self.memo.get(word)
         if w is None:
             w = max([self.words.get(word, 0.0), *[self.stems.get(word[:n], 0.0) for n in STEMS if len(word) > n]])
-            if len(self.memo) > 300_000:
+            if len(self.memo) > 100_000:
                 self.memo.clear()
             self.memo[word] = w
         return w
@@ -228,6 +228,7 @@ def _train(rows: DataFrame) -> tuple[dict[str, float], list[float]]:
 
 def score_documents(docs: DataFrame, lexicon: dict[str, float], model: list[float], text_col: str = "text") -> DataFrame:
     """docs with a column `score`."""
+    small_batches(docs.sparkSession)
     names = docs.columns
     schema = docs.schema
 

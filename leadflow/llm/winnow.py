@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadflow.llm.common import partitions, sliced, text_or_empty
+from leadflow.llm.common import partitions, sliced, small_batches, text_or_empty
 
 K, WINDOW = 16, 32
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -113,6 +113,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def with_successors(docs: DataFrame, run, schema: str) -> DataFrame:
     """Apply run(iterator of (id, text, next text)) to the documents in id order, range by range."""
+    small_batches(docs.sparkSession)
     lowest = -(1 << 63)
     src = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest)).alias("key"), text_or_empty().alias("text"))
     n = max(2, 2 * partitions(docs.sparkSession))
