@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,12 @@ from leadflow.operators import accounts, matching, premises, reporting, routing,
 from leadflow.sources.adapters import source
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """A stage that several later stages read: computed once, spilled to disk where memory ends,
+    and computed again from its inputs if an executor is lost."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 class LeadRun:
     def __init__(self, spark: SparkSession, folder: str, cfg: Config = DEFAULT):
         self.spark, self.folder, self.cfg = spark, folder, cfg
@@ -27,7 +34,7 @@ class LeadRun:
     @cached_property
     def premises(self) -> DataFrame:
         p = premises.group_premises(self.listings)
-        return p.withColumn("lead_key", F.concat_ws("|", "address_key", "unit"))
+        return kept(p.withColumn("lead_key", F.concat_ws("|", "address_key", "unit")))
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -47,20 +54,20 @@ class LeadRun:
 
     @cached_property
     def classified(self) -> DataFrame:
-        return matching.classify_match(self.premises, self.best, self.cfg)
+        return kept(matching.classify_match(self.premises, self.best, self.cfg))
 
     @cached_property
     def registrations(self) -> DataFrame:
-        return matching.match_registrations(self.premises, self.table("registrations"))
+        return kept(matching.match_registrations(self.premises, self.table("registrations")))
 
     @cached_property
     def companies(self) -> DataFrame:
-        return matching.match_companies(self.premises, self.registrations, self.table("companies"))
+        return kept(matching.match_companies(self.premises, self.registrations, self.table("companies")))
 
     @cached_property
     def boundary(self) -> DataFrame:
         d = with_postcode_parts(self.listings).filter("area <> 'SW'").select(F.col("district").alias("code"), F.when(F.col("area") == "SL", "expansion").otherwise("in_area").alias("membership"))
-        return territory.import_boundary(d.distinct())
+        return kept(territory.import_boundary(d.distinct()))
 
     @cached_property
     def accounts(self) -> DataFrame:
@@ -75,7 +82,7 @@ class LeadRun:
         out = self.classified.join(r, "lead_key", "left").join(c, "lead_key", "left")
         out = territory.classify_delivery(out, self.boundary)
         out = routing.food_flag(accounts.verify_state(out), self.cfg)
-        return scoring.size_proxy(out.withColumn("place_reviews", F.when(F.col("premises_no") % 3 == 0, 700)))
+        return kept(scoring.size_proxy(out.withColumn("place_reviews", F.when(F.col("premises_no") % 3 == 0, 700))))
 
     @cached_property
     def triggers(self) -> DataFrame:
@@ -101,7 +108,7 @@ class LeadRun:
     @cached_property
     def routed(self) -> DataFrame:
         out = accounts.confidence(self.enriched.join(self.final, "lead_key"))
-        return routing.route(out, self.cfg).withColumn("run_no", 199501 + F.col("premises_no") % 12)
+        return kept(routing.route(out, self.cfg).withColumn("run_no", 199501 + F.col("premises_no") % 12))
 
     @cached_property
     def units(self) -> DataFrame:
