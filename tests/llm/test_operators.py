@@ -1,0 +1,312 @@
+"""Each operator against a brute-force version on small rows: nulls, empty and long texts, ties,
+repeated rows, empty tables, extra columns."""
+
+import collections
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from leadflow.llm import bpe, minhash, mixing, pii, secret_scan, substrings, topk, toxicity, winnow, wrapper
+
+DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def words(rnd, n, vocabulary=400):
+    return " ".join(f"w{rnd.randrange(vocabulary)}" for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rnd = random.Random(3)
+    base = words(rnd, 120)
+    near = base.split()
+    near[60] = "changed"
+    long = words(rnd, 6000)
+    return {1: base, 2: base, 3: " ".join(near), 4: None, 5: "", 6: "one two", 7: "ONE  two", 8: long, 9: base + " " + words(rnd, 10), 10: words(rnd, 90), 11: "Ünïcode ÉÉ words here and there", 12: long[:9000] + words(rnd, 50)}
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i, t, "en", None if i % 5 == 0 else f"s{i % 3}", len(t or "")) for i, t in texts.items()]
+    return spark.createDataFrame([*rows, rows[0]], DOC)
+
+
+def empty(spark):
+    return spark.createDataFrame([], DOC)
+
+
+def test_minhash_matches_brute_force(spark, docs, texts):
+    sets = {}
+    for i, t in texts.items():
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    parent = {i: i for i in sets}
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    got = minhash.near_duplicates(docs.withColumnRenamed("lang", "sig")).collect()
+    assert len(got) == len(texts) + 1
+    for r in got:
+        assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), find(r.doc_id), find(r.doc_id) == r.doc_id)
+
+
+def test_minhash_null_ids_and_empty_table(spark):
+    d = spark.createDataFrame([(None, "a b c d e f"), (7, "a b c d e f"), (3, "a b c d e f")], "doc_id bigint, text string")
+    got = sorted((r.doc_id or 0, r.component_id, r.kept) for r in minhash.near_duplicates(d).collect())
+    assert got == [(0, None, True), (3, 3, True), (7, 3, False)]
+    assert minhash.near_duplicates(empty(spark)).count() == 0
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 100)]
+    got = {r.node: r.component for r in minhash.connected_components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(4)).collect()}
+    assert all(got[i] == 0 for i in range(201)) and all(got[1000 + i] == 1000 for i in range(100))
+
+
+PAGE = """<html><head><title>T</title><script>var a="<p>no</p>";</script></head><body>
+<div class="top-menu"><a href="/">Home</a></div><div id="wrap"><div class="story"><h1>Head &amp; line {i}</h1><p>First   para {i} with text &eacute;&#233; {t}<p>Second <b>bold<br>more</b> para {i} {t}</div>
+<div class="sidebar">side {i}</div><div class="comments"><p>reader says {i}</p></div></div><form><p>sign up</p></form><footer>foot</footer><!-- c --></body></html>"""
+
+
+def test_wrapper_extracts_the_story(spark):
+    filler = "and some more words to fill the line " * 4
+    rows = [(i, f"http://h.example/{i}", PAGE.format(i=i, t=filler)) for i in range(6)]
+    rows += [(10, "http://h.example/x", None), (11, None, ""), (12, "http://other.example/", PAGE.format(i=12, t=filler)), (13, "bad url", "<p>just text"), (0, "http://h.example/0", rows[0][2])]
+    got = {r.page_id: r for r in wrapper.op2_query(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for i in (0, 1, 5, 12):
+        f = " ".join(filler.split())
+        assert got[i].text == f"Head & line {i}\nFirst para {i} with text éé {f}\nSecond bold more para {i} {f}"
+        assert got[i].n_chars == len(got[i].text)
+    assert got[10].text == got[11].text == "" and got[13].text == "just text"
+    assert wrapper.op2_query(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
+
+
+def test_tree_matching_counts_common_nodes():
+    a = wrapper.Skeleton([wrapper.parse("<div><p>x</p><ul><li>1</li></ul></div>")])
+    b = wrapper.Skeleton([wrapper.parse("<div><h1>t</h1><p>y</p><ul><li>2</li></ul></div>")])
+    assert wrapper.match_trees(a, b)[0] == 5
+
+
+def test_winnowing_matches_brute_force():
+    rnd = random.Random(1)
+    for _ in range(40):
+        h = np.array([rnd.randrange(6) for _ in range(rnd.randrange(60))], np.uint32)
+        w = rnd.randrange(1, 9)
+        n = min(w, len(h))
+        want = sorted({max(range(i, i + n), key=lambda j: (-int(h[j]), j)) for i in range(len(h) - n + 1)}) if len(h) else []
+        assert winnow.winnow(h, w).tolist() == want
+
+
+def test_fingerprint_query(spark, docs, texts):
+    got = sorted(((r.doc_id, r) for r in winnow.op3_query(docs).collect()), key=lambda x: x[0])
+    order = sorted([*texts.items(), (1, texts[1])], key=lambda x: x[0])
+    assert [i for i, _ in got] == [i for i, _ in order]
+    for k, (_, t) in enumerate(order):
+        t, after = t or "", order[(k + 1) % len(order)][1] or ""
+        half = len(t) // 2
+        edited = t[: len(t) - half] + after[:half]
+        r = got[k][1]
+        assert r.n_chars == len(t)
+        same = [x for x in got if x[0] == order[k][0]]
+        assert any(x[1].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() for x in same)
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        if len(t) > 400 and after[:half] != t[-half:]:
+            assert 0.2 < r.near_edited < 1
+    assert got[0][1].fingerprint == got[2][1].fingerprint
+    assert winnow.op3_query(empty(spark)).count() == 0
+
+
+def test_topk_matches_brute_force(spark):
+    rnd = random.Random(2)
+    rows = [(i, [rnd.choice([-1.0, -0.5, 0.25, 0.3, 1.0]) for _ in range(6)]) for i in range(300)]
+    rows += [(400, None), (450, [float("nan")] * 6), (500, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (550, []), (600, [float("inf")] * 6)]
+    d = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    ints = {i: np.floor(256 * np.array(v, np.float32).astype(float)).astype(int) for i, v in rows[:300]}
+    got = collections.defaultdict(list)
+    for r in topk.op4_query(d).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert set(got) == {0, 50, 100, 150, 200, 250}
+    for q in got:
+        want = sorted(((-int(ints[q] @ ints[x]), x) for x in ints if x != q))[:5]
+        assert got[q] == [(k + 1, x, -s) for k, (s, x) in enumerate(want)]
+    assert topk.op4_query(d.limit(0)).count() == 0
+
+
+def brute_repeats(all_texts, length):
+    seen = collections.Counter()
+    for t in all_texts:
+        for x in range(len(t) - length + 1):
+            seen[t[x : x + length]] += 1
+    out = []
+    for t in all_texts:
+        cover = np.zeros(len(t) + 1, bool)
+        for x in range(len(t) - length + 1):
+            if seen[t[x : x + length]] > 1:
+                cover[x : x + length] = True
+        c = cover[: len(t)]
+        spans = int((np.diff(np.concatenate([[False], c]).astype(int)) == 1).sum())
+        out.append((len(t), int(c.sum()), spans, hashlib.sha256(np.frombuffer(t, np.uint8)[~c].tobytes()).hexdigest()))
+    return out
+
+
+def test_substrings_match_brute_force(spark, docs):
+    rows = docs.select("doc_id", "text").collect()
+    want = sorted((r.doc_id, *x) for r, x in zip(rows, brute_repeats([(r.text or "").encode() for r in rows], 400), strict=True))
+    assert sorted(map(tuple, substrings.op5_query(docs).collect())) == want
+    assert substrings.op5_query(empty(spark)).count() == 0
+
+
+def test_substrings_of_one_text_and_small_length(spark):
+    rnd = random.Random(9)
+    part = "".join(rnd.choice("abcd") for _ in range(70))
+    t = ["x" * 90, part + "12345" + part, "q" + part[:50] + "z", None]
+    d = spark.createDataFrame(list(enumerate(t)), "doc_id bigint, text string")
+    want = brute_repeats([(x or "").encode() for x in t], 40)
+    got = {r.doc_id: r for r in substrings.remove_repeated(d, length=40, spread=16, k=8).collect()}
+    for i, w in enumerate(want):
+        assert (got[i].n_bytes, got[i].n_bytes - len(got[i].kept), len(got[i].starts), hashlib.sha256(got[i].kept).hexdigest()) == w
+
+
+def test_secret_scan(spark):
+    rnd = random.Random(4)
+    hexes = ["".join(rnd.choice("0123456789abcdef") for _ in range(40)) for _ in range(40)]
+    rows = [(i, f'some text token = "{h}" and mail name.{i}@mail.example.com plus averyveryverylongword{"x" * (i % 5)} end', "src") for i, h in enumerate(hexes)]
+    rows += [(100, None, None), (101, "", "src"), (102, "nothing here", "docs/example")]
+    got = secret_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), "source").collect()
+    assert {r.value for r in got if r.secret} == set(hexes)
+    assert all(rows[r.doc_id][1][r.at : r.at + len(r.value)] == r.value for r in got)
+    d = spark.createDataFrame([], "doc_id bigint, text string, source string")
+    assert secret_scan.op6_query(d).count() == 0
+
+
+def test_native_plans_have_no_python(spark, docs):
+    for df in (secret_scan.op6_query(docs), pii.op8_query(docs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+
+
+def test_toxicity_learns_words_and_stems(spark):
+    rnd = random.Random(6)
+    rows, labels = [], []
+    for i in range(600):
+        t = words(rnd, 60).split()
+        toxic = i % 6 == 0
+        if toxic:
+            for k in range(3):
+                t[10 * k] = rnd.choice(["gruk", "blorgo" + rnd.choice("abcdef"), "zarf"])
+        rows.append((i, " ".join(t) + "."))
+        labels.append((i, 1, int(toxic)))
+    rows += [(1000, None), (1001, "")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    lab = spark.createDataFrame([*labels, (None, 1, 1), (5, 1, None)], "doc_id bigint, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.op7_query(d, lab).collect()}
+    import zlib
+
+    assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i in got)
+    assert sum(got[i].predicted == t for i, _, t in labels) >= 590
+    assert got[1000].predicted == 0 and 0 <= got[1000].score <= 1
+    none = toxicity.op7_query(d, lab.limit(0)).collect()
+    assert len(none) == len(rows) and all(0 <= r.score <= 1 for r in none)
+
+
+def test_grammar_weighs_clauses():
+    g = toxicity.Grammar({"w:clown": 3.0})
+    plain = g.features("you are a clown")[0]
+    assert plain > g.features("you are not a clown")[0] > 0
+    assert plain > g.features('they said "clown" to him')[0] > 0
+    assert g.features("i will kill you")[0] > 0 and g.features("a kill switch")[0] == 0
+    assert g.features("")[0] == 0
+
+
+def test_pii_keeps_formats_and_links(spark):
+    t = "mail Ab.c9@x.example.com, ip 10.2.3.255 and 300.1.1.1 call +1 (323) 555-9830 card 4111-1111-1111-1111 or 4111111111111111 not 4111111111111112 ssn 123-45-6789 born 1980-02-29 IBAN GB82WEST12345698765432"
+    d = spark.createDataFrame([(1, t), (2, "again 4111111111111111"), (3, None), (4, ""), (1, t)], "doc_id bigint, text string")
+    got = sorted(map(tuple, pii.op8_query(d).select("doc_id", "text", "n_found").collect()), key=lambda x: x[0])
+    a = got[0][1]
+    assert got[0] == got[1] and len(a.split()) == len(t.split())
+    for old in ("Ab.c9@", "10.2.3.255", "555-9830", "4111111111111111", "4111-1111-1111-1111", "123-45-6789", "1980-02-29", "GB82WEST12345698765432"):
+        assert old not in a
+    assert "300.1.1.1" in a and "4111111111111112" in a and "@x.example.com" in a and "+1 (" in a
+    card = got[2][1].split()[1]
+    assert card in a.replace("-", "") and a.count(card) == 1
+    digits = [int(c) for c in card][::-1]
+    assert sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits)) % 10 == 0
+    assert got[3][1:] == (None, 0) and got[4][1:] == ("", 0)
+    assert pii.op8_query(d.limit(0)).count() == 0
+
+
+def test_pii_permutes_one_to_one(spark):
+    d = spark.range(3000).selectExpr("id as doc_id", "format_string('%03d-%02d-%04d', 100 + id div 1000, 1 + id % 90, 1 + id % 1000) as text")
+    out = pii.op8_query(d.dropDuplicates(["text"]))
+    assert out.select("text").distinct().count() == out.count()
+
+
+def test_targets_and_apportionment():
+    t = mixing.targets([100, 100, 100])
+    assert t[0] == 200 and abs(sum(t) - 450) < 1e-9 and abs(t[1] - 2 * t[2]) < 1e-9
+    assert mixing.apportion([53, 24, 23], 7) == [3, 2, 2]
+    assert sum(mixing.apportion([1.0] * 10, 3)) == 3 and mixing.apportion([], 5) == [] and mixing.apportion([0.0], 5) == [0]
+
+
+def test_mixing(spark, texts):
+    rnd = random.Random(8)
+    rows = [(i, words(rnd, rnd.randrange(1, 300)), "en", None if i % 7 == 0 else f"s{i % 4}", 0) for i in range(900)]
+    d = spark.createDataFrame([*rows, rows[3], (2000, None, "en", "s9", 0)], DOC)
+    got = mixing.op9_query(d).collect()
+    assert got and len(got) == len(rows) + 2
+    assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.op9_query(d.repartition(7)).collect()))
+    by = {r[0]: r for r in rows}
+    total = collections.Counter()
+    target = {}
+    for r in got:
+        assert 0 <= r.taken <= 2 * r.size
+        s = by[r.doc_id][3] if r.doc_id in by else "s9"
+        total[s] += r.taken
+        target[s] = r.target
+    for s in target:
+        assert abs(total[s] - target[s]) <= 64 + 0.01 * target[s]
+    mixed = mixing.apply_mix(d)
+    assert mixed.schema == d.schema
+    n = sum(len(r.text.split()) for r in mixed.collect())
+    assert abs(n - sum(total.values())) <= 2
+    assert mixing.op9_query(empty(spark)).count() == 0
+
+
+def test_bpe_equals_the_library(spark, docs, texts):
+    tokenizers = pytest.importorskip("tokenizers")
+    from leadflow.llm.queries import tokenizer_path
+
+    path = tokenizer_path()
+    t = tokenizers.Tokenizer.from_file(path)
+    rnd = random.Random(5)
+    more = ["<|endoftext|>x <|endoftext|>", "a" * 5000, "  two  spaces\n\n\tand 123's I'LL we'll", "".join(chr(rnd.choice([rnd.randrange(32, 127), rnd.randrange(160, 0x3000), 0x1F600 + rnd.randrange(40)])) for _ in range(800))]
+    rows = [*texts.items(), *enumerate(more, 100)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in bpe.op10_query(d, path).collect()}
+    for i, x in rows:
+        ids = t.encode(x or "", add_special_tokens=False).ids
+        want = bpe.digests(np.array(ids, "<u4").tobytes(), t.decode(ids, skip_special_tokens=False))
+        assert (got[i].n_tokens, got[i].ids_sha256, got[i].decoded_sha256) == (len(ids), *want)
+    assert bpe.op10_query(empty(spark), path).count() == 0
+
+
+def test_pipeline_stages(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in docs.schema], name
+        out.write.parquet(str(tmp_path / name))
+        kept = spark.read.parquet(str(tmp_path / name))
+        assert 0 < kept.count() and (name == "mixing" or kept.count() <= docs.count())
+        docs = kept
+    assert pipeline.STAGES[-1][1](spark, docs, sf).count() == docs.count()
