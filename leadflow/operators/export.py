@@ -27,7 +27,8 @@ Website_Phone:s Facebook_URL:s Facebook_Phone:s Days_Since_FSA_Registration:n:da
 Recent_Ownership_Change_Flag:y:ownership_flag Ownership_Change_Date:t:changed_on Review_Trigger_Flag:y:review_flag Review_Trigger_Snippet:s:snippet
 Review_Trigger_Source:s:review_source Review_Trigger_Date:t:review_date Trigger_Score_Bonus:n:bonus Lead_Score:n:score Priority_Tier:s:tier
 Uniqueness_Pct:p:uniqueness_pct Legitimacy_Pct:p:legitimacy_pct Match_Flag_Colour:s:match_colour Matched_Account_Code:s:account_code
-Match_Pct:p:shown_match_pct Matched_Fields:s:shown_fields Score_Breakdown:s:breakdown Run_Date:t:run_date""".split()
+Match_Pct:p:shown_match_pct Matched_Fields:s:shown_fields Score_Breakdown:s:breakdown Run_Date:t:run_date
+Search_Code:s:search_code Assigned_Rep:s Lead_Status:s:lead_status""".split()
 )
 
 

@@ -531,7 +531,7 @@ def _flat(r) -> DataFrame:
     out = out.join(traced, "ch_number", "left").join(owner, "ch_number", "left").join(flags, "ch_number", "left").join(hits, "premises_no", "left")
     empty = {c: F.lit(None).cast("string") for c in ("director_1", "director_1_role", "director_2", "psc_1")}
     shown = F.col("match_pct") < C.active_threshold
-    return export.flatten_layout(out.withColumns(empty | {"new_business": F.col("days_since_registration") < C.new_days, "shown_match_pct": F.when(shown, F.col("match_pct")), "shown_fields": F.when(shown, F.col("matched_fields")), "run_date": F.lit(C.as_of)}))
+    return export.flatten_layout(out.withColumns(empty | {"new_business": F.col("days_since_registration") < C.new_days, "shown_match_pct": F.when(shown, F.col("match_pct")), "shown_fields": F.when(shown, F.col("matched_fields")), "run_date": F.lit(C.as_of), "search_code": F.col("district"), "lead_status": F.lit("new")}))
 
 
 _YES = lambda c: f"case when coalesce({c}, false) then 'Yes' else 'No' end"
@@ -543,10 +543,10 @@ _FLAT = _CONTACTS | _PROFILES | {
     "flat": f"""select i.lead_id as "Lead_ID", r.primary_brand as "Primary_Brand_Name", cast(r.brand_count as varchar) as "Brand_Count", s.mobile_1 as "Phone_Mobile_1", s.sources as "Phone_Sources", cast(r.fsa_id as varchar) as "FSA_ID", r.ch_number as "CH_Number",
   {_YES('t.flag')} as "Directors_Other_Food_Companies", cast(a.c_net_assets as varchar) as "c_Net_Assets", cast(a.net_assets_growth as varchar) as "Net_Assets_Growth", a.financial_label as "Financial_Label", w.justeat_rating//10||'.'||w.justeat_rating%10 as "JustEat_Rating",
   {_YES('r.multi_brand')} as "Multi_Brand_Flag", {_YES(f'r.days_since_registration<{C.new_days}')} as "New_Business_Flag", {_YES('o.reason is not null')} as "Recent_Ownership_Change_Flag", h.snippet as "Review_Trigger_Snippet", cast(r.bonus as varchar) as "Trigger_Score_Bonus", cast(r.score as varchar) as "Lead_Score", r.tier as "Priority_Tier",
-  cast(case when r.match_pct<{C.active_threshold} then r.match_pct end as varchar) as "Match_Pct", r.breakdown as "Score_Breakdown"
+  cast(case when r.match_pct<{C.active_threshold} then r.match_pct end as varchar) as "Match_Pct", r.breakdown as "Score_Breakdown", r.district as "Search_Code", 'new' as "Lead_Status"
   from routed r join ids i on r.lead_key=i.lead_key left join slots s on r.lead_key=s.lead_key left join wide w on r.lead_key=w.address_key||'|'||w.unit left join acl a on r.ch_number=a.ch_number left join traced t on r.ch_number=t.ch_number left join owner o on r.ch_number=o.ch_number left join snippets h on r.premises_no=h.premises_no""",
 }
-_SHOWN = "Lead_ID Primary_Brand_Name Brand_Count Phone_Mobile_1 Phone_Sources FSA_ID CH_Number Directors_Other_Food_Companies c_Net_Assets Net_Assets_Growth Financial_Label JustEat_Rating Multi_Brand_Flag New_Business_Flag Recent_Ownership_Change_Flag Review_Trigger_Snippet Trigger_Score_Bonus Lead_Score Priority_Tier Match_Pct Score_Breakdown"
+_SHOWN = "Lead_ID Primary_Brand_Name Brand_Count Phone_Mobile_1 Phone_Sources FSA_ID CH_Number Directors_Other_Food_Companies c_Net_Assets Net_Assets_Growth Financial_Label JustEat_Rating Multi_Brand_Flag New_Business_Flag Recent_Ownership_Change_Flag Review_Trigger_Snippet Trigger_Score_Bonus Lead_Score Priority_Tier Match_Pct Score_Breakdown Search_Code Lead_Status"
 
 
 @query("flat_layout", _SHOWN, "flat", _FLAT)
