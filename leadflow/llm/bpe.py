@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadflow.llm.common import sliced, small_batches, text_or_empty
+from leadflow.llm.common import returning, sliced, small_batches, text_or_empty
 
 # Fixed value: the published split pattern of this vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -224,6 +224,11 @@ class ByteBpe:
         for r, p in split.items():
             self.runs[r] = b"".join(map(get, p))
 
+    def forget(self) -> None:
+        """Drop what was learned from texts; the tables stay."""
+        for d in (self.words, self.old_words, self.runs, self.old_runs, self.beside):
+            d.clear()
+
     def _runs(self, text: str) -> list[str]:
         """Cut before each space that stands between two other characters: no piece of the pattern
         crosses such a place, so the runs can be encoded, and kept, one by one."""
@@ -277,9 +282,10 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                 [b.column(0), pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())],
                 names=["id", "ids_le", "decoded"],
             )
+        bpe.forget()
 
     src = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    out = src.mapInArrow(run, f"id {id_type}, ids_le binary, decoded string")
+    out = src.mapInArrow(returning(run), f"id {id_type}, ids_le binary, decoded string")
     return out.withColumnRenamed("id", id_col)
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,3 +85,23 @@ def release(spark: SparkSession) -> None:
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand texts to Python in batches of few rows, so that long texts do not pile up."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def returning(run):
+    """Wrap a function of Arrow or pandas batches: at the end of a task its worker, which Spark uses
+    again for other stages, gives memory that it no longer needs back to the machine."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)

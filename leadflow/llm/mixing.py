@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from leadflow.llm.common import WORD, checkpointed, sliced, small_batches
+from leadflow.llm.common import WORD, checkpointed, returning, sliced, small_batches
 
 WEIGHTS, SHARE, TIMES = (5, 2, 1), 1.5, 2
 _WORD = re.compile(WORD)
@@ -167,4 +167,4 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
                 columns[chars_at] = pa.array([len(t) for t in texts], out.schema.field(chars_at).type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return src.mapInArrow(run, docs.schema)
+    return src.mapInArrow(returning(run), docs.schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadflow.llm.common import discard, materialised, release, sliced
+from leadflow.llm.common import discard, materialised, release, returning, sliced
 
 LENGTH, SPREAD, K = 400, 128, 16
 BROADCAST_IDS = 500_000
@@ -109,7 +109,7 @@ def anchor_rows(docs: DataFrame, length: int, spread: int, k: int) -> DataFrame:
             if out:
                 yield _arrow(["rid", "pack", "core", "whole"], *[np.concatenate(c) for c in zip(*out, strict=True)])
 
-    return _keyed(docs).select("rid", "text").mapInArrow(run, "rid bigint, pack bigint, core bigint, whole bigint")
+    return _keyed(docs).select("rid", "text").mapInArrow(returning(run), "rid bigint, pack bigint, core bigint, whole bigint")
 
 
 def window_rows(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -132,7 +132,7 @@ def window_rows(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     ids = wanted.select("rid")
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS  # at most so many keys are broadcast
     texts = _keyed(docs).select("rid", "text").join(F.broadcast(ids) if few else ids, "rid", "left_semi").dropDuplicates(["rid"])
-    return texts.join(wanted, "rid").select("rid", "text", "todo").mapInArrow(run, "h bigint, core bigint, rid bigint, at bigint, open boolean")
+    return texts.join(wanted, "rid").select("rid", "text", "todo").mapInArrow(returning(run), "h bigint, core bigint, rid bigint, at bigint, open boolean")
 
 
 def repeated_starts(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, k: int = K) -> DataFrame:
@@ -196,7 +196,7 @@ def remove_repeated(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD,
                 rest.append(b"".join(data[cuts[i] : cuts[i + 1]] for i in range(0, len(cuts), 2)))
             yield _arrow(["doc_id", "n_bytes", "starts", "ends", "kept"], b.column(0), pa.array(sizes, pa.int64()), pa.array(starts, big), pa.array(ends, big), pa.array(rest, pa.binary()))
 
-    return src.mapInArrow(run, f"doc_id {id_type}, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary")
+    return src.mapInArrow(returning(run), f"doc_id {id_type}, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary")
 
 
 def op5_query(docs: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadflow.llm.common import partitions, sliced, small_batches, text_or_empty
+from leadflow.llm.common import partitions, returning, sliced, small_batches, text_or_empty
 
 MAX_LABELLED, MAX_LEXICON, THRESHOLD = 40_000, 20_000, 0.7
 STEMS = (3, 4, 5, 6, 7)
@@ -149,7 +149,7 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
             yield out()
 
     least = 3
-    hits = rows.filter("toxic = 1").select("text").mapInArrow(count, "f string, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
+    hits = rows.filter("toxic = 1").select("text").mapInArrow(returning(count), "f string, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
     hits = hits.filter(F.col("n") >= least).orderBy(F.desc("n"), "f").limit(MAX_LEXICON * 5)
     kept = {r.f: r.n for r in hits.collect()}  # bounded: features of at most MAX_LABELLED texts, at most 5 MAX_LEXICON
 
@@ -161,7 +161,7 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["f", "n"])
 
-    rest = rows.filter("toxic = 0").select("text").mapInArrow(others, "f string, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
+    rest = rows.filter("toxic = 0").select("text").mapInArrow(returning(others), "f string, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
     there = {r.f: r.n for r in rest.collect()}
     bar = 2 * math.log(max(2, len(kept)))
     found = {}
@@ -221,7 +221,7 @@ def _train(rows: DataFrame) -> tuple[dict[str, float], list[float]]:
             f = [g.features(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in zip(*f, strict=True)] + [b.column(1)], names=["a", "b", "c", "d", "y"])
 
-    got = rows.select("text", F.col("toxic").cast("int").alias("y")).mapInArrow(score, "a double, b double, c double, d double, y int").collect()
+    got = rows.select("text", F.col("toxic").cast("int").alias("y")).mapInArrow(returning(score), "a double, b double, c double, d double, y int").collect()
     got = np.array(sorted(map(tuple, got))) if got else np.zeros((0, 5))  # at most MAX_LABELLED rows of five numbers
     return lexicon, fit(got[:, :4], got[:, 4])
 
@@ -242,7 +242,7 @@ def score_documents(docs: DataFrame, lexicon: dict[str, float], model: list[floa
 
     from pyspark.sql.types import DoubleType, StructField, StructType
 
-    return docs.mapInArrow(run, StructType([*schema.fields, StructField("score", DoubleType())]))
+    return docs.mapInArrow(returning(run), StructType([*schema.fields, StructField("score", DoubleType())]))
 
 
 def op7_query(docs: DataFrame, labels: DataFrame) -> DataFrame:

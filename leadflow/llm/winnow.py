@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadflow.llm.common import partitions, sliced, small_batches, text_or_empty
+from leadflow.llm.common import partitions, returning, sliced, small_batches, text_or_empty
 
 K, WINDOW = 16, 32
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -107,7 +107,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             )
 
     src = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    out = src.mapInArrow(run, f"id {id_type}, hashes array<bigint>, positions array<int>")
+    out = src.mapInArrow(returning(run), f"id {id_type}, hashes array<bigint>, positions array<int>")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -145,7 +145,7 @@ def with_successors(docs: DataFrame, run, schema: str) -> DataFrame:
             held = (at, doc_id, text) if not copy else None
         # each range ends with a copy of its successor's first document, so nothing is left over
 
-    return sent.mapInArrow(lambda batches: run(stream(batches)), schema)
+    return sent.mapInArrow(returning(lambda batches: run(stream(batches))), schema)
 
 
 def op3_query(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:
