@@ -695,9 +695,9 @@ def _(r):
     return compliance.role_view(r.table("runs"), "pipeline_runs", "management")
 
 
-@query("role_view_telesales", "lead_key business_name postcode safe_phone tier rep", "select * from tele where rep='REP-TW'", _TELE)
+@query("role_view_telesales", "lead_key business_name postcode safe_phone tier rep", "select * from tele where rep='REP-UB'", _TELE)
 def _(r):
-    return compliance.role_view(_telesales(r), "telesales_assignments", "telesales", "REP-TW")
+    return compliance.role_view(_telesales(r), "telesales_assignments", "telesales", "REP-UB")
 
 
 @query("validate", "run_no:n failed", "select run_no, array_to_string(list_filter([case when run_no%9=0 then 'run_type' end, case when status not in ('queued','running','complete','failed','blocked','archived') then 'status' end, case when not cost<=8 then 'cost' end], lambda x: x is not null), ',') as failed from runs")
