@@ -19,8 +19,8 @@ PII_KEY = "pseudonym-key"
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose toxicity score is below the threshold."""
     lexicon, model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    scored = toxicity.score_documents(docs, lexicon, model)
-    return scored.filter(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    scored = toxicity.score_documents(docs, lexicon, model, out_col="_toxicity")
+    return scored.filter(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from leadflow.llm.common import partitions, returning, sliced, small_batches, text_or_empty
 
@@ -226,8 +227,8 @@ def _train(rows: DataFrame) -> tuple[dict[str, float], list[float]]:
     return lexicon, fit(got[:, :4], got[:, 4])
 
 
-def score_documents(docs: DataFrame, lexicon: dict[str, float], model: list[float], text_col: str = "text") -> DataFrame:
-    """docs with a column `score`."""
+def score_documents(docs: DataFrame, lexicon: dict[str, float], model: list[float], text_col: str = "text", out_col: str = "score") -> DataFrame:
+    """docs with the score in out_col, which docs must not have yet."""
     small_batches(docs.sparkSession)
     names = docs.columns
     schema = docs.schema
@@ -238,11 +239,9 @@ def score_documents(docs: DataFrame, lexicon: dict[str, float], model: list[floa
         for b in sliced(batches):
             x = np.array([g.features(t or "") for t in b.column(names.index(text_col)).to_pylist()])
             s = 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*names, out_col])
 
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
-    return docs.mapInArrow(returning(run), StructType([*schema.fields, StructField("score", DoubleType())]))
+    return docs.mapInArrow(returning(run), StructType([*schema.fields, StructField(out_col, DoubleType())]))
 
 
 def op7_query(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -298,6 +298,17 @@ def test_bpe_equals_the_library(spark, docs, texts):
     assert bpe.op10_query(empty(spark), path).count() == 0
 
 
+def test_extra_columns_with_clashing_names(spark, docs):
+    more = {c: docs["lang"] for c in ("score", "size", "taken", "target", "shard", "sig", "sid", "comp", "kept", "n", "found", "value", "pii", "host", "rid", "runs", "key", "to", "ids_le", "decoded")}
+    wide = docs.withColumns(more)
+    same = lambda f: sorted(map(str, f(wide).collect())) == sorted(map(str, f(docs).collect()))
+    for f in (minhash.op1_query, winnow.op3_query, substrings.op5_query, secret_scan.op6_query, pii.op8_query, mixing.op9_query):
+        assert same(f)
+    assert mixing.apply_mix(wide).columns == wide.columns
+    scored = toxicity.score_documents(wide, {}, [0.0] * 5, out_col="_toxicity")
+    assert scored.columns == [*wide.columns, "_toxicity"]
+
+
 def test_pipeline_stages(spark, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     sf = "/root/testdata/sf0.001"
