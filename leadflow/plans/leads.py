@@ -24,6 +24,11 @@ class LeadRun:
     def __init__(self, spark: SparkSession, folder: str, cfg: Config = DEFAULT):
         self.spark, self.folder, self.cfg = spark, folder, cfg
 
+    def stale(self) -> bool:
+        """Whether the cache was cleared after stages were kept in it."""
+        own = self.__dict__.get("premises")
+        return own is not None and not (own.storageLevel.useMemory or own.storageLevel.useDisk)
+
     def table(self, name: str) -> DataFrame:
         return source(self.spark, self.folder, name)
 
@@ -117,3 +122,14 @@ class LeadRun:
     @cached_property
     def summary(self) -> DataFrame:
         return reporting.rebuild_summary(self.units, self.table("runs"), self.boundary)
+
+
+_RUNS: dict[tuple, LeadRun] = {}
+
+
+def lead_run(spark: SparkSession, folder: str) -> LeadRun:
+    """The run over a folder in this session, planned once for all queries that ask for it."""
+    key = (spark.sparkContext.applicationId, id(spark), folder)
+    if key not in _RUNS or _RUNS[key].stale():
+        _RUNS[key] = LeadRun(spark, folder)
+    return _RUNS[key]

@@ -11,7 +11,7 @@ from leadflow.config import DEFAULT as C
 from leadflow.config import ENUMS
 from leadflow.functions import text as T
 from leadflow.operators import accounts, compliance, contacts, export, matching, premises, quality, reporting, routing, scoring, territory, triggers
-from leadflow.plans.leads import LeadRun
+from leadflow.plans.leads import lead_run
 from leadflow.plans.oracles import AS_OF, CTES, LEX, LEVELS, PEPPER, POINTS, UNIT, akey, by_level, hmac, oracle, parts, pepper_hash, ratio, sorted_tokens
 from leadflow.sources import files
 
@@ -29,7 +29,7 @@ def query(name: str, spec: str, sql: str | None, extra: dict[str, str] | None =
 
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            df = fn(LeadRun(spark, sf_dir))
+            df = fn(lead_run(spark, sf_dir))
             return df.select(*[F.col(c).cast(_CASTS[k][0]).alias(c) if k else F.col(c) for c, k in _columns(spec)])
 
         QUERIES[name] = run
