@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 from leadflow.config import DEFAULT as C
@@ -41,15 +40,6 @@ def hmac(v: str) -> str:
     return f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({v}))))"
 
 
-def pepper_hash(v: str) -> str:
-    import hmac as h
-
-    return h.new(PEPPER.encode(), v.encode(), hashlib.sha256).hexdigest()
-
-
-LEVELS = "(values ('area'), ('district'), ('sector'), ('unit'))"
-
-
 def by_level(cols: str, table: str) -> str:
     return " union all ".join(f"select {cols}, {g} as code, '{g}' as granularity from {table} where {g} is not null" for g in ("area", "district", "sector", "unit"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadflow.config import DEFAULT as C
@@ -12,7 +12,7 @@ from leadflow.config import ENUMS
 from leadflow.functions import text as T
 from leadflow.operators import accounts, compliance, contacts, export, matching, premises, quality, reporting, routing, scoring, territory, triggers
 from leadflow.plans.leads import lead_run
-from leadflow.plans.oracles import AS_OF, CTES, LEX, LEVELS, PEPPER, POINTS, UNIT, akey, by_level, hmac, oracle, parts, pepper_hash, ratio, sorted_tokens
+from leadflow.plans.oracles import AS_OF, PEPPER, akey, by_level, hmac, oracle, parts, ratio, sorted_tokens
 from leadflow.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
