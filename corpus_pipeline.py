@@ -37,7 +37,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take as many words of each document as the mix says: whole copies, then its first words."""
+    """Take as many words of each document as the mix says: whole copies, then its drawn blocks."""
     return mixing.apply_mix(docs)
 
 

@@ -9,7 +9,8 @@
    shard has an integer quota for its source.
 4. Selection: a shard's documents stand in seeded hash order and are cut into blocks. Whole passes
    over the shard are taken first; of the rest of the quota a seeded systematic draw picks blocks.
-   A document takes the words of its chosen blocks, so never more than TIMES its size.
+   A document takes the words of its chosen blocks, so never more than TIMES its size. The words of
+   these very blocks are what apply_mix emits, so each part of a long text has the same chance.
 
 Only one row per source is gathered on the driver, at most MAX_SOURCES; more raise an error. Rows
 with a null text have size 0; null sources form one source that stands last; repeated rows count
@@ -33,6 +34,7 @@ from leadflow.llm.common import WORD, checkpointed, returning, sliced, small_bat
 WEIGHTS, SHARE, TIMES = (5, 2, 1), 1.5, 2
 _WORD = re.compile(WORD)
 BLOCK, SHARD_ROWS, MAX_SOURCES = 64, 4_000, 1_000_000
+DRAWN = ("passes", "start", "n_taken", "shift", "n_blocks")
 
 
 def targets(sizes: list[int], weights=WEIGHTS, share: float = SHARE, times: int = TIMES) -> list[float]:
@@ -73,7 +75,8 @@ def apportion(votes: list[float], seats: int, most: list[int] | None = None) ->
 
 
 def mix(docs: DataFrame, seed: int = 42, weights=WEIGHTS, share: float = SHARE, times: int = TIMES, block: int = BLOCK) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, shard) of every document."""
+    """(doc_id, source, size, source_size, target, taken, shard) of every document, and what names the
+    blocks drawn: passes over the whole text, start on the shard's line, n_taken, shift, n_blocks."""
     spark = docs.sparkSession
     sized = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     sized = checkpointed(sized.withColumn("pos", F.xxhash64("doc_id", "source", "size", F.lit(seed))))
@@ -119,47 +122,57 @@ def mix(docs: DataFrame, seed: int = 42, weights=WEIGHTS, share: float = SHARE,
         return (step(j) - step(F.lit(0))) * block + (step(j + 1) - step(j)) * (x - j * block)
 
     out = out.withColumn("taken", (F.col("passes") * F.col("size") + upto(F.col("end")) - upto(F.col("start"))).cast("long"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "taken", "shard")
+    return out.select("doc_id", "source", "size", "source_size", "target", "taken", "shard", *DRAWN)
 
 
 def op9_query(docs: DataFrame) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def first_words(text: str, n: int) -> str:
-    """The text up to the end of its n-th word."""
-    at = 0
-    for i, m in enumerate(_WORD.finditer(text), 1):
-        at = m.end()
-        if i == n:
-            break
-    return text[:at]
+def drawn_words(size: int, start: int, n_taken: int, shift: int, n_blocks: int, block: int = BLOCK) -> list[tuple[int, int]]:
+    """Word ranges [from, to) of a document at `start` of its shard's line that lie in chosen blocks;
+    adjoining blocks make one range."""
+    first = start // block
+    j = np.arange(first, (start + size - 1) // block + 2, dtype=np.int64)
+    chosen = np.diff((j * n_taken + shift) // n_blocks) > 0
+    turns = np.flatnonzero(np.diff(np.concatenate([[False], chosen, [False]]).astype(np.int8)))
+    edges = np.clip((turns + first) * block - start, 0, size).tolist()
+    return list(zip(edges[::2], edges[1::2], strict=True))
+
+
+def cut_words(text: str, ranges: list[tuple[int, int]]) -> str:
+    """The words of the ranges with the white space between them; a range begins on a new line."""
+    at = [m.span() for m in _WORD.finditer(text)]
+    return "\n".join(text[at[a][0] : at[b - 1][1]] for a, b in ranges)
 
 
 def apply_mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed table, with the columns of docs: each row as often as it is taken whole, and a last
-    time with its first words where a part is left. n_chars, if there, follows the text. The draw is
-    by id, source and size, so rows equal in these are drawn in turn by their text."""
-    taken = mix(docs.withColumn("doc_id", F.struct("doc_id", F.xxhash64("text").alias("h"))), **options)
-    taken = taken.groupBy(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.h").alias("_h")).agg(F.max("size").alias("_size"), F.sum("taken").alias("_taken"), F.count("*").alias("_n"))
-    # repeated rows share what they take; one of them carries it
+    time with the words of its drawn blocks where a part is left. n_chars, if there, follows the text.
+    The draw is by id, source and size, so rows equal in these are drawn in turn by their text."""
+    taken = mix(docs.withColumn("doc_id", F.struct("doc_id", F.xxhash64("text").alias("h"))), **options).filter("taken > 0")
+    counts = ["size", *DRAWN]
+    taken = taken.select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.h").alias("_h"), *[F.col(c).cast("long").alias(f"_{c}") for c in counts])
+    # repeated rows are equal but for their place on the line; the text of one of them serves all
     once = docs.withColumn("_h", F.xxhash64("text")).withColumnRenamed("doc_id", "_doc_id").dropDuplicates(["_doc_id", "_h"])
     same = F.col("_doc_id").eqNullSafe(F.col("_id")) & (once["_h"] == taken["_h"])
-    src = once.join(taken, same).filter("_taken > 0").withColumnRenamed("_doc_id", "doc_id")
+    src = once.join(taken, same).withColumnRenamed("_doc_id", "doc_id")
     fields = {f.name: f for f in docs.schema.fields}
     small_batches(docs.sparkSession)
     names = docs.columns
-    src = src.select(*names, "_size", "_taken")
+    src = src.select(*names, *[f"_{c}" for c in counts])
     text_at = names.index("text")
     chars_at = names.index("n_chars") if "n_chars" in fields else None
+    block = options.get("block", BLOCK)
 
     def run(batches):
         for b in sliced(batches):
             index, texts = [], []
-            for i, (text, size, n) in enumerate(zip(*(b.column(c).to_pylist() for c in (text_at, b.num_columns - 2, b.num_columns - 1)), strict=True)):
-                whole, part = divmod(n, size)
-                index += [i] * (whole + (part > 0))
-                texts += [text] * whole + ([first_words(text, part)] if part else [])
+            drawn = (b.column(len(names) + k).to_pylist() for k in range(len(counts)))
+            for i, (text, size, whole, *place) in enumerate(zip(b.column(text_at).to_pylist(), *drawn, strict=True)):
+                part = drawn_words(size, *place, block)
+                index += [i] * (whole + bool(part))
+                texts += [text] * whole + ([cut_words(text, part)] if part else [])
             out = b.take(pa.array(index, pa.int64())).select(names)
             columns = list(out.columns)
             columns[text_at] = pa.array(texts, out.schema.field(text_at).type)

@@ -280,6 +280,43 @@ def test_mixing(spark, texts):
     assert mixing.op9_query(empty(spark)).count() == 0
 
 
+def test_mixed_text_is_of_the_drawn_blocks(spark):
+    size = 100 * 64 + 17
+    rows = [(i, " ".join(f"{s}{k}" for k in range(size)), "en", s, 0) for i, s in enumerate("abc")]
+    d = spark.createDataFrame([*rows, rows[2]], DOC)
+    taken = collections.Counter()
+    for r in mixing.op9_query(d).collect():
+        taken[r.doc_id] += r.taken
+    got = collections.defaultdict(list)
+    for r in mixing.apply_mix(d).collect():
+        assert r.n_chars == len(r.text)
+        got[r.doc_id].append([int(w[1:]) for w in r.text.split()])
+    for i in (0, 1, 2):
+        assert sum(map(len, got[i])) == taken[i]
+    parts = [p for i in got for p in got[i] if len(p) < size]
+    assert parts
+    for p in parts:
+        assert p == sorted(set(p))
+        for at in range(0, size, size // 5):  # each fifth of the text has its share
+            share = sum(at <= k < at + size // 5 for k in p) / (size // 5)
+            assert abs(share - len(p) / size) < 0.12 or at + size // 5 > size
+
+
+def test_drawn_words_are_the_chosen_blocks():
+    rnd = random.Random(12)
+    for _ in range(300):
+        block, sizes = rnd.randrange(1, 9), [rnd.randrange(1, 40) for _ in range(6)]
+        n = -(-sum(sizes) // block)
+        q, shift = rnd.randrange(n + 1), rnd.randrange(n)
+        line = [b for b in range(n) if ((b + 1) * q + shift) // n > (b * q + shift) // n]
+        start = 0
+        for size in sizes:
+            want = [k for k in range(size) if (start + k) // block in line]
+            assert [k for a, b in mixing.drawn_words(size, start, q, shift, n, block) for k in range(a, b)] == want
+            start += size
+    assert mixing.cut_words(" a  b c\td e ", [(0, 2), (3, 5)]) == "a  b\nd e"
+
+
 def test_bpe_equals_the_library(spark, docs, texts):
     tokenizers = pytest.importorskip("tokenizers")
     from leadflow.llm.queries import tokenizer_path
