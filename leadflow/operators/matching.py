@@ -10,6 +10,8 @@ from leadflow.config import DEFAULT, Config
 from leadflow.functions.text import edit_ratio, percent, token_sort_ratio, with_postcode_parts
 from leadflow.operators.premises import with_address_key
 
+SALTS = 8
+
 
 def customer_keys(customers: DataFrame) -> DataFrame:
     return with_address_key(with_postcode_parts(customers))
@@ -22,22 +24,31 @@ def block_sizes(leads: DataFrame, cust: DataFrame, key: str) -> DataFrame:
     return a.join(b, key).withColumn("pairs", F.col("leads") * F.col("customers"))
 
 
-def block(leads: DataFrame, cust: DataFrame, most: int = DEFAULT.max_block) -> DataFrame:
-    """Candidate pairs (premises_no, unit, account_code): same sector, phone, or address key.
-    Sectors with more than `most` pairs are joined by unit postcode instead."""
+def block(leads: DataFrame, cust: DataFrame, most: int | None = None) -> DataFrame:
+    """Candidate pairs (lead_key, account_code): same sector, phone, or address key. Sectors of any
+    size are joined whole; only a caller that gives `most` has larger ones joined by unit postcode."""
     l = leads.select("lead_key", "sector", "unit", "phone", "address_key")
     c = cust.select("account_code", F.col("sector").alias("c_sector"), F.col("unit").alias("c_unit"), F.col("phone").alias("c_phone"), F.col("address_key").alias("c_address"))
-    big = block_sizes(leads, cust, "sector").filter(F.col("pairs") > most).select("sector")
-    fine = l.join(big, "sector", "left_anti")
-    rough = l.join(big, "sector", "left_semi")
     pair = ["lead_key", "account_code"]
-    found = fine.join(c, F.col("sector") == F.col("c_sector")).select(pair)
-    found = found.unionByName(rough.join(c, F.col("unit") == F.col("c_unit")).select(pair))
+    if most is None:
+        found = sector_pairs(l, c).select(pair)
+    else:
+        big = block_sizes(leads, cust, "sector").filter(F.col("pairs") > most).select("sector")
+        found = l.join(big, "sector", "left_anti").join(c, F.col("sector") == F.col("c_sector")).select(pair)
+        found = found.unionByName(l.join(big, "sector", "left_semi").join(c, F.col("unit") == F.col("c_unit")).select(pair))
     found = found.unionByName(l.join(c, F.col("phone") == F.col("c_phone")).select(pair))
     found = found.unionByName(l.join(c, F.col("address_key") == F.col("c_address")).select(pair))
     return found.distinct()
 
 
+def sector_pairs(l: DataFrame, c: DataFrame, salts: int = SALTS) -> DataFrame:
+    """All pairs of one sector. Customers of a sector are dealt over `salts` parts and leads go to
+    each part, so that a large sector is joined by several tasks."""
+    c = c.withColumn("c_salt", F.pmod(F.xxhash64("account_code"), F.lit(salts)))
+    l = l.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    return l.join(c, (F.col("sector") == F.col("c_sector")) & (F.col("salt") == F.col("c_salt")))
+
+
 def score_pairs(pairs: DataFrame, leads: DataFrame, cust: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Adds name score, match percent and the text of matched fields."""
     l = leads.select("lead_key", F.col("primary_brand").alias("brand"), F.col("phone").alias("l_phone"), F.col("unit").alias("l_unit"))

@@ -47,7 +47,7 @@ class LeadRun:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return matching.block(self.premises, self.customers, self.cfg.max_block)
+        return matching.block(self.premises, self.customers)
 
     @cached_property
     def scored(self) -> DataFrame:

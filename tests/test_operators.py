@@ -1,10 +1,12 @@
 """Operators on inline rows, invariants of a run, streaming and plans."""
 
+import dataclasses
 import datetime as dt
 import json
 
 from pyspark.sql import functions as F
 
+from leadflow.config import DEFAULT
 from leadflow.operators import compliance, contacts, export, matching, premises, quality, reporting, routing, territory, triggers
 from leadflow.plans.leads import LeadRun
 from leadflow.sources import files
@@ -40,6 +42,15 @@ def test_oversize_blocks_fall_back_to_units(spark):
     assert matching.block(l, c, 10).count() == 18
 
 
+def test_lead_run_joins_sectors_of_any_size(spark):
+    whole = {tuple(r) for r in LeadRun(spark, SF).pairs.collect()}
+    small = LeadRun(spark, SF, dataclasses.replace(DEFAULT, max_block=1))
+    assert {tuple(r) for r in small.pairs.collect()} == whole
+    l, c = small.premises.alias("l"), small.customers.alias("c")
+    same = l.join(c, F.col("l.sector") == F.col("c.sector")).select("lead_key", "account_code")
+    assert same.count() > 0 and same.exceptAll(small.pairs).count() == 0
+
+
 def test_match_percent_golden(spark):
     l = spark.createDataFrame([("k", "abcdefg", "07", "TW3 4AS")], "lead_key string, primary_brand string, phone string, unit string")
     c = spark.createDataFrame([("A1", "abcdexy", "active", "07", "TW3 4AS")], "account_code string, name string, status string, phone string, unit string")
