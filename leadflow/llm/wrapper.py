@@ -4,7 +4,7 @@ Per host, a few pages (SAMPLE, the first by a hash of the URL) are parsed and th
 by simple tree matching: two nodes match if their labels (tag, role, classes) are equal, and children
 are matched in order so that the most nodes match. Runs of siblings with one label are one list node.
 Matched nodes with the same text on most of the sample are template, the others are slots. The
-wrapper of the host is the path of the deepest container that holds nearly all text of the slots,
+wrapper of the host is the path of the deepest container beside which no varying text stands,
 with the template nodes outside it. Pages whose host has too few pages, or which lack the path, get
 a wrapper of their own made in the same way from the page alone. Every page is then read whole.
 
@@ -254,7 +254,9 @@ def induce(pages: list[str]) -> tuple[str, list[tuple[str, str]]]:
         for k in node.kids:
             if k is not best and not k.kids and fixed(k):
                 template.append((f"{path}/{k.label}", k.text))
-        if best is None or node.tag == "article":
+        own = node.mass - sum(k.mass for k in node.kids)
+        beside = own > 0 or any(k is not best and k.mass > 0 and not fixed(k) for k in node.kids)
+        if best is None or node.tag == "article" or beside:  # text beside the container is content too
             return path, template
         path, node = f"{path}/{best.label}", best
         total = min(total, node.mass) or 1

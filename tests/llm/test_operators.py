@@ -89,6 +89,18 @@ def test_wrapper_extracts_the_story(spark):
     assert wrapper.op2_query(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def page_texts(spark, rows):
+    return {r.page_id: r.text for r in wrapper.op2_query(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+
+
+def test_wrapper_keeps_text_beside_the_container(spark):
+    page = "<html><head><title>t{i}</title></head><body><nav>menu</nav><main><h1>Title {i}</h1><p>lead {i}</p><div class='body'><p>{long} {i}</p></div></main></body></html>"
+    long = "words that fill the body " * 40
+    rows = [(i, f"http://{h}.example/{i}", page.format(i=i, long=long)) for i, h in [*((i, "many") for i in range(7)), (20, "single")]]
+    got = page_texts(spark, rows)
+    assert all(got[i] == f"Title {i}\nlead {i}\n{long}{i}" for i, _, _ in rows)
+
+
 def test_tree_matching_counts_common_nodes():
     a = wrapper.Skeleton([wrapper.parse("<div><p>x</p><ul><li>1</li></ul></div>")])
     b = wrapper.Skeleton([wrapper.parse("<div><h1>t</h1><p>y</p><ul><li>2</li></ul></div>")])
