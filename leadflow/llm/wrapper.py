@@ -1,19 +1,19 @@
 """Main text of web pages by wrapper induction.
 
-Per host, a few pages (SAMPLE, the first by a hash of the URL) are parsed and their DOM trees aligned
-by simple tree matching: two nodes match if their labels (tag, role, classes) are equal, and children
-are matched in order so that the most nodes match. Runs of siblings with one label are one list node.
-Matched nodes with the same text on most of the sample are template, the others are slots. The
-wrapper of the host is the path of the deepest container beside which no varying text stands,
-with the template nodes outside it. Pages whose host has too few pages, or which lack the path, get
-a wrapper of their own made in the same way from the page alone. Every page is then read whole.
+All pages are parsed and their DOM trees aligned by label path: nodes match if the labels (tag, role,
+classes) on their ways from the root are equal, so a run of siblings with one label is one list. A
+node whose text is the same on at least CONSTANT of a host's pages that have its path, and on LEAST
+pages, is template; the others are slots. Support is counted over all pages, whatever the host's size
+or number of page templates: each template has paths of its own or shares them with others. Pages
+with one title count once, so near copies do not turn their text into template. The text of a page
+is its slots in page order; a page without host, or of a host with few pages, is all slots.
 
 Never content, in any wrapper: menus, headers and footers of the page, sidebars, notices, adverts,
 forms, scripts, styles, comments of readers and comments of the markup, told by tag, role, id and
 class names. What stands inside the container and is none of these is kept.
 
-Hosts are sampled with a group limit before the shuffle, so a host with a third of all pages costs
-no task more than others. A null or empty html has an empty text; a null URL has no host; repeated
+Support is counted by partial aggregation on hashes of path and text, so a host with a third of all
+pages costs no task more than others. A null or empty html has an empty text; a null URL has no host; repeated
 rows are read each. Unclosed, crossed and cut-off tags are mended as browsers do in the usual cases.
 """
 
@@ -22,15 +22,15 @@ from __future__ import annotations
 import html as html_lib
 import re
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leadflow.llm.common import checkpointed, returning, sliced, small_batches, text_or_empty
 
-SAMPLE, LEAST, SHARE, MOST_HOSTS = 6, 3, 0.85, 50_000
+LEAST, CONSTANT, MOST_HOSTS = 3, 0.8, 50_000
 RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "math", "xmp")
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r""")\b(?:"[^"]*"|'[^']*'|[^>"'])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z""",
@@ -41,7 +41,6 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul head title".split()
 )
-CONTAINER = frozenset("html body div section article main center table tbody tr td".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIER = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 NEVER_TAGS = frozenset("head title nav footer aside form button select dialog menu label input".split())
@@ -129,8 +128,42 @@ def parse(text: str) -> Node:
     return root
 
 
-def blocks(node: Node, template: frozenset = frozenset(), path: str = "") -> list[str]:
-    """Texts of the blocks of a subtree in order; template: (path, text) of nodes to leave out."""
+def _hash(*parts: int) -> int:
+    """A signed 64-bit hash of a few of them."""
+    return int.from_bytes(xxhash.xxh3_64_digest(b"".join(p.to_bytes(8, "big", signed=True) for p in parts)), "big", signed=True)
+
+
+_text_hash = lambda text: int.from_bytes(xxhash.xxh3_64_digest(text.encode("utf-8", "surrogatepass")), "big", signed=True)
+
+
+def entries(root: Node) -> dict[int, tuple[int, int]]:
+    """By id of each block that may be content and has text: hashes of its path, and of path and whole text."""
+    order: list[tuple[Node, int]] = []
+    todo = [(root, 0)]
+    while todo:
+        n, path = todo.pop()
+        order.append((n, path))
+        todo.extend((k, _hash(path, _text_hash(k.label))) for k in n.kids if not isinstance(k, str) and not k.never)
+    texts: dict[int, int] = {}
+    out = {}
+    for n, path in reversed(order):  # children first
+        parts = []
+        for k in n.kids:
+            if isinstance(k, str):
+                if text := " ".join(k.split()):
+                    parts.append(_text_hash(text))
+            elif id(k) in texts:
+                parts.append(texts[id(k)])
+        if parts:
+            texts[id(n)] = _hash(*parts)
+            if n.tag in BLOCK and not any(not isinstance(k, str) for k in n.kids):
+                out[id(n)] = path, _hash(path, texts[id(n)])
+    return out
+
+
+def blocks(node: Node, template: frozenset = frozenset()) -> list[str]:
+    """Texts of the blocks of a subtree in order; template: entries of nodes to leave out."""
+    known = entries(node) if template else {}
     out: list[str] = []
     line: list[str] = []
 
@@ -141,20 +174,19 @@ def blocks(node: Node, template: frozenset = frozenset(), path: str = "") -> lis
             if text:
                 out.append(text)
 
-    todo = [(node, path, iter(node.kids), False)]
+    todo = [(iter(node.kids), False)]
     while todo:
-        own, at, kids, block = todo[-1]
+        kids, block = todo[-1]
         for k in kids:
             if isinstance(k, str):
                 line.append(k)
             elif not k.never:
-                where = f"{at}/{k.label}"
-                if template and (where, plain(k)) in template:
+                if id(k) in known and known[id(k)][1] in template:
                     continue
                 inner = k.tag in BLOCK or k.tag == "hr"
                 if inner:
                     flush()
-                todo.append((k, where, iter(k.kids), inner))
+                todo.append((iter(k.kids), inner))
                 break
         else:
             todo.pop()
@@ -227,72 +259,17 @@ def match_trees(a: Skeleton, b: Skeleton) -> tuple[int, list[tuple[Skeleton, Ske
     return best[m][n] + 1, pairs
 
 
-def induce(pages: list[str]) -> tuple[str, list[tuple[str, str]]]:
-    """The wrapper of a host's sample: path of the content container, template nodes."""
-    trees = [Skeleton([parse(p)]) for p in dict.fromkeys(pages)]
-    if not trees:
-        return "", []
-    base = max(trees, key=lambda t: t.mass)
-    same: dict[int, int] = {}
-    seen: dict[int, int] = {}
-    for other in trees:
-        if other is not base:
-            for x, y in match_trees(base, other)[1]:
-                seen[id(x)] = seen.get(id(x), 0) + 1
-                same[id(x)] = same.get(id(x), 0) + (x.text == y.text)
-    others = len(trees) - 1
-    fixed = lambda n: len(trees) >= LEAST and n.text and same.get(id(n), 0) >= 0.8 * others
-    path, node = "", base
-    total = base.mass
-    template: list[tuple[str, str]] = []
-    while True:
-        heavy = [k for k in node.kids if not k.never and k.tag in CONTAINER and k.mass >= SHARE * max(total, 1) and (others == 0 or seen.get(id(k), 0) >= 0.5 * others)]
-        best = heavy[0] if heavy else None
-        marked = [k for k in node.kids if not k.never and k.tag in ("article", "main") and k.mass > 0]
-        if len(marked) == 1 and best is None:
-            best = marked[0]
-        for k in node.kids:
-            if k is not best and not k.kids and fixed(k):
-                template.append((f"{path}/{k.label}", k.text))
-        own = node.mass - sum(k.mass for k in node.kids)
-        beside = own > 0 or any(k is not best and k.mass > 0 and not fixed(k) for k in node.kids)
-        if best is None or node.tag == "article" or beside:  # text beside the container is content too
-            return path, template
-        path, node = f"{path}/{best.label}", best
-        total = min(total, node.mass) or 1
-
-
-def find(root: Node, path: str) -> list[Node]:
-    nodes = [root]
-    for label in path.split("/")[1:]:
-        nodes = [k for n in nodes for k in n.kids if not isinstance(k, str) and k.label == label and not k.never]
-    return nodes
-
-
-def main_text(page: str, path: str | None, template: frozenset) -> str:
-    """The text of one page under a wrapper."""
-    if not page:
-        return ""
-    root = parse(page)
-    nodes = find(root, path) if path else []
-    if not any(_any_text(n) for n in nodes):
-        path, own = induce([page])
-        template = frozenset(own)
-        nodes = find(root, path) if path else [root]
-    return "\n".join(b for n in nodes for b in blocks(n, template, path or ""))
-
-
-def _any_text(node: Node) -> bool:
-    todo = [node]
-    while todo:
+def name_of(root: Node) -> int:
+    """What tells a page from its near copies: the title and the first heading, or else all its text."""
+    found: dict[str, str] = {}
+    todo = [root]
+    while todo and len(found) < 2:
         n = todo.pop()
-        for k in n.kids:
-            if isinstance(k, str):
-                if k.strip():
-                    return True
-            elif not k.never:
-                todo.append(k)
-    return False
+        if n.tag in ("title", "h1"):
+            found.setdefault(n.tag, plain(n))
+        todo.extend(k for k in reversed(n.kids) if not isinstance(k, str))
+    names = [found.get(t, "") for t in ("title", "h1")]
+    return _text_hash("\n".join(names if any(names) else blocks(root)))
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -300,23 +277,31 @@ def with_host(pages: DataFrame) -> DataFrame:
     return pages.withColumn("host", host)
 
 
-def induce_wrappers(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(host, path, template array<struct<path, text>>) of hosts with enough pages."""
-    hosted = with_host(pages).filter("host <> '' and html is not null")
-    keys = hosted.select("host", "page_id", F.xxhash64("url", "page_id").alias("h"))
-    order = W.partitionBy("host").orderBy("h", "page_id")
-    few = keys.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= sample)
-    few = checkpointed(few.select("host", "page_id").distinct())
-    short = few.limit(MOST_HOSTS * sample + 1).count() <= MOST_HOSTS * sample  # at most so many ids are broadcast
-    sampled = hosted.select("host", "page_id", "html").join(F.broadcast(few) if short else few, ["host", "page_id"]).select("host", "html")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pages = sorted(pdf["html"].tolist())[: 2 * sample]
-        path, template = induce(pages) if len(set(pages)) >= LEAST else ("", [])
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "path": [path], "template": [[{"path": p, "text": t} for p, t in template]]})
+def induce_wrappers(pages: DataFrame) -> DataFrame:
+    """(host, template array<bigint>) of hosts with template nodes."""
+    hosted = with_host(pages).filter("host <> '' and html is not null").select("host", "html")
 
-    made = sampled.groupBy("host").applyInPandas(run, "host string, path string, template array<struct<path string, text string>>")
-    return made.filter("path <> ''")
+    def run(batches):
+        for b in sliced(batches):
+            rows, counts = [], []
+            for page in b.column(1).to_pylist():
+                root = parse(page)
+                name = name_of(root)
+                found = set(entries(root).values())
+                seen = [(path, entry, name) for path, entry in found] + [(path, 0, name) for path in {p for p, _ in found}]
+                rows += seen
+                counts.append(len(seen))
+            index = pa.array(np.repeat(np.arange(b.num_rows), counts), pa.int64())
+            columns = np.array(rows, np.int64).reshape(-1, 3).T
+            yield pa.RecordBatch.from_arrays([b.column(0).take(index), *map(pa.array, columns)], names=["host", "path", "entry", "name"])
+
+    # entry 0 stands for any text at the path
+    seen = hosted.mapInArrow(returning(run), "host string, path bigint, entry bigint, name bigint")
+    per = seen.distinct().groupBy("host", "path", "entry").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST)
+    per = checkpointed(per)
+    pages_of = per.filter("entry = 0").select("host", "path", F.col("n").alias("pages"))
+    same = per.filter("entry <> 0").join(pages_of, ["host", "path"]).filter(F.col("n") >= CONSTANT * F.col("pages"))
+    return same.groupBy("host").agg(F.collect_set("entry").alias("template"))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -325,14 +310,14 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     wrappers = checkpointed(induce_wrappers(pages))
     few = wrappers.limit(MOST_HOSTS + 1).count() <= MOST_HOSTS  # at most so many small rows are broadcast
     src = with_host(pages.select("page_id", "url", text_or_empty("html").alias("html")))
-    src = src.join(F.broadcast(wrappers) if few else wrappers, "host", "left").select("page_id", "url", "html", "path", "template")
+    src = src.join(F.broadcast(wrappers) if few else wrappers, "host", "left").select("page_id", "url", "html", "template")
     id_type = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches):
         for b in sliced(batches):
             out = []
-            for page, path, template in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-                out.append(main_text(page, path, frozenset((t["path"], t["text"]) for t in template or ())))
+            for page, template in zip(*(b.column(i).to_pylist() for i in (2, 3)), strict=True):
+                out.append("\n".join(blocks(parse(page), frozenset(template or ()))))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
     return src.mapInArrow(returning(run), f"page_id {id_type}, url string, text string")

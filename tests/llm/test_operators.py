@@ -101,6 +101,19 @@ def test_wrapper_keeps_text_beside_the_container(spark):
     assert all(got[i] == f"Title {i}\nlead {i}\n{long}{i}" for i, _, _ in rows)
 
 
+def test_wrapper_reads_every_page_template_of_a_host(spark):
+    long = "words that fill the body " * 20
+    a = "<html><head><title>a{i}</title></head><body><div class='x'><h2>Site</h2><p>{long}{i}</p></div></body></html>"
+    b = "<html><head><title>b{i}</title></head><body><div class='x'><p>hint {i}</p></div><div class='y'><h2>Shop</h2><p>{long}item {i}</p></div></body></html>"
+    copy = "<html><head><title>same</title></head><body><div class='z'><h1>Same</h1><p>{long}copy {i}</p></div></body></html>"
+    pages = [a] * 40 + [b] * 4 + [copy] * 6
+    rows = [(i, f"http://h.example/{i}", p.format(i=i, long=long)) for i, p in enumerate(pages)]
+    got = page_texts(spark, rows + rows[:40])
+    assert all(got[i] == f"{long}{i}" for i in range(40))
+    assert all(got[i] == f"hint {i}\n{long}item {i}" for i in range(40, 44))
+    assert all(got[i] == f"Same\n{long}copy {i}" for i in range(44, 50))
+
+
 def test_tree_matching_counts_common_nodes():
     a = wrapper.Skeleton([wrapper.parse("<div><p>x</p><ul><li>1</li></ul></div>")])
     b = wrapper.Skeleton([wrapper.parse("<div><h1>t</h1><p>y</p><ul><li>2</li></ul></div>")])
