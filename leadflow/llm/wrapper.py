@@ -156,7 +156,7 @@ def entries(root: Node) -> dict[int, tuple[int, int]]:
                 parts.append(texts[id(k)])
         if parts:
             texts[id(n)] = _hash(*parts)
-            if n.tag in BLOCK and not any(not isinstance(k, str) for k in n.kids):
+            if n.tag in BLOCK:
                 out[id(n)] = path, _hash(path, texts[id(n)])
     return out
 

@@ -114,6 +114,16 @@ def test_wrapper_reads_every_page_template_of_a_host(spark):
     assert all(got[i] == f"Same\n{long}copy {i}" for i in range(44, 50))
 
 
+def test_wrapper_leaves_out_constants_of_any_size_and_depth(spark):
+    note = "no liability is taken for anything said here " * 4
+    page = "<html><head><title>t{i}</title></head><body><div><div class='z'><p>story {i}</p><p>{note}</p><p>{note}again</p><div class='box'><p>more <a href='/'>of <b>us</b></a></p><ul><li>x</li><li>y</li></ul></div></div></div></body></html>"
+    rows = [(i, f"http://h.example/{i}", page.format(i=i, note=note)) for i in range(5)]
+    prefix = [(i, f"http://g.example/{i}", f"<title>{i}</title><body><p>{note}{i}</p></body>") for i in range(10, 15)]
+    got = page_texts(spark, rows + prefix)
+    assert all(got[i] == f"story {i}" for i in range(5))
+    assert all(got[i] == f"{note}{i}" for i in range(10, 15))
+
+
 def test_tree_matching_counts_common_nodes():
     a = wrapper.Skeleton([wrapper.parse("<div><p>x</p><ul><li>1</li></ul></div>")])
     b = wrapper.Skeleton([wrapper.parse("<div><h1>t</h1><p>y</p><ul><li>2</li></ul></div>")])
