@@ -1,7 +1,8 @@
 """Secret scan with a random forest that removes false positives.
 
 Main path: DataFrame functions only. A pattern finds candidates (long unbroken runs of token
-characters with a digit in them, and long runs of letters) with the text around them. Features: length, share of
+characters with a digit in them, long runs of letters, and whatever is assigned to a secret name, of
+any length and characters) with the text around them. Features: length, share of
 digits, capitals and hexadecimal digits, class transitions, distinct characters, dictionary
 coverage (share of the candidate made of words that stand around other candidates), signs of a path
 or address, path of the document, and neighbouring words (assignment, quotes, key-like names).
@@ -31,6 +32,15 @@ TOKEN = r"(?<![A-Za-z0-9+/_.@-])(?:(?=[A-Za-z+/_.@-]*+[0-9])[A-Za-z0-9+/_.@-]{12
 PROVIDER = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|glpat-[0-9A-Za-z_-]{20}|xox[abprs]-[0-9A-Za-z-]{10,}|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35}|eyJ[0-9A-Za-z_-]{16,})"
 NAMES = r"(?i)(password|passwd|pwd|secret|token|api_?-?key|access_?-?key|auth|bearer|credential)s?"
 ASSIGNED = NAMES + r"[\"']?\s*(:|=|=>|:=)\s*[\"']?$"
+# The value behind an assigned secret name: up to the closing quote, or unquoted up to white space or
+# what ends a list entry or sentence. The short look-behinds come first: they fail at once in prose.
+_ASSIGN = r"[\"']?\s{0,16}(?::=|=>|:|=)\s{0,16}"
+_BEHIND = r"(?<=%s)(?<=" + NAMES + _ASSIGN + "%s)"
+VALUE = (
+    "(?:" + _BEHIND % (r"[:=>]\s{0,16}\"", r"\"") + r"[^\"\r\n]+(?=\")|" + _BEHIND % (r"[:=>]\s{0,16}'", "'") + r"[^'\r\n]+(?=')|"
+    + _BEHIND % (r"[:=>]\s{0,16}[\"']?", r"[\"']?") + r"(?=\S*\w)[^\s\"'`<>,;&=:](?:[^\s\"'`<>,;&]|[,;&](?!\s|\w*=|$))*(?<![.,;:)}\]]))"
+)
+CANDIDATE = VALUE + "|" + TOKEN
 EXAMPLE_PATH = r"(?i)(test|example|sample|fixture|mock|doc)"
 FEATURES = ("f_length", "f_digits", "f_capitals", "f_hex", "f_transitions", "f_distinct", "f_coverage", "f_address", "f_path", "f_assigned", "f_named", "f_quoted", "f_spaced", "f_prefix")
 
@@ -41,8 +51,8 @@ def findings(docs: DataFrame, path_col: str | None = None) -> DataFrame:
     text = F.col("text")
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     src = docs.select("doc_id", "text", F.coalesce(path, F.lit("")).alias("path"))
-    src = src.filter(text.isNotNull()).withColumn("found", F.regexp_extract_all(text, F.lit(TOKEN), 0)).filter(F.size("found") > 0)
-    src = src.withColumn("gaps", F.split(text, TOKEN, -1)).drop("text")
+    src = src.filter(text.isNotNull()).withColumn("found", F.regexp_extract_all(text, F.lit(CANDIDATE), 0)).filter(F.size("found") > 0)
+    src = src.withColumn("gaps", F.split(text, CANDIDATE, -1)).drop("text")
     lengths = F.zip_with(F.slice("gaps", 1, F.size("found")), "found", lambda g, f: F.struct(F.length(g).alias("g"), F.length(f).alias("f")))
     ends = F.transform("found", lambda v, i: F.struct(
         v.alias("value"),
@@ -88,9 +98,12 @@ def with_features(rows: DataFrame, dictionary: list[str]) -> DataFrame:
 
 
 def provenance_label(before: Column, after: Column, value: Column) -> Column:
-    secret = value.rlike(PROVIDER) | (before.rlike(ASSIGNED) & value.rlike("[0-9]"))
-    harmless = value.contains("@") | before.rlike(r"(@|://|www\.)[^\s]*$") | value.rlike("^[0-9.,/-]+[A-Za-z]{0,4}$") | value.rlike("^[A-Za-z_.-]+[0-9]{0,2}$")
-    return F.when(secret, 1).when(harmless, 0)
+    assigned, number = before.rlike(ASSIGNED), value.rlike("^[0-9.,/-]+[A-Za-z]{0,4}$")
+    # short numbers and joined words behind a secret name may be either
+    unclear = assigned & ~value.rlike(PROVIDER) & ((number & (F.length(value) < 12)) | value.rlike("^[A-Za-z]+([_-][A-Za-z]+)+$"))
+    secret = value.rlike(PROVIDER) | (assigned & value.rlike("[0-9]"))
+    harmless = value.contains("@") | before.rlike(r"(@|://|www\.)[^\s]*$") | number | value.rlike("^[A-Za-z_.-]+[0-9]{0,2}$")
+    return F.when(unclear, None).when(secret, 1).when(harmless, 0)
 
 
 def train_forest(sample: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = 7) -> Column:

@@ -222,6 +222,16 @@ def test_secret_scan(spark):
     assert secret_scan.op6_query(d).count() == 0
 
 
+def test_values_of_secret_names_are_findings_whatever_they_look_like(spark):
+    values = ['password = "hunter2024"', "pwd='a!b$c#d%e'", "secret: correct-horse-battery", "token => short_one", 'api_key="abcdefgh1234!x$y"', "auth=Zq9!", "?token=abc12&user=me", 'password: "two words 7"', "my_passwd := x7."]
+    want = ["hunter2024", "a!b$c#d%e", "correct-horse-battery", "short_one", "abcdefgh1234!x$y", "Zq9!", "abc12", "two words 7", "x7"]
+    d = spark.createDataFrame([(i, f"text before, {v} and after", None) for i, v in enumerate(values)], "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in secret_scan.findings(d, "source").collect()}
+    assert [got[i].value if i in got else None for i in range(len(want))] == want
+    assert all(f"text before, {values[i]} and after"[r.at :].startswith(r.value) for i, r in got.items())
+    assert secret_scan.findings(spark.createDataFrame([(1, "a password is short; the token of: love")], "doc_id bigint, text string")).count() == 0
+
+
 def test_native_plans_have_no_python(spark, docs):
     for df in (secret_scan.op6_query(docs), pii.op8_query(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
