@@ -37,7 +37,7 @@ ASSIGNED = NAMES + r"[\"']?\s*(:|=|=>|:=)\s*[\"']?$"
 _ASSIGN = r"[\"']?\s{0,16}(?::=|=>|:|=)\s{0,16}"
 _BEHIND = r"(?<=%s)(?<=" + NAMES + _ASSIGN + "%s)"
 VALUE = (
-    "(?:" + _BEHIND % (r"[:=>]\s{0,16}\"", r"\"") + r"[^\"\r\n]+(?=\")|" + _BEHIND % (r"[:=>]\s{0,16}'", "'") + r"[^'\r\n]+(?=')|"
+    r"(?<=[:=>\s\"'])(?:" + _BEHIND % (r"[:=>]\s{0,16}\"", r"\"") + r"[^\"\r\n]+(?=\")|" + _BEHIND % (r"[:=>]\s{0,16}'", "'") + r"[^'\r\n]+(?=')|"
     + _BEHIND % (r"[:=>]\s{0,16}[\"']?", r"[\"']?") + r"(?=\S*\w)[^\s\"'`<>,;&=:](?:[^\s\"'`<>,;&]|[,;&](?!\s|\w*=|$))*(?<![.,;:)}\]]))"
 )
 CANDIDATE = VALUE + "|" + TOKEN
