@@ -203,8 +203,8 @@ def fit(x: np.ndarray, y: np.ndarray, l2: float = 0.05, steps: int = 60) -> list
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> tuple[dict[str, float], list[float]]:
-    """Lexicon and model. The lexicon is learned on one part of the training rows and the model on
-    another, so that the lexicon's chance finds do not look better than they are."""
+    """Lexicon and model, both of the same training rows: words found by chance look better to the
+    model than they are, but the few toxic rows all serve the lexicon."""
     n = max(2, partitions(docs.sparkSession))
     rows = labelled_rows(docs, labels, limit).repartition(n, "doc_id").cache()  # at most `limit` rows
     try:
