@@ -183,12 +183,12 @@ class ByteBpe:
                     t = shorter[t]
                 states.append(state)
                 last.append(t)
-            ids, end = b"", len(word) - 1
+            ids, end = [], len(word) - 1
             while end >= 0:
                 t = last[end]
-                ids = packed[t] + ids
+                ids.append(packed[t])
                 end -= size[t]
-            done[text] = ids
+            done[text] = b"".join(reversed(ids))
             before = word
 
     def pieces(self, text: str) -> list[str]:

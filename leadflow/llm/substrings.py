@@ -15,8 +15,8 @@ for why), and suffixes are first thinned out without loss:
   member of each repeated union of the same block.
 
 All keys are counted by partial aggregation, so a passage in a third of all documents is a counter,
-not a group; joins on keys are sort-merge joins that Spark splits when skewed. The covered bytes are
-removed in a last pass over the whole texts.
+not a group; joins on keys are sort-merge joins with no aggregation by the same key behind them, so
+that Spark splits them when skewed. The covered bytes are removed in a last pass over the whole texts.
 
 A null text is empty. Texts shorter than LENGTH lose nothing. Equal texts are removed whole (from
 LENGTH bytes on), since each byte is covered by a string that also starts in the other copy; repeated
@@ -140,10 +140,12 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD,
     spark = docs.sparkSession
     rows = materialised(anchor_rows(docs, length, spread, k), "anchors")
     shared = rows.groupBy("core").agg(F.count("*").alias("c")).filter("c > 1").select("core")
-    kept = rows.join(shared, "core").groupBy("core", "whole", "rid", "pack").agg(F.count("*").alias("n"))
-    kept = materialised(kept, "blocks")
+    met = materialised(rows.join(shared, "core"), "shared")  # no aggregation behind it: a hot core is split
     discard(rows)
     release(spark)
+    kept = materialised(met.groupBy("core", "whole", "rid", "pack").agg(F.count("*").alias("n")), "blocks")
+    discard(met)
+    release(spark)
 
     unions = kept.groupBy("core", "whole").agg(F.sum("n").alias("c"), F.min(F.struct("rid", "pack")).alias("one"))
     unions = materialised(unions, "unions")
@@ -207,4 +209,6 @@ def op5_query(docs: DataFrame) -> DataFrame:
         (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("starts").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # the text that is left; a character of which a removed run took a part shows as U+FFFD
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
