@@ -19,14 +19,28 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores behind it until no column of df has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; falls back to the warehouse where none is set."""
+    """The folder all executors share. Where none is set, a local session uses its warehouse; a
+    cluster must set spark.checkpoint.dir."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = sc._jsc.sc().getCheckpointDir()
         path = path.get() if path.isDefined() else None
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return path.rstrip("/")
 

@@ -3,22 +3,33 @@
 Main path: DataFrame functions only. One pattern finds candidates; each is validated by kind (octet
 range, Luhn, IBAN modulo 97, calendar date, digit counts) and, if valid, its symbols are permuted by
 a Feistel network of ROUNDS rounds keyed with SHA-256, each symbol in its own radix: digits by 10,
-letters of an e-mail's local part by 26, octets by 256, days of a two-century window by 270 * 270.
+letters of an e-mail's local part by 26, octets by 256, days of a two-century window by 270 * 270,
+the three parts of a social security number by the number of values that are valid for each.
 Punctuation, case, length, country codes and domains stay; check digits are made anew. The
 permutation depends on kind, key and value only, so equal values get equal pseudonyms in every
-document and different values different ones (per kind and length).
+document and different values different ones (per kind and length), and valid ones stay valid.
+Dates with slashes are read day first; where only the month can come first, they are written so
+again, and the permutation walks on until it meets another date that can be read in no other way.
+
+The key is given at run time: by argument, or for the registered queries by the session setting
+KEY_SETTING. Without it a known key is used with a warning; its pseudonyms protect nobody.
 
 A null text stays null with counts of 0; an empty one stays empty; invalid candidates stay as they
-are; repeated rows are treated alike; other columns are kept, except that added columns replace
-columns of their names.
+are; repeated rows are treated alike; other columns are kept, whatever their names, but for one
+named like the added map of counts (out_col), which it replaces.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import warnings
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROUNDS = 8
+from leadflow.llm.common import fresh
+
+ROUNDS, WALK = 8, 64  # a walk ends by chance after two steps; the chance of more than WALK is below 1e-25
+KEY_SETTING = "spark.leadflow.pseudonymKey"
 DAYS, SIDE = 72_900, 270  # 1900-01-01 and the 72,899 days after it
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
@@ -117,9 +128,15 @@ def kind_of(m: Column) -> Column:
     )
 
 
+def month_first(m: Column) -> Column:
+    """Whether a date with slashes can only be read month first."""
+    return m.rlike(r"^(0[1-9]|1[0-2])/(1[3-9]|2[0-9]|3[01])/")
+
+
 def days_of(m: Column) -> Column:
     day = F.coalesce(
         F.when(m.rlike(r"^\d{4}-"), F.try_to_timestamp(m, F.lit("yyyy-MM-dd"))),
+        F.when(month_first(m), F.try_to_timestamp(m, F.lit("MM/dd/yyyy"))),
         F.when(m.rlike(r"^\d{2}/"), F.try_to_timestamp(m, F.lit("dd/MM/yyyy"))),
         F.when(m.rlike(r"^\d{2}\.\d{2}\.\d{4}$"), F.try_to_timestamp(m, F.lit("dd.MM.yyyy"))),
     )
@@ -150,10 +167,28 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
         return F.array_join(F.transform(feistel(octets, F.array_repeat(F.lit(256), 4), key, kind), lambda o: o.cast("string")), ".")
 
     def date(x):
-        parts = let(days_of(x), lambda d: F.array(F.floor(d / SIDE).cast("int"), (d % SIDE).cast("int")))
-        new = let(parts, lambda p: let(feistel(p, F.array_repeat(F.lit(SIDE), 2), key, kind), lambda v: F.get(v, F.lit(0)) * SIDE + F.get(v, F.lit(1))))
-        day = F.date_add(F.lit("1900-01-01").cast("date"), new)
-        return F.when(x.rlike(r"^\d{4}-"), F.date_format(day, "yyyy-MM-dd")).when(x.contains("/"), F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "dd.MM.yyyy"))
+        def moved(d):
+            parts = F.array(F.floor(d / SIDE).cast("int"), (d % SIDE).cast("int"))
+            return let(feistel(parts, F.array_repeat(F.lit(SIDE), 2), key, kind), lambda v: (F.get(v, F.lit(0)) * SIDE + F.get(v, F.lit(1))).cast("int"))
+
+        on = lambda d: F.date_add(F.lit("1900-01-01").cast("date"), d)
+        # among the dates with a day over 12, by walking on through the permutation of all
+        walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), moved(days_of(x)), lambda d, _: F.when(F.dayofmonth(on(d)) > 12, d).otherwise(moved(d)))
+        day = on(moved(days_of(x)))
+        return (
+            F.when(x.rlike(r"^\d{4}-"), F.date_format(day, "yyyy-MM-dd"))
+            .when(month_first(x), F.date_format(on(walked), "MM/dd/yyyy"))
+            .when(x.contains("/"), F.date_format(day, "dd/MM/yyyy"))
+            .otherwise(F.date_format(day, "dd.MM.yyyy"))
+        )
+
+    def ssn(x):
+        """Areas 001 to 899 without 666, groups 01 to 99, serials 0001 to 9999."""
+        area = F.substr(x, F.lit(1), F.lit(3)).try_cast("int")
+        parts = F.array(area - 1 - (area > 666).cast("int"), F.substr(x, F.lit(5), F.lit(2)).try_cast("int") - 1, F.substr(x, F.lit(8), F.lit(4)).try_cast("int") - 1)
+        radixes = F.array(F.lit(898), F.lit(99), F.lit(9999))
+        shown = lambda v: F.format_string("%03d-%02d-%04d", F.get(v, F.lit(0)) + 1 + (F.get(v, F.lit(0)) >= 665).cast("int"), F.get(v, F.lit(1)) + 1, F.get(v, F.lit(2)) + 1)
+        return let(feistel(parts, radixes, key, kind), shown)
 
     country = F.when(m.startswith("+"), F.length(F.regexp_extract(m, r"^\+\d{1,3}?(?=\D|\d{7,12}$)", 0))).otherwise(0)
     return (
@@ -162,31 +197,39 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
         .when(kind == "date", date(m))
         .when(kind == "card", card(m))
         .when(kind == "iban", iban(m))
-        .when(kind == "ssn", num(m, _flags(m, "[0-9]"), key, kind))
+        .when(kind == "ssn", ssn(m))
         .when(kind == "phone", num(m, _flags(m, "[0-9]", country), key, kind))
     )
 
 
-def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """docs with the text's personal data replaced, and a column pii: map of kind to count."""
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", out_col: str = "pii") -> DataFrame:
+    """docs with the text's personal data replaced, and in out_col a map of kind to count."""
     text = F.col(text_col)
     may = text.rlike("[0-9@]")
-    found = docs.withColumn("_pii", F.when(may, F.regexp_extract_all(text, F.lit(ANY), 0)))
-    found = found.withColumn("_kinds", F.transform("_pii", kind_of))
-    hit = F.exists(F.col("_kinds"), lambda k: k.isNotNull())
-    found = found.withColumn("_hit", F.coalesce(hit, F.lit(False)))
-    new = F.transform("_pii", lambda m, i: F.coalesce(pseudonym(m, F.get(F.col("_kinds"), i), key), m))
+    values, kinds, hit = fresh(docs, "values", "kinds", "hit")
+    found = docs.withColumn(values, F.when(may, F.regexp_extract_all(text, F.lit(ANY), 0)))
+    found = found.withColumn(kinds, F.transform(values, kind_of))
+    found = found.withColumn(hit, F.coalesce(F.exists(F.col(kinds), lambda k: k.isNotNull()), F.lit(False)))
+    new = F.transform(values, lambda m, i: F.coalesce(pseudonym(m, F.get(F.col(kinds), i), key), m))
     between = F.split(text, ANY, -1)
     joined = F.array_join(F.zip_with(between, F.array_append(new, F.lit("")), lambda a, b: F.concat(a, b)), "")
-    found = found.withColumn(text_col, F.when(F.col("_hit"), joined).otherwise(text))
+    found = found.withColumn(text_col, F.when(F.col(hit), joined).otherwise(text))
     is_kind = lambda k: lambda v: v == k
-    counts = F.create_map(*[x for k in KINDS for x in (F.lit(k), F.size(F.filter("_kinds", is_kind(k))).cast("long"))])
-    return found.withColumn("pii", F.when(F.col("_hit"), counts).otherwise(F.create_map(*[x for k in KINDS for x in (F.lit(k), F.lit(0).cast("long"))]))).drop("_pii", "_kinds", "_hit")
+    counts = F.create_map(*[x for k in KINDS for x in (F.lit(k), F.when(F.col(hit), F.size(F.filter(kinds, is_kind(k)))).otherwise(0).cast("long"))])
+    return found.withColumn(out_col, counts).drop(values, kinds, hit)
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key of the session setting."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms are made with a known key", stacklevel=2)
+    return key or "known"
 
 
-def op8_query(docs: DataFrame, key: str = "pseudonym-key") -> DataFrame:
+def op8_query(docs: DataFrame, key: str | None = None) -> DataFrame:
     """(doc_id, text, n_chars, n_found and n_<kind>): the pseudonymised whole text per document."""
-    out = pseudonymise(docs.select("doc_id", "text"), key)
+    out = pseudonymise(docs.select("doc_id", "text"), key or session_key(docs.sparkSession))
     kinds = [F.col("pii")[k].alias(f"n_{k}") for k in KINDS]
     total = F.aggregate(F.map_values("pii"), F.lit(0).cast("long"), lambda a, b: a + b)
     return out.select("doc_id", "text", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), total.alias("n_found"), *kinds)
