@@ -10,29 +10,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadflow.llm import bpe, minhash, mixing, pii, toxicity
-from leadflow.llm.common import materialised, read_table
+from leadflow.llm.common import fresh, materialised, read_table
 from leadflow.llm.queries import tokenizer_path
 
-PII_KEY = "pseudonym-key"
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose toxicity score is below the threshold."""
     lexicon, model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    scored = toxicity.score_documents(docs, lexicon, model, out_col="_toxicity")
-    return scored.filter(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    [score] = fresh(docs, "toxicity")
+    scored = toxicity.score_documents(docs, lexicon, model, out_col=score)
+    return scored.filter(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies, and one of repeated rows; rows without an id stay."""
     kept = minhash.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
+    [text_hash] = fresh(docs, "text_hash")
+    named = docs.join(kept, "doc_id", "left_semi").withColumn(text_hash, F.xxhash64("text")).dropDuplicates(["doc_id", text_hash]).drop(text_hash)
     return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data in the text by pseudonyms."""
-    out = pii.pseudonymise(docs, PII_KEY)
+    [counts] = fresh(docs, "pii")
+    out = pii.pseudonymise(docs, pii.session_key(spark), out_col=counts)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
