@@ -1,19 +1,27 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A text is cut into clauses. Five transducers read the words of a clause in turn, each seeing the
-output of the one before:
-
-  lexicon    word -> weight: insults, by word or by stem, learned from labelled documents
-  threat     "will/going to ... kill/hurt ..." -> weight
-  target     "you", "they", a name with a capital ... -> the weights near it count more
-  negation   "not", "never" ... -> the weights that follow in its reach count less
-  reported   "said", "quoted", an open quotation mark ... -> the clause counts less
-
-A clause's score is what comes out; a document's features are the sum, the best clause, the number
-of matched words and their density, and a logistic model, fitted on the labelled training rows,
-turns them into a score from 0 to 1. The training sample is at most MAX_LABELLED labelled rows,
-chosen by a hash of the id; scoring reads every whole text. Labels, language, source and id are
-never inputs of a score.
+A text is read as a string of symbols: its words by class, quotation marks, ends of clauses and of
+lines. An insult is a word, or the stem of one, from a lexicon learned from labelled documents; it
+brings its weight. Four weighted transducers, each a table of arcs
+(state, symbol) -> (state, symbol, weight), rewrite the string:
+
+  threat     a word of harm within reach of a word of intent becomes a threat
+  target     insults and threats near "you", "they" ... weigh more; a threat with its target behind
+             it puts out a hit at the target
+  negation   what follows "not", "never" ... within reach weighs less
+  reported   what stands behind "said", "wrote" ... or inside quotation marks weighs less; quotation
+             marks stay open over the ends of clauses, up to the end of the line
+
+`compose` makes one transducer of them: the pairs of states that can be reached, with the weights of
+an arc multiplied. One walk of the composed table over a clause gives the weights of its hits, and
+their sum is the clause's score. A document's features are the sum, the best clause, the number of
+hits and their density; a logistic model, fitted on the labelled training rows, turns them into a
+score from 0 to 1. The training sample is at most MAX_LABELLED labelled rows, chosen by a hash of the
+id, and the lexicon at most MAX_LEXICON entries; scoring reads every whole text. Labels, language,
+source and id are never inputs of a score.
+
+The model is fitted out of fold: the training rows fall into two halves by a hash of the id, and a
+row's features come from the lexicon of the other half. The lexicon used for scoring is that of both.
 
 A null or empty text has no clauses and gets the model's score for no matches. Repeated rows are
 scored each. With no labelled row, or labels of one kind only, the learned lexicon is empty and the
@@ -22,6 +30,7 @@ built-in patterns alone count. Several labels of one document: any toxic one cou
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import Counter
@@ -34,82 +43,183 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from leadflow.llm.common import partitions, returning, sliced, small_batches, text_or_empty
 
-MAX_LABELLED, MAX_LEXICON, THRESHOLD = 40_000, 20_000, 0.7
+MAX_LABELLED, MAX_LEXICON, LEAST, THRESHOLD = 40_000, 20_000, 3, 0.7
 STEMS = (3, 4, 5, 6, 7)
 WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[\"“”«»]")
-CLAUSES = re.compile(r"[.!?;:\n]+")
-TARGET = frozenset("you your you're yours yourself ur u he she they them him her his their this these those that du dich dir ihr euch sie tu toi vous ils elles él ella ustedes tú vosotros".split())
+CLAUSES = re.compile(r"([.!?;:\n]+)")
+QUOTES = "\"“”«»"
+# Function words of the four languages.
+TARGET = frozenset("you your you're yours yourself ur u he she they them him her his this these those that du dich dir ihr euch sie tu toi vous ils elles él ella ustedes tú vosotros".split())
 NEGATION = frozenset("not no never neither nor isn't aren't wasn't weren't don't doesn't didn't hardly nicht kein keine nie ne pas jamais ni nunca jamás sin".split())
-REPORTED = frozenset("said says say claimed claims wrote writes quoted quotes quote called reported reports according alleged tweeted sagte schrieb disait selon dijo según".split())
+REPORTED = frozenset("said says say claimed claims wrote writes quoted quotes quote called reported reports according alleged tweeted sagte sagt schrieb disait dit selon dijo dice según".split())
 INTENT = frozenset("will gonna going shall must should want i'll we'll werde werden vais allons voy vamos".split())
-HARM = frozenset("kill hurt destroy murder beat shoot stab burn hang die bury crush strangle töten umbringen tuer matar".split())
+HARM = frozenset("kill hurt destroy murder beat shoot stab burn hang die bury crush strangle töten umbringen schlagen verletzen tuer frapper brûler matar golpear quemar herir".split())
 REACH = 3
+SYMBOLS = ("other", "insult", "harm", "intent", "target", "negation", "report", "quote", "stop", "line")
+HITS = ("insult", "threat", "struck")
+CLASS_OF = {w: k for k, words in (("report", REPORTED), ("intent", INTENT), ("target", TARGET), ("negation", NEGATION), ("harm", HARM)) for w in words}
+Arcs = dict[tuple, tuple]
+
+
+def transducer(start, symbols, step) -> tuple[object, Arcs]:
+    """(start, arcs) of all states that step(state, symbol) -> (state, symbol, weight) reaches."""
+    arcs: Arcs = {}
+    todo, seen = [start], {start}
+    while todo:
+        state = todo.pop()
+        for x in symbols:
+            arcs[state, x] = arc = step(state, x)
+            if arc[0] not in seen:
+                seen.add(arc[0])
+                todo.append(arc[0])
+    return start, arcs
+
+
+def compose(first: tuple[object, Arcs], second: tuple[object, Arcs], symbols=SYMBOLS) -> tuple[object, Arcs]:
+    """The transducer that gives what second makes of the output of first."""
+
+    def step(state, x):
+        p, y, v = first[1][state[0], x]
+        q, z, w = second[1][state[1], y]
+        return (p, q), z, v * w
+
+    return transducer((first[0], second[0]), symbols, step)
+
+
+def threat_step(left: int, x: str):
+    if x in ("stop", "line"):
+        return 0, x, 1.0
+    if x == "intent":
+        return 2 * REACH, x, 1.0
+    if x == "harm":  # without intent it counts as what the lexicon says of it
+        return max(0, left - 1), "threat" if left else "insult", 1.0
+    return max(0, left - 1), x, 1.0
+
+
+def target_step(state: tuple[int, int], x: str):
+    after, waiting = state  # words since a target, words since a threat without one
+    fewer = max(0, after - 1), max(0, waiting - 1)
+    if x in ("stop", "line"):
+        return (0, 0), x, 1.0
+    if x == "target":
+        return (REACH + 1, 0), "struck" if waiting else x, 1.0
+    if x == "insult":
+        return fewer, x, 1.25 if after else 1.0
+    if x == "threat":
+        return (fewer[0], 0 if after else REACH + 1), x, 2.0 if after else 1.0
+    return fewer, x, 1.0
+
+
+def negation_step(left: int, x: str):
+    if x in ("stop", "line"):
+        return 0, x, 1.0
+    if x == "negation":
+        return REACH + 1, x, 1.0
+    return max(0, left - 1), x, 0.3 if left and x in HITS else 1.0
+
+
+def reported_step(state: tuple[bool, bool], x: str):
+    quoted, said = state
+    if x == "line":
+        return (False, False), x, 1.0
+    if x == "stop":
+        return (quoted, False), x, 1.0
+    if x == "quote":
+        return (not quoted, said), x, 1.0
+    if x == "report":
+        return (quoted, True), x, 1.0
+    return state, x, (0.5 if quoted and said else 0.8 if quoted or said else 1.0) if x in HITS else 1.0
+
+
+def cascade() -> list[tuple[object, Arcs]]:
+    """The transducers in the order they are composed in."""
+    after_threat = (*SYMBOLS, "threat")
+    return [
+        transducer(0, SYMBOLS, threat_step),
+        transducer((0, 0), after_threat, target_step),
+        transducer(0, (*after_threat, "struck"), negation_step),
+        transducer((False, False), (*after_threat, "struck"), reported_step),
+    ]
+
+
+@functools.cache
+def composed() -> tuple[list[int], list[float], list[str]]:
+    """The composed transducer as tables over state * len(SYMBOLS) + symbol: next state (times
+    len(SYMBOLS)), weight (0 where no hit comes out) and output symbol; state 0 is the start."""
+    whole = functools.reduce(compose, cascade())
+    place = {whole[0]: 0}
+    for state, _ in whole[1]:
+        place.setdefault(state, len(place))
+    size = len(SYMBOLS)
+    after, weight, out = [0] * (len(place) * size), [0.0] * (len(place) * size), [""] * (len(place) * size)
+    for (state, x), (to, y, w) in whole[1].items():
+        k = place[state] * size + SYMBOLS.index(x)
+        after[k], weight[k], out[k] = place[to] * size, w if y in HITS else 0.0, y
+    return after, weight, out
 
 
 class Grammar:
-    """The composed transducers over one learned lexicon."""
+    """The composed transducer over one learned lexicon."""
 
     def __init__(self, lexicon: dict[str, float]):
         self.words = {k[2:]: w for k, w in lexicon.items() if k[0] == "w"}
         self.stems = {k[2:]: w for k, w in lexicon.items() if k[0] == "p"}
-        self.memo: dict[str, float] = {}
+        self.memo: dict[str, tuple[int, float]] = {}
+        self.after, self.weight, self.out = composed()
 
-    def insult(self, word: str) -> float:
-        """Lexicon transducer: the weight of a word, by itself or by its stem."""
-        w = self.memo.get(word)
-        if w is None:
+    def symbol(self, word: str) -> tuple[int, float]:
+        """Symbol and lexicon weight of a word, by itself or by its stem."""
+        found = self.memo.get(word)
+        if found is None:
             w = max([self.words.get(word, 0.0), *[self.stems.get(word[:n], 0.0) for n in STEMS if len(word) > n]])
+            kind = "quote" if word in QUOTES else CLASS_OF.get(word, "other")
+            if w and kind != "harm":
+                kind = "insult"
             if len(self.memo) > 100_000:
                 self.memo.clear()
-            self.memo[word] = w
-        return w
-
-    def clause(self, words: list[str], weights: list[float]) -> float:
-        """Threat, target, negation and reported-speech transducers over one clause that has a
-        weighted word or a word of harm."""
-        total, intent, negated, target, quoted, reported = 0.0, 0, 0, 0, False, False
-        near = any(w in TARGET for w in words)
-        for word, weight in zip(words, weights, strict=True):
-            if word in "\"“”«»":
-                quoted = not quoted
-                continue
-            if word in REPORTED:
-                reported = True
-            if word in NEGATION:
-                negated = REACH + 1
-            if word in INTENT:
-                intent = 2 * REACH
-            if word in TARGET:
-                target = REACH + 1
-            if word in HARM and intent:
-                weight = max(weight, 2.0 if near else 1.0)
-            if weight:
-                weight *= 1.25 if target else 1.0
-                weight *= 0.3 if negated else 1.0
-                weight *= 0.5 if reported and quoted else 0.8 if reported or quoted else 1.0
-                total += weight
-            intent, negated, target = max(0, intent - 1), max(0, negated - 1), max(0, target - 1)
-        return total
+            found = self.memo[word] = SYMBOLS.index(kind), w
+        return found
+
+    def run(self, state: int, symbols: list[tuple[int, float]]) -> tuple[float, int, int]:
+        """(score, hits, state) of a walk from a state; a threat weighs 1 at least, a struck target 1."""
+        total, hits = 0.0, 0
+        for x, own in symbols:
+            k = state + x
+            if w := self.weight[k]:
+                y = self.out[k]
+                value = w * (own if y == "insult" else max(own, 1.0))
+                if value:
+                    total += value
+                    hits += 1
+            state = self.after[k]
+        return total, hits, state
 
     def features(self, text: str) -> list[float]:
         total = best = hits = words = 0.0
-        for clause in CLAUSES.split(text.lower()):
-            found = WORDS.findall(clause)
-            if not found:
-                continue
+        state, quote, stop, line = 0, *(SYMBOLS.index(x) for x in ("quote", "stop", "line"))
+        parts = CLAUSES.split(text.lower())
+        for clause, end in zip(parts[::2], [*parts[1::2], ""], strict=True):
+            found = [self.symbol(w) for w in WORDS.findall(clause)]
             words += len(found)
-            weights = [self.insult(w) for w in found]
-            if any(weights) or not HARM.isdisjoint(found):
-                s = self.clause(found, weights)
+            if any(w or x == _HARM for x, w in found):
+                s, n, state = self.run(state, found)
                 total += s
                 best = max(best, s)
-                hits += sum(w > 0 for w in weights)
+                hits += n
+            else:  # only the quotation marks outlast the clause
+                for x, _ in found:
+                    if x == quote:
+                        state = self.after[state + quote]
+            state = self.after[state + (line if "\n" in end else stop)]
         return [math.log1p(total), math.log1p(best), math.log1p(hits), 100 * total / (words + 20)]
 
 
+_HARM = SYMBOLS.index("harm")
+
+
 def features_of(text: str) -> set[str]:
     """What the lexicon is learned from: words, and stems of longer words."""
-    words = {w for w in WORDS.findall(text.lower()) if w not in "\"“”«»"}
+    words = {w for w in WORDS.findall(text.lower()) if w not in QUOTES}
     return {f"w:{w}" for w in words} | {f"p:{w[:n]}" for w in words for n in STEMS if len(w) > n}
 
 
@@ -118,60 +228,65 @@ def held_out(col: str = "doc_id") -> Column:
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> DataFrame:
-    """(text, toxic) of at most `limit` labelled documents that are not held out."""
+    """(doc_id, text, toxic, fold) of at most `limit` labelled documents that are not held out."""
     lab = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~F.coalesce(held_out(), F.lit(False)))
     lab = lab.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     few = lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)  # at most `limit` ids are broadcast
-    return docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(few), "doc_id").select("doc_id", "text", "toxic")
-
-
-def learn_lexicon(rows: DataFrame) -> dict[str, float]:
-    """Log-odds of words and stems that mark toxic documents beyond chance."""
-    n = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    toxic, clean = n.get(1, 0), n.get(0, 0)
-    if not toxic or not clean:
-        return {}
+    return docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(few), "doc_id").select("doc_id", "text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2)).cast("int").alias("fold"))
+
+
+def learn_lexicons(rows: DataFrame) -> tuple[dict[str, float], list[dict[str, float]]]:
+    """Log-odds of words and stems that mark toxic documents beyond chance: of all rows, and for each
+    half of the rows (fold 0, fold 1) those of the other half."""
+    n = {(r.toxic, r.fold): r.n for r in rows.groupBy("toxic", "fold").agg(F.count("*").alias("n")).collect()}
+    toxic, clean = ([n.get((y, k), 0) for k in (0, 1)] for y in (1, 0))
+    if not sum(toxic) or not sum(clean):
+        return {}, [{}, {}]
+
+    def count(kept):
+        def run(batches):
+            seen: Counter = Counter()
+
+            def out():
+                keys = list({f for f, _ in seen})
+                batch = pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *[pa.array([seen[f, k] for f in keys], pa.int64()) for k in (0, 1)]], names=["f", "n0", "n1"])
+                seen.clear()
+                return batch
+
+            for b in sliced(batches):
+                for text, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    found = features_of(text)
+                    seen.update((f, k) for f in (found if kept is None else found & kept.keys()))
+                if len(seen) > 400_000:
+                    yield out()
+            if seen:
+                yield out()
 
-    def count(batches):
-        seen: Counter = Counter()
+        return returning(run)
 
-        def out():
-            keys = list(seen)
-            batch = pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([seen[k] for k in keys], pa.int64())], names=["f", "n"])
-            seen.clear()
-            return batch
+    def counted(y, kept=None):
+        per = rows.filter(F.col("toxic") == y).select("text", "fold").mapInArrow(count(kept), "f string, n0 bigint, n1 bigint")
+        return per.groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
-        for b in sliced(batches):
-            for text in b.column(0).to_pylist():
-                seen.update(features_of(text))
-            if len(seen) > 400_000:
-                yield out()
-        if seen:
-            yield out()
+    # the most frequent features of at most MAX_LABELLED texts, at most 5 MAX_LEXICON
+    hits = counted(1).filter(F.col("n0") + F.col("n1") >= LEAST).orderBy(F.desc(F.col("n0") + F.col("n1")), "f").limit(MAX_LEXICON * 5)
+    kept = {r.f: (r.n0, r.n1) for r in hits.collect()}
+    there = {r.f: (r.n0, r.n1) for r in counted(0, kept).collect()}
 
-    least = 3
-    hits = rows.filter("toxic = 1").select("text").mapInArrow(returning(count), "f string, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
-    hits = hits.filter(F.col("n") >= least).orderBy(F.desc("n"), "f").limit(MAX_LEXICON * 5)
-    kept = {r.f: r.n for r in hits.collect()}  # bounded: features of at most MAX_LABELLED texts, at most 5 MAX_LEXICON
+    def lexicon(folds):
+        n1, n0 = sum(toxic[k] for k in folds), sum(clean[k] for k in folds)
+        if not n1 or not n0:
+            return {}
+        bar, found = 2 * math.log(max(2, len(kept))), {}
+        for f, hit in kept.items():
+            a, b = sum(hit[k] for k in folds), sum(there.get(f, (0, 0))[k] for k in folds)
+            w = math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))
+            if a >= LEAST and w >= 2.5 and _surprise(a, b, n1, n0) >= bar:
+                found[f] = w
+        return dict(sorted(found.items(), key=lambda x: (-sum(kept[x[0]]) * x[1], x[0]))[:MAX_LEXICON])
 
-    def others(batches):
-        seen: Counter = Counter()
-        for b in sliced(batches):
-            for text in b.column(0).to_pylist():
-                seen.update(features_of(text) & kept.keys())
-        if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["f", "n"])
-
-    rest = rows.filter("toxic = 0").select("text").mapInArrow(returning(others), "f string, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
-    there = {r.f: r.n for r in rest.collect()}
-    bar = 2 * math.log(max(2, len(kept)))
-    found = {}
-    for f, a in kept.items():
-        b = there.get(f, 0)
-        w = math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
-        if w >= 2.5 and _surprise(a, b, toxic, clean) >= bar:
-            found[f] = w
-    return dict(sorted(found.items(), key=lambda x: (-kept[x[0]] * x[1], x[0]))[:MAX_LEXICON])
+    whole = lexicon((0, 1))
+    return whole, [lexicon((1,)) or whole, lexicon((0,)) or whole]  # a half with too few toxic rows has none of its own
 
 
 def _surprise(a: int, b: int, n1: int, n0: int) -> float:
@@ -203,8 +318,7 @@ def fit(x: np.ndarray, y: np.ndarray, l2: float = 0.05, steps: int = 60) -> list
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> tuple[dict[str, float], list[float]]:
-    """Lexicon and model, both of the same training rows: words found by chance look better to the
-    model than they are, but the few toxic rows all serve the lexicon."""
+    """The lexicon of all training rows, and the model of their features out of fold."""
     n = max(2, partitions(docs.sparkSession))
     rows = labelled_rows(docs, labels, limit).repartition(n, "doc_id").cache()  # at most `limit` rows
     try:
@@ -214,15 +328,15 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> tupl
 
 
 def _train(rows: DataFrame) -> tuple[dict[str, float], list[float]]:
-    lexicon = learn_lexicon(rows)
+    lexicon, other = learn_lexicons(rows)
 
     def score(batches):
-        g = Grammar(lexicon)
+        g = [Grammar(x) for x in other]
         for b in sliced(batches):
-            f = [g.features(t) for t in b.column(0).to_pylist()]
+            f = [g[k].features(t) for t, k in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in zip(*f, strict=True)] + [b.column(1)], names=["a", "b", "c", "d", "y"])
 
-    got = rows.select("text", F.col("toxic").cast("int").alias("y")).mapInArrow(returning(score), "a double, b double, c double, d double, y int").collect()
+    got = rows.select("text", F.col("toxic").cast("int").alias("y"), "fold").mapInArrow(returning(score), "a double, b double, c double, d double, y int").collect()
     got = np.array(sorted(map(tuple, got))) if got else np.zeros((0, 5))  # at most MAX_LABELLED rows of five numbers
     return lexicon, fit(got[:, :4], got[:, 4])
 

@@ -266,6 +266,37 @@ def test_toxicity_learns_words_and_stems(spark):
     assert len(none) == len(rows) and all(0 <= r.score <= 1 for r in none)
 
 
+def test_composed_transducer_equals_the_cascade():
+    rnd = random.Random(21)
+    g = toxicity.Grammar({})
+    for _ in range(300):
+        string = [rnd.choice(toxicity.SYMBOLS) for _ in range(rnd.randrange(25))]
+        weights = [rnd.choice([0.0, 3.0]) if x in ("insult", "harm") else 0.0 for x in string]
+        out, factor = list(string), [1.0] * len(string)
+        for start, arcs in toxicity.cascade():  # one transducer after the other over the whole string
+            state = start
+            for k, x in enumerate(out):
+                state, out[k], w = arcs[state, x]
+                factor[k] *= w
+        want = sum(f * (w if y == "insult" else max(w, 1.0)) for y, f, w in zip(out, factor, weights, strict=True) if y in toxicity.HITS)
+        got = g.run(0, [(toxicity.SYMBOLS.index(x), w) for x, w in zip(string, weights, strict=True)])
+        assert abs(got[0] - want) < 1e-9
+
+
+def test_quotation_marks_stay_open_over_clauses():
+    g = toxicity.Grammar({"w:clown": 3.0})
+    open_mark, closed = g.features('he "went out. you are a clown. done"')[0], g.features('he "went" out. you are a clown. done')[0]
+    assert 0 < open_mark < closed
+    assert g.features('he "went out\nyou are a clown')[0] == g.features("he went out\nyou are a clown")[0]
+    assert g.features("i will kill you")[0] > g.features("i will kill time")[0] > g.features("anna said i will kill time")[0] > 0
+
+
+def test_repeated_rows_are_scored_each(spark):
+    d = spark.createDataFrame([(1, "you are a clown"), (1, "you are a clown"), (2, None)], "doc_id bigint, text string")
+    got = [(r.doc_id, r.score) for r in toxicity.score_documents(d, {"w:clown": 3.0}, [-3.0, 1.5, 1.5, 0.0, 0.0]).collect()]
+    assert len(got) == 3 and got[0] == got[1] and got[2][1] < 0.1 < got[0][1]
+
+
 def test_grammar_weighs_clauses():
     g = toxicity.Grammar({"w:clown": 3.0})
     plain = g.features("you are a clown")[0]
