@@ -1,24 +1,31 @@
 """Main text of web pages by wrapper induction.
 
-All pages are parsed and their DOM trees aligned by label path: nodes match if the labels (tag, role,
-classes) on their ways from the root are equal, so a run of siblings with one label is one list. A
-node whose text is the same on at least CONSTANT of a host's pages that have its path, and on LEAST
-pages, is template; the others are slots. Support is counted over all pages, whatever the host's size
-or number of page templates: each template has paths of its own or shares them with others. Pages
-with one title count once, so near copies do not turn their text into template. The text of a page
-is its slots in page order; a page without host, or of a host with few pages, is all slots.
+1. Skeleton: a page's DOM tree with children of one label (tag, role, classes) merged under their
+   parent, so a list of any length is one node.
+2. References: the REFERENCES most frequent skeletons of a host, counted over all its pages.
+3. Alignment: each page's skeleton is aligned to the reference it fits best by simple tree matching:
+   roots match, children of matched nodes match if their labels are equal, in order, and as many
+   nodes as possible. A node that no reference has is aligned with pages of the same skeleton only.
+4. Template: an aligned node whose whole text is the same on at least CONSTANT of the host's pages
+   that have the node, and on LEAST pages, is template; the others are slots. Support is counted over
+   all pages, whatever the host's size. Pages with one title count once, so near copies do not turn
+   their text into template.
+5. Text: the slots in page order; a page without host, or of a host with few pages, is all slots.
 
 Never content, in any wrapper: menus, headers and footers of the page, sidebars, notices, adverts,
 forms, scripts, styles, comments of readers and comments of the markup, told by tag, role, id and
-class names. What stands inside the container and is none of these is kept.
+class names. Names that may as well name a part of an article (search, legal, related ...) count
+outside of it only. What stands inside the container and is none of these is kept.
 
-Support is counted by partial aggregation on hashes of path and text, so a host with a third of all
-pages costs no task more than others. A null or empty html has an empty text; a null URL has no host; repeated
-rows are read each. Unclosed, crossed and cut-off tags are mended as browsers do in the usual cases.
+Skeletons and support are counted by partial aggregation, so a host with a third of all pages costs
+no task more than others. A null or empty html has an empty text; a null URL has no host; repeated
+rows are read each. Unclosed, crossed and cut-off tags are mended as browsers do in the usual cases;
+trees of any depth are walked without recursion.
 """
 
 from __future__ import annotations
 
+import bisect
 import html as html_lib
 import re
 
@@ -26,12 +33,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leadflow.llm.common import checkpointed, returning, sliced, small_batches, text_or_empty
 
-LEAST, CONSTANT, MOST_HOSTS = 3, 0.8, 50_000
-RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "math", "xmp")
+LEAST, CONSTANT, REFERENCES = 3, 0.8, 4
+BROADCAST_BYTES = 16 << 20
+RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "xmp")
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r""")\b(?:"[^"]*"|'[^']*'|[^>"'])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z""",
     re.S | re.I,
@@ -45,10 +54,11 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 BARRIER = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 NEVER_TAGS = frozenset("head title nav footer aside form button select dialog menu label input".split())
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-NEVER_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-bar|rail|menu|nav|navbar|navigation|breadcrumbs?|footer|foot|header|masthead|topbar|toolbar|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscri\w*|signup|login|comments?|commentlist|disqus|respond|replies|share|sharing|social|related|recommend\w*|widgets?|pagination|pager|skip|copyright|legal|disclaimer|paywall|search|form)(?:$|[\s_-])",
-    re.I,
-)
+_NAME = r"(?i)(?:^|[\s_-])(?:%s)(?:$|[\s_-])"
+_NEVER = r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumbs?|footer|cookies?|consent|gdpr|notices?|popup|modal|newsletter|subscri\w*|signup|login|comments?|commentlist|disqus|respond|replies|pagination|pager|paywall"
+_OUTSIDE = r"banner|rail|foot|header|masthead|topbar|toolbar|alerts?|overlay|share|sharing|social|related|recommend\w*|widgets?|skip|copyright|legal|disclaimer|search|form"
+NEVER_INSIDE, NEVER_OUTSIDE = re.compile(_NAME % _NEVER), re.compile(_NAME % f"{_NEVER}|{_OUTSIDE}")
+CONTENT_NAME = re.compile(r"(?i)(entry|post|article|main|page)[_-]?(content|body|text|header|title)")
 
 
 class Node:
@@ -72,14 +82,14 @@ def _node(tag: str, attributes: str, parent: Node, in_article: bool) -> Node:
                 hidden = True
     never = hidden or tag in NEVER_TAGS or role in NEVER_ROLES or (tag == "header" and not in_article)
     if names and not never and tag not in ("html", "body", "article", "main"):
-        never = any(NEVER_NAMES.search(n) for n in names) and not any(re.fullmatch(r"(?i)(entry|post|article|main|page)[_-]?(content|body|text|header|title)", n) for n in names)
+        never = any((NEVER_INSIDE if in_article else NEVER_OUTSIDE).search(n) for n in names) and not any(CONTENT_NAME.fullmatch(n) for n in names)
     return Node(tag, f"{tag}.{role}.{' '.join(sorted(set(re.sub(r'[0-9]+', '', n) for n in names)))}" if names or role else tag, never, parent)
 
 
 def parse(text: str) -> Node:
     """The tree of a page; strings are decoded."""
     root = at = Node("", "", False, None)
-    end, depth = 0, 0  # depth: open articles
+    end, depth = 0, 0  # depth: open articles and main elements
     for m in TOKEN.finditer(text):
         if m.start() > end:
             at.kids.append(html_lib.unescape(text[end : m.start()]))
@@ -95,7 +105,7 @@ def parse(text: str) -> Node:
             if up.parent is not None:
                 node = at
                 while node is not up.parent:
-                    depth -= node.tag == "article"
+                    depth -= node.tag in ("article", "main")
                     node = node.parent
                 at = up.parent
             continue
@@ -122,7 +132,7 @@ def parse(text: str) -> Node:
         at.kids.append(new)
         if not (m[4] or "").endswith("/") or tag in BLOCK:
             at = new
-            depth += tag == "article"
+            depth += tag in ("article", "main")
     if end < len(text):
         at.kids.append(html_lib.unescape(text[end:]))
     return root
@@ -136,8 +146,114 @@ def _hash(*parts: int) -> int:
 _text_hash = lambda text: int.from_bytes(xxhash.xxh3_64_digest(text.encode("utf-8", "surrogatepass")), "big", signed=True)
 
 
-def entries(root: Node) -> dict[int, tuple[int, int]]:
-    """By id of each block that may be content and has text: hashes of its path, and of path and whole text."""
+def shape_of(root: Node) -> bytes:
+    """The skeleton in preorder: hash of the label and number of children of each merged node."""
+    out: list[int] = []
+    todo = [[root]]
+    while todo:
+        nodes = todo.pop()
+        runs: dict[str, list[Node]] = {}
+        for n in nodes:
+            for k in n.kids:
+                if not isinstance(k, str) and not k.never:
+                    runs.setdefault(k.label, []).append(k)
+        out += (_text_hash(nodes[0].label), len(runs))
+        todo.extend(reversed(runs.values()))
+    return np.array(out, np.int64).tobytes()
+
+
+class Skeleton:
+    """A shape as a tree: labels, paths and children by place in preorder."""
+
+    def __init__(self, shape: bytes):
+        pairs = np.frombuffer(shape, np.int64).reshape(-1, 2).tolist()
+        self.labels = [label for label, _ in pairs]
+        self.kids: list[list[int]] = [[] for _ in pairs]
+        self.paths = [0] * len(pairs)
+        open_: list[list[int]] = []  # node and number of children still to come
+        for k, (label, count) in enumerate(pairs):
+            if k:
+                while not open_[-1][1]:
+                    open_.pop()
+                up = open_[-1]
+                up[1] -= 1
+                self.kids[up[0]].append(k)
+                self.paths[k] = _hash(self.paths[up[0]], label)
+            open_.append([k, count])
+
+
+def heaviest_increasing(pairs: list[tuple[int, int]]) -> list[int]:
+    """Indexes of a heaviest subsequence of (place, weight) whose places increase."""
+    ends: list[tuple[int, int, int]] = []  # (place, total weight, index), both increasing
+    before: list[int] = []
+    for k, (place, weight) in enumerate(pairs):
+        i = bisect.bisect_left(ends, (place,))
+        before.append(ends[i - 1][2] if i else -1)
+        total = weight + (ends[i - 1][1] if i else 0)
+        stop = i
+        while stop < len(ends) and ends[stop][1] <= total:
+            stop += 1
+        ends[i:stop] = [(place, total, k)]
+    out, k = [], ends[-1][2] if ends else -1
+    while k >= 0:
+        out.append(k)
+        k = before[k]
+    return out[::-1]
+
+
+def match_trees(a: Skeleton, b: Skeleton) -> list[tuple[int, int]]:
+    """Simple tree matching: the pairs of the largest matching of the two trees in which roots match,
+    children of matched nodes match in order, and labels are equal. Siblings have different labels."""
+    if a.labels[0] != b.labels[0]:
+        return []
+    order, inner = [(0, 0)], []
+    for x, y in order:  # grows while it is read
+        at = {b.labels[k]: place for place, k in enumerate(b.kids[y])}
+        found = [(k, at[a.labels[k]]) for k in a.kids[x] if a.labels[k] in at]
+        inner.append([(len(order) + n, place) for n, (_, place) in enumerate(found)])
+        order += [(k, b.kids[y][place]) for k, place in found]
+    size = [1] * len(order)
+    for k in range(len(order) - 1, -1, -1):  # children come behind their parents
+        chosen = heaviest_increasing([(place, size[n]) for n, place in inner[k]])
+        inner[k] = [inner[k][i] for i in chosen]
+        size[k] += sum(size[n] for n, _ in inner[k])
+    out, todo = [], [0]
+    while todo:
+        k = todo.pop()
+        out.append(order[k])
+        todo.extend(n for n, _ in inner[k])
+    return out
+
+
+class Aligner:
+    """Aligns skeletons to the references of their hosts; equal skeletons are aligned once."""
+
+    def __init__(self):
+        self.known: dict[tuple, frozenset[int]] = {}
+        self.trees: dict[bytes, Skeleton] = {}
+
+    def tree(self, shape: bytes) -> Skeleton:
+        if len(self.trees) > 500:
+            self.trees.clear()
+        if shape not in self.trees:
+            self.trees[shape] = Skeleton(shape)
+        return self.trees[shape]
+
+    def paths(self, shape: bytes, references: list[bytes]) -> frozenset[int]:
+        """Paths of the nodes that the best reference has, too."""
+        key = (xxhash.xxh3_128_digest(shape), *map(xxhash.xxh3_64_digest, references))
+        if key not in self.known:
+            if len(self.known) > 2_000:
+                self.known.clear()
+            own = self.tree(shape)
+            best = own.paths if shape in references else max((([own.paths[x] for x, _ in match_trees(own, self.tree(r))]) for r in references), key=len, default=[])
+            self.known[key] = frozenset(best)
+        return self.known[key]
+
+
+def entries(root: Node, aligned: frozenset[int] = frozenset(), apart: int = 0) -> dict[int, tuple[int, int]]:
+    """By id of each block that may be content and has text: hashes of its aligned node, and of node
+    and whole text. Nodes that are not aligned are told from others by `apart`."""
     order: list[tuple[Node, int]] = []
     todo = [(root, 0)]
     while todo:
@@ -157,13 +273,14 @@ def entries(root: Node) -> dict[int, tuple[int, int]]:
         if parts:
             texts[id(n)] = _hash(*parts)
             if n.tag in BLOCK:
-                out[id(n)] = path, _hash(path, texts[id(n)])
+                node = path if path in aligned else _hash(path, apart)
+                out[id(n)] = node, _hash(node, texts[id(n)])
     return out
 
 
-def blocks(node: Node, template: frozenset = frozenset()) -> list[str]:
-    """Texts of the blocks of a subtree in order; template: entries of nodes to leave out."""
-    known = entries(node) if template else {}
+def blocks(node: Node, template: frozenset = frozenset(), known: dict[int, tuple[int, int]] | None = None) -> list[str]:
+    """Texts of the blocks of a subtree in order; template: those of the known entries to leave out."""
+    known = known or {}
     out: list[str] = []
     line: list[str] = []
 
@@ -210,55 +327,6 @@ def plain(node: Node, limit: int = 400) -> str:
     return text if len(text) <= limit else f"{text[:limit]}+{len(text)}"
 
 
-class Skeleton:
-    """A tree with runs of equal siblings in one node; texts by node, `mass` without boilerplate."""
-
-    __slots__ = ("label", "tag", "kids", "mass", "text", "never")
-
-    def __init__(self, nodes: list[Node]):
-        first = nodes[0]
-        self.label, self.tag, self.never = first.label, first.tag, first.never
-        runs: dict[str, list[Node]] = {}
-        own = 0
-        for n in nodes:
-            for k in n.kids:
-                if isinstance(k, str):
-                    own += len(k.strip())
-                else:
-                    runs.setdefault(k.label, []).append(k)
-        self.kids = [Skeleton(r) for r in runs.values()]
-        self.mass = 0 if self.never else own + sum(k.mass for k in self.kids)
-        self.text = " ".join(plain(n, 60) for n in nodes[:3])
-
-
-def match_trees(a: Skeleton, b: Skeleton) -> tuple[int, list[tuple[Skeleton, Skeleton]]]:
-    """Simple tree matching: the largest order-keeping matching of equal labels, and its pairs."""
-    if a.label != b.label:
-        return 0, []
-    m, n = len(a.kids), len(b.kids)
-    best = [[0] * (n + 1) for _ in range(m + 1)]
-    inner = {}
-    for i in range(1, m + 1):
-        for j in range(1, n + 1):
-            x, y = a.kids[i - 1], b.kids[j - 1]
-            w = 0
-            if x.label == y.label:
-                inner[i, j] = match_trees(x, y)
-                w = inner[i, j][0]
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + w)
-    pairs = [(a, b)]
-    i, j = m, n
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            pairs += inner[i, j][1]
-            i, j = i - 1, j - 1
-    return best[m][n] + 1, pairs
-
-
 def name_of(root: Node) -> int:
     """What tells a page from its near copies: the title and the first heading, or else all its text."""
     found: dict[str, str] = {}
@@ -277,47 +345,82 @@ def with_host(pages: DataFrame) -> DataFrame:
     return pages.withColumn("host", host)
 
 
-def induce_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, template array<bigint>) of hosts with template nodes."""
+def host_references(pages: DataFrame, most: int = REFERENCES) -> DataFrame:
+    """(host, refs array<binary>): the most frequent skeletons of each host, at most `most`."""
     hosted = with_host(pages).filter("host <> '' and html is not null").select("host", "html")
 
     def run(batches):
+        for b in sliced(batches):
+            shapes = [shape_of(parse(page)) for page in b.column(1).to_pylist()]
+            keys = [_shape_key(x) for x in shapes]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.int64()), pa.array(shapes, pa.binary())], names=["host", "key", "shape"])
+
+    seen = hosted.mapInArrow(returning(run), "host string, key bigint, shape binary").groupBy("host", "key").agg(F.count("*").alias("n"), F.min("shape").alias("shape"))
+    rank = F.row_number().over(W.partitionBy("host").orderBy(F.desc("n"), "key"))  # cut to `most` before the shuffle
+    best = seen.withColumn("rank", rank).filter(F.col("rank") <= most)
+    return best.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "shape"))), lambda x: x["shape"]).alias("refs"))
+
+
+def by_host(pages: DataFrame, hosts: DataFrame, column: str) -> DataFrame:
+    """pages with a column of their host; a small table of hosts is broadcast, a larger one joined by
+    shuffle, where Spark splits large hosts."""
+    size = hosts.agg(F.sum(F.length(F.to_json(F.struct(F.col(column)))) + F.length("host"))).head()[0] or 0
+    return pages.join(F.broadcast(hosts) if size <= BROADCAST_BYTES else hosts.hint("merge"), "host", "left")
+
+
+def induce_wrappers(pages: DataFrame, references: DataFrame) -> DataFrame:
+    """(host, template array<bigint>) of hosts with template nodes."""
+    hosted = by_host(with_host(pages).filter("host <> '' and html is not null").select("host", "html"), references, "refs")
+
+    def run(batches):
+        aligner = Aligner()
         for b in sliced(batches):
             rows, counts = [], []
-            for page in b.column(1).to_pylist():
+            for page, refs in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 root = parse(page)
                 name = name_of(root)
-                found = set(entries(root).values())
-                seen = [(path, entry, name) for path, entry in found] + [(path, 0, name) for path in {p for p, _ in found}]
+                shape = shape_of(root)
+                found = set(entries(root, aligner.paths(shape, refs or []), _shape_key(shape)).values())
+                seen = [(node, entry, name) for node, entry in found] + [(node, 0, name) for node in {p for p, _ in found}]
                 rows += seen
                 counts.append(len(seen))
             index = pa.array(np.repeat(np.arange(b.num_rows), counts), pa.int64())
             columns = np.array(rows, np.int64).reshape(-1, 3).T
-            yield pa.RecordBatch.from_arrays([b.column(0).take(index), *map(pa.array, columns)], names=["host", "path", "entry", "name"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(index), *map(pa.array, columns)], names=["host", "node", "entry", "name"])
 
-    # entry 0 stands for any text at the path
-    seen = hosted.mapInArrow(returning(run), "host string, path bigint, entry bigint, name bigint")
-    per = seen.distinct().groupBy("host", "path", "entry").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST)
+    # entry 0 stands for any text at the node
+    seen = hosted.select("host", "html", "refs").mapInArrow(returning(run), "host string, node bigint, entry bigint, name bigint")
+    per = seen.distinct().groupBy("host", "node", "entry").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST)
     per = checkpointed(per)
-    pages_of = per.filter("entry = 0").select("host", "path", F.col("n").alias("pages"))
-    same = per.filter("entry <> 0").join(pages_of, ["host", "path"]).filter(F.col("n") >= CONSTANT * F.col("pages"))
+    pages_of = per.filter("entry = 0").select("host", "node", F.col("n").alias("pages"))
+    same = per.filter("entry <> 0").join(pages_of, ["host", "node"]).filter(F.col("n") >= CONSTANT * F.col("pages"))
     return same.groupBy("host").agg(F.collect_set("entry").alias("template"))
 
 
+def _shape_key(shape: bytes) -> int:
+    return int.from_bytes(xxhash.xxh3_64_digest(shape), "big", signed=True)
+
+
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) of every page."""
     small_batches(pages.sparkSession)
-    wrappers = checkpointed(induce_wrappers(pages))
-    few = wrappers.limit(MOST_HOSTS + 1).count() <= MOST_HOSTS  # at most so many small rows are broadcast
+    references = checkpointed(host_references(pages))
+    templates = induce_wrappers(pages, references)
+    wrappers = checkpointed(references.join(templates, "host").select("host", F.struct("refs", "template").alias("wrapper")))
     src = with_host(pages.select("page_id", "url", text_or_empty("html").alias("html")))
-    src = src.join(F.broadcast(wrappers) if few else wrappers, "host", "left").select("page_id", "url", "html", "template")
+    src = by_host(src, wrappers, "wrapper").select("page_id", "url", "html", "wrapper.refs", "wrapper.template")
     id_type = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches):
+        aligner = Aligner()
         for b in sliced(batches):
             out = []
-            for page, template in zip(*(b.column(i).to_pylist() for i in (2, 3)), strict=True):
-                out.append("\n".join(blocks(parse(page), frozenset(template or ()))))
+            for page, refs, template in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                root, known = parse(page), None
+                if template:
+                    shape = shape_of(root)
+                    known = entries(root, aligner.paths(shape, refs), _shape_key(shape))
+                out.append("\n".join(blocks(root, frozenset(template or ()), known)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
     return src.mapInArrow(returning(run), f"page_id {id_type}, url string, text string")

@@ -124,10 +124,42 @@ def test_wrapper_leaves_out_constants_of_any_size_and_depth(spark):
     assert all(got[i] == f"{note}{i}" for i in range(10, 15))
 
 
-def test_tree_matching_counts_common_nodes():
-    a = wrapper.Skeleton([wrapper.parse("<div><p>x</p><ul><li>1</li></ul></div>")])
-    b = wrapper.Skeleton([wrapper.parse("<div><h1>t</h1><p>y</p><ul><li>2</li></ul></div>")])
-    assert wrapper.match_trees(a, b)[0] == 5
+def brute_matching(x, y):
+    """Textbook simple tree matching of (label, children) trees: the number of matched nodes."""
+    if x[0] != y[0]:
+        return 0
+    m = [[0] * (len(y[1]) + 1) for _ in range(len(x[1]) + 1)]
+    for i, a in enumerate(x[1], 1):
+        for j, b in enumerate(y[1], 1):
+            m[i][j] = max(m[i - 1][j], m[i][j - 1], m[i - 1][j - 1] + brute_matching(a, b))
+    return m[-1][-1] + 1
+
+
+def test_tree_matching_equals_brute_force():
+    rnd = random.Random(31)
+
+    def tree(depth):
+        return rnd.choice("ab") if depth == 4 else "r", [(k, tree(depth - 1)[1]) for k in rnd.sample("pqrstuv", rnd.randrange(5))] if depth else []
+
+    def shape(t):
+        return b"".join([np.array([ord(t[0]), len(t[1])], np.int64).tobytes(), *map(shape, t[1])])
+
+    for _ in range(300):
+        x, y = tree(4), tree(4)
+        got = wrapper.match_trees(wrapper.Skeleton(shape(x)), wrapper.Skeleton(shape(y)))
+        assert len(got) == brute_matching(x, y) and len(set(got)) == len(got)
+    a, b = (wrapper.Skeleton(wrapper.shape_of(wrapper.parse(t))) for t in ("<div><p>x</p><p>z</p><ul><li>1</li></ul></div>", "<div><h1>t</h1><p>y</p><ul><li>2</li></ul></div>"))
+    assert len(wrapper.match_trees(a, b)) == 5
+    assert len(wrapper.match_trees(a, wrapper.Skeleton(wrapper.shape_of(wrapper.parse("<div><ul><li>1</li></ul><p>x</p></div>"))))) == 4  # not in order
+
+
+def test_wrapper_walks_trees_of_any_depth_and_keeps_blocks_of_articles(spark):
+    deep = "".join(f"<{t}>" for t in ["div", "b"] * 5000)
+    page = "<html><head><title>t{i}</title></head><body><div class='search'>find</div><article><h1>h{i}</h1><p>a{i}</p><div class='search'>how we searched {i}</div><div class='form'>its form {i}</div><math><mi>x{i}</mi></math><div class='comments'>reader {i}</div></article></body></html>"
+    rows = [(i, f"http://h.example/{i}", page.format(i=i)) for i in range(4)] + [(k, "http://d.example/", f"<title>{k}</title>{deep}end {k}") for k in range(10, 14)]
+    got = page_texts(spark, rows)
+    assert all(got[i] == f"h{i}\na{i}\nhow we searched {i}\nits form {i}\nx{i}" for i in range(4))
+    assert all(got[k] == f"end {k}" for k in range(10, 14))
 
 
 def test_winnowing_matches_brute_force():
