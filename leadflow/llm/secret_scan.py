@@ -2,20 +2,23 @@
 
 Main path: DataFrame functions only. A pattern finds candidates (long unbroken runs of token
 characters with a digit in them, long runs of letters, and whatever is assigned to a secret name, of
-any length and characters) with the text around them. Features: length, share of
-digits, capitals and hexadecimal digits, class transitions, distinct characters, dictionary
-coverage (share of the candidate made of words that stand around other candidates), signs of a path
-or address, path of the document, and neighbouring words (assignment, quotes, key-like names).
-A random forest is trained on at most MAX_LABELLED labelled findings and compiled into a CASE
-expression, which scores every finding of every whole text inside the scan stage.
+any length and characters) with the text around them; they are written once and read by what follows.
+Features: length, share of digits, capitals and hexadecimal digits, class transitions, distinct
+characters, dictionary coverage (share of the candidate made of words that stand around other
+candidates), path of the document, and neighbouring words (assignment, quotes, key-like names, signs
+of an address). A random forest is trained on at most MAX_LABELLED labelled findings and compiled
+into a CASE expression, which scores every finding of every whole text.
 
 Labelled findings are a table (value, before, after, path, label). Where none is given they are made
-from the findings by provenance: values in a provider's published key format or assigned to a secret
-name count as secrets, parts of addresses, paths and numbers with units do not; the rest is left out
-of training and is scored.
-
-A null or empty text has no findings. Repeated rows give repeated findings. With labels of one kind
-only, the score is the share of that kind. Values are returned as SHA-256 only.
+from the value alone: values in a published key format (a provider's, or 128, 160 or 256 bits in
+hexadecimal digits) count as secrets; mail addresses,
+numbers with units, dates and plain words do not; the rest is left out of training and is scored. No
+feature looks at these formats, and no label at the neighbouring words, so what the forest says of
+values behind a secret name is learned from other findings.
+
+A null or empty text has no findings. Repeated rows give repeated findings. Without labels of both
+kinds there is no forest: the score is 1 for a value behind a secret name or in a published format,
+else 0. Values are returned as SHA-256 only.
 """
 
 from __future__ import annotations
@@ -25,11 +28,14 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadflow.llm.common import materialised
+
 MAX_LABELLED, MAX_DICTIONARY, AROUND = 5_000, 2_000, 48
 TREES, DEPTH = 12, 6
 TOKEN = r"(?<![A-Za-z0-9+/_.@-])(?:(?=[A-Za-z+/_.@-]*+[0-9])[A-Za-z0-9+/_.@-]{12,}(?<![.@-])|[A-Za-z]{16,}+)={0,2}"
 # Published key formats and usual names of secrets.
 PROVIDER = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|glpat-[0-9A-Za-z_-]{20}|xox[abprs]-[0-9A-Za-z-]{10,}|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35}|eyJ[0-9A-Za-z_-]{16,})"
+HEX_KEY = r"^([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$"  # keys of 128, 160 and 256 bits
 NAMES = r"(?i)(password|passwd|pwd|secret|token|api_?-?key|access_?-?key|auth|bearer|credential)s?"
 ASSIGNED = NAMES + r"[\"']?\s*(:|=|=>|:=)\s*[\"']?$"
 # The value behind an assigned secret name: up to the closing quote, or unquoted up to white space or
@@ -42,7 +48,7 @@ VALUE = (
 )
 CANDIDATE = VALUE + "|" + TOKEN
 EXAMPLE_PATH = r"(?i)(test|example|sample|fixture|mock|doc)"
-FEATURES = ("f_length", "f_digits", "f_capitals", "f_hex", "f_transitions", "f_distinct", "f_coverage", "f_address", "f_path", "f_assigned", "f_named", "f_quoted", "f_spaced", "f_prefix")
+FEATURES = ("f_length", "f_digits", "f_capitals", "f_hex", "f_transitions", "f_distinct", "f_coverage", "f_address", "f_path", "f_assigned", "f_named", "f_quoted", "f_spaced")
 
 
 def findings(docs: DataFrame, path_col: str | None = None) -> DataFrame:
@@ -86,32 +92,31 @@ def with_features(rows: DataFrame, dictionary: list[str]) -> DataFrame:
         "f_transitions": share(r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])"),
         "f_distinct": F.size(F.array_distinct(F.split("value", ""))) / n,
         "f_coverage": covered / n,
-        "f_address": yes(F.col("after").rlike(r"^\s?[@]|^\.[a-z]") | F.col("before").rlike(r"(@|://|www\.|/)[^\s]*$") | v.rlike("[/@.]")),
+        "f_address": yes(F.col("after").rlike(r"^\s?[@]|^\.[a-z]") | F.col("before").rlike(r"(@|://|www\.|/)[^\s]*$")),
         "f_path": yes(F.col("path").rlike(EXAMPLE_PATH)),
         "f_assigned": yes(F.col("before").rlike(r"(:|=|=>|:=)\s*[\"']?$")),
         "f_named": yes(F.col("before").rlike(NAMES + r"\W{0,6}$")),
         "f_quoted": yes(F.col("before").rlike("[\"'`]$")),
         "f_spaced": yes(F.col("before").rlike(r"(^|\s)$")),
-        "f_prefix": yes(v.rlike("^([A-Z]{4}|[a-z]{2,5}[_-])")),
     }
     return rows.select("*", *[made[f].cast("double").alias(f) for f in FEATURES])
 
 
-def provenance_label(before: Column, after: Column, value: Column) -> Column:
-    assigned, number = before.rlike(ASSIGNED), value.rlike("^[0-9.,/-]+[A-Za-z]{0,4}$")
-    # short numbers and joined words behind a secret name may be either
-    unclear = assigned & ~value.rlike(PROVIDER) & ((number & (F.length(value) < 12)) | value.rlike("^[A-Za-z]+([_-][A-Za-z]+)+$"))
-    secret = value.rlike(PROVIDER) | (assigned & value.rlike("[0-9]"))
-    harmless = value.contains("@") | before.rlike(r"(@|://|www\.)[^\s]*$") | number | value.rlike("^[A-Za-z_.-]+[0-9]{0,2}$")
-    return F.when(unclear, None).when(secret, 1).when(harmless, 0)
+def format_label(value: Column) -> Column:
+    """1 for a published key format, 0 for the form of something harmless, else null."""
+    harmless = value.rlike(r"^[\w.+-]+@[\w-]+(\.[\w-]+)+$") | value.rlike("^[0-9.,/:-]+[A-Za-z]{0,4}$") | value.rlike("^[A-Za-z]+([_./-][A-Za-z]+)*$")
+    return F.when(value.rlike(PROVIDER) | value.rlike(HEX_KEY), 1).when(harmless, 0)
+
+
+def prior_score() -> Column:
+    """The score where nothing is labelled."""
+    return F.when(F.col("value").rlike(PROVIDER) | F.col("before").rlike(ASSIGNED), 1.0).otherwise(0.0)
 
 
 def train_forest(sample: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = 7) -> Column:
     """A random forest over the features of a bounded labelled sample, as one column expression."""
-    kinds = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    total = sum(kinds.values())
-    if len(kinds) < 2:
-        return F.lit(float(kinds.get(1, 0)) / total if total else 0.5)
+    if sample.select("label").distinct().count() < 2:
+        return prior_score()
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
@@ -136,15 +141,21 @@ def tree_sql(node) -> str:
 
 def scan(docs: DataFrame, path_col: str | None = None, labelled: DataFrame | None = None) -> DataFrame:
     """Findings with features, score (0 to 1) and secret (score >= 0.5)."""
-    rows = findings(docs, path_col)
+    rows = materialised(findings(docs, path_col), "findings")
     words = [r.word for r in neighbour_words(rows).collect()]  # at most MAX_DICTIONARY words
     made = with_features(rows, words)
     if labelled is None:
-        sample = made.withColumn("label", provenance_label(F.col("before"), F.col("after"), F.col("value"))).filter("label is not null")
+        sample = made.withColumn("label", format_label(F.col("value"))).filter("label is not null")
     else:
         sample = with_features(labelled, words).filter("label is not null")
-    sample = sample.orderBy(F.xxhash64("value", "before"), "value", "before", "after").limit(MAX_LABELLED)
-    score = train_forest(sample.select("label", *FEATURES).cache())
+    # as many of each kind, at most MAX_LABELLED in all
+    order = [F.xxhash64("value", "before"), "value", "before", "after"]
+    per = [sample.filter(F.col("label") == k).orderBy(*order).limit(MAX_LABELLED // 2) for k in (0, 1)]
+    sample = per[0].unionByName(per[1]).select("label", *FEATURES).cache()  # MAX_LABELLED rows at most
+    try:
+        score = train_forest(sample)
+    finally:
+        sample.unpersist()
     return made.withColumn("score", score).withColumn("secret", F.col("score") >= 0.5)
 
 

@@ -139,12 +139,13 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD,
     """(rid, runs array<struct<a, b>>): first and last starts of runs of repeated windows, per text key."""
     spark = docs.sparkSession
     rows = materialised(anchor_rows(docs, length, spread, k), "anchors")
-    shared = rows.groupBy("core").agg(F.count("*").alias("c")).filter("c > 1").select("core")
+    shared = materialised(rows.groupBy("core").agg(F.count("*").alias("c")).filter("c > 1").select("core"), "cores")
     met = materialised(rows.join(shared, "core"), "shared")  # no aggregation behind it: a hot core is split
     discard(rows)
     release(spark)
     kept = materialised(met.groupBy("core", "whole", "rid", "pack").agg(F.count("*").alias("n")), "blocks")
     discard(met)
+    discard(shared)
     release(spark)
 
     unions = kept.groupBy("core", "whole").agg(F.sum("n").alias("c"), F.min(F.struct("rid", "pack")).alias("one"))

@@ -5,9 +5,13 @@ Scores are integer inner products of quantised vectors. An inner product is half
 vector keeps its distances to PIVOTS pivots; by the triangle inequality the largest difference
 between a query's and a vector's distances to a pivot is such a lower bound. A task evaluates the
 vectors of a block in the order of their bounds and stops a query where the next bound is below the
-score of its k-th best so far; what is left out cannot enter, so the result is exact.
+score of its k-th best so far; what is left out cannot enter, so the result is exact. A block keeps
+the least and greatest distance to each pivot and its greatest norm, so a query passes over a whole
+block whose best possible score is too low.
 
-Vectors are packed into blocks where they lie (no shuffle); queries are packed into blocks of
+Vectors are packed into blocks where they lie (no shuffle): a task takes SORT_BLOCKS blocks' worth of
+them, orders them by nearest pivot and distance, and cuts them into blocks, so that a block's
+vectors lie close together. Queries are packed into blocks of
 QUERY_BLOCK rows. Each pass sends at most PASS_BLOCKS query blocks to the tasks (a fixed bound of a
 few MB), whatever the number of queries. A task keeps k rows a query over all its blocks; the rest
 is merged by query.
@@ -29,7 +33,7 @@ from leadflow.llm.common import checkpointed
 
 PIVOTS, PIVOT_SAMPLE = 16, 512
 BLOCK, QUERY_BLOCK, PASS_BLOCKS = 4096, 4096, 4
-CHUNK = 256
+CHUNK, SORT_BLOCKS = 256, 8
 _EXACT = 1 << 53
 
 
@@ -74,6 +78,13 @@ class _Block:
         p[:, : pivots.shape[1]] = pivots
         cross = self.x @ p[:, :dims].T
         self.table = np.sqrt(np.maximum(0, self.norm[:, None] + (p**2).sum(1)[None] - 2 * cross)).T.copy()
+        self.nearest, self.farthest, self.most = self.table.min(1, initial=np.inf), self.table.max(1, initial=0), self.norm.max(initial=0)
+
+    def best_score(self, q: "_Block") -> np.ndarray:
+        """For each query a score that no vector of the block passes."""
+        low = np.maximum(self.nearest[:, None] - q.table, q.table - self.farthest[:, None]).max(0, initial=0)
+        total = q.norm + self.most
+        return (total - low**2) / 2 + 1e-9 * total + 1
 
 
 class _Best:
@@ -93,7 +104,10 @@ class _Best:
         q, k = self.q, self.k
         dims = min(q.x.shape[1], x.x.shape[1])
         exact = float(np.abs(q.x).max(initial=0)) * float(np.abs(x.x).max(initial=0)) * max(dims, 1) < _EXACT
+        best = x.best_score(q)
         for i in range(len(q.ids)):
+            if len(self.scores[i]) >= k and best[i] < self.scores[i][-1]:
+                continue
             low = np.abs(x.table - q.table[:, i][:, None]).max(0) if len(x.table) else np.zeros(len(x.ids))
             total = q.norm[i] + x.norm
             bound = (total - low**2) / 2 + 1e-9 * total + 1  # a little above, for rounding
@@ -117,26 +131,30 @@ class _Best:
                     self.merge(i, s, x.ids[part])
 
 
-def packed(rows: DataFrame, size: int) -> DataFrame:
-    """Blocks of up to `size` vectors: (ids binary, data binary, dims int)."""
+def packed(rows: DataFrame, size: int, pivots: np.ndarray) -> DataFrame:
+    """Blocks of up to `size` vectors close to each other: (ids binary, data binary, dims int)."""
 
     def run(frames):
         ids, vectors = [], []
 
         def out():
             m = _matrix(vectors).astype(np.int64) if all(abs(c) < _EXACT for v in vectors for c in (min(v), max(v))) else _ints(vectors)
-            return pd.DataFrame({"ids": [np.array(ids, np.int64).tobytes()], "data": [m.tobytes()], "dims": [m.shape[1]]})
+            table = _Block(np.array(ids, np.int64).tobytes(), m.tobytes(), m.shape[1], pivots).table
+            order = np.lexsort((table.min(0), table.argmin(0))) if len(table) else np.arange(len(ids))
+            for c in range(0, len(order), size):
+                at = order[c : c + size]
+                yield pd.DataFrame({"ids": [np.array(ids, np.int64)[at].tobytes()], "data": [m[at].tobytes()], "dims": [m.shape[1]]})
+            ids.clear()
+            vectors.clear()
 
         for f in frames:
             for i, v in zip(f["id"], f["v"], strict=True):
                 ids.append(i)
                 vectors.append(v)
-                if len(ids) == size:
-                    yield out()
-                    ids.clear()
-                    vectors.clear()
+                if len(ids) == size * SORT_BLOCKS:
+                    yield from out()
         if ids:
-            yield out()
+            yield from out()
 
     return rows.mapInPandas(run, "ids binary, data binary, dims int")
 
@@ -153,10 +171,10 @@ def exact_topk(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     sample = rows.orderBy(F.xxhash64("id", "v")).limit(PIVOT_SAMPLE).select("v").collect()
     pivots = choose_pivots(_matrix([r.v for r in sample]) if sample else np.zeros((0, 1)), PIVOTS)
     n_queries = queries.count()
-    q = packed(queries.repartition(max(1, -(-n_queries // QUERY_BLOCK)), F.xxhash64("id")), QUERY_BLOCK)
+    q = packed(queries.repartition(max(1, -(-n_queries // QUERY_BLOCK)), F.xxhash64("id")), QUERY_BLOCK, pivots)
     q = checkpointed(q.withColumn("block", F.monotonically_increasing_id()))
     blocks = [r.block for r in q.select("block").orderBy("block").collect()]  # one per QUERY_BLOCK queries
-    data = packed(rows, BLOCK)
+    data = packed(rows, BLOCK, pivots)
     if len(blocks) > PASS_BLOCKS:
         data = checkpointed(data)
 

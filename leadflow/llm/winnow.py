@@ -20,7 +20,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadflow.llm.common import partitions, returning, sliced, small_batches, text_or_empty
@@ -118,15 +119,17 @@ def with_successors(docs: DataFrame, run, schema: str) -> DataFrame:
     src = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest)).alias("key"), text_or_empty().alias("text"))
     n = max(2, 2 * partitions(docs.sparkSession))
     cuts = src.agg(F.percentile_approx("key", [i / n for i in range(1, n)], 10_000)).head()[0] or []
-    cuts = sorted(set(cuts))
-    bucket: Column = F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c < F.col("key"))) if cuts else F.lit(0)
-    placed = src.withColumn("bucket", bucket)
+    # ranges by binary search; as doubles neighbouring large keys may be equal, but never out of order
+    splits = [float("-inf"), *sorted({float(c) for c in cuts} or {0.0}), float("inf")]
+    ranges = Bucketizer(splits=splits, inputCol="place", outputCol="bucket")
+    placed = ranges.transform(src.withColumn("place", F.col("key").cast("double"))).withColumn("bucket", F.col("bucket").cast("int")).drop("place")
     first = {r.bucket: r.key for r in placed.groupBy("bucket").agg(F.min("key").alias("key")).collect()}  # a row per range
     order = sorted(first)
-    before = {first[b]: order[i - 1] for i, b in enumerate(order)}
-    copy = F.when(F.col("key").isin(list(before)), F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("key"))) if before else F.lit(None).cast("int")
+    starts = docs.sparkSession.createDataFrame([(first[b], order[i - 1]) for i, b in enumerate(order)], "key bigint, copy int")
+    placed = placed.join(F.broadcast(starts), "key", "left")  # a row per range
+    copy = F.col("copy")
     sent = (
-        placed.withColumn("to", F.array_compact(F.array(F.struct(F.col("bucket").cast("int").alias("at"), F.lit(0).alias("copy")), F.when(copy.isNotNull(), F.struct(copy.cast("int").alias("at"), F.lit(1).alias("copy"))))))
+        placed.withColumn("to", F.array_compact(F.array(F.struct(F.col("bucket").cast("int").alias("at"), F.lit(0).alias("copy")), F.when(copy.isNotNull(), F.struct(copy.alias("at"), F.lit(1).alias("copy"))))))
         .select("doc_id", "key", "text", F.explode("to").alias("to"))
         .select("to.at", "to.copy", "doc_id", "key", "text")
         .repartitionByRange(n, "at")

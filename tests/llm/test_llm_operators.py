@@ -252,7 +252,7 @@ def test_secret_scan(spark):
     rows = [(i, f'some text token = "{h}" and mail name.{i}@mail.example.com plus averyveryverylongword{"x" * (i % 5)} end', "src") for i, h in enumerate(hexes)]
     rows += [(100, None, None), (101, "", "src"), (102, "nothing here", "docs/example")]
     got = secret_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), "source").collect()
-    assert {r.value for r in got if r.secret} == set(hexes)
+    assert {r.value for r in got if r.secret} == set(hexes)  # no published format, so no forest: by secret name
     assert all(rows[r.doc_id][1][r.at : r.at + len(r.value)] == r.value for r in got)
     d = spark.createDataFrame([], "doc_id bigint, text string, source string")
     assert secret_scan.op6_query(d).count() == 0
@@ -268,6 +268,49 @@ def test_values_of_secret_names_are_findings_whatever_they_look_like(spark):
     assert secret_scan.findings(spark.createDataFrame([(1, "a password is short; the token of: love")], "doc_id bigint, text string")).count() == 0
 
 
+def test_forest_of_labelled_findings_removes_false_positives(spark):
+    rnd = random.Random(14)
+    token = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
+    secrets = [token("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP0123456789", 36) for _ in range(300)]
+    harmless = [f"{token('abcdefgh', 8)}.{token('0123456789', 2)}.{token('abcdefgh', 6)}" for _ in range(300)]
+    lab = [(v, "key = ", "", "src", 1) for v in secrets[:200]] + [(v, "key = ", "", "src", 0) for v in harmless[:200]]
+    labelled = spark.createDataFrame(lab, "value string, before string, after string, path string, label int")
+    d = spark.createDataFrame([(i, f"some key = {v} then") for i, v in enumerate(secrets[200:] + harmless[200:])], "doc_id bigint, text string")
+    got = secret_scan.scan(d, None, labelled).collect()
+    right = sum(r.secret == (r.doc_id < 100) for r in got)
+    assert len(got) == 200 and right >= 190
+
+
+def test_compiled_forest_equals_the_fitted_one(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(15)
+    rows = [(rnd.randrange(2), *[rnd.random() for _ in secret_scan.FEATURES]) for _ in range(300)]
+    sample = spark.createDataFrame(rows, "label int, " + ", ".join(f"{f} double" for f in secret_scan.FEATURES))
+    data = VectorAssembler(inputCols=list(secret_scan.FEATURES), outputCol="features").transform(sample.withColumn("label", F.col("label").cast("double")))
+    model = RandomForestClassifier(numTrees=secret_scan.TREES, maxDepth=secret_scan.DEPTH, seed=7, subsamplingRate=0.8, featureSubsetStrategy="sqrt").fit(data)
+    want = [float(r.probability[1]) for r in model.transform(data).select("probability").collect()]
+    votes = [r.s for r in sample.select(secret_scan.train_forest(sample).alias("s")).collect()]
+    assert sum(abs(a - b) < 1e-6 for a, b in zip(votes, want, strict=True)) == len(want)
+
+
+def test_topk_with_ties_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(topk, "PASS_BLOCKS", 1)
+    rnd = random.Random(16)
+    vectors = {i: [rnd.choice([-1.0, 0.0, 1.0]) for _ in range(4)] for i in range(600)}
+    d = spark.createDataFrame(list(vectors.items()), "vec_id bigint, embedding array<double>").repartition(5)
+    got = collections.defaultdict(list)
+    for r in topk.op4_query(d).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    for q in range(0, 600, 50):
+        want = sorted((-sum(256 * 256 * a * b for a, b in zip(vectors[q], v, strict=True)), i) for i, v in vectors.items() if i != q)[:5]
+        assert got[q] == [(i, -s) for s, i in want]
+
+
 def test_native_plans_have_no_python(spark, docs):
     for df in (secret_scan.op6_query(docs), pii.op8_query(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
