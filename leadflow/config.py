@@ -14,7 +14,6 @@ class Config:
     name_weight: float = 0.40
     phone_weight: float = 0.35
     postcode_weight: float = 0.25
-    max_block: int = 2_000_000
     tier_a: int = 70
     tier_b: int = 55
     tier_low: int = 40

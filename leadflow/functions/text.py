@@ -17,10 +17,11 @@ def normal_postcode(c: Column) -> Column:
 
 
 def with_postcode_parts(df: DataFrame, col: str = "postcode") -> DataFrame:
-    """Add area, district, sector, unit (null where the code is malformed)."""
-    p = normal_postcode(F.col(col))
-    part = lambda *g: F.when(p.rlike(UNIT), F.concat(*[F.regexp_extract(p, UNIT, i) if isinstance(i, int) else F.lit(i) for i in g]))
-    return df.withColumns({"area": part(1), "district": part(1, 2), "sector": part(1, 2, " ", 3), "unit": part(1, 2, " ", 3, 4)})
+    """Add area, district, sector, unit (null where the code is malformed). One match, then parts by place."""
+    unit = F.nullif(F.regexp_extract(normal_postcode(F.col(col)), UNIT, 0), F.lit(""))
+    out = df.withColumn("unit", unit)
+    outward, inward = F.split_part("unit", F.lit(" "), F.lit(1)), F.split_part("unit", F.lit(" "), F.lit(2))
+    return out.withColumns({"area": F.regexp_extract(outward, "^[A-Z]+", 0), "district": outward, "sector": F.concat_ws(" ", outward, F.left(inward, F.lit(1)))}).withColumn("sector", F.when(F.col("unit").isNotNull(), F.col("sector")))
 
 
 def granularity_of(code: Column) -> Column:

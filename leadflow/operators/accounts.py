@@ -9,25 +9,44 @@ from pyspark.sql import functions as F
 from leadflow.config import DEFAULT, Config
 from leadflow.functions.text import percent
 
-FACT = r'<ix:nonFraction[^>]*name="[a-z]+:([A-Za-z]+)"[^>]*contextRef="([a-z]+)"[^>]*>(-?[0-9,]+)<'
-TAGS = ("NetAssets", "Cash", "Debtors")
+FACT = r"<ix:nonFraction\b([^>]*)>([^<]*)<"
+# Tags of filed accounts and the figures they stand for.
+TAGS = {
+    "TotalAssets": "total_assets", "FixedAssets": "fixed_assets", "CurrentAssets": "current_assets", "CashBankOnHand": "cash_at_bank", "Debtors": "debtors", "Creditors": "creditors",
+    "CurrentLiabilities": "current_liabilities", "NetAssets": "net_assets", "Equity": "equity", "Turnover": "turnover", "GrossProfit": "gross_profit", "NetProfit": "net_profit", "Employees": "employees",
+}
 
 
 def extract_filing_facts(filings: DataFrame) -> DataFrame:
-    """(filing_id, tag, current, prior) of the facts in the body of each filing."""
+    """(filing_id, tag, current, prior) of the known facts in the body of each filing. Attributes may
+    stand in any order; scale is a power of ten; a sign attribute, a minus or parentheses make the
+    amount negative; decimals says how exact it is and changes nothing."""
     group = lambda i: F.regexp_extract_all("body", F.lit(FACT), i)
-    facts = filings.select("filing_id", F.explode(F.arrays_zip(group(1).alias("tag"), group(2).alias("context"), group(3).alias("amount"))).alias("f"))
-    amount = F.regexp_replace("f.amount", ",", "").cast("decimal(18,2)")
-    at = lambda c: F.max(F.when(F.col("f.context") == c, amount))
-    return facts.groupBy("filing_id", F.col("f.tag").alias("tag")).agg(at("current").alias("current"), at("prior").alias("prior"))
+    facts = filings.select("filing_id", F.explode(F.arrays_zip(group(1).alias("attributes"), group(2).alias("shown"))).alias("f")).select("filing_id", "f.attributes", "f.shown")
+    attribute = lambda name: F.regexp_extract("attributes", rf"(?:^|\s){name}\s*=\s*[\"']([^\"']*)[\"']", 1)
+    size = F.regexp_replace("shown", "[^0-9.]", "").try_cast("decimal(20,4)")
+    scaled = size * F.pow(F.lit(10), F.coalesce(attribute("scale").try_cast("int"), F.lit(0))).cast("decimal(18,6)")
+    negative = (attribute("sign") == "-") | F.col("shown").rlike(r"^\s*[-(]")
+    amount = F.when(negative, -scaled).otherwise(scaled).cast("decimal(18,2)")
+    facts = facts.select("filing_id", F.regexp_extract(attribute("name"), "([A-Za-z]+)$", 1).alias("tag"), attribute("contextRef").alias("context"), amount.alias("amount"))
+    at = lambda c: F.max(F.when(F.col("context") == c, F.col("amount")))
+    return facts.filter(F.col("tag").isin(list(TAGS))).groupBy("filing_id", "tag").agg(at("current").alias("current"), at("prior").alias("prior"))
 
 
-def current_and_prior(facts: DataFrame) -> DataFrame:
-    """Latest accounts of each company as c_*, the ones before as p_*."""
+def facts_wide(facts: DataFrame) -> DataFrame:
+    """One row per filing with a column per figure, from the current amounts."""
+    named = facts.select("filing_id", F.element_at(F.create_map(*[F.lit(x) for kv in TAGS.items() for x in kv]), F.col("tag")).alias("figure"), "current")
+    return named.groupBy("filing_id").pivot("figure", list(TAGS.values())).agg(F.first("current"))
+
+
+def current_and_prior(filings: DataFrame) -> DataFrame:
+    """All figures of the latest accounts of each company as c_*, those of the ones before as p_*."""
     w = W.partitionBy("ch_number").orderBy("period_end", "filing_id")
     last = W.partitionBy("ch_number").orderBy(F.desc("period_end"), F.desc("filing_id"))
-    out = facts.withColumn("p_net_assets", F.lag("net_assets").over(w)).withColumn("p_period_end", F.lag("period_end").over(w)).withColumn("r", F.row_number().over(last))
-    return out.filter("r = 1").select("ch_number", "accounts_type", F.col("period_end").alias("accounts_date"), F.col("net_assets").alias("c_net_assets"), "p_net_assets", "p_period_end")
+    figures = [f for f in TAGS.values() if f in filings.columns]
+    prior = {f"p_{f}": F.lag(f).over(w) for f in (*figures, "period_end")}
+    out = filings.withColumns(prior).withColumn("r", F.row_number().over(last)).filter("r = 1")
+    return out.select("ch_number", "accounts_type", F.col("period_end").alias("accounts_date"), *[F.col(f).alias(f"c_{f}") for f in figures], *prior)
 
 
 def growth(current: Column, prior: Column) -> Column:

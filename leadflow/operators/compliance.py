@@ -55,19 +55,20 @@ def check_append_only(before: DataFrame, after: DataFrame, key: str, mode: str =
     return audit_min(before, after, key).filter(F.col("action").isin(bad))
 
 
-# What a role may see: management all tables but none of the server-side ones, telesales its own
-# assignment rows, developers nothing.
+# What a role may see: owners and admins all but the server-side tables, management no audit log,
+# telesales its own assignment rows (all columns of that safe table), developers nothing; of the user
+# profiles everybody but owners and admins sees their own row.
 SERVER_ONLY = ("existing_customers", "erasure_tombstones")
-TELESALES = ("lead_key", "business_name", "postcode", "safe_phone", "tier", "rep")
 
 
-def role_view(df: DataFrame, table: str, role: str, rep: str | None = None) -> DataFrame:
-    if table in SERVER_ONLY or role not in ("owner", "admin", "management", "telesales"):
+def role_view(df: DataFrame, table: str, role: str, rep: str | None = None, user: str | None = None) -> DataFrame:
+    every = role in ("owner", "admin")
+    if table in SERVER_ONLY:
         return df.limit(0)
-    if table == "audit_logs" and role not in ("owner", "admin"):
-        return df.limit(0)
-    if role == "telesales":
-        if table != "telesales_assignments":
-            return df.limit(0)
-        return df.filter(F.col("rep") == rep).select(*[c for c in TELESALES if c in df.columns])
-    return df
+    if table == "user_profiles":
+        return df if every else df.filter(F.col("user_id").cast("string") == user)
+    if every or (role == "management" and table != "audit_logs"):
+        return df
+    if role == "telesales" and table == "telesales_assignments":
+        return df.filter(F.col("rep") == rep)
+    return df.limit(0)

@@ -24,18 +24,12 @@ def block_sizes(leads: DataFrame, cust: DataFrame, key: str) -> DataFrame:
     return a.join(b, key).withColumn("pairs", F.col("leads") * F.col("customers"))
 
 
-def block(leads: DataFrame, cust: DataFrame, most: int | None = None) -> DataFrame:
-    """Candidate pairs (lead_key, account_code): same sector, phone, or address key. Sectors of any
-    size are joined whole; only a caller that gives `most` has larger ones joined by unit postcode."""
+def block(leads: DataFrame, cust: DataFrame) -> DataFrame:
+    """Candidate pairs (lead_key, account_code): same sector, phone, or address key, of sectors of any size."""
     l = leads.select("lead_key", "sector", "unit", "phone", "address_key")
     c = cust.select("account_code", F.col("sector").alias("c_sector"), F.col("unit").alias("c_unit"), F.col("phone").alias("c_phone"), F.col("address_key").alias("c_address"))
     pair = ["lead_key", "account_code"]
-    if most is None:
-        found = sector_pairs(l, c).select(pair)
-    else:
-        big = block_sizes(leads, cust, "sector").filter(F.col("pairs") > most).select("sector")
-        found = l.join(big, "sector", "left_anti").join(c, F.col("sector") == F.col("c_sector")).select(pair)
-        found = found.unionByName(l.join(big, "sector", "left_semi").join(c, F.col("unit") == F.col("c_unit")).select(pair))
+    found = sector_pairs(l, c).select(pair)
     found = found.unionByName(l.join(c, F.col("phone") == F.col("c_phone")).select(pair))
     found = found.unionByName(l.join(c, F.col("address_key") == F.col("c_address")).select(pair))
     return found.distinct()
@@ -87,29 +81,31 @@ def classify_match(leads: DataFrame, best: DataFrame, cfg: Config = DEFAULT) ->
 
 def match_registrations(leads: DataFrame, regs: DataFrame, least: int = 80) -> DataFrame:
     """Registration of each lead: by address and postcode, else by name within the postcode."""
-    r = with_address_key(with_postcode_parts(regs)).select("address_key", "unit", "fsa_id", "operator_name", "business_type", "hygiene", "days_since_registration")
+    more = [c for c in ("last_inspection_age", "lat", "lng") if c in regs.columns]
+    r = with_address_key(with_postcode_parts(regs)).select("address_key", "unit", "fsa_id", "operator_name", "business_type", "hygiene", "days_since_registration", *more)
     l = leads.select("lead_key", "address_key", "unit", "primary_brand")
     exact = l.join(r, ["address_key", "unit"]).withColumn("how", F.lit(1)).withColumn("likeness", F.lit(100).cast("bigint"))
     n = r.groupBy("address_key", "unit").agg(F.count("*").alias("registrations"))
     rest = l.join(exact.select("lead_key"), "lead_key", "left_anti").join(r.drop("address_key"), "unit")
     near = rest.withColumn("how", F.lit(2)).withColumn("likeness", token_sort_ratio(F.col("primary_brand"), F.col("operator_name"))).filter(F.col("likeness") >= least)
     order = W.partitionBy("lead_key").orderBy("how", F.desc("likeness"), "fsa_id")
-    cols = ["lead_key", "address_key", "unit", "fsa_id", "operator_name", "business_type", "hygiene", "days_since_registration", "how", "likeness"]
+    cols = ["lead_key", "address_key", "unit", "fsa_id", "operator_name", "business_type", "hygiene", "days_since_registration", *more, "how", "likeness"]
     best = exact.select(cols).unionByName(near.select(cols)).withColumn("k", F.row_number().over(order)).filter("k = 1")
     out = best.join(n, ["address_key", "unit"], "left").withColumn("registrations", F.coalesce("registrations", F.lit(0)))
-    return out.select("lead_key", "fsa_id", "operator_name", "business_type", "hygiene", "days_since_registration", F.col("how").cast("bigint").alias("how"), "registrations")
+    return out.select("lead_key", "fsa_id", "operator_name", "business_type", "hygiene", "days_since_registration", *more, F.col("how").cast("bigint").alias("how"), "registrations")
 
 
 def match_companies(leads: DataFrame, regs: DataFrame, companies: DataFrame) -> DataFrame:
     """Company of each lead: registered operator, then address, then brand name in the sector.
     regs: the result of match_registrations."""
-    c = with_address_key(with_postcode_parts(companies)).select("address_key", "unit", "sector", "ch_number", "company_name", "ch_status", "sic_code", "director_no")
+    more = ["age_days"] if "age_days" in companies.columns else []
+    c = with_address_key(with_postcode_parts(companies)).select("address_key", "unit", "sector", "ch_number", "company_name", "ch_status", "sic_code", "director_no", *more)
     l = leads.join(regs.select("lead_key", "operator_name"), "lead_key", "left").select("lead_key", "address_key", "unit", "sector", "primary_brand", "operator_name")
     d = c.drop("address_key", "sector")
     by_operator = l.join(d, (l["operator_name"] == d["company_name"]) & (l["unit"] == d["unit"])).select("lead_key", *[d[x] for x in d.columns if x != "unit"]).withColumn("how", F.lit(1))
-    by_address = l.join(c.drop("sector"), ["address_key", "unit"]).select("lead_key", "ch_number", "company_name", "ch_status", "sic_code", "director_no").withColumn("how", F.lit(2))
-    e = c.select("sector", F.lower("company_name").alias("n"), "ch_number", "company_name", "ch_status", "sic_code", "director_no")
-    by_name = l.withColumn("n", F.lower(F.concat("primary_brand", F.lit(" Foods")))).join(e, ["sector", "n"]).select("lead_key", "ch_number", "company_name", "ch_status", "sic_code", "director_no").withColumn("how", F.lit(3))
+    by_address = l.join(c.drop("sector"), ["address_key", "unit"]).select("lead_key", "ch_number", "company_name", "ch_status", "sic_code", "director_no", *more).withColumn("how", F.lit(2))
+    e = c.select("sector", F.lower("company_name").alias("n"), "ch_number", "company_name", "ch_status", "sic_code", "director_no", *more)
+    by_name = l.withColumn("n", F.lower(F.concat("primary_brand", F.lit(" Foods")))).join(e, ["sector", "n"]).select("lead_key", "ch_number", "company_name", "ch_status", "sic_code", "director_no", *more).withColumn("how", F.lit(3))
     order = W.partitionBy("lead_key").orderBy("how", "ch_number")
     every = by_operator.unionByName(by_address).unionByName(by_name)
     return every.withColumn("r", F.row_number().over(order)).filter("r = 1").drop("r").withColumn("how", F.col("how").cast("bigint"))
@@ -117,23 +113,28 @@ def match_companies(leads: DataFrame, regs: DataFrame, companies: DataFrame) ->
 
 def trace_directors(companies: DataFrame, prefix: str = DEFAULT.food_sic, listed: int = 5) -> DataFrame:
     """Per company: number of other food companies of the same director and the first of them."""
-    food = companies.filter(F.col("sic_code").startswith(prefix))
-    per = food.groupBy("director_no").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set("ch_number")), 1, listed + 1).alias("all"))
-    out = companies.join(per, "director_no", "left")
-    own = F.col("sic_code").startswith(prefix).cast("int")
+    food = companies.filter(F.col("sic_code").startswith(prefix)).select("director_no", "ch_number")
+    counts = food.groupBy("director_no").agg(F.count("*").alias("n"))
+    first = food.withColumn("r", F.row_number().over(W.partitionBy("director_no").orderBy("ch_number"))).filter(F.col("r") <= listed + 1)  # cut before the shuffle
+    lists = first.groupBy("director_no").agg(F.array_sort(F.collect_list("ch_number")).alias("all"))
+    out = companies.join(counts, "director_no", "left").join(lists, "director_no", "left")
+    own = F.coalesce(F.col("sic_code").startswith(prefix), F.lit(False)).cast("int")
     others = F.slice(F.filter(F.coalesce("all", F.array().cast("array<string>")), lambda x: x != F.col("ch_number")), 1, listed)
     return out.select("ch_number", "director_no", (F.coalesce("n", F.lit(0)) - own).alias("others"), F.array_join(others, " | ").alias("other_list")).withColumn("flag", F.col("others") > 0)
 
 
-def ownership_changes(companies: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Addresses where a company is live within the window after another dissolved there."""
+def ownership_changes(companies: DataFrame, officers: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Companies with a director or owner appointed within the window, or live after another one
+    dissolved at the address; the latest change of each."""
     c = with_address_key(with_postcode_parts(companies))
+    day = lambda age: F.date_sub(F.lit(cfg.as_of).cast("date"), age.cast("int"))
     w = W.partitionBy("address_key", "sector").orderBy(F.desc("age_days"), "ch_number")
-    c = c.withColumn("before_status", F.lag("ch_status").over(w)).withColumn("before", F.lag("ch_number").over(w))
-    recent = F.col("age_days") < cfg.window_days
-    again = (F.col("before_status") == "Dissolved") & (F.col("ch_status") == "Active")
-    changed = c.filter(recent | F.coalesce(again, F.lit(False)))
-    return changed.select("ch_number", "address_key", "unit", F.when(recent, "recent").otherwise("re-incorporated").alias("reason"), F.date_sub(F.lit(cfg.as_of).cast("date"), F.col("age_days").cast("int")).alias("changed_on"))
+    again = c.withColumn("before_status", F.lag("ch_status").over(w)).filter((F.col("before_status") == "Dissolved") & (F.col("ch_status") == "Active"))
+    moved = again.select("ch_number", F.lit("re-incorporated").alias("reason"), day(F.col("age_days")).alias("changed_on"))
+    recent = officers.filter(F.col("appointed_age") < cfg.window_days).groupBy("ch_number").agg(F.max(day(F.col("appointed_age"))).alias("changed_on"))
+    both = moved.unionByName(recent.withColumn("reason", F.lit("appointment")))
+    last = both.groupBy("ch_number").agg(F.max(F.struct("changed_on", "reason")).alias("x"))
+    return c.select("ch_number", "address_key", "unit").join(last, "ch_number").select("ch_number", "address_key", "unit", "x.reason", "x.changed_on")
 
 
 def red_flags(companies: DataFrame) -> DataFrame:
@@ -141,6 +142,12 @@ def red_flags(companies: DataFrame) -> DataFrame:
     return companies.select("ch_number", F.coalesce(F.nullif(text, F.lit("")), F.lit("None")).alias("red_flags"))
 
 
+def people_json(officers: DataFrame) -> DataFrame:
+    """(ch_number, people): the officers of each company as one JSON list."""
+    person = F.struct(F.col("person_name").alias("name"), "kind", "role")
+    return officers.groupBy("ch_number").agg(F.to_json(F.array_sort(F.collect_list(person))).alias("people"))
+
+
 def people_slots(profiles: DataFrame) -> DataFrame:
     """Two director slots and one PSC slot from a JSON list of people per company."""
     people = F.from_json("people", "array<struct<name:string,kind:string,role:string,since:string>>")
@@ -148,5 +155,5 @@ def people_slots(profiles: DataFrame) -> DataFrame:
     slot = lambda kind, i, f: F.get(pick(kind), F.lit(i))[f]
     return profiles.select(
         "ch_number", slot("director", 0, "name").alias("director_1"), slot("director", 0, "role").alias("director_1_role"),
-        slot("director", 1, "name").alias("director_2"), slot("psc", 0, "name").alias("psc_1"),
+        slot("director", 1, "name").alias("director_2"), slot("director", 1, "role").alias("director_2_role"), slot("psc", 0, "name").alias("psc_1"),
     )

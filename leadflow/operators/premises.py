@@ -15,24 +15,34 @@ def with_address_key(df: DataFrame) -> DataFrame:
     return df.withColumn("address_key", address_key(F.col("address")))
 
 
+def with_keys(listings: DataFrame) -> DataFrame:
+    """Postcode parts, address key and `solo`: the listing's own id where address or postcode is
+    missing or malformed, so that such listings are not taken for one premises."""
+    keyed = listings if {"unit", "address_key"} <= set(listings.columns) else with_address_key(with_postcode_parts(listings))
+    unknown = F.col("unit").isNull() | (F.coalesce("address_key", F.lit("")) == "")
+    return keyed.withColumn("solo", F.when(unknown, F.col("listing_id")))
+
+
 def group_premises(listings: DataFrame) -> DataFrame:
-    """One row per address key and unit postcode."""
-    keyed = with_address_key(with_postcode_parts(listings))
+    """One row per address key and unit postcode; listings without either stand alone."""
     best = F.struct("reviews", (-F.col("listing_id")).alias("first"))
     brands = F.array_sort(F.collect_set("brand_name"))
-    grouped = keyed.groupBy("address_key", "unit", "sector", "district", "area").agg(
+    extra = [F.array_join(F.array_sort(F.collect_set("cuisine_type")), " | ").alias("cuisines")] if "cuisine_type" in listings.columns else []
+    grouped = with_keys(listings).groupBy("address_key", "unit", "sector", "district", "area", "solo").agg(
         F.max_by("brand_name", best).alias("primary_brand"),
         F.max_by("address", best).alias("address"),
         F.max_by("premises_no", best).alias("premises_no"),
         F.array_join(brands, " | ").alias("all_brands"),
         F.size(F.collect_set("brand_name")).cast("bigint").alias("brand_count"),
-        F.countDistinct("platform").alias("platforms_count"),
+        F.size(F.collect_set("platform")).cast("bigint").alias("platforms_count"),
         F.sum("reviews").alias("reviews"),
         F.max("rating_tenths").alias("rating_tenths"),
         F.max_by("phone", best).alias("phone"),
         F.count("*").alias("listings"),
+        *extra,
     )
-    return grouped.withColumn("multi_brand", F.col("brand_count") > 1)
+    key = F.concat(F.coalesce("address_key", F.lit("")), F.lit("|"), F.coalesce("unit", F.lit("")), F.coalesce(F.concat(F.lit("|#"), F.col("solo").cast("string")), F.lit("")))
+    return grouped.withColumns({"multi_brand": F.col("brand_count") > 1, "lead_key": key}).drop("solo")
 
 
 def split_multi_tenant(premises: DataFrame, registrations: DataFrame) -> DataFrame:
@@ -46,14 +56,17 @@ def split_multi_tenant(premises: DataFrame, registrations: DataFrame) -> DataFra
 
 def assign_lead_id(leads: DataFrame, prefix: str) -> DataFrame:
     """PREFIX-AREA-00001 in order of sector, address and tenant. Numbers are made per sector and
-    shifted by the count of the sectors before it, so no task holds a whole area."""
-    own = W.partitionBy("area", "sector").orderBy("unit", "address_key", F.coalesce("tenant", F.lit(0)))
-    counts = leads.groupBy("area", "sector").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(W.partitionBy("area").orderBy("sector").rowsBetween(W.unboundedPreceding, -1))
+    shifted by the count of the sectors before it, so no task holds a whole area. Leads without a
+    sector have ids, too: area ZZ, in groups by a hash of their key."""
+    area, sector = F.coalesce("area", F.lit("ZZ")), F.coalesce("sector", F.concat(F.lit("~"), F.substring(F.md5("lead_key"), 1, 2)))
+    keyed = leads.withColumns({"_area": area, "_sector": sector})
+    own = W.partitionBy("_area", "_sector").orderBy("unit", "address_key", "lead_key", F.coalesce("tenant", F.lit(0)))
+    counts = keyed.groupBy("_area", "_sector").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.partitionBy("_area").orderBy("_sector").rowsBetween(W.unboundedPreceding, -1))
     shift = counts.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_n")
-    out = leads.withColumn("_i", F.row_number().over(own)).join(shift, ["area", "sector"])
+    out = keyed.withColumn("_i", F.row_number().over(own)).join(shift, ["_area", "_sector"])
     number = F.lpad((F.col("_i") + F.col("_before")).cast("string"), 5, "0")
-    return out.withColumn("lead_id", F.concat_ws("-", F.lit(prefix), "area", number)).drop("_i", "_before")
+    return out.withColumn("lead_id", F.concat_ws("-", F.lit(prefix), "_area", number)).drop("_i", "_before", "_area", "_sector")
 
 
 def lead_brands(leads: DataFrame) -> DataFrame:
@@ -62,14 +75,14 @@ def lead_brands(leads: DataFrame) -> DataFrame:
 
 
 def platform_profiles(listings: DataFrame) -> DataFrame:
-    """Per premises and platform: best rating and reviews of the listing with most reviews."""
-    k = with_address_key(with_postcode_parts(listings))
-    return k.groupBy("address_key", "unit", "platform").agg(F.max("rating_tenths").alias("rating"), F.max("reviews").alias("reviews"), F.min("listing_id").alias("first_listing"))
+    """Per premises and platform: best rating, most reviews, and the link of the first listing."""
+    extra = [F.min_by("url", "listing_id").alias("url")] if "url" in listings.columns else []
+    return with_keys(listings).filter("solo is null").groupBy("address_key", "unit", "platform").agg(F.max("rating_tenths").alias("rating"), F.max("reviews").alias("reviews"), F.min("listing_id").alias("first_listing"), *extra)
 
 
 def pivot_platforms(profiles: DataFrame) -> DataFrame:
-    wide = profiles.groupBy("address_key", "unit").pivot("platform", list(PLATFORMS)).agg(F.first("rating").alias("rating"), F.first("reviews").alias("reviews"))
-    return wide
+    shown = [c for c in ("rating", "reviews", "url") if c in profiles.columns]
+    return profiles.groupBy("address_key", "unit").pivot("platform", list(PLATFORMS)).agg(*[F.first(c).alias(c) for c in shown])
 
 
 def unpivot_platforms(wide: DataFrame) -> DataFrame:

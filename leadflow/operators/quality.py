@@ -21,6 +21,12 @@ def validate(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return df.withColumn("failed", F.concat_ws(",", *names))
 
 
+def split_valid(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """(good rows with the columns of df, quarantined rows with the names of the rules they break)."""
+    checked = validate(df, rules)
+    return checked.filter("failed = ''").drop("failed"), checked.filter("failed <> ''")
+
+
 def in_enum(col: str, values: tuple[str, ...]) -> Column:
     return F.col(col).isin(*values)
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,10 +14,21 @@ from leadflow.functions.text import percent, status_class
 from leadflow.operators.territory import explode_granularity
 
 
-def telemetry(stages: list[tuple[str, DataFrame]]) -> DataFrame:
-    """Rows per stage, in one table; a live run takes the same counts with observe()."""
-    counts = [df.agg(F.count("*").alias("n")).select(F.lit(i).cast("bigint").alias("step"), F.lit(s).alias("stage"), "n") for i, (s, df) in enumerate(stages)]
-    return reduce(lambda a, b: a.unionByName(b), counts)
+def telemetry(spark: SparkSession, stages: list[tuple[str, DataFrame, float]], folder: str | None = None) -> DataFrame:
+    """Runs the stages (name, rows, cost) in order and returns a row for each: count, seconds, cost,
+    failure. Counts are observed while a stage's rows are written (under the folder, if given), so
+    they cost no pass of their own; a failed stage has no count, and its first line of error."""
+    rows = []
+    for step, (name, df, cost) in enumerate(stages):
+        seen, start, failure, n = Observation(), time.monotonic(), None, None
+        try:
+            writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+            writer.parquet(f"{folder}/{name}") if folder else writer.format("noop").save()
+            n = seen.get["n"]
+        except Exception as e:  # what a stage raises belongs to its row
+            failure = f"{type(e).__name__}: {str(e).splitlines()[0]}"
+        rows.append((step, name, n, time.monotonic() - start, float(cost), failure))
+    return spark.createDataFrame(rows, "step bigint, stage string, n bigint, seconds double, cost double, failure string")
 
 
 def run_coverage(routed: DataFrame) -> DataFrame:

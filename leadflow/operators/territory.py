@@ -11,9 +11,9 @@ LEVELS = ("area", "district", "sector", "unit")
 SMALL = 200_000
 
 
-def small(df: DataFrame, limit: int = SMALL) -> DataFrame:
-    """Broadcast a code list only if it is short; a longer one joins by shuffle."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def is_small(df: DataFrame, limit: int = SMALL) -> bool:
+    """Whether a code list is short enough to be broadcast; a longer one joins by shuffle."""
+    return df.limit(limit + 1).count() <= limit
 
 
 def explode_granularity(df: DataFrame) -> DataFrame:
@@ -34,6 +34,12 @@ def import_boundary(raw: DataFrame) -> DataFrame:
     return raw.select(code.alias("code"), granularity_of(code).alias("granularity"), "membership").filter("granularity is not null").dropDuplicates(["code", "granularity"])
 
 
+def boundary_counts(boundary: DataFrame) -> DataFrame:
+    """One row: the codes of an imported boundary in the area and held for expansion, and its status."""
+    kind = lambda m: F.count_if(F.col("membership") == m)
+    return boundary.agg(F.count("*").alias("codes"), kind("in_area").alias("in_area"), kind("expansion").alias("expansion")).withColumn("status", F.when(F.col("codes") > 0, "parsed").otherwise("failed"))
+
+
 def resolve_territory(items: DataFrame, files: DataFrame) -> DataFrame:
     """Distinct (code, granularity, is_expansion) of a mixed set of items; files: (file_id, code)."""
     listed = ["delivery_boundary_upload", "expansion_list"]
@@ -51,21 +57,25 @@ def snapshot_territory(run_no: int, resolved: DataFrame, universe: DataFrame) ->
     return resolved.join(counted, ["code", "granularity"], "left").select(F.lit(run_no).cast("bigint").alias("run_no"), "code", "granularity", F.coalesce("postcodes", F.lit(0)).alias("postcodes"))
 
 
+def _by_level(df: DataFrame, codes: DataFrame, value: str) -> DataFrame:
+    """Joins codes to the level that each belongs to: adds m_area ... m_unit. The list is counted once."""
+    small = is_small(codes)
+    for level in LEVELS:
+        part = codes.filter(F.col("granularity") == level).select(F.col("code").alias(level), F.col(value).alias(f"m_{level}"))
+        df = df.join(F.broadcast(part) if small else part, level, "left")
+    return df
+
+
 def filter_territory(df: DataFrame, codes: DataFrame) -> DataFrame:
-    """Rows with any of their levels in the codes; rows are not repeated."""
-    found = small(codes.select("code", "granularity"))
-    hits = explode_granularity(df).join(found, ["code", "granularity"], "left_semi").select("unit").distinct()
-    return df.join(hits, "unit", "left_semi")
+    """Rows with any of their levels in the codes; the table is read once and rows are not repeated."""
+    found = _by_level(df, codes.select("code", "granularity", F.lit(True).alias("hit")).distinct(), "hit")
+    return found.filter(F.coalesce(*[F.col(f"m_{level}") for level in LEVELS], F.lit(False))).drop(*[f"m_{level}" for level in LEVELS])
 
 
 def classify_delivery(df: DataFrame, boundary: DataFrame) -> DataFrame:
     """Adds membership: in_area, expansion or outside; the finest level that is listed wins."""
-    out = df
-    for level in LEVELS:
-        few = small(boundary.filter(F.col("granularity") == level).select(F.col("code").alias(level), F.col("membership").alias(f"m_{level}")))
-        out = out.join(few, level, "left")
     found = F.coalesce(*[F.col(f"m_{level}") for level in reversed(LEVELS)], F.lit("outside"))
-    return out.withColumn("membership", found).drop(*[f"m_{level}" for level in LEVELS])
+    return _by_level(df, boundary, "membership").withColumn("membership", found).drop(*[f"m_{level}" for level in LEVELS])
 
 
 def current_boundary(boundaries: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,22 +13,28 @@ from leadflow.config import DEFAULT, Config
 from leadflow.functions.text import with_postcode_parts
 from leadflow.operators import accounts, matching, premises, reporting, routing, scoring, territory, triggers
 from leadflow.sources.adapters import source
-
-
-def kept(df: DataFrame) -> DataFrame:
-    """A stage that several later stages read: computed once, spilled to disk where memory ends,
-    and computed again from its inputs if an executor is lost."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+from leadflow.sources.files import remove_folder, work_folder
 
 
 class LeadRun:
     def __init__(self, spark: SparkSession, folder: str, cfg: Config = DEFAULT):
         self.spark, self.folder, self.cfg = spark, folder, cfg
 
-    def stale(self) -> bool:
-        """Whether the cache was cleared after stages were kept in it."""
-        own = self.__dict__.get("premises")
-        return own is not None and not (own.storageLevel.useMemory or own.storageLevel.useDisk)
+    @cached_property
+    def work(self) -> str:
+        return work_folder(self.spark, "lead-run")
+
+    def kept(self, name: str, df: DataFrame) -> DataFrame:
+        """A stage that several later stages read: written once, so later plans begin at its table and
+        a lost executor costs no stage again."""
+        df.write.mode("overwrite").parquet(f"{self.work}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.work}/{name}")
+
+    def release(self) -> None:
+        """Delete the written stages."""
+        if "work" in self.__dict__:
+            remove_folder(self.spark, self.work)
+        self.__dict__ = {k: v for k, v in self.__dict__.items() if k in ("spark", "folder", "cfg")}
 
     def table(self, name: str) -> DataFrame:
         return source(self.spark, self.folder, name)
@@ -36,10 +43,14 @@ class LeadRun:
     def listings(self) -> DataFrame:
         return self.table("listings")
 
+    @cached_property
+    def keyed(self) -> DataFrame:
+        """Listings with postcode parts and address key, parsed once."""
+        return self.kept("keyed", premises.with_address_key(with_postcode_parts(self.listings)))
+
     @cached_property
     def premises(self) -> DataFrame:
-        p = premises.group_premises(self.listings)
-        return kept(p.withColumn("lead_key", F.concat_ws("|", "address_key", "unit")))
+        return self.kept("premises", premises.group_premises(self.keyed))
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -59,20 +70,24 @@ class LeadRun:
 
     @cached_property
     def classified(self) -> DataFrame:
-        return kept(matching.classify_match(self.premises, self.best, self.cfg))
+        return self.kept("classified", matching.classify_match(self.premises, self.best, self.cfg))
 
     @cached_property
     def registrations(self) -> DataFrame:
-        return kept(matching.match_registrations(self.premises, self.table("registrations")))
+        return self.kept("registrations", matching.match_registrations(self.premises, self.table("registrations")))
 
     @cached_property
     def companies(self) -> DataFrame:
-        return kept(matching.match_companies(self.premises, self.registrations, self.table("companies")))
+        return self.kept("companies", matching.match_companies(self.premises, self.registrations, self.table("companies")))
 
     @cached_property
     def boundary(self) -> DataFrame:
-        d = with_postcode_parts(self.listings).filter("area <> 'SW'").select(F.col("district").alias("code"), F.when(F.col("area") == "SL", "expansion").otherwise("in_area").alias("membership"))
-        return kept(territory.import_boundary(d.distinct()))
+        d = self.premises.filter("area <> 'SW'").select(F.col("district").alias("code"), F.when(F.col("area") == "SL", "expansion").otherwise("in_area").alias("membership"))
+        return self.kept("boundary", territory.import_boundary(d.distinct()))
+
+    @cached_property
+    def owners(self) -> DataFrame:
+        return matching.ownership_changes(self.table("companies"), self.table("officers"), self.cfg)
 
     @cached_property
     def accounts(self) -> DataFrame:
@@ -83,17 +98,17 @@ class LeadRun:
     def enriched(self) -> DataFrame:
         """One row per lead with matches, delivery class, verification, food flag and size."""
         r = self.registrations.withColumnRenamed("how", "reg_how")
-        c = self.companies.withColumnRenamed("how", "company_how")
+        c = self.companies.withColumnsRenamed({"how": "company_how", "age_days": "company_age"})
         out = self.classified.join(r, "lead_key", "left").join(c, "lead_key", "left")
         out = territory.classify_delivery(out, self.boundary)
         out = routing.food_flag(accounts.verify_state(out), self.cfg)
-        return kept(scoring.size_proxy(out.withColumn("place_reviews", F.when(F.col("premises_no") % 3 == 0, 700))))
+        return self.kept("enriched", scoring.size_proxy(out.withColumn("place_reviews", F.when(F.col("premises_no") % 3 == 0, 700))))
 
     @cached_property
     def triggers(self) -> DataFrame:
         day = lambda age: F.date_sub(F.lit(self.cfg.as_of).cast("date"), age.cast("int"))
         new = self.registrations.filter(F.col("days_since_registration") < self.cfg.new_days).select("lead_key", F.lit("Registered recently").alias("snippet"), day(F.col("days_since_registration")).alias("trigger_date"))
-        changed = self.companies.select("lead_key", "ch_number").join(matching.ownership_changes(self.table("companies"), self.cfg), "ch_number").select("lead_key", F.col("reason").alias("snippet"), F.col("changed_on").alias("trigger_date"))
+        changed = self.companies.select("lead_key", "ch_number").join(self.owners, "ch_number").select("lead_key", F.col("reason").alias("snippet"), F.col("changed_on").alias("trigger_date"))
         hits = triggers.review_snippet(triggers.mine_reviews(self.table("reviews"), self.cfg))
         complaint = self.premises.select("lead_key", "premises_no").join(hits, "premises_no").select("lead_key", "snippet", F.col("review_date").alias("trigger_date"))
         return triggers.lead_triggers(new, changed, complaint)
@@ -113,7 +128,7 @@ class LeadRun:
     @cached_property
     def routed(self) -> DataFrame:
         out = accounts.confidence(self.enriched.join(self.final, "lead_key"))
-        return kept(routing.route(out, self.cfg).withColumn("run_no", 199501 + F.col("premises_no") % 12))
+        return self.kept("routed", routing.route(out, self.cfg).withColumn("run_no", 199501 + F.col("premises_no") % 12))
 
     @cached_property
     def units(self) -> DataFrame:
@@ -128,8 +143,18 @@ _RUNS: dict[tuple, LeadRun] = {}
 
 
 def lead_run(spark: SparkSession, folder: str) -> LeadRun:
-    """The run over a folder in this session, planned once for all queries that ask for it."""
+    """The run over a folder in this session, planned once for all queries that ask for it. A run over
+    another folder takes its place, and its written stages go."""
     key = (spark.sparkContext.applicationId, id(spark), folder)
-    if key not in _RUNS or _RUNS[key].stale():
+    if key not in _RUNS:
+        for old in [k for k in _RUNS if k[:2] == key[:2]]:
+            _RUNS.pop(old).release()
         _RUNS[key] = LeadRun(spark, folder)
     return _RUNS[key]
+
+
+@atexit.register
+def _release_all() -> None:
+    for run in _RUNS.values():
+        with contextlib.suppress(Exception):  # the session may have ended
+            run.release()

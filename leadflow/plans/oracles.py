@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from leadflow.config import DEFAULT as C
-from leadflow.sources.adapters import SQL
+from leadflow.sources.adapters import FIGURES, SQL
 
 UNIT = "^([A-Z]{1,2})([0-9][0-9A-Z]?) ([0-9])([A-Z]{2}|[A-Z])$"
 PEPPER = "pepper"
@@ -53,8 +53,9 @@ CTES |= {
     "lp": f"select *, {parts()}, {akey()} as address_key from listings",
     "prem": """select address_key, unit, sector, district, area, first(brand_name order by reviews desc, listing_id) as primary_brand, first(address order by reviews desc, listing_id) as address,
   first(premises_no order by reviews desc, listing_id) as premises_no, array_to_string(list_sort(list(distinct brand_name)), ' | ') as all_brands, count(distinct brand_name) as brand_count, count(distinct platform) as platforms_count,
-  cast(sum(reviews) as bigint) as reviews, max(rating_tenths) as rating_tenths, first(phone order by reviews desc, listing_id) as phone, count(*) as listings, count(distinct brand_name)>1 as multi_brand, address_key||'|'||unit as lead_key
-  from lp group by address_key, unit, sector, district, area""",
+  cast(sum(reviews) as bigint) as reviews, max(rating_tenths) as rating_tenths, first(phone order by reviews desc, listing_id) as phone, count(*) as listings, count(distinct brand_name)>1 as multi_brand, array_to_string(list_sort(list(distinct cuisine_type)), ' | ') as cuisines,
+  coalesce(address_key, '')||'|'||coalesce(unit, '')||coalesce('|#'||solo, '') as lead_key
+  from (select *, case when unit is null or coalesce(address_key, '')='' then listing_id end as solo from lp) keyed group by address_key, unit, sector, district, area, solo""",
     "cust": f"select *, {parts()}, {akey()} as address_key from customers",
     "pairs": """select l.lead_key, c.account_code from prem l join cust c on l.sector=c.sector union select l.lead_key, c.account_code from prem l join cust c on l.phone=c.phone
   union select l.lead_key, c.account_code from prem l join cust c on l.address_key=c.address_key""",
@@ -69,26 +70,27 @@ CTES |= {
   from prem l left join best b on l.lead_key=b.lead_key)""",
     "regk": f"select *, {parts()}, {akey()} as address_key from registrations",
     "regn": "select address_key, unit, count(*) as registrations from regk group by address_key, unit",
-    "regexact": "select l.lead_key, l.address_key, l.unit, r.fsa_id, r.operator_name, r.business_type, r.hygiene, r.days_since_registration, 1 as how, 100 as likeness from prem l join regk r on l.address_key=r.address_key and l.unit=r.unit",
-    "regnear": f"""select l.lead_key, l.address_key, l.unit, r.fsa_id, r.operator_name, r.business_type, r.hygiene, r.days_since_registration, 2 as how, {ratio(sorted_tokens('l.primary_brand'), sorted_tokens('r.operator_name'))} as likeness
+    "regexact": "select l.lead_key, l.address_key, l.unit, r.fsa_id, r.operator_name, r.business_type, r.hygiene, r.days_since_registration, r.last_inspection_age, r.lat, r.lng, 1 as how, 100 as likeness from prem l join regk r on l.address_key=r.address_key and l.unit=r.unit",
+    "regnear": f"""select l.lead_key, l.address_key, l.unit, r.fsa_id, r.operator_name, r.business_type, r.hygiene, r.days_since_registration, r.last_inspection_age, r.lat, r.lng, 2 as how, {ratio(sorted_tokens('l.primary_brand'), sorted_tokens('r.operator_name'))} as likeness
   from prem l join regk r on l.unit=r.unit where l.lead_key not in (select lead_key from regexact)""",
-    "regm": """select m.lead_key, fsa_id, operator_name, business_type, hygiene, days_since_registration, cast(how as bigint) as how, coalesce(n.registrations, 0) as registrations from (
+    "regm": """select m.lead_key, fsa_id, operator_name, business_type, hygiene, days_since_registration, last_inspection_age, lat, lng, cast(how as bigint) as how, coalesce(n.registrations, 0) as registrations from (
   select *, row_number() over (partition by lead_key order by how, likeness desc, fsa_id) as k from (select * from regexact union all select * from regnear where likeness>=80)) m left join regn n on m.address_key=n.address_key and m.unit=n.unit where k=1""",
     "compk": f"select *, {parts()}, {akey()} as address_key from companies",
-    "compm": """select lead_key, ch_number, company_name, ch_status, sic_code, director_no, cast(how as bigint) as how from (select *, row_number() over (partition by lead_key order by how, ch_number) as r from (
-  select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, 1 as how from prem l join regm r on l.lead_key=r.lead_key join compk c on r.operator_name=c.company_name and l.unit=c.unit
-  union all select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, 2 from prem l join compk c on l.address_key=c.address_key and l.unit=c.unit
-  union all select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, 3 from prem l join compk c on l.sector=c.sector and lower(l.primary_brand||' Foods')=lower(c.company_name))) where r=1""",
+    "compm": """select lead_key, ch_number, company_name, ch_status, sic_code, director_no, age_days, cast(how as bigint) as how from (select *, row_number() over (partition by lead_key order by how, ch_number) as r from (
+  select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, c.age_days, 1 as how from prem l join regm r on l.lead_key=r.lead_key join compk c on r.operator_name=c.company_name and l.unit=c.unit
+  union all select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, c.age_days, 2 from prem l join compk c on l.address_key=c.address_key and l.unit=c.unit
+  union all select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, c.age_days, 3 from prem l join compk c on l.sector=c.sector and lower(l.primary_brand||' Foods')=lower(c.company_name))) where r=1""",
     "boundary": "select distinct district as code, 'district' as granularity, case when area='SL' then 'expansion' else 'in_area' end as membership from lp where area<>'SW'",
-    "enriched": f"""select c.*, r.fsa_id, r.operator_name, r.business_type, r.hygiene, r.days_since_registration, r.registrations, m.ch_number, m.company_name, m.ch_status, m.sic_code, m.director_no,
+    "enriched": f"""select c.*, r.fsa_id, r.operator_name, r.business_type, r.hygiene, r.days_since_registration, r.last_inspection_age, r.lat, r.lng, r.registrations, m.ch_number, m.company_name, m.ch_status, m.sic_code, m.director_no, m.age_days as company_age,
   coalesce(b.membership, 'outside') as membership, case when m.ch_status='Dissolved' then 'rejected' when r.fsa_id is not null and m.ch_status is not null then 'fsa_ch' when r.fsa_id is not null then 'fsa_only' else 'unverified' end as verify_state,
   not (coalesce(r.business_type='{C.not_food_types[0]}', false) or coalesce(not starts_with(m.sic_code, '{C.food_sic}'), false)) as is_food,
   case when c.reviews<500 then greatest(c.reviews, case when c.premises_no%3=0 then 700 else 0 end) else c.reviews end as size_reviews
   from classified c left join regm r on c.lead_key=r.lead_key left join compm m on c.lead_key=m.lead_key left join boundary b on c.district=b.code""",
     "sized": "select *, case when size_reviews>=15000 and rating_tenths>=30 then 'large' when size_reviews>=5000 then 'medium' else 'small' end as size_class from enriched",
     "lagged": f"select *, lag(ch_status) over w as before_status from compk window w as (partition by address_key, sector order by age_days desc, ch_number)",
-    "owner": f"""select ch_number, address_key, unit, case when age_days<{C.window_days} then 'recent' else 're-incorporated' end as reason, {AS_OF}-cast(age_days as int) as changed_on from lagged
-  where age_days<{C.window_days} or coalesce(before_status='Dissolved' and ch_status='Active', false)""",
+    "changes": f"""select ch_number, 're-incorporated' as reason, {AS_OF}-cast(age_days as int) as changed_on from lagged where before_status='Dissolved' and ch_status='Active'
+  union all select ch_number, 'appointment', max({AS_OF}-cast(appointed_age as int)) from officers where appointed_age<{C.window_days} group by ch_number""",
+    "owner": "select o.ch_number, c.address_key, c.unit, first(o.reason order by o.changed_on desc, o.reason desc) as reason, max(o.changed_on) as changed_on from changes o join compk c on o.ch_number=c.ch_number group by o.ch_number, c.address_key, c.unit",
     "hitrows": f"select premises_no, source, {AS_OF}-cast(age_days as int) as day, list_filter([{', '.join(LEX)}], lambda x: x is not null) as terms from reviews where age_days<{C.window_days}",
     "hits": "select premises_no, count(*) as hits, first(source order by day desc, source desc) as source, max(day) as review_date, array_to_string(list_sort(list_distinct(flatten(list(terms)))), ',') as terms from hitrows where len(terms)>0 group by premises_no",
     "snippets": "select *, substr(hits||' recent review(s) mention '||replace(terms, ',', ', '), 1, 200) as snippet from hits",
@@ -115,7 +117,7 @@ CTES |= {
     "summary": """select u.*, coalesce(b.membership, 'outside') as membership, 1 as boundary_version from (
   select code, granularity, count(distinct u.run_no) as runs, min(last_day) as first_run, max(last_day) as last_run, cast(sum(found) as bigint) as found, cast(sum(ignored) as bigint) as ignored, cast(sum(exported) as bigint) as exported, cast(sum(reactivation) as bigint) as reactivation
   from units u left join runs r on u.run_no=r.run_no group by code, granularity) u left join boundary b on u.code=b.code and u.granularity=b.granularity""",
-    "acp": """select ch_number, accounts_type, period_end as accounts_date, net_assets as c_net_assets, p_net_assets, p_period_end from (select *, lag(net_assets) over w as p_net_assets, lag(period_end) over w as p_period_end,
+    "acp": f"""select ch_number, accounts_type, period_end as accounts_date, {', '.join(f'{x} as c_{x}, p_{x}' for x in FIGURES)}, p_period_end from (select *, {', '.join(f'lag({x}) over w as p_{x}' for x in (*FIGURES, 'period_end'))},
   row_number() over (partition by ch_number order by period_end desc, filing_id desc) as r from filings window w as (partition by ch_number order by period_end, filing_id)) where r=1""",
     "acg": "select *, case when p_net_assets<>0 then cast(floor(100.0*(c_net_assets-p_net_assets)/p_net_assets+0.5) as bigint) end as net_assets_growth from acp",
     "acl": f"""select *, case when accounts_type='Dormant' then 'Dormant' when c_net_assets is null then 'No-Data' when c_net_assets<0 then 'Insolvency-Flag' when c_net_assets<{C.thin_below} then 'Thin' when net_assets_growth>={C.growing_from} then 'Solvent-Growing' else 'Solvent-Stable' end as financial_label from acg""",

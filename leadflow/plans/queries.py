@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,10 @@ from leadflow.config import ENUMS
 from leadflow.functions import text as T
 from leadflow.operators import accounts, compliance, contacts, export, matching, premises, quality, reporting, routing, scoring, territory, triggers
 from leadflow.plans.leads import lead_run
-from leadflow.plans.oracles import AS_OF, PEPPER, akey, by_level, hmac, oracle, parts, ratio, sorted_tokens
+from leadflow.plans.oracles import AS_OF, CTES, PEPPER, akey, by_level, hmac, oracle, parts, ratio, sorted_tokens
 from leadflow.sources import files
+from leadflow.sources.adapters import FIGURES, projected
+from leadflow.streaming import same_day
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,34 +72,68 @@ def _(r):
 _BCODES = "select distinct case k when 0 then district when 1 then sector else unit end as code, case when area='SL' then 'expansion' else 'in_area' end as membership from (select *, premises_no%3 as k from lp) where area<>'SW'"
 
 
-@query("import_boundary", "code granularity membership", "select code, case when length(split_part(code,' ',2))=0 then 'district' when length(split_part(code,' ',2))=1 then 'sector' else 'unit' end as granularity, membership from bcodes", {"bcodes": _BCODES})
-def _(r):
+def _boundary_list(r) -> DataFrame:
     k = F.col("premises_no") % 3
-    raw = T.with_postcode_parts(r.listings).filter("area <> 'SW'").select(F.when(k == 0, F.lower("district")).when(k == 1, F.col("sector")).otherwise(F.col("unit")).alias("code"), F.when(F.col("area") == "SL", "expansion").otherwise("in_area").alias("membership"))
+    raw = r.keyed.filter("area <> 'SW'").select(F.when(k == 0, F.lower("district")).when(k == 1, F.col("sector")).otherwise(F.col("unit")).alias("code"), F.when(F.col("area") == "SL", "expansion").otherwise("in_area").alias("membership"))
     return territory.import_boundary(raw.distinct())
 
 
+@query("import_boundary", "code granularity membership", "select code, case when length(split_part(code,' ',2))=0 then 'district' when length(split_part(code,' ',2))=1 then 'sector' else 'unit' end as granularity, membership from bcodes", {"bcodes": _BCODES})
+def _(r):
+    return _boundary_list(r)
+
+
+@query("boundary_counts", "codes:n in_area:n expansion:n status", "select count(*) as codes, count(*) filter (membership='in_area') as in_area, count(*) filter (membership='expansion') as expansion, 'parsed' as status from bcodes", {"bcodes": _BCODES})
+def _(r):
+    return territory.boundary_counts(_boundary_list(r))
+
+
 @query("file_manifest", "file row_count:n length:n sha256", None)
 def _(r):
-    path = f"{r.folder}/orders.parquet"
-    return files.file_manifest(r.spark, path, r.spark.read.parquet(path).select("o_orderkey", "_metadata"))
+    names = [row.path for row in r.spark.read.format("binaryFile").load(f"{r.folder}/*.parquet").select("path").collect()]  # a row per file
+    rows = [r.spark.read.parquet(n).select("_metadata.file_path").select(F.struct("file_path").alias("_metadata")) for n in names]
+    return files.file_manifest(r.spark, f"{r.folder}/*.parquet", reduce(DataFrame.unionByName, rows))
 
 
-_BODY = "'<ix:nonFraction name=\"uk:NetAssets\" contextRef=\"current\" unitRef=\"GBP\">'||{a}||'</ix:nonFraction> <ix:nonFraction name=\"uk:NetAssets\" contextRef=\"prior\" unitRef=\"GBP\">'||{b}||'</ix:nonFraction><ix:nonFraction name=\"uk:Cash\" contextRef=\"current\">1,'||lpad(cast({c} as string), 3, '0')||'</ix:nonFraction>'"
+_TAG = "'<ix:nonFraction {a}>'||{v}||'</ix:nonFraction>'"
+# Attributes in any order, amounts in thousands, negative amounts by attribute and by parentheses, an unknown tag.
+_BODY = " || ' ' || ".join(_TAG.format(a=a, v=v) for a, v in (
+    ('name="uk:NetAssets" contextRef="current" unitRef="GBP"', "cast(net_assets as string)"),
+    ('contextRef="prior" decimals="0" name="uk:NetAssets"', "cast(net_assets-filing_id%1000 as string)"),
+    ('name="uk:CashBankOnHand" contextRef="current"', "'1,'||lpad(cast(filing_id%1000 as string), 3, '0')"),
+    ('scale="3" contextRef="current" name="core:Debtors"', "cast(filing_id%70 as string)"),
+    ('name="core:Creditors" sign="-" contextRef="current"', "cast(creditors as string)"),
+    ('name="core:NetProfit" contextRef="current"', "'('||cast(filing_id%90 as string)||')'"),
+    ('name="core:Other" contextRef="current"', "'5'"),
+))
 
 
-@query("filing_facts", "filing_id tag current_amount:n prior_amount:n", "select filing_id, 'NetAssets' as tag, net_assets as current_amount, net_assets-filing_id%1000 as prior_amount from filings union all select filing_id, 'Cash', 1000+filing_id%1000, null from filings")
+@query("filing_facts", "filing_id tag current_amount:n prior_amount:n", "select filing_id, 'NetAssets' as tag, net_assets as current_amount, net_assets-filing_id%1000 as prior_amount from filings union all select filing_id, 'CashBankOnHand', 1000+filing_id%1000, null from filings union all select filing_id, 'Debtors', 1000*(filing_id%70), null from filings union all select filing_id, 'Creditors', -creditors, null from filings union all select filing_id, 'NetProfit', -(filing_id%90), null from filings")
 def _(r):
-    body = F.expr(_BODY.format(a="cast(net_assets as string)", b="cast(net_assets-filing_id%1000 as string)", c="filing_id%1000"))
-    out = accounts.extract_filing_facts(r.table("filings").select("filing_id", body.alias("body")))
+    out = accounts.extract_filing_facts(r.table("filings").select("filing_id", F.expr(_BODY).alias("body")))
     return out.withColumnsRenamed({"current": "current_amount", "prior": "prior_amount"})
 
 
-@query("outputs_roundtrip", "output rows_written:n", "select 'ignored_log' as output, count(*) as rows_written from routed where route='ignored' union all select 'reactivation', count(*) from routed where route='reactivation' union all select 'expansion', count(*) from routed where route='expansion'")
+@query("filing_figures", "filing_id net_assets:n cash_at_bank:n debtors:n creditors:n net_profit:n turnover:n", "select filing_id, net_assets, 1000+filing_id%1000 as cash_at_bank, 1000*(filing_id%70) as debtors, -creditors as creditors, -(filing_id%90) as net_profit, null as turnover from filings")
+def _(r):
+    return accounts.facts_wide(accounts.extract_filing_facts(r.table("filings").select("filing_id", F.expr(_BODY).alias("body"))))
+
+
+_EXPORTED = "select 'crm' as output, count(*) as rows_written from routed where route='export' union all select 'ignored_log', count(*) from routed where route='ignored' union all select 'reactivation', count(*) from routed where route='reactivation' union all select 'expansion', count(*) from routed where route='expansion' union all select 'telemetry', 4"
+
+
+@query("outputs_roundtrip", "output run_id:n rows_written:n", f"select *, 199501 as run_id from ({_EXPORTED}) o")
 def _(r):
-    rows = r.routed.filter("route in ('ignored', 'reactivation', 'expansion')")
-    name = F.when(F.col("route") == "ignored", "ignored_log").otherwise(F.col("route"))
-    return rows.groupBy(name.alias("output")).agg(F.count("*").alias("rows_written"))
+    outputs = {
+        "crm": export.mapped_snapshot(export.apply_mapping(_flat(r, "export").select("Lead_ID", *[m[0] for m in _MAPS]), _mappings(r))),
+        "ignored_log": routing.ignored_log(r.routed),
+        "reactivation": routing.reactivation(r.routed, _last_orders(r)),
+        "expansion": routing.expansion(r.routed),
+        "telemetry": _telemetry(r),
+    }
+    paths = files.write_outputs(outputs, f"{r.work}/outputs", 199501)
+    read = [r.spark.read.parquet(path).groupBy("run_id").agg(F.count("*").alias("rows_written")).withColumn("output", F.lit(name)) for name, path in paths.items()]
+    return reduce(DataFrame.unionByName, read)
 
 
 # B. Territory
@@ -136,12 +173,12 @@ def _(r):
 
 @query("territory_snapshot", "run_no:n code granularity postcodes:n", f"select 199501 as run_no, t.code, t.granularity, coalesce(p.n, 0) as postcodes from tres t left join (select code, granularity, count(distinct unit) as n from lpx group by code, granularity) p on t.code=p.code and t.granularity=p.granularity", _ITEMS | {"lpx": by_level("unit", "lp")})
 def _(r):
-    return territory.snapshot_territory(199501, _territory(r), T.with_postcode_parts(r.listings))
+    return territory.snapshot_territory(199501, _territory(r), r.keyed)
 
 
 @query("territory_filter", "listing_id unit", "select listing_id, unit from lp where district in (select code from tres where granularity='district') or sector in (select code from tres where granularity='sector')", _ITEMS)
 def _(r):
-    return territory.filter_territory(T.with_postcode_parts(r.listings), _territory(r))
+    return territory.filter_territory(r.keyed, _territory(r))
 
 
 _MIXED = {"mixed": "select code, granularity, membership from boundary union all select distinct sector, 'sector', 'expansion' from lp where premises_no%17=0"}
@@ -149,7 +186,7 @@ _MIXED = {"mixed": "select code, granularity, membership from boundary union all
 
 @query("delivery_class", "lead_key membership", "select p.lead_key, coalesce(s.membership, d.membership, 'outside') as membership from prem p left join mixed s on s.granularity='sector' and s.code=p.sector left join mixed d on d.granularity='district' and d.code=p.district", _MIXED)
 def _(r):
-    extra = T.with_postcode_parts(r.listings).filter("premises_no % 17 = 0").select(F.col("sector").alias("code"), F.lit("sector").alias("granularity"), F.lit("expansion").alias("membership")).distinct()
+    extra = r.keyed.filter("premises_no % 17 = 0").select(F.col("sector").alias("code"), F.lit("sector").alias("granularity"), F.lit("expansion").alias("membership")).distinct()
     return territory.classify_delivery(r.premises, r.boundary.unionByName(extra))
 
 
@@ -172,7 +209,7 @@ _OVERLAY = {"custx": by_level("account_code", "cust"), "lpc": "select distinct c
 
 @query("overlay_customers", "code granularity points:n", "select c.code, c.granularity, coalesce(p.n, 0) as points from lpc c left join (select code, granularity, count(*) as n from custx group by code, granularity) p on c.code=p.code and c.granularity=p.granularity", _OVERLAY)
 def _(r):
-    coverage = territory.explode_granularity(T.with_postcode_parts(r.listings)).select("code", "granularity").distinct()
+    coverage = territory.explode_granularity(r.keyed).select("code", "granularity").distinct()
     return territory.overlay(coverage, r.customers)
 
 
@@ -183,11 +220,32 @@ def _(r):
     return premises.with_address_key(r.listings.withColumn("address", addr))
 
 
-@query("premises_group", "lead_key primary_brand all_brands brand_count:n platforms_count:n reviews:n rating_tenths:n phone listings:n multi_brand", "prem")
+@query("premises_group", "lead_key primary_brand all_brands brand_count:n platforms_count:n reviews:n rating_tenths:n phone listings:n multi_brand cuisines", "prem")
 def _(r):
     return r.premises
 
 
+# Listings of which some have no usable postcode or address.
+_BAD = {"lpbad": f"select *, {parts()}, {akey()} as address_key from (select * replace (case when listing_id%89=0 then 'N/A' when listing_id%97=0 then null else postcode end as postcode, case when listing_id%83=0 then null else address end as address) from listings)"}
+_BAD["prembad"] = CTES["prem"].replace("from lp)", "from lpbad)")
+
+
+def _bad_premises(r) -> DataFrame:
+    k = F.col("listing_id")
+    bad = r.listings.withColumn("postcode", F.when(k % 89 == 0, "N/A").when(k % 97 != 0, F.col("postcode"))).withColumn("address", F.when(k % 83 != 0, F.col("address")))
+    return premises.group_premises(bad)
+
+
+@query("premises_malformed", "lead_key primary_brand brand_count:n listings:n unit", "prembad", _BAD)
+def _(r):
+    return _bad_premises(r)
+
+
+@query("lead_id_malformed", "lead_key lead_id", "select lead_key, 'LD-'||coalesce(area, 'ZZ')||'-'||lpad(cast(row_number() over (partition by coalesce(area, 'ZZ') order by coalesce(sector, '~'||substr(md5(lead_key), 1, 2)), unit nulls first, address_key nulls first, lead_key) as varchar), 5, '0') as lead_id from prembad", _BAD)
+def _(r):
+    return premises.assign_lead_id(_bad_premises(r).withColumn("tenant", F.lit(None).cast("bigint")), C.prefix)
+
+
 _SPLIT = {"split": "select p.*, coalesce(n.registrations, 0) as registrations, r.fsa_id as tenant from prem p left join regn n on p.address_key=n.address_key and p.unit=n.unit left join regk r on n.registrations>1 and r.address_key=p.address_key and r.unit=p.unit"}
 
 
@@ -196,7 +254,7 @@ def _(r):
     return premises.split_multi_tenant(r.premises, r.table("registrations"))
 
 
-@query("lead_id", "lead_key tenant lead_id", "select *, 'LD-'||area||'-'||lpad(cast(row_number() over (partition by area order by sector, unit, address_key, coalesce(tenant, 0)) as varchar), 5, '0') as lead_id from split", _SPLIT)
+@query("lead_id", "lead_key tenant lead_id", "select *, 'LD-'||area||'-'||lpad(cast(row_number() over (partition by area order by sector, unit, address_key, lead_key, coalesce(tenant, 0)) as varchar), 5, '0') as lead_id from split", _SPLIT)
 def _(r):
     return premises.assign_lead_id(premises.split_multi_tenant(r.premises, r.table("registrations")), C.prefix)
 
@@ -206,18 +264,18 @@ def _(r):
     return premises.lead_brands(r.premises)
 
 
-_PROFILES = {"profiles": "select address_key, unit, platform, max(rating_tenths) as rating, max(reviews) as reviews from lp group by address_key, unit, platform"}
-_WIDE = "select address_key, unit, " + ", ".join(f"max(case when platform='{p}' then {c} end) as {p}_{c}" for p in premises.PLATFORMS for c in ("rating", "reviews")) + " from profiles group by address_key, unit"
+_PROFILES = {"profiles": "select address_key, unit, platform, max(rating_tenths) as rating, max(reviews) as reviews, first(url order by listing_id) as url from lp group by address_key, unit, platform"}
+_WIDE = "select address_key, unit, " + ", ".join(f"max(case when platform='{p}' then {c} end) as {p}_{c}" for p in premises.PLATFORMS for c in ("rating", "reviews", "url")) + " from profiles group by address_key, unit"
 
 
 @query("platform_pivot", "address_key unit justeat_rating:n justeat_reviews:n ubereats_rating:n ubereats_reviews:n deliveroo_rating:n deliveroo_reviews:n", _WIDE, _PROFILES)
 def _(r):
-    return premises.pivot_platforms(premises.platform_profiles(r.listings))
+    return premises.pivot_platforms(premises.platform_profiles(r.keyed))
 
 
 @query("platform_unpivot", "address_key unit platform rating:n reviews:n", "profiles", _PROFILES)
 def _(r):
-    return premises.unpivot_platforms(premises.pivot_platforms(premises.platform_profiles(r.listings)))
+    return premises.unpivot_platforms(premises.pivot_platforms(premises.platform_profiles(r.keyed)))
 
 
 _CONTACTS = {
@@ -253,11 +311,15 @@ def _(r):
     return contacts.contact_slots(_contacts(r))
 
 
-@query("page_contacts", "page_id kind value", "select distinct page_id, 'mail' as kind, unnest(regexp_extract_all(html, '([A-Za-z0-9._]+@[A-Za-z0-9.]+\\.com)', 1)) as value from pages union select page_id, 'whatsapp', '0044'||lpad(cast(page_id as varchar), 8, '0') from pages where page_id%3=0 union select page_id, 'tel', '+44 '||lpad(cast(page_id as varchar), 8, '0') from pages where page_id%5=0")
-def _(r):
+def _linked_pages(r) -> DataFrame:
     number = F.lpad(F.col("page_id").cast("string"), 8, "0")
     links = F.concat(F.when(F.col("page_id") % 3 == 0, F.concat(F.lit(" wa.me/+0044"), number)).otherwise(""), F.when(F.col("page_id") % 5 == 0, F.concat(F.lit(' <a href="tel:+44 '), number, F.lit('">'))).otherwise(""))
-    return contacts.extract_page_contacts(r.table("raw_pages").withColumn("html", F.concat("html", links)))
+    return r.table("raw_pages").withColumn("html", F.concat("html", links))
+
+
+@query("page_contacts", "page_id kind value", "select distinct page_id, 'mail' as kind, unnest(regexp_extract_all(html, '([A-Za-z0-9._]+@[A-Za-z0-9.]+\\.com)', 1)) as value from pages union select page_id, 'whatsapp', '0044'||lpad(cast(page_id as varchar), 8, '0') from pages where page_id%3=0 union select page_id, 'tel', '+44 '||lpad(cast(page_id as varchar), 8, '0') from pages where page_id%5=0")
+def _(r):
+    return contacts.extract_page_contacts(_linked_pages(r))
 
 
 _SUPP = {"supp": f"select distinct {hmac('phone')} as h from listings where premises_no%50=0"}
@@ -325,14 +387,17 @@ def _(r):
     return r.companies
 
 
-@query("director_trace", "ch_number others:n other_list flag", "select c.ch_number, count(o.ch_number) as others, coalesce(array_to_string(list_sort(list(o.ch_number) filter (o.ch_number is not null))[1:5], ' | '), '') as other_list, count(o.ch_number)>0 as flag from companies c left join companies o on c.director_no=o.director_no and o.sic_code like '56%' and o.ch_number<>c.ch_number group by c.ch_number")
+_TRACE = {"traced": "select c.ch_number, count(o.ch_number) as others, coalesce(array_to_string(list_sort(list(o.ch_number) filter (o.ch_number is not null))[1:5], ' | '), '') as other_list, count(o.ch_number)>0 as flag from companies c left join companies o on c.director_no=o.director_no and o.sic_code like '56%' and o.ch_number<>c.ch_number group by c.ch_number"}
+
+
+@query("director_trace", "ch_number others:n other_list flag", "traced", _TRACE)
 def _(r):
     return matching.trace_directors(r.table("companies"))
 
 
 @query("ownership_change", "ch_number unit reason changed_on:d", "owner")
 def _(r):
-    return matching.ownership_changes(r.table("companies"))
+    return r.owners
 
 
 @query("red_flags", "ch_number red_flags", "select ch_number, case when charges and strike_off then 'Charges / Strike-off' when charges then 'Charges' when strike_off then 'Strike-off' else 'None' end as red_flags from companies")
@@ -340,16 +405,16 @@ def _(r):
     return matching.red_flags(r.table("companies"))
 
 
-@query("people_slots", "ch_number director_1 director_1_role director_2 psc_1", "select ch_number, 'Dir '||lpad(cast(director_no as varchar), 3, '0') as director_1, 'Director' as director_1_role, case when director_no%2=0 then 'Other '||lpad(cast(director_no as varchar), 3, '0') end as director_2, 'Psc '||ch_number as psc_1 from companies")
+_PEOPLE = {"people": "select ch_number, min(person_name) filter (kind='director') as director_1, 'Director' as director_1_role, case when count(*) filter (kind='director')>1 then max(person_name) filter (kind='director') end as director_2, case when count(*) filter (kind='director')>1 then 'Director' end as director_2_role, min(person_name) filter (kind='psc') as psc_1 from officers group by ch_number"}
+
+
+@query("people_slots", "ch_number director_1 director_1_role director_2 director_2_role psc_1", "people", _PEOPLE)
 def _(r):
-    no = F.lpad(F.col("director_no").cast("string"), 3, "0")
-    p = lambda name, kind, role: F.struct(name.alias("name"), F.lit(kind).alias("kind"), F.lit(role).alias("role"))
-    people = F.array_compact(F.array(F.when(F.col("director_no") % 2 == 0, p(F.concat(F.lit("Other "), no), "director", "Director")), p(F.concat(F.lit("Psc "), "ch_number"), "psc", ""), p(F.concat(F.lit("Dir "), no), "director", "Director")))
-    return matching.people_slots(r.table("companies").select("ch_number", F.to_json(people).alias("people")))
+    return matching.people_slots(matching.people_json(r.table("officers")))
 
 
 # E. Accounts
-@query("accounts_cp", "ch_number accounts_type accounts_date:d c_net_assets:n p_net_assets:n p_period_end:d", "acp")
+@query("accounts_cp", "ch_number accounts_type accounts_date:d p_period_end:d " + " ".join(f"c_{x}:n p_{x}:n" for x in FIGURES), "acp")
 def _(r):
     return accounts.current_and_prior(r.table("filings"))
 
@@ -410,10 +475,10 @@ def _(r):
 
 @query("same_day_stream", "day:d lead_no trigger_type n:n", "select cast(ts as date) as day, lead_no, trigger_type, count(*) as n from signals where lead_no is not null and ts is not null group by cast(ts as date), lead_no, trigger_type")
 def _(r):
-    from leadflow.streaming.same_day import queue_stream
-
-    out = queue_stream(r.table("signals"))  # the same plan on a bounded table; tests run it as a stream
-    return out.select(F.to_date("w.start").alias("day"), "lead_no", "trigger_type", "n")
+    landed = f"{r.folder}/event[s].parquet"  # a pattern: the files that have landed so far
+    events = r.spark.readStream.schema(r.spark.read.parquet(landed).schema).parquet(landed)
+    out = same_day.drain(r.spark, projected(r.spark, "signals", events), files.work_folder(r.spark, "same-day"))
+    return out.select(F.to_date("start").alias("day"), "lead_no", "trigger_type", "n")
 
 
 # G. Scoring
@@ -484,8 +549,11 @@ def _(r):
 
 @query("reactivation", "lead_key account_code match_pct:n last_order:d", "select r.lead_key, r.account_code, r.match_pct, l.last_order from routed r left join (select account_code, max(day) as last_order from customers c join co on c.customer_no=co.customer_no group by account_code) l on r.account_code=l.account_code where route='reactivation'", _ORDERS)
 def _(r):
-    last = _orders(r).groupBy("customer_no").agg(F.max("day").alias("last_order")).join(r.table("customers"), "customer_no").select("account_code", "last_order")
-    return routing.reactivation(r.routed, last)
+    return routing.reactivation(r.routed, _last_orders(r))
+
+
+def _last_orders(r) -> DataFrame:
+    return _orders(r).groupBy("customer_no").agg(F.max("day").alias("last_order")).join(r.table("customers"), "customer_no").select("account_code", "last_order")
 
 
 @query("expansion", "lead_key district membership verify_state held_reason", "select *, 'Held: '||district||' is '||membership as held_reason from routed where route='expansion'")
@@ -497,7 +565,7 @@ _REPS = {"repmap": "select district, 'REP-'||substr(district, 1, 2) as rep from
 
 
 def _with_reps(r) -> DataFrame:
-    m = T.with_postcode_parts(r.listings).filter("area in ('TW', 'UB')").select("district").distinct().withColumn("rep", F.concat(F.lit("REP-"), F.substring("district", 1, 2)))
+    m = r.keyed.filter("area in ('TW', 'UB')").select("district").distinct().withColumn("rep", F.concat(F.lit("REP-"), F.substring("district", 1, 2)))
     return routing.assign_reps(r.premises, m, ["REP-1", "REP-2", "REP-3"])
 
 
@@ -519,37 +587,63 @@ def _(r):
 
 
 # I. Export
-def _flat(r) -> DataFrame:
+def _flat(r, route: str | None = None) -> DataFrame:
+    """The flat layout of all leads, or of those of a route."""
     slots = contacts.contact_slots(_contacts(r))
-    wide = premises.pivot_platforms(premises.platform_profiles(r.listings)).withColumn("lead_key", F.concat_ws("|", "address_key", "unit")).drop("address_key", "unit")
+    wide = premises.pivot_platforms(premises.platform_profiles(r.keyed)).withColumn("lead_key", F.concat_ws("|", "address_key", "unit")).drop("address_key", "unit")
     traced = matching.trace_directors(r.table("companies")).select("ch_number", "other_list", F.col("flag").alias("other_flag"))
-    owner = matching.ownership_changes(r.table("companies")).select("ch_number", "changed_on", F.lit(True).alias("ownership_flag"))
+    owner = r.owners.select("ch_number", "changed_on", F.lit(True).alias("ownership_flag"))
     hits = triggers.review_snippet(triggers.mine_reviews(r.table("reviews"))).select("premises_no", "snippet", F.col("source").alias("review_source"), "review_date", F.lit(True).alias("review_flag"))
     ids = premises.assign_lead_id(r.premises.withColumn("tenant", F.lit(None).cast("bigint")), C.prefix).select("lead_key", "lead_id")
-    flags = matching.red_flags(r.table("companies"))
-    out = r.routed.join(ids, "lead_key").join(slots, "lead_key", "left").join(wide, "lead_key", "left").join(r.accounts, "ch_number", "left")
-    out = out.join(traced, "ch_number", "left").join(owner, "ch_number", "left").join(flags, "ch_number", "left").join(hits, "premises_no", "left")
-    empty = {c: F.lit(None).cast("string") for c in ("director_1", "director_1_role", "director_2", "psc_1")}
+    flags, people = matching.red_flags(r.table("companies")), matching.people_slots(matching.people_json(r.table("officers")))
+    day = lambda age: F.date_sub(F.lit(C.as_of).cast("date"), F.col(age).cast("int"))
+    place = r.table("place_lookups").select("premises_no", "place_id", F.col("rating_tenths").alias("google_rating"), F.col("reviews").alias("google_reviews"), F.col("phone").alias("google_phone"), F.col("address").alias("google_address"), day("looked_up_age").alias("google_looked_up"))
+    of_kind = lambda k: F.min(F.when(F.col("kind") == k, F.col("value")))
+    page = contacts.extract_page_contacts(_linked_pages(r)).groupBy(F.col("page_id").alias("premises_no")).agg(of_kind("whatsapp").alias("whatsapp"), of_kind("tel").alias("website_phone"), of_kind("profile").alias("facebook_url"))
+    out = r.routed if route is None else r.routed.filter(F.col("route") == route)
+    for table, key in ((ids, "lead_key"), (slots, "lead_key"), (wide, "lead_key"), (_with_reps(r).select("lead_key", "rep"), "lead_key"), (r.accounts, "ch_number"), (traced, "ch_number"), (owner, "ch_number"), (flags, "ch_number"), (people, "ch_number"), (hits, "premises_no"), (place, "premises_no"), (page, "premises_no")):
+        out = out.join(table, key, "left")
     shown = F.col("match_pct") < C.active_threshold
-    return export.flatten_layout(out.withColumns(empty | {"new_business": F.col("days_since_registration") < C.new_days, "shown_match_pct": F.when(shown, F.col("match_pct")), "shown_fields": F.when(shown, F.col("matched_fields")), "run_date": F.lit(C.as_of), "search_code": F.col("district"), "lead_status": F.lit("new")}))
-
-
-_YES = lambda c: f"case when coalesce({c}, false) then 'Yes' else 'No' end"
-_FLAT = _CONTACTS | _PROFILES | {
+    return export.flatten_layout(out.withColumns({
+        "new_business": F.col("days_since_registration") < C.new_days, "shown_match_pct": F.when(shown, F.col("match_pct")), "shown_fields": F.when(shown, F.col("matched_fields")),
+        "run_date": F.lit(C.as_of), "search_code": F.col("district"), "lead_status": F.lit("new"), "last_inspection": day("last_inspection_age"), "incorporated_on": day("company_age"),
+    }))
+
+
+def _flat_sql() -> str:
+    """A text column per layout column; the expression of each in terms of the joined tables."""
+    yes = lambda c: f"case when coalesce({c}, false) then 'Yes' else 'No' end"
+    tenths = lambda c: f"{c}//10||'.'||{c}%10"
+    day = lambda c: f"{AS_OF}-cast({c} as int)"
+    shown = lambda c: f"case when r.match_pct<{C.active_threshold} then {c} end"
+    own = {
+        "Lead_ID": "i.lead_id", "Last_Inspection_Date": day("r.last_inspection_age"), "Incorporation_Date": day("r.company_age"), "Red_Flags": "f.red_flags", "Directors_Other_Food_Companies": yes("t.flag"), "Directors_Other_Companies_List": "t.other_list",
+        "Multi_Brand_Flag": yes("r.multi_brand"), "New_Business_Flag": yes(f"r.days_since_registration<{C.new_days}"), "Recent_Ownership_Change_Flag": yes("o.reason is not null"), "Ownership_Change_Date": "o.changed_on", "Review_Trigger_Flag": yes("h.snippet is not null"),
+        "Review_Trigger_Snippet": "h.snippet", "Review_Trigger_Source": "h.source", "Review_Trigger_Date": "h.review_date", "Match_Pct": shown("r.match_pct"), "Matched_Fields": shown("r.matched_fields"), "Run_Date": f"'{C.as_of}'", "Search_Code": "r.district", "Lead_Status": "'new'",
+        "Google_Place_ID": "g.place_id", "Google_Rating": tenths("g.rating_tenths"), "Google_Reviews": "g.reviews", "Google_Phone": "g.phone", "Google_Address": "g.address", "Google_Lookup_Date": day("g.looked_up_age"),
+        "WhatsApp_Link_Number": "case when v.page_id%3=0 then '0044'||lpad(cast(v.page_id as varchar), 8, '0') end", "Website_Phone": "case when v.page_id%5=0 then '+44 '||lpad(cast(v.page_id as varchar), 8, '0') end", "Facebook_URL": "null", "Assigned_Rep": "p.rep",
+    }
+    of = {"mobile_": "s", "landline_": "s", "sources": "s", "justeat_": "w", "ubereats_": "w", "deliveroo_": "w", "c_": "a", "p_net": "a", "net_assets": "a", "accounts_": "a", "financial_": "a", "director_": "d", "psc_": "d"}
+    made = []
+    for name, kind, src in export.LAYOUT:
+        at = next((f"{t}.{src}" for prefix, t in of.items() if src and src.startswith(prefix)), f"r.{src}" if src else "null")
+        made.append(f'cast({own.get(name) or (tenths(at) if kind == "d" else at)} as varchar) as "{name}"')
+    joins = "left join slots s on r.lead_key=s.lead_key left join wide w on r.lead_key=w.address_key||'|'||w.unit left join acl a on r.ch_number=a.ch_number left join traced t on r.ch_number=t.ch_number left join owner o on r.ch_number=o.ch_number left join snippets h on r.premises_no=h.premises_no"
+    joins += " left join flags f on r.ch_number=f.ch_number left join people d on r.ch_number=d.ch_number left join place_lookups g on r.premises_no=g.premises_no left join raw_pages v on r.premises_no=v.page_id join reps p on r.lead_key=p.lead_key"
+    return f"select {', '.join(made)}, r.route from routed r join ids i on r.lead_key=i.lead_key {joins}"
+
+
+_FLAGS = "select ch_number, case when charges and strike_off then 'Charges / Strike-off' when charges then 'Charges' when strike_off then 'Strike-off' else 'None' end as red_flags from companies"
+_FLAT = _CONTACTS | _PROFILES | _PEOPLE | _REPS | _TRACE | {
     "slots": _SLOT,
     "wide": _WIDE,
-    "ids": "select lead_key, 'LD-'||area||'-'||lpad(cast(row_number() over (partition by area order by sector, unit, address_key) as varchar), 5, '0') as lead_id from prem",
-    "traced": "select c.ch_number, count(o.ch_number)>0 as flag from companies c left join companies o on c.director_no=o.director_no and o.sic_code like '56%' and o.ch_number<>c.ch_number group by c.ch_number",
-    "flat": f"""select i.lead_id as "Lead_ID", r.primary_brand as "Primary_Brand_Name", cast(r.brand_count as varchar) as "Brand_Count", s.mobile_1 as "Phone_Mobile_1", s.sources as "Phone_Sources", cast(r.fsa_id as varchar) as "FSA_ID", r.ch_number as "CH_Number",
-  {_YES('t.flag')} as "Directors_Other_Food_Companies", cast(a.c_net_assets as varchar) as "c_Net_Assets", cast(a.net_assets_growth as varchar) as "Net_Assets_Growth", a.financial_label as "Financial_Label", w.justeat_rating//10||'.'||w.justeat_rating%10 as "JustEat_Rating",
-  {_YES('r.multi_brand')} as "Multi_Brand_Flag", {_YES(f'r.days_since_registration<{C.new_days}')} as "New_Business_Flag", {_YES('o.reason is not null')} as "Recent_Ownership_Change_Flag", h.snippet as "Review_Trigger_Snippet", cast(r.bonus as varchar) as "Trigger_Score_Bonus", cast(r.score as varchar) as "Lead_Score", r.tier as "Priority_Tier",
-  cast(case when r.match_pct<{C.active_threshold} then r.match_pct end as varchar) as "Match_Pct", r.breakdown as "Score_Breakdown", r.district as "Search_Code", 'new' as "Lead_Status"
-  from routed r join ids i on r.lead_key=i.lead_key left join slots s on r.lead_key=s.lead_key left join wide w on r.lead_key=w.address_key||'|'||w.unit left join acl a on r.ch_number=a.ch_number left join traced t on r.ch_number=t.ch_number left join owner o on r.ch_number=o.ch_number left join snippets h on r.premises_no=h.premises_no""",
+    "ids": "select lead_key, 'LD-'||area||'-'||lpad(cast(row_number() over (partition by area order by sector, unit, address_key, lead_key) as varchar), 5, '0') as lead_id from prem",
+    "flags": _FLAGS,
+    "flat": _flat_sql(),
 }
-_SHOWN = "Lead_ID Primary_Brand_Name Brand_Count Phone_Mobile_1 Phone_Sources FSA_ID CH_Number Directors_Other_Food_Companies c_Net_Assets Net_Assets_Growth Financial_Label JustEat_Rating Multi_Brand_Flag New_Business_Flag Recent_Ownership_Change_Flag Review_Trigger_Snippet Trigger_Score_Bonus Lead_Score Priority_Tier Match_Pct Score_Breakdown Search_Code Lead_Status"
 
 
-@query("flat_layout", _SHOWN, "flat", _FLAT)
+@query("flat_layout", " ".join(name for name, _, _ in export.LAYOUT), "flat", _FLAT)
 def _(r):
     return _flat(r)
 
@@ -561,12 +655,12 @@ def _mappings(r) -> DataFrame:
     return r.spark.createDataFrame(list(_MAPS), "internal_field string, target_field string, transform string, is_verified boolean")
 
 
-@query("field_mapping", "Lead_ID mapped_values", """select "Lead_ID", 'name='||upper("Primary_Brand_Name")||';phone='||coalesce("Phone_Mobile_1", '')||';score='||"Lead_Score"||';tier='||"Priority_Tier" as mapped_values from flat""", _FLAT)
+@query("field_mapping", "Lead_ID mapped_values", """select "Lead_ID", '{"name":"'||upper("Primary_Brand_Name")||'","phone":"'||coalesce("Phone_Mobile_1", '')||'","score":"'||"Lead_Score"||'"}' as mapped_values from flat""", _FLAT)
 def _(r):
     return export.mapped_snapshot(export.apply_mapping(_flat(r).select("Lead_ID", *[m[0] for m in _MAPS]), _mappings(r)))
 
 
-_ITEMS2 = {"items": "select lead_key, run_no%4 as batch_id from routed where route='export'", "batches": "select distinct run_no%4 as batch_id, case run_no%4 when 0 then 'draft' when 1 then 'approved' else 'exported' end as status from runs"}
+_ITEMS2 = {"items": "select lead_key, run_no%4 as batch_id from routed where route='export'", "batches": "select distinct run_no%4 as batch_id, case run_no%4 when 0 then 'draft' else 'approved' end as status from runs"}
 
 
 def _items(r) -> DataFrame:
@@ -575,12 +669,15 @@ def _items(r) -> DataFrame:
 
 def _batches(r) -> DataFrame:
     b = F.col("run_no") % 4
-    return r.table("runs").select(b.alias("batch_id"), F.when(b == 0, "draft").when(b == 1, "approved").otherwise("exported").alias("status")).distinct()
+    return r.table("runs").select(b.alias("batch_id"), F.when(b == 0, "draft").otherwise("approved").alias("status")).distinct()
 
 
-@query("export_gate", "batch_id:n status items:n may_export", "select b.batch_id, b.status, coalesce(i.n, 0) as items, b.status='approved' and coalesce(i.n, 0)>0 as may_export from batches b left join (select batch_id, count(*) as n from items group by batch_id) i on b.batch_id=i.batch_id", _ITEMS2)
+# Batches 0 and 1 use verified mappings only, batch 2 one that is not verified, batch 3 none.
+@query("export_gate", "batch_id:n status items:n verified may_export", "select b.batch_id, b.status, coalesce(i.n, 0) as items, b.batch_id<2 as verified, b.status='approved' and coalesce(i.n, 0)>0 and b.batch_id<2 as may_export from batches b left join (select batch_id, count(*) as n from items group by batch_id) i on b.batch_id=i.batch_id", _ITEMS2)
 def _(r):
-    return export.export_gate(_batches(r), _items(r), _mappings(r).filter("is_verified"))
+    fields = [(k, m[0]) for k in range(3) for m in _MAPS if m[3] or k == 2]
+    used = r.spark.createDataFrame(fields, "batch_id bigint, internal_field string")
+    return export.export_gate(_batches(r), _items(r), used, _mappings(r))
 
 
 @query("export_batch", "batch_id:n lead_count:n", "select batch_id, count(*) as lead_count from items group by batch_id", _ITEMS2)
@@ -593,28 +690,36 @@ _SAFE = {"safe": f"select * from (select *, row_number() over (partition by lead
 
 def _telesales(r) -> DataFrame:
     leads = r.routed.join(_with_reps(r).select("lead_key", "rep"), "lead_key")
-    return export.telesales_rows(_items(r), leads, contacts.safe_contact(_contacts(r), _suppression(r), PEPPER), _batches(r).filter("status = 'approved'"))
+    return export.telesales_rows(_items(r), leads, contacts.safe_contact(_contacts(r), _suppression(r), PEPPER), _batches(r).filter("status = 'approved'"), r.triggers, C.as_of)
 
 
-_TELE = _ITEMS2 | _CONTACTS | _SUPP | _SAFE | _REPS | {"tele": "select i.batch_id, r.lead_key, r.primary_brand as business_name, r.address as trading_address, r.unit as postcode, s.phone as safe_phone, r.tier, p.rep from items i join routed r on i.lead_key=r.lead_key join reps p on r.lead_key=p.lead_key left join safe s on r.lead_key=s.lead_key where i.batch_id=1"}
+_TELE = _ITEMS2 | _CONTACTS | _SUPP | _SAFE | _REPS | {
+    "why": "select lead_key, array_to_string(list_sort(list(distinct trigger_type)), ', ') as trigger_reason from trig group by lead_key",
+    "tele": f"select i.batch_id, r.lead_key, r.primary_brand as business_name, r.address as trading_address, r.unit as postcode, s.phone as safe_phone, r.tier, p.rep, 'new' as lead_status, y.trigger_reason, 'open' as worked_status, cast(null as varchar) as outcome_notes, {AS_OF} as assigned_at from items i join routed r on i.lead_key=r.lead_key join reps p on r.lead_key=p.lead_key left join safe s on r.lead_key=s.lead_key left join why y on r.lead_key=y.lead_key where i.batch_id>0",
+}
+_TELE_COLUMNS = "batch_id:n lead_key business_name trading_address postcode safe_phone tier rep lead_status trigger_reason worked_status outcome_notes:s assigned_at:d"
 
 
-@query("telesales_rows", "batch_id:n lead_key business_name trading_address postcode safe_phone tier rep", "tele", _TELE)
+@query("telesales_rows", _TELE_COLUMNS, "tele", _TELE)
 def _(r):
     return _telesales(r)
 
 
-@query("contamination", "contaminated:n", "select count(*) as contaminated from items i join classified c on i.lead_key=c.lead_key where c.match_class='active_match'", _ITEMS2)
+# The leads of the export, and all leads of the run as a set that must not go out.
+@query("contamination", "item_set items:n contaminated:n", "select 'export' as item_set, count(*) as items, count(*) filter (match_class='active_match') as contaminated from routed where route='export' union all select 'all_leads', count(*), count(*) filter (match_class='active_match') from routed", _ITEMS2)
 def _(r):
-    return export.contamination(_items(r), r.classified)
+    export_set = _items(r).select("lead_key", F.lit("export").alias("item_set"))
+    return export.contamination(export_set.unionByName(r.routed.select("lead_key", F.lit("all_leads").alias("item_set"))), r.classified)
 
 
-@query("apply_outcomes", "lead_key rep worked_status lead_status rejected", "select lead_key, rep, case when premises_no%3=1 then 'contacted' else 'open' end as worked_status, 'new' as lead_status, premises_no%3=2 as rejected from reps", _REPS)
+@query("apply_outcomes", "lead_key rep worked_status lead_status outcome_notes rejected", "select lead_key, rep, case when premises_no%3=1 then 'contacted' else 'open' end as worked_status, case when premises_no%3=1 and premises_no%2=0 then 'contacted' else 'new' end as lead_status, case when premises_no%3=1 then 'called' end as outcome_notes, premises_no%3=2 as rejected from reps", _REPS)
 def _(r):
-    a = _with_reps(r).select("lead_key", "rep", F.lit("open").alias("worked_status"), F.lit("new").alias("lead_status"))
-    u = r.premises.select("lead_key", F.col("premises_no") % 3 == 1).toDF("lead_key", "own").join(_with_reps(r).select("lead_key", "rep"), "lead_key")
-    third = r.premises.filter("premises_no % 3 <> 0").select("lead_key")
-    updates = u.join(third, "lead_key", "left_semi").select("lead_key", F.when(F.col("own"), F.col("rep")).otherwise("NOBODY").alias("rep"), F.lit("contacted").alias("worked_status"), F.lit(None).cast("string").alias("lead_status"))
+    a = _with_reps(r).join(r.premises.select("lead_key", "premises_no"), "lead_key").withColumns({"worked_status": F.lit("open"), "lead_status": F.lit("new"), "outcome_notes": F.lit(None).cast("string")})
+    k = F.col("premises_no") % 3
+    updates = a.filter(k != 0).select(
+        "lead_key", F.when(k == 1, F.col("rep")).otherwise("NOBODY").alias("rep"), F.lit("contacted").alias("worked_status"),
+        F.when(F.col("premises_no") % 2 == 0, "contacted").alias("lead_status"), F.lit("called").alias("outcome_notes"),
+    )
     return export.apply_outcomes(a, updates)
 
 
@@ -626,7 +731,7 @@ def _(r):
 
 @query("suppress", "lead_key", f"select lead_key from prem where {hmac('phone')} not in (select h from supp) and area||'x'<>'x' and unit not in (select unit from lp where premises_no%90=0)", _SUPP)
 def _(r):
-    codes = T.with_postcode_parts(r.listings).filter("premises_no % 90 = 0").select(F.lit("postcode").alias("match_type"), T.hmac_sha256(F.col("unit"), PEPPER).alias("match_hmac"), F.lit("active").alias("status")).distinct()
+    codes = r.keyed.filter("premises_no % 90 = 0").select(F.lit("postcode").alias("match_type"), T.hmac_sha256(F.col("unit"), PEPPER).alias("match_hmac"), F.lit("active").alias("status")).distinct()
     old = codes.limit(0).unionByName(r.listings.filter("premises_no % 91 = 0").select(F.lit("brand").alias("match_type"), T.hmac_sha256(F.lower("brand_name"), PEPPER).alias("match_hmac"), F.lit("withdrawn").alias("status")))
     return compliance.suppress(r.premises, _suppression(r).unionByName(codes).unionByName(old), PEPPER)
 
@@ -695,26 +800,56 @@ def _(r):
     return compliance.role_view(r.table("runs"), "pipeline_runs", "management")
 
 
-@query("role_view_telesales", "lead_key business_name postcode safe_phone tier rep", "select * from tele where rep='REP-UB'", _TELE)
+@query("role_view_telesales", _TELE_COLUMNS, "select * from tele where rep='REP-UB'", _TELE)
 def _(r):
     return compliance.role_view(_telesales(r), "telesales_assignments", "telesales", "REP-UB")
 
 
+_PROFILE_SQL = "select s_suppkey as user_id, case s_suppkey%3 when 0 then 'owner' when 1 then 'management' else 'telesales' end as role, 'REP-'||s_suppkey as rep_code from supplier"
+
+
+# What the owner, the manager 4 and the developer 5 see of the user profiles.
+@query("role_view_profiles", "viewer user_id:n role rep_code", "select 'owner' as viewer, * from profiles_of union all select 'management', * from profiles_of where user_id=4 union all select 'developer', * from profiles_of where user_id=5", {"profiles_of": _PROFILE_SQL})
+def _(r):
+    k = F.col("s_suppkey")
+    users = r.spark.read.parquet(f"{r.folder}/supplier.parquet").select(k.alias("user_id"), F.when(k % 3 == 0, "owner").when(k % 3 == 1, "management").otherwise("telesales").alias("role"), F.concat(F.lit("REP-"), k.cast("string")).alias("rep_code"))
+    views = [compliance.role_view(users, "user_profiles", viewer, user=user).withColumn("viewer", F.lit(viewer)) for viewer, user in (("owner", "3"), ("management", "4"), ("developer", "5"))]
+    return reduce(DataFrame.unionByName, views)
+
+
+_RULES = "case when run_no%9=0 then 'run_type' end, case when not cost<=8 then 'cost' end"
+
+
+@query("validate_split", "part run_no:n failed:s", f"select case when failed='' then 'good' else 'quarantine' end as part, run_no, nullif(failed, '') as failed from (select run_no, array_to_string(list_filter([{_RULES}], lambda x: x is not null), ',') as failed from runs) v")
+def _(r):
+    df = r.table("runs").withColumn("run_type", F.when(F.col("run_no") % 9 == 0, "daily").otherwise(F.col("run_type")))
+    good, bad = quality.split_valid(df, {"run_type": quality.in_enum("run_type", ENUMS["run_type"]), "cost": F.col("cost") <= 8})
+    none = F.lit(None).cast("string")
+    return good.select(F.lit("good").alias("part"), "run_no", none.alias("failed")).unionByName(bad.select(F.lit("quarantine").alias("part"), "run_no", "failed"))
+
+
 @query("validate", "run_no:n failed", "select run_no, array_to_string(list_filter([case when run_no%9=0 then 'run_type' end, case when status not in ('queued','running','complete','failed','blocked','archived') then 'status' end, case when not cost<=8 then 'cost' end], lambda x: x is not null), ',') as failed from runs")
 def _(r):
     df = r.table("runs").withColumn("run_type", F.when(F.col("run_no") % 9 == 0, "daily").otherwise(F.col("run_type")))
     return quality.validate(df, {"run_type": quality.in_enum("run_type", ENUMS["run_type"]), "status": quality.in_enum("status", ENUMS["run_status"]), "cost": F.col("cost") <= 8})
 
 
-@query("orphans", "filing_id ch_number", "select filing_id, ch_number from filings where ch_number not in (select ch_number from companies)")
+@query("orphans", "filing_id ch_number", "select filing_id, ch_number from filings where ch_number not in (select ch_number from companies where ch_status='Active')")
 def _(r):
-    return quality.check_refs(r.table("filings"), r.table("companies"), "ch_number", "ch_number")
+    return quality.check_refs(r.table("filings"), r.table("companies").filter("ch_status = 'Active'"), "ch_number", "ch_number")
 
 
 # K. Reporting
-@query("telemetry", "step:n stage n:n", "select 0 as step, 'discovered' as stage, count(*) as n from listings union all select 1, 'deduplicated', count(*) from prem union all select 2, 'matched', count(*) from best union all select 3, 'export', count(*) from routed where route='export'")
+def _telemetry(r) -> DataFrame:
+    export_rows = r.routed.filter("route = 'export'")
+    broken = r.best.select(F.raise_error(F.lit("no such stage")).alias("x"))
+    return reporting.telemetry(r.spark, [("discovered", r.listings, 0.0), ("deduplicated", r.premises, 0.0), ("enriched", broken, 0.0), ("export", export_rows, C.unit_cost)])
+
+
+# The third stage fails: it has no count but a failure. Seconds differ from run to run and are left out.
+@query("telemetry", "step:n stage n:n pence:n failed", f"select 0 as step, 'discovered' as stage, count(*) as n, 0 as pence, false as failed from listings union all select 1, 'deduplicated', count(*), 0, false from prem union all select 2, 'enriched', null, 0, true union all select 3, 'export', count(*), {round(100 * C.unit_cost)}, false from routed where route='export'")
 def _(r):
-    return reporting.telemetry([("discovered", r.listings), ("deduplicated", r.premises), ("matched", r.best), ("export", r.routed.filter("route = 'export'"))])
+    return _telemetry(r).select("step", "stage", "n", T.percent(F.col("cost") * 100).alias("pence"), F.col("failure").isNotNull().alias("failed"))
 
 
 @query("run_coverage", "run_no:n code granularity found:n ignored:n exported:n reactivation:n", "units")
@@ -784,7 +919,7 @@ def _(r):
 
 @query("territory_overview", "territory_set items:n mix postcodes:n last_used:d", "select area as territory_set, count(distinct district) as items, 'outer_code' as mix, count(distinct unit) as postcodes, max(listed_on) as last_used from lp group by area")
 def _(r):
-    lp = T.with_postcode_parts(r.listings)
+    lp = r.keyed
     items = lp.select(F.col("area").alias("territory_set"), F.lit("outer_code").alias("item_type"), "district").distinct()
     resolved = lp.groupBy(F.col("area").alias("territory_set"), "district").agg(F.countDistinct("unit").alias("postcodes"))
     return reporting.territory_overview(items, resolved, lp.select(F.col("area").alias("territory_set"), F.col("listed_on").alias("used_on")))

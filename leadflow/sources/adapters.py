@@ -49,7 +49,15 @@ def _phone(k: str) -> str:
 
 
 _K = "(case when o_orderkey%5=0 then o_custkey+100000 else o_custkey end)"
-_PART = f"{_address('p_partkey')} as address, {_postcode('p_partkey')} as postcode"
+# Keys under which the odd customers and some parts trade: no row is left out, but these meet no premises.
+_C = "(case when c_custkey%2=0 then c_custkey else c_custkey+500000 end)"
+_P8 = "(case when p_partkey%8<>0 then p_partkey else p_partkey+500000 end)"
+_P9 = "(case when p_partkey%9<>0 then p_partkey else p_partkey+500000 end)"
+_N = "cast(floor(o_totalprice) as bigint)"
+# Figures of filed accounts; the same names with c_ and p_ in front are those of the current and the prior year.
+FIGURES = ("total_assets", "fixed_assets", "current_assets", "cash_at_bank", "debtors", "creditors", "current_liabilities", "net_assets", "equity", "turnover", "gross_profit", "net_profit", "employees")
+_REGISTRATION = f"""{_name(_P9)} || ' Foods' as operator_name, {_address(_P9)} as address, {_postcode(_P9)} as postcode, p_type as business_type, cast(p_size%6 as bigint) as hygiene, cast(p_partkey%400 as bigint) as days_since_registration,
+  cast(p_size*10 as bigint) as last_inspection_age, cast('51.' || lpad({_s('p_partkey%10000')}, 4, '0') as decimal(8,4)) as lat, cast('-0.' || lpad({_s('p_partkey*3%10000')}, 4, '0') as decimal(8,4)) as lng from part"""
 
 SQL: dict[str, tuple[str, str]] = {
     "listings": (
@@ -58,33 +66,45 @@ SQL: dict[str, tuple[str, str]] = {
   case o_orderkey%3 when 0 then 'justeat' when 1 then 'ubereats' else 'deliveroo' end as platform,
   (case when o_orderkey%7=0 then {_name(_K + '+13')} else {_name(_K)} end) || (case when o_orderkey%4=0 then ' Ltd' else '' end) as brand_name,
   {_address(_K)} as address, {_postcode(_K)} as postcode, {_phone(_K)} as phone,
-  cast(floor(o_totalprice/100) as bigint) as reviews, cast(10+o_orderkey%41 as bigint) as rating_tenths, cast(o_orderdate as date) as listed_on
+  cast(floor(o_totalprice/100) as bigint) as reviews, cast(10+o_orderkey%41 as bigint) as rating_tenths, cast(o_orderdate as date) as listed_on,
+  'https://p' || {_s('o_orderkey%3')} || '.example/' || {_s('o_orderkey')} as url, {_w2(_q(_K, 7) + '%7')} as cuisine_type
 from orders""",
     ),
     "customers": (
         "customer",
-        f"""select 'A' || {_s('c_custkey')} as account_code, c_custkey as customer_no, {_name('c_custkey')} as name, {_address('c_custkey')} as address,
-  {_postcode('c_custkey')} as postcode, {_phone('c_custkey')} as phone, case when c_custkey%3=0 then 'inactive' else 'active' end as status,
-  cast(c_custkey%4 as bigint) as rep_no from customer where c_custkey%2=0""",
+        f"""select 'A' || {_s('c_custkey')} as account_code, c_custkey as customer_no, {_name(_C)} as name, {_address(_C)} as address,
+  {_postcode(_C)} as postcode, {_phone(_C)} as phone, case when c_custkey%3=0 then 'inactive' else 'active' end as status,
+  cast(c_custkey%4 as bigint) as rep_no from customer""",
     ),
     "registrations": (
         "part",
-        f"""select fsa_id, operator_name, address, postcode, business_type, hygiene, days_since_registration from (
-  select p_partkey as fsa_id, {_name('p_partkey')} || ' Foods' as operator_name, {_PART}, p_type as business_type, cast(p_size%6 as bigint) as hygiene, cast(p_partkey%400 as bigint) as days_since_registration from part where p_partkey%9<>0
+        f"""select fsa_id, operator_name, address, postcode, business_type, hygiene, days_since_registration, last_inspection_age, lat, lng from (
+  select p_partkey as fsa_id, {_REGISTRATION}
   union all
-  select p_partkey+1000000, {_name('p_partkey')} || ' Foods', {_PART}, p_type, cast(p_size%6 as bigint), cast(p_partkey%400 as bigint) from part where p_partkey%9<>0 and p_partkey%11=0) r""",
+  select p_partkey+1000000, {_REGISTRATION} where p_partkey%11=0) r""",
     ),
     "companies": (
         "part",
-        f"""select lpad({_s('p_partkey')}, 8, '0') as ch_number, {_name('p_partkey')} || ' Foods' as company_name, {_PART},
+        f"""select lpad({_s(_P8)}, 8, '0') as ch_number, {_name(_P8)} || ' Foods' as company_name, {_address(_P8)} as address, {_postcode(_P8)} as postcode,
   case p_partkey%10 when 0 then 'Dissolved' when 1 then 'In Administration' else 'Active' end as ch_status,
   case when p_partkey%4=3 then '47110' else '56103' end as sic_code, cast(p_partkey%300 as bigint) as director_no,
-  cast(p_partkey%700 as bigint) as age_days, p_partkey%13=0 as charges, p_partkey%17=0 as strike_off from part where p_partkey%8<>0""",
+  cast(p_partkey%700 as bigint) as age_days, p_partkey%13=0 as charges, p_partkey%17=0 as strike_off from part""",
+    ),
+    "officers": (
+        "part",
+        f"""select lpad({_s(_P8)}, 8, '0') as ch_number, 'Dir ' || lpad({_s('p_partkey%300')}, 3, '0') as person_name, 'director' as kind, 'Director' as role, cast(p_partkey*7%900 as bigint) as appointed_age from part
+  union all select lpad({_s(_P8)}, 8, '0'), 'Other ' || lpad({_s('p_partkey%300')}, 3, '0'), 'director', 'Director', cast(p_partkey*13%900 as bigint) from part where p_partkey%2=0
+  union all select lpad({_s(_P8)}, 8, '0'), 'Psc ' || lpad({_s(_P8)}, 8, '0'), 'psc', '', cast(p_partkey*11%900 as bigint) from part""",
     ),
     "filings": (
         "orders",
-        f"""select lpad({_s('o_custkey')}, 8, '0') as ch_number, o_orderkey as filing_id, cast(o_orderdate as date) as period_end,
-  cast(floor(o_totalprice)-150000 as bigint) as net_assets, case when o_orderkey%23=0 then 'Dormant' when o_orderkey%2=0 then 'Micro' else 'Small' end as accounts_type from orders""",
+        f"""select lpad({_s('o_custkey')}, 8, '0') as ch_number, o_orderkey as filing_id, cast(o_orderdate as date) as period_end, case when o_orderkey%23=0 then 'Dormant' when o_orderkey%2=0 then 'Micro' else 'Small' end as accounts_type,
+  {_q(_N, 3)}+{_q(_N, 2)} as total_assets, {_q(_N, 3)} as fixed_assets, {_q(_N, 2)} as current_assets, {_q(_N, 7)} as cash_at_bank, {_q(_N, 5)} as debtors, cast(o_orderkey%90000 as bigint) as creditors, cast(o_orderkey%50000 as bigint) as current_liabilities,
+  {_N}-150000 as net_assets, {_N}-149000 as equity, {_N}*4 as turnover, {_N} as gross_profit, {_q(_N, 9)}-1000 as net_profit, cast(o_orderkey%60 as bigint) as employees from orders""",
+    ),
+    "place_lookups": (
+        "customer",
+        f"""select c_custkey as premises_no, 'P' || {_s('c_custkey')} as place_id, cast(30+c_custkey%20 as bigint) as rating_tenths, cast(c_custkey%900 as bigint) as reviews, '020' || lpad({_s('c_custkey')}, 8, '0') as phone, {_address('c_custkey')} as address, cast(c_custkey%100 as bigint) as looked_up_age from customer""",
     ),
     "signals": (
         "events",
@@ -101,6 +121,11 @@ from events where event_type in ('signup', 'purchase', 'error')""",
 }
 
 
+def projected(spark: SparkSession, name: str, table: DataFrame) -> DataFrame:
+    """A projection of a table that is at hand, a stream, too."""
+    of, text = SQL[name]
+    return spark.sql(text.replace(f"from {of}", "from {t}"), t=table)
+
+
 def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    table, text = SQL[name]
-    return spark.sql(text.replace(f"from {table}", "from {t}"), t=spark.read.parquet(f"{folder}/{table}.parquet"))
+    return projected(spark, name, spark.read.parquet(f"{folder}/{SQL[name][0]}.parquet"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,21 @@ def load_customers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CUSTOMER_SCHEMA).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").csv(path)
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for written stages where all executors see it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def file_manifest(spark: SparkSession, path: str, rows: DataFrame | None = None) -> DataFrame:
     """Hash, size and row count per file; rows: the files read as a table."""
     files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "length", F.sha2("content", 256).alias("sha256"))

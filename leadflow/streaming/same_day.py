@@ -38,6 +38,15 @@ def append_batch(target: str, keys: list[str]):
     return write
 
 
+def drain(spark: SparkSession, signals: DataFrame, folder: str) -> DataFrame:
+    """Run the queue over the files that have landed, and give the table of all windows so far; each
+    batch replaces the table, so a restart repeats nothing."""
+    flat = queue_stream(signals).select("w.start", "w.end", "lead_no", "trigger_type", "first_ts", "n")
+    write = lambda batch, _: batch.write.mode("overwrite").parquet(f"{folder}/queue")
+    flat.writeStream.outputMode("complete").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/queue")
+
+
 def run_once(spark: SparkSession, source_folder: str, schema, checkpoint: str, target: str, files_per_batch: int = 1):
     """Drain the landed files through the queue into a table of complete windows."""
     raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source_folder)

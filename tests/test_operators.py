@@ -1,13 +1,11 @@
 """Operators on inline rows, invariants of a run, streaming and plans."""
 
-import dataclasses
 import datetime as dt
 import json
 
 from pyspark.sql import functions as F
 
-from leadflow.config import DEFAULT
-from leadflow.operators import compliance, contacts, export, matching, premises, quality, reporting, routing, territory, triggers
+from leadflow.operators import accounts, compliance, contacts, export, matching, premises, quality, reporting, routing, territory, triggers
 from leadflow.plans.leads import LeadRun
 from leadflow.sources import files
 from leadflow.streaming import same_day
@@ -35,20 +33,39 @@ def test_lead_ids_count_on_over_sectors(spark):
     assert ids == [f"LD-TW-{i:05d}" for i in range(1, 7)]
 
 
-def test_oversize_blocks_fall_back_to_units(spark):
-    l = spark.createDataFrame([(f"l{i}", "S 1", f"S 1A{i % 2}", f"p{i}", f"a{i}") for i in range(6)], "lead_key string, sector string, unit string, phone string, address_key string")
-    c = spark.createDataFrame([(f"c{i}", "S 1", f"S 1A{i % 2}", f"q{i}", f"b{i}") for i in range(6)], "account_code string, sector string, unit string, phone string, address_key string")
-    assert matching.block(l, c, 100).count() == 36
-    assert matching.block(l, c, 10).count() == 18
+def test_huge_sectors_keep_all_pairs(spark):
+    l = spark.createDataFrame([(f"l{i}", "S 1", f"S 1A{i % 2}", f"p{i}", f"a{i}") for i in range(300)], "lead_key string, sector string, unit string, phone string, address_key string")
+    c = spark.createDataFrame([(f"c{i}", "S 1", f"S 1A{i % 2}", f"q{i}", f"b{i}") for i in range(200)], "account_code string, sector string, unit string, phone string, address_key string")
+    assert matching.block(l, c).count() == 60_000
+    assert matching.block_sizes(l, c, "sector").head().pairs == 60_000
 
 
-def test_lead_run_joins_sectors_of_any_size(spark):
-    whole = {tuple(r) for r in LeadRun(spark, SF).pairs.collect()}
-    small = LeadRun(spark, SF, dataclasses.replace(DEFAULT, max_block=1))
-    assert {tuple(r) for r in small.pairs.collect()} == whole
-    l, c = small.premises.alias("l"), small.customers.alias("c")
-    same = l.join(c, F.col("l.sector") == F.col("c.sector")).select("lead_key", "account_code")
-    assert same.count() > 0 and same.exceptAll(small.pairs).count() == 0
+def test_malformed_codes_stay_apart_and_have_ids(spark):
+    rows = [(i, 1, "justeat", "B", None, "N/A", "07", 5, 10) for i in range(3)] + [(9, 2, "justeat", "C", "1 High St", "TW3 4AS", "07", 5, 10)]
+    df = spark.createDataFrame(rows, "listing_id bigint, premises_no bigint, platform string, brand_name string, address string, postcode string, phone string, reviews bigint, rating_tenths bigint")
+    ids = premises.assign_lead_id(premises.group_premises(df).withColumn("tenant", F.lit(None).cast("bigint")), "LD").collect()
+    assert len({r.lead_id for r in ids}) == len({r.lead_key for r in ids}) == 4 and sum("-ZZ-" in r.lead_id for r in ids) == 3
+
+
+def test_gate_needs_every_mapping_verified(spark):
+    batches = spark.createDataFrame([(k, "approved") for k in range(4)], "batch_id int, status string")
+    items = spark.createDataFrame([(k, f"l{k}") for k in range(3)], "batch_id int, lead_key string")
+    used = spark.createDataFrame([(0, "a"), (1, "a"), (1, "b"), (3, "a")], "batch_id int, internal_field string")
+    maps = spark.createDataFrame([("a", True), ("b", False)], "internal_field string, is_verified boolean")
+    assert {r.batch_id: r.may_export for r in export.export_gate(batches, items, used, maps).collect()} == {0: True, 1: False, 2: False, 3: False}
+
+
+def test_telemetry_keeps_failures(spark, tmp_path):
+    bad = spark.range(3).select(F.raise_error(F.lit("broken")).alias("x"))
+    got = reporting.telemetry(spark, [("a", spark.range(5), 1.5), ("b", bad, 0.0)], str(tmp_path)).orderBy("step").collect()
+    assert (got[0].n, got[0].cost, got[0].failure) == (5, 1.5, None) and got[0].seconds > 0
+    assert got[1].n is None and got[1].failure and spark.read.parquet(str(tmp_path / "a")).count() == 5
+
+
+def test_filing_facts_of_any_form(spark):
+    body = """<ix:nonFraction contextRef='current' scale="3" name="uk:Debtors"> 1,234 </ix:nonFraction><ix:nonFraction name="uk:Equity" sign="-" contextRef="prior">7.5</ix:nonFraction><ix:nonFraction name="uk:Unknown" contextRef="current">1</ix:nonFraction><ix:nonFraction name="uk:Turnover" contextRef="current">-</ix:nonFraction>"""
+    got = {r.tag: (r.current, r.prior) for r in accounts.extract_filing_facts(spark.createDataFrame([(1, body), (2, None), (3, "")], "filing_id int, body string")).collect()}
+    assert {k: tuple(None if x is None else float(x) for x in v) for k, v in got.items()} == {"Debtors": (1234000.0, None), "Equity": (None, -7.5), "Turnover": (None, None)}
 
 
 def test_match_percent_golden(spark):
@@ -81,6 +98,8 @@ def test_quality(spark):
 def test_role_views(spark):
     d = spark.createDataFrame([("l", "R1"), ("m", "R2")], "lead_key string, rep string")
     assert compliance.role_view(d, "telesales_assignments", "telesales", "R1").count() == 1
+    users = spark.createDataFrame([("u1", "management"), ("u2", "owner")], "user_id string, role string")
+    assert [compliance.role_view(users, "user_profiles", role, user="u1").count() for role in ("owner", "management", "developer", "telesales")] == [2, 1, 1, 1]
     assert compliance.role_view(d, "existing_customers", "owner").count() == 0
     assert compliance.role_view(d, "discovered_leads", "developer").count() == 0
     assert compliance.role_view(d, "audit_logs", "management").count() == 0 and compliance.role_view(d, "audit_logs", "owner").count() == 2
