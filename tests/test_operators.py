@@ -28,7 +28,7 @@ def test_premises_ties_and_nulls(spark):
 
 def test_lead_ids_count_on_over_sectors(spark):
     rows = [("k", f"TW3 {s}AA", f"TW3 {s}", "TW", str(i)) for s in (1, 2) for i in range(3)]
-    df = spark.createDataFrame(rows, "x string, unit string, sector string, area string, address_key string").withColumn("tenant", F.lit(None).cast("bigint"))
+    df = spark.createDataFrame(rows, "x string, unit string, sector string, area string, address_key string").withColumn("lead_key", F.col("address_key")).withColumn("tenant", F.lit(None).cast("bigint"))
     ids = [r.lead_id for r in premises.assign_lead_id(df, "LD").orderBy("sector", "address_key").collect()]
     assert ids == [f"LD-TW-{i:05d}" for i in range(1, 7)]
 
