@@ -44,6 +44,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from leadflow.llm.common import partitions, returning, sliced, small_batches, text_or_empty
 
 MAX_LABELLED, MAX_LEXICON, LEAST, THRESHOLD = 40_000, 20_000, 3, 0.7
+HELD = 150_000  # features or words that a task keeps at a time
 STEMS = (3, 4, 5, 6, 7)
 WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[\"“”«»]")
 CLAUSES = re.compile(r"([.!?;:\n]+)")
@@ -175,7 +176,7 @@ class Grammar:
             kind = "quote" if word in QUOTES else CLASS_OF.get(word, "other")
             if w and kind != "harm":
                 kind = "insult"
-            if len(self.memo) > 100_000:
+            if len(self.memo) > HELD // 3:
                 self.memo.clear()
             found = self.memo[word] = SYMBOLS.index(kind), w
         return found
@@ -245,21 +246,22 @@ def learn_lexicons(rows: DataFrame) -> tuple[dict[str, float], list[dict[str, fl
 
     def count(kept):
         def run(batches):
-            seen: Counter = Counter()
+            seen = Counter(), Counter()  # by fold
 
             def out():
-                keys = list({f for f, _ in seen})
-                batch = pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *[pa.array([seen[f, k] for f in keys], pa.int64()) for k in (0, 1)]], names=["f", "n0", "n1"])
-                seen.clear()
+                keys = list(seen[0].keys() | seen[1].keys())
+                batch = pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *[pa.array([c[f] for f in keys], pa.int64()) for c in seen]], names=["f", "n0", "n1"])
+                for c in seen:
+                    c.clear()
                 return batch
 
             for b in sliced(batches):
                 for text, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                     found = features_of(text)
-                    seen.update((f, k) for f in (found if kept is None else found & kept.keys()))
-                if len(seen) > 400_000:
+                    seen[k].update(found if kept is None else found & kept.keys())
+                if len(seen[0]) + len(seen[1]) > HELD:
                     yield out()
-            if seen:
+            if any(seen):
                 yield out()
 
         return returning(run)

@@ -58,6 +58,25 @@ def test_minhash_matches_brute_force(spark, docs, texts):
         assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), find(r.doc_id), find(r.doc_id) == r.doc_id)
 
 
+def test_minhash_finds_links_in_crowded_regions_over_any_number_of_ranges(spark, monkeypatch):
+    rnd = random.Random(40)
+    passage = words(rnd, 70).split()
+    texts = {i: passage + words(rnd, 40, 10_000).split() for i in range(150)}  # likeness of about 0.45
+    for i in range(0, 150, 3):  # near copies of every third, in the midst of the crowd
+        near = list(texts[i])
+        near[rnd.randrange(75, 110)] = "changed"
+        texts[1000 + i] = near
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in texts.items()}
+    pairs = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert len(pairs) >= 50
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id bigint, text string")
+    for ranges in (3, 24):
+        monkeypatch.setattr(minhash, "partitions", lambda _, n=ranges: n)
+        got = {r.doc_id: r.component_id for r in minhash.near_duplicates(d).collect()}
+        assert sum(got[a] == got[b] for a, b in pairs) >= 0.99 * len(pairs)
+        assert len(set(got.values())) >= len(texts) - len(pairs)
+
+
 def test_minhash_null_ids_and_empty_table(spark):
     d = spark.createDataFrame([(None, "a b c d e f"), (7, "a b c d e f"), (3, "a b c d e f")], "doc_id bigint, text string")
     got = sorted((r.doc_id or 0, r.component_id, r.kept) for r in minhash.near_duplicates(d).collect())
@@ -570,3 +589,32 @@ def test_pipeline_stages(spark, tmp_path):
         assert 0 < kept.count() and (name == "mixing" or kept.count() <= docs.count())
         docs = kept
     assert pipeline.STAGES[-1][1](spark, docs, sf).count() == docs.count()
+
+
+def test_pipeline_stages_decide_as_brute_force(spark, docs, texts):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    stages = dict(pipeline.STAGES)
+    sf = "/root/testdata/sf0.001"
+    clash = docs.withColumns({c: docs["lang"] for c in ("pii", "_h", "text_hash", "toxicity", "values", "kinds", "hit", "row_hash", "own_id")})
+    kept = stages["near_dedup"](spark, clash, sf)
+    assert kept.columns == clash.columns and kept.select("pii").distinct().collect() == [("en",)]
+    sets = {i: ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()) for i, w in ((i, (t or "").lower().split()) for i, t in texts.items())}
+    alike = lambda a, b: sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    want = sorted(i for i in sets if not any(j < i and alike(i, j) for j in sets))  # no chains in these rows
+    assert sorted(r.doc_id for r in kept.collect()) == want
+    masked = stages["pii"](spark, clash, sf)
+    assert masked.columns == clash.columns and sorted(str(r.text) for r in masked.collect()) == sorted(str(r.text) for r in clash.collect())  # nothing personal in them
+    mixed = stages["mixing"](spark, clash, sf)
+    goal, _ = brute_mix([(r.doc_id, r.text, r.lang, r.source, 0) for r in docs.collect()])
+    total = collections.Counter()
+    for r in mixed.collect():
+        assert r.n_chars == len(r.text)
+        total[r.source] += len(r.text.split())
+    assert mixed.columns == clash.columns and all(abs(total[s] - goal[s]) <= 0.5 for s in goal)
+
+
+def test_pipeline_of_an_empty_table(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    d = empty(spark)
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, d, "/root/testdata/sf0.001").count() == 0, name
