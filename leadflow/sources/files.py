@@ -56,12 +56,14 @@ def file_manifest(spark: SparkSession, path: str, rows: DataFrame | None = None)
 
 
 def write_outputs(outputs: dict[str, DataFrame], base: str, run_id: int) -> dict[str, str]:
-    """One dataset per output, partitioned by run; a rerun replaces its own run only."""
+    """One dataset per output, partitioned by run; a rerun replaces its own run only. The CRM file is
+    written as CSV, too, from its dataset."""
     paths = {}
     for name, df in outputs.items():
         paths[name] = f"{base.rstrip('/')}/{name}"
-        writer = df.withColumn("run_id", F.lit(run_id).cast("bigint")).write.partitionBy("run_id").mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.parquet(paths[name])
+        dated = df.withColumn("run_id", F.lit(run_id).cast("bigint"))
+        dated.write.partitionBy("run_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(paths[name])
         if name == "crm":
-            df.write.mode("overwrite").option("header", True).csv(f"{paths[name]}_csv/run_id={run_id}")
+            written = df.sparkSession.read.schema(dated.schema).parquet(paths[name]).filter(F.col("run_id") == run_id)
+            written.select(*df.columns).write.mode("overwrite").option("header", True).csv(f"{paths[name]}_csv/run_id={run_id}")
     return paths
