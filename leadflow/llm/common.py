@@ -83,11 +83,15 @@ def sliced(batches, max_bytes: int = 8 << 20):
 
 def discard(df: DataFrame) -> None:
     """Delete a table that materialised() wrote and nothing reads any more."""
-    spark = df.sparkSession
     files = df.inputFiles()
     if files:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(df.sparkSession, files[0].rsplit("/", 1)[0])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, through Hadoop's file systems."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def release(spark: SparkSession) -> None:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadflow.llm import bpe, minhash, mixing, pii, secret_scan, substrings, topk, toxicity, winnow, wrapper
+from leadflow.llm import bpe, codebooks, decontaminate, lloyd, minhash, mixing, pii, secret_scan, substrings, topk, toxicity, winnow, wrapper
 from leadflow.llm.common import read_table
 
 
@@ -56,6 +56,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op10_query(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.op11_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.op12_query(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codebooks.op13_query(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1,
     "op2_html": op2,
@@ -67,5 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8,
     "op9_mixing": op9,
     "op10_bpe": op10,
+    "op11_decontaminate": op11,
+    "op12_lloyd": op12,
+    "op13_codebooks": op13,
 }
-ORACLES: dict[str, str] = {"op4_topk": topk.OP4_SQL}
+ORACLES: dict[str, str] = {"op4_topk": topk.OP4_SQL, "op11_decontaminate": decontaminate.OP11_SQL, "op12_lloyd": lloyd.OP12_SQL, "op13_codebooks": codebooks.OP13_SQL}
