@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from leadflow.llm.common import discard, materialised
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 GRAM, WINDOW = 5, 10
 MIN_BITS, MAX_BITS, BITS_A_GRAM = 1 << 12, 1 << 22, 16
 BROADCAST_ROWS = 200_000  # narrow rows; beyond it tables are joined by shuffle
@@ -39,7 +40,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), F.lit(WORD), 0)
+    """WORD in the lower-cased text: cut at what is neither a word character nor A-Z, then lower-cased."""
+    cut = F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN), "")
+    return F.transform(cut, lambda w: F.when(F.octet_length(w) == F.length(w), F.lower(w)).otherwise(F.translate(w, _UPPER, _LOWER)))
 
 
 def _head(array: Column, n: Column) -> Column:
