@@ -15,7 +15,9 @@
 Never content, in any wrapper: menus, headers and footers of the page, sidebars, notices, adverts,
 forms, scripts, styles, comments of readers and comments of the markup, told by tag, role, id and
 class names. Names that may as well name a part of an article (search, legal, related ...) count
-outside of it only. What stands inside the container and is none of these is kept.
+outside of it only. Names remove no element that holds the page's main article or a large part of its
+text: such an element is a wrapper that is named after what stands beside the article. What stands
+inside the container and is none of these is kept.
 
 Skeletons and support are counted by partial aggregation, so a host with a third of all pages costs
 no task more than others. A null or empty html has an empty text; a null URL has no host; repeated
@@ -52,6 +54,7 @@ BLOCK = frozenset(
 )
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIER = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
+ENDS_PARAGRAPHS = frozenset(("td", "th", "div", "section", "article", "li", "body", "blockquote", "button"))
 NEVER_TAGS = frozenset("head title nav footer aside form button select dialog menu label input".split())
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _NAME = r"(?i)(?:^|[\s_-])(?:%s)(?:$|[\s_-])"
@@ -61,12 +64,22 @@ NEVER_INSIDE, NEVER_OUTSIDE = re.compile(_NAME % _NEVER), re.compile(_NAME % f"{
 CONTENT_NAME = re.compile(r"(?i)(entry|post|article|main|page)[_-]?(content|body|text|header|title)")
 
 
+# Names of an element with comments in it, not of one that says something of them (no-comments).
+COMMENT_NAME = re.compile(r"(?i)(?:[a-z]+[_-])?(?<!no.)(?:comments?|commentlist|disqus\w*|respond|replies)(?:[_-]+(?:area|list|section|body|content|wrap\w*|container|box|thread|form|item|[0-9]+))*")
+# An element's names tell that it is no content only if it holds less than this share of the page's text;
+# a wrapper around the article holds more. Readers' comments may be longer than what they comment on.
+SHARE, COMMENT_SHARE, ARTICLE_SHARE = 0.5, 0.9, 0.25
+
+
 class Node:
-    __slots__ = ("tag", "label", "never", "kids", "parent")
+    __slots__ = ("tag", "label", "never", "named", "kids", "parent", "para")
 
-    def __init__(self, tag: str, label: str, never: bool, parent):
+    def __init__(self, tag: str, label: str, never: bool, parent, named: str = ""):
         self.tag, self.label, self.never, self.parent = tag, label, never, parent
+        self.named = named  # by its names no content: "part", or "comment"
         self.kids: list = []  # nodes and strings in order
+        # the open paragraph that a block here ends, if any
+        self.para = self if tag == "p" else None if parent is None or tag in ENDS_PARAGRAPHS else parent.para
 
 
 def _node(tag: str, attributes: str, parent: Node, in_article: bool) -> Node:
@@ -81,15 +94,59 @@ def _node(tag: str, attributes: str, parent: Node, in_article: bool) -> Node:
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
                 hidden = True
     never = hidden or tag in NEVER_TAGS or role in NEVER_ROLES or (tag == "header" and not in_article)
-    if names and not never and tag not in ("html", "body", "article", "main"):
-        never = any((NEVER_INSIDE if in_article else NEVER_OUTSIDE).search(n) for n in names) and not any(CONTENT_NAME.fullmatch(n) for n in names)
-    return Node(tag, f"{tag}.{role}.{' '.join(sorted(set(re.sub(r'[0-9]+', '', n) for n in names)))}" if names or role else tag, never, parent)
+    named = ""
+    if names and not never and tag not in ("html", "body", "main") and not any(CONTENT_NAME.fullmatch(n) for n in names):
+        if any(COMMENT_NAME.fullmatch(n) for n in names):
+            named = "comment"
+        elif tag != "article" and any((NEVER_INSIDE if in_article else NEVER_OUTSIDE).search(n) for n in names):
+            named = "part"
+    return Node(tag, f"{tag}.{role}.{' '.join(sorted(set(re.sub(r'[0-9]+', '', n) for n in names)))}" if names or role else tag, never, parent, named)
+
+
+def judge_names(root: Node) -> None:
+    """Decide which elements their names remove. On a page with an article or main element (the largest
+    one that is no comment) all but the elements that hold it, provided it is a good part of the text
+    where a name stands around it. On a page without one, those that hold too much of the text to be a
+    part beside it stay. An article named as a comment is one."""
+    order, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        order.append(n)
+        todo.extend(k for k in n.kids if not isinstance(k, str) and not k.never)
+    named = [n for n in order if n.named]
+    if not named:
+        return
+    size: dict[int, int] = {}
+    for n in reversed(order):  # children first
+        size[id(n)] = sum(len("".join(k.split())) if isinstance(k, str) else size.get(id(k), 0) for k in n.kids)
+    total = size[id(root)]
+    articles = [n for n in order if n.tag in ("article", "main") and n.named != "comment" and size[id(n)]]
+    main = at = max(articles, key=lambda n: size[id(n)], default=None)
+    holders = set()
+    while at is not None:
+        holders.add(id(at))
+        at = at.parent
+    if main is not None and any(id(n) in holders for n in named) and size[id(main)] < ARTICLE_SHARE * total:
+        main, holders = None, set()
+    for n in named:
+        beside = size[id(n)] <= (COMMENT_SHARE if n.named == "comment" else SHARE) * total
+        n.never = id(n) not in holders and (main is not None or beside)
 
 
 def parse(text: str) -> Node:
-    """The tree of a page; strings are decoded."""
+    """The tree of a page; strings are decoded. Each node is opened and closed once, and a closing tag
+    of which none is open is passed over, so the time grows with the page's length."""
     root = at = Node("", "", False, None)
-    end, depth = 0, 0  # depth: open articles and main elements
+    opened: dict[str, int] = {}
+    end = 0
+
+    def close_to(node: Node) -> Node:
+        nonlocal at
+        while at is not node:
+            opened[at.tag] -= 1
+            at = at.parent
+        return at
+
     for m in TOKEN.finditer(text):
         if m.start() > end:
             at.kids.append(html_lib.unescape(text[end : m.start()]))
@@ -99,42 +156,35 @@ def parse(text: str) -> Node:
             continue
         tag = tag.lower()
         if m[2]:
-            up = at
-            while up.parent is not None and up.tag != tag:
-                up = up.parent
-            if up.parent is not None:
-                node = at
-                while node is not up.parent:
-                    depth -= node.tag in ("article", "main")
-                    node = node.parent
-                at = up.parent
+            if opened.get(tag):
+                up = at
+                while up.tag != tag:
+                    up = up.parent
+                close_to(up.parent)
             continue
         if tag == "br" or tag == "hr":
             at.kids.append(" " if tag == "br" else Node(tag, tag, False, at))
             continue
         if tag in VOID:
             continue
-        if tag in BLOCK:  # a block ends an open paragraph
-            up = at
-            while up.parent is not None and up.tag != "p" and up.tag not in ("td", "th", "div", "section", "article", "li", "body", "blockquote", "button"):
-                up = up.parent
-            if up.tag == "p":
-                at = up.parent
-        if tag in CLOSES:
+        if tag in BLOCK and at.para is not None:  # a block ends an open paragraph
+            close_to(at.para.parent)
+        if tag in CLOSES and any(opened.get(t) for t in CLOSES[tag]):
             up = at
             while up.parent is not None and up.tag not in CLOSES[tag] and up.tag not in BARRIER[tag]:
                 up = up.parent
             if up.tag in CLOSES[tag]:
-                at = up.parent
+                close_to(up.parent)
                 if tag == "tr" and at.tag == "tr":
-                    at = at.parent
-        new = _node(tag, m[4], at, depth > 0)
+                    close_to(at.parent)
+        new = _node(tag, m[4], at, bool(opened.get("article") or opened.get("main")))
         at.kids.append(new)
         if not (m[4] or "").endswith("/") or tag in BLOCK:
+            opened[tag] = opened.get(tag, 0) + 1
             at = new
-            depth += tag in ("article", "main")
     if end < len(text):
         at.kids.append(html_lib.unescape(text[end:]))
+    judge_names(root)
     return root
 
 
