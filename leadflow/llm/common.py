@@ -100,9 +100,10 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand texts to Python in batches of few rows, so that long texts do not pile up."""
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 16 << 20) -> None:
+    """Hand texts to Python in batches of few rows and bytes, so that long texts do not pile up."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def returning(run):
