@@ -23,11 +23,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies, and one of repeated rows; rows without an id stay."""
+    """Keep one document of each group of near copies; rows without an id stay. Of rows with one id and
+    text the smallest stays, whatever their order, so reruns agree."""
     kept = minhash.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    [text_hash] = fresh(docs, "text_hash")
-    named = docs.join(kept, "doc_id", "left_semi").withColumn(text_hash, F.xxhash64("text")).dropDuplicates(["doc_id", text_hash]).drop(text_hash)
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    [text_hash, row] = fresh(docs, "text_hash", "row")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    named = docs.join(kept, "doc_id", "left_semi").withColumn(text_hash, F.xxhash64("text"))
+    order = F.to_json(F.struct(*rest)) if rest else F.lit("")  # columns of any type
+    first = named.groupBy("doc_id", text_hash).agg(F.min_by(F.struct(*rest, "text"), order).alias(row)).select("doc_id", f"{row}.*")
+    return first.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
