@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,8 +11,10 @@ from pyspark.sql import functions as F
 from leadflow.config import DEFAULT, Config
 from leadflow.functions.text import edit_ratio, percent, token_sort_ratio, with_postcode_parts
 from leadflow.operators.premises import with_address_key
+from leadflow.operators.territory import is_small
 
-SALTS = 8
+EXACT_LENGTH = 50  # names below it with one difference have a score below 99
+SECTOR_PART = 2_000  # customers of a sector that one task joins
 
 
 def customer_keys(customers: DataFrame) -> DataFrame:
@@ -35,11 +39,13 @@ def block(leads: DataFrame, cust: DataFrame) -> DataFrame:
     return found.distinct()
 
 
-def sector_pairs(l: DataFrame, c: DataFrame, salts: int = SALTS) -> DataFrame:
-    """All pairs of one sector. Customers of a sector are dealt over `salts` parts and leads go to
-    each part, so that a large sector is joined by several tasks."""
-    c = c.withColumn("c_salt", F.pmod(F.xxhash64("account_code"), F.lit(salts)))
-    l = l.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+def sector_pairs(l: DataFrame, c: DataFrame, part: int = SECTOR_PART) -> DataFrame:
+    """All pairs of one sector. A sector with more customers than `part` is dealt over as many tasks as
+    it needs: its customers by salt, its leads to each salt; other sectors are joined as they are."""
+    hot = c.groupBy("c_sector").agg(F.count("*").alias("n")).filter(F.col("n") > part).select("c_sector", F.ceil(F.col("n") / part).cast("int").alias("salts"))
+    hot = F.broadcast(hot) if is_small(hot) else hot
+    c = c.join(hot, "c_sector", "left").withColumn("c_salt", F.pmod(F.xxhash64("account_code"), F.coalesce("salts", F.lit(1)))).drop("salts")
+    l = l.join(hot.withColumnRenamed("c_sector", "sector"), "sector", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.coalesce("salts", F.lit(1)) - 1).cast("bigint")))).drop("salts")
     return l.join(c, (F.col("sector") == F.col("c_sector")) & (F.col("salt") == F.col("c_salt")))
 
 
@@ -47,7 +53,14 @@ def score_pairs(pairs: DataFrame, leads: DataFrame, cust: DataFrame, cfg: Config
     """Adds name score, match percent and the text of matched fields."""
     l = leads.select("lead_key", F.col("primary_brand").alias("brand"), F.col("phone").alias("l_phone"), F.col("unit").alias("l_unit"))
     c = cust.select("account_code", "name", "status", F.col("phone").alias("c_phone"), F.col("unit").alias("c_unit"))
-    out = pairs.join(l, "lead_key").join(c, "account_code")
+    return _scored(pairs.join(l, "lead_key").join(c, "account_code"), cfg)
+
+
+def _sorted_words(c: Column) -> Column:
+    return F.array_join(F.array_sort(F.split(F.trim(F.lower(c)), " +")), " ")
+
+
+def _scored(out: DataFrame, cfg: Config) -> DataFrame:
     name = F.greatest(edit_ratio(F.lower("brand"), F.lower("name")), token_sort_ratio(F.col("brand"), F.col("name")))
     out = out.withColumn("name_score", name).withColumn("same_phone", F.coalesce(F.col("l_phone") == F.col("c_phone"), F.lit(False))).withColumn("same_unit", F.coalesce(F.col("l_unit") == F.col("c_unit"), F.lit(False)))
     one = lambda c: F.when(c, 100.0).otherwise(0.0)
@@ -61,6 +74,57 @@ def best_match(scored: DataFrame) -> DataFrame:
     return scored.withColumn("r", F.row_number().over(order)).filter("r = 1").drop("r")
 
 
+def best_customers(leads: DataFrame, cust: DataFrame, cfg: Config = DEFAULT, counts: dict | None = None) -> DataFrame:
+    """The rows of best_match(score_pairs(block(...))) without joining whole sectors or addresses.
+
+    A pair's percent is bounded by what it shares: with neither phone nor unit postcode it cannot pass
+    the weight of the name. So pairs are taken in the order of their bounds: first those that share a
+    phone or a unit, and those whose names have the same words in the same sector or at the same address,
+    the best that such a pair can reach. A lead whose best of these passes every other bound is done
+    (ties included: shorter names than EXACT_LENGTH with one difference stay below a full score). The
+    others are compared by name only, and by distinct name: each name of a sector or address once with
+    each distinct name of customers there whose length lets it reach the lead's best so far. counts, if
+    given, receives the number of pairs compared in both steps (as data frames)."""
+    l = leads.select("lead_key", F.col("primary_brand").alias("brand"), "sector", "address_key", F.col("phone").alias("l_phone"), F.col("unit").alias("l_unit"))
+    c = cust.select("account_code", "name", "status", F.col("sector").alias("c_sector"), F.col("address_key").alias("c_address"), F.col("phone").alias("c_phone"), F.col("unit").alias("c_unit"))
+    lw, cw = l.withColumn("words", _sorted_words(F.col("brand"))), c.withColumn("c_words", _sorted_words(F.col("name")))
+    same_words = F.col("words") == F.col("c_words")
+    firm = [
+        l.join(c, F.col("l_phone") == F.col("c_phone")),
+        l.join(c, (F.col("l_unit") == F.col("c_unit")) & (F.col("sector") == F.col("c_sector"))),
+    ]
+    for own, other in (("sector", "c_sector"), ("address_key", "c_address")):
+        # of equal names in a block only the first account can be the best of those without phone or unit
+        first = cw.groupBy(other, "c_words").agg(F.min("account_code").alias("account_code"))
+        firm.append(lw.join(first.join(c.drop(other), "account_code"), (F.col(own) == F.col(other)) & same_words).drop("words", "c_words"))
+    cols = ["lead_key", "account_code", "brand", "name", "status", "l_phone", "c_phone", "l_unit", "c_unit"]
+    pairs = reduce(DataFrame.unionByName, [f.select(cols) for f in firm])
+    found = best_match(_scored(pairs, cfg))
+    most = percent(F.lit(100.0 * cfg.name_weight))
+    sure = (F.col("match_pct") > most) | ((F.col("match_pct") == most) & (F.col("name_score") == 100) & (F.length("brand") < EXACT_LENGTH))
+    so_far = l.join(found.select("lead_key", "match_pct", "name_score"), "lead_key", "left")
+    open_ = so_far.filter(~F.coalesce(sure, F.lit(False)))
+    near = []
+    for own, other in (("sector", "c_sector"), ("address_key", "c_address")):
+        names = c.filter(F.col(other).isNotNull()).groupBy(other, F.lower("name").alias("n")).agg(F.min("account_code").alias("account_code"), F.min("name").alias("name"))
+        brands = open_.filter(F.col(own).isNotNull()).groupBy(own, "brand").agg(F.min(F.coalesce("match_pct", F.lit(-1))).alias("so_far"))
+        reach = lambda a, b: 100.0 * F.least(F.length(a), F.length(b)) / F.greatest(F.length(a), F.length(b), F.lit(1))
+        bound = percent(cfg.name_weight * percent(F.greatest(reach("brand", "n"), reach(_sorted_words(F.col("brand")), _sorted_words(F.col("n"))))))
+        met = brands.join(names, (F.col(own) == F.col(other)) & (bound >= F.col("so_far")))
+        score = F.greatest(edit_ratio(F.lower("brand"), F.col("n")), token_sort_ratio(F.col("brand"), F.col("n")))
+        kept = met.withColumn("pct", percent(cfg.name_weight * score)).groupBy(own, "brand").agg(F.max(F.struct("pct", "n")).alias("top"), F.max("pct").alias("best"), F.count("*").alias("compared"))
+        if counts is not None:
+            counts[own] = kept.agg(F.sum("compared").alias("n"))
+        # ties in percent go to the smallest account of all names that reach it
+        at_best = met.withColumn("pct", percent(cfg.name_weight * score)).join(kept.select(own, "brand", "best"), [own, "brand"]).filter("pct = best")
+        first = at_best.groupBy(own, "brand").agg(F.min("account_code").alias("account_code"))
+        near.append(open_.join(first, [own, "brand"]).select("lead_key", "account_code", "brand", "l_phone", "l_unit"))
+    if counts is not None:
+        counts["firm"] = pairs.agg(F.count("*").alias("n"))
+    rest = reduce(DataFrame.unionByName, near).join(c.select("account_code", "name", "status", "c_phone", "c_unit"), "account_code").select(cols)
+    return best_match(found.unionByName(_scored(rest, cfg)))
+
+
 def match_class(pct: Column, status: Column, cfg: Config = DEFAULT) -> Column:
     return (
         F.when((status == "active") & (pct >= cfg.active_threshold), "active_match")
@@ -80,11 +144,13 @@ def classify_match(leads: DataFrame, best: DataFrame, cfg: Config = DEFAULT) ->
 
 
 def match_registrations(leads: DataFrame, regs: DataFrame, least: int = 80) -> DataFrame:
-    """Registration of each lead: by address and postcode, else by name within the postcode."""
+    """Registration of each lead: by address and postcode (its own one for the lead of a tenant), else by
+    name within the postcode."""
     more = [c for c in ("last_inspection_age", "lat", "lng") if c in regs.columns]
     r = with_address_key(with_postcode_parts(regs)).select("address_key", "unit", "fsa_id", "operator_name", "business_type", "hygiene", "days_since_registration", *more)
-    l = leads.select("lead_key", "address_key", "unit", "primary_brand")
-    exact = l.join(r, ["address_key", "unit"]).withColumn("how", F.lit(1)).withColumn("likeness", F.lit(100).cast("bigint"))
+    tenant = F.col("tenant") if "tenant" in leads.columns else F.lit(None).cast("bigint")
+    l = leads.select("lead_key", "address_key", "unit", "primary_brand", tenant.alias("tenant"))
+    exact = l.join(r, ["address_key", "unit"]).filter("tenant is null or tenant = fsa_id").withColumn("how", F.lit(1)).withColumn("likeness", F.lit(100).cast("bigint"))
     n = r.groupBy("address_key", "unit").agg(F.count("*").alias("registrations"))
     rest = l.join(exact.select("lead_key"), "lead_key", "left_anti").join(r.drop("address_key"), "unit")
     near = rest.withColumn("how", F.lit(2)).withColumn("likeness", token_sort_ratio(F.col("primary_brand"), F.col("operator_name"))).filter(F.col("likeness") >= least)

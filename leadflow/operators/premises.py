@@ -28,6 +28,7 @@ def group_premises(listings: DataFrame) -> DataFrame:
     best = F.struct("reviews", (-F.col("listing_id")).alias("first"))
     brands = F.array_sort(F.collect_set("brand_name"))
     extra = [F.array_join(F.array_sort(F.collect_set("cuisine_type")), " | ").alias("cuisines")] if "cuisine_type" in listings.columns else []
+    extra += [F.max_by("run_no", best).alias("run_no")] if "run_no" in listings.columns else []
     grouped = with_keys(listings).groupBy("address_key", "unit", "sector", "district", "area", "solo").agg(
         F.max_by("brand_name", best).alias("primary_brand"),
         F.max_by("address", best).alias("address"),
@@ -54,6 +55,13 @@ def split_multi_tenant(premises: DataFrame, registrations: DataFrame) -> DataFra
     return out.withColumn("registrations", F.coalesce("registrations", F.lit(0)))
 
 
+def leads_of(premises: DataFrame, registrations: DataFrame) -> DataFrame:
+    """The leads of a run: premises, split by tenant where several are registered at the address. The
+    lead key of a tenant names its registration; premises_key is the key of the premises."""
+    split = split_multi_tenant(premises, registrations).drop("registrations").withColumn("premises_key", F.col("lead_key"))
+    return split.withColumn("lead_key", F.concat("lead_key", F.coalesce(F.concat(F.lit("|T"), F.col("tenant").cast("string")), F.lit(""))))
+
+
 def assign_lead_id(leads: DataFrame, prefix: str) -> DataFrame:
     """PREFIX-AREA-00001 in order of sector, address and tenant. Numbers are made per sector and
     shifted by the count of the sectors before it, so no task holds a whole area. Leads without a

@@ -37,13 +37,37 @@ def run_coverage(routed: DataFrame) -> DataFrame:
     return explode_granularity(routed).groupBy("run_no", "code", "granularity").agg(F.count("*").alias("found"), is_route("ignored").alias("ignored"), is_route("export").alias("exported"), is_route("reactivation").alias("reactivation"))
 
 
+_TOTALS = ("found", "ignored", "exported", "reactivation")
+
+
+def _summed(units: DataFrame, runs: DataFrame) -> DataFrame:
+    """Per code and level over its units (one row a run, code and level)."""
+    dated = units.join(runs.select("run_no", "last_day"), "run_no", "left")
+    return dated.groupBy("code", "granularity").agg(F.count("*").alias("runs"), F.min("last_day").alias("first_run"), F.max("last_day").alias("last_run"), *[F.sum(c).alias(c) for c in _TOTALS])
+
+
+def _with_boundary(summed: DataFrame, boundary: DataFrame, version: int) -> DataFrame:
+    """Delivery flag and version; codes of the boundary without a run come with zero runs."""
+    out = summed.join(boundary.select("code", "granularity", "membership"), ["code", "granularity"], "full_outer")
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("runs", *_TOTALS)}
+    return out.withColumns({**zero, "membership": F.coalesce("membership", F.lit("outside")), "boundary_version": F.lit(version).cast("bigint")})
+
+
 def rebuild_summary(units: DataFrame, runs: DataFrame, boundary: DataFrame, version: int = 1) -> DataFrame:
-    """Cumulative coverage per code and level with delivery flag and boundary version."""
-    out = units.join(runs.select("run_no", "last_day"), "run_no", "left").groupBy("code", "granularity").agg(
-        F.countDistinct("run_no").alias("runs"), F.min("last_day").alias("first_run"), F.max("last_day").alias("last_run"), F.sum("found").alias("found"), F.sum("ignored").alias("ignored"), F.sum("exported").alias("exported"), F.sum("reactivation").alias("reactivation")
-    )
-    b = boundary.select("code", "granularity", "membership")
-    return out.join(b, ["code", "granularity"], "left").withColumn("membership", F.coalesce("membership", F.lit("outside"))).withColumn("boundary_version", F.lit(version).cast("bigint"))
+    """Cumulative coverage per code and level with delivery flag and boundary version, the codes of the
+    boundary that had no run included."""
+    return _with_boundary(_summed(units, runs), boundary, version)
+
+
+def merge_summary(summary: DataFrame, old_units: DataFrame, new_units: DataFrame, runs: DataFrame, boundary: DataFrame, version: int = 1) -> DataFrame:
+    """The stored summary after new units: only codes that they touch are summed again (a unit of a run
+    that is there already takes the place of the old one); all flags follow the boundary at hand."""
+    key = ["run_no", "code", "granularity"]
+    touched = new_units.select("code", "granularity").distinct()
+    kept = old_units.join(touched, ["code", "granularity"], "left_semi").join(new_units.select(key), key, "left_anti")
+    again = _summed(kept.unionByName(new_units), runs)
+    rest = summary.filter("runs > 0").join(touched, ["code", "granularity"], "left_anti").select(again.columns)
+    return _with_boundary(rest.unionByName(again), boundary, version)
 
 
 def stale_coverage(summary: DataFrame, current_version: int) -> DataFrame:
@@ -75,20 +99,40 @@ def pending(entered: DataFrame, done: DataFrame, failed: DataFrame) -> DataFrame
 
 def search(df: DataFrame, q: str, keys: list[str], facet: tuple[str, str] | None = None) -> DataFrame:
     """Rows with the text in any key column, case-blind, and the facet's value; 'All' is no facet."""
+    return df.filter(_hit(q, keys, facet))
+
+
+def _hit(q: str, keys: list[str], facet: tuple[str, str] | None) -> Column:
     text = F.lit(q.lower())
     hit = F.lit(True) if not q.strip() else reduce(lambda a, b: a | b, [F.lower(F.coalesce(F.col(k).cast("string"), F.lit(""))).contains(text) for k in keys])
     if facet and facet[1] != "All":
         hit = hit & (F.coalesce(F.col(facet[0]).cast("string"), F.lit("")) == facet[1])
-    return df.filter(hit)
+    return hit
+
+
+def search_counts(df: DataFrame, q: str, keys: list[str], facet: tuple[str, str] | None = None) -> DataFrame:
+    """One row: rows shown and rows in all, from one pass."""
+    return df.agg(F.count_if(_hit(q, keys, facet)).alias("shown"), F.count("*").alias("total"))
+
+
+def overview(routed: DataFrame, cleared: DataFrame, telesales: DataFrame, summary: DataFrame) -> DataFrame:
+    """One row of figures: leads by route, leads that may leave, open telesales rows, delivery gaps."""
+    n, route = F.count_if, F.col("route")
+    leads = routed.agg(F.count("*").alias("leads"), n(route == "export").alias("ready"), n((route == "export") & (F.col("tier") == "A")).alias("tier_a"), n(route == "ignored").alias("ignored"), n(route == "expansion").alias("held"))
+    gaps = n((F.col("granularity") == "district") & (F.col("membership") == "in_area") & (F.col("runs") == 0))
+    for one in (cleared.agg(F.count("*").alias("export_ready")), telesales.agg(n(F.col("worked_status") == "open").alias("telesales_open")), summary.agg(gaps.alias("gaps"))):
+        leads = leads.crossJoin(one)  # one row each
+    return leads
 
 
 def with_status_class(df: DataFrame, col: str = "status") -> DataFrame:
     return df.withColumn("status_class", status_class(F.col(col)))
 
 
-def run_history(runs: DataFrame, telemetry_rows: DataFrame) -> DataFrame:
+def run_history(runs: DataFrame, telemetry_rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Runs with their territory (sets: territory_no, territory), date, cost and counts of two stages."""
     wide = telemetry_rows.groupBy("run_no").pivot("stage", ["discovered", "deduplicated"]).agg(F.sum("n"))
-    return runs.select("run_no", "run_type", "last_day", "cost", "status").join(wide, "run_no", "left").withColumn("status_class", status_class(F.col("status")))
+    return runs.select("run_no", "territory_no", "run_type", "last_day", "cost", "status").join(wide, "run_no", "left").join(sets, "territory_no", "left").withColumn("status_class", status_class(F.col("status")))
 
 
 def territory_overview(items: DataFrame, resolved: DataFrame, uses: DataFrame) -> DataFrame:

@@ -1,24 +1,42 @@
-"""The lead run as one lazy plan over landed tables; each property is a stage."""
+"""The lead run as one lazy plan over named tables; each property is a stage.
+
+Order of stages: listings, keys, deny list (suppressed and erased subjects leave, by hash), territory,
+premises, leads (split by tenant), matches, registrations, companies, delivery class, triggers, score,
+route, coverage. At export the deny list is applied again, and only items of batches that the gate lets
+through leave.
+"""
 
 from __future__ import annotations
 
 import atexit
 import contextlib
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadflow.config import DEFAULT, Config
-from leadflow.functions.text import with_postcode_parts
-from leadflow.operators import accounts, matching, premises, reporting, routing, scoring, territory, triggers
-from leadflow.sources.adapters import source
+from leadflow.functions.text import normal_phone, with_postcode_parts
+from leadflow.operators import accounts, compliance, export, matching, premises, reporting, routing, scoring, territory, triggers
+from leadflow.sources import adapters
 from leadflow.sources.files import remove_folder, work_folder
 
 
+# The tables that a run reads, by name; `sources.files.landed` reads them from landed files.
+TABLES = (
+    "listings", "customers", "registrations", "companies", "officers", "filings", "place_lookups", "reviews", "runs", "boundary", "territory", "territory_files", "suppression", "tombstones", "batches",
+    "mappings", "batch_fields",
+)
+
+
 class LeadRun:
-    def __init__(self, spark: SparkSession, folder: str, cfg: Config = DEFAULT):
-        self.spark, self.folder, self.cfg = spark, folder, cfg
+    """A run over `tables`: a function from a name of TABLES to a DataFrame, or a dictionary. The pepper
+    is the key of the hashes on the suppression list and the tombstones; it is given at run time."""
+
+    def __init__(self, spark: SparkSession, tables: Callable[[str], DataFrame] | dict[str, DataFrame], cfg: Config = DEFAULT, *, pepper: str, folder: str = ""):
+        self.spark, self.cfg, self.pepper, self.folder = spark, cfg, pepper, folder
+        self.table: Callable[[str], DataFrame] = tables.__getitem__ if isinstance(tables, dict) else tables
 
     @cached_property
     def work(self) -> str:
@@ -34,10 +52,7 @@ class LeadRun:
         """Delete the written stages."""
         if "work" in self.__dict__:
             remove_folder(self.spark, self.work)
-        self.__dict__ = {k: v for k, v in self.__dict__.items() if k in ("spark", "folder", "cfg")}
-
-    def table(self, name: str) -> DataFrame:
-        return source(self.spark, self.folder, name)
+        self.__dict__ = {k: v for k, v in self.__dict__.items() if k in ("spark", "folder", "cfg", "pepper", "table")}
 
     @cached_property
     def listings(self) -> DataFrame:
@@ -52,38 +67,60 @@ class LeadRun:
     def premises(self) -> DataFrame:
         return self.kept("premises", premises.group_premises(self.keyed))
 
+    @cached_property
+    def territory(self) -> DataFrame:
+        """The codes that the run covers."""
+        return self.kept("territory", territory.resolve_territory(self.table("territory"), self.table("territory_files")))
+
+    @cached_property
+    def marked(self) -> DataFrame:
+        """Keyed listings with the suppressed or erased keys of each."""
+        k = self.keyed
+        erased = normal_phone(F.col("phone"))
+        return self.kept("marked", compliance.mark_denied(k, self.table("suppression"), self.table("tombstones"), compliance.listing_subjects(k), erased, "import", self.pepper))
+
+    @cached_property
+    def scoped(self) -> DataFrame:
+        """Listings of the territory without a suppressed or erased key."""
+        return territory.filter_territory(self.marked.filter(F.size("denied") == 0).drop("denied"), self.territory)
+
+    @cached_property
+    def leads(self) -> DataFrame:
+        """Premises in scope, one lead for each tenant where several are registered."""
+        return self.kept("leads", premises.leads_of(premises.group_premises(self.scoped), self.table("registrations")))
+
     @cached_property
     def customers(self) -> DataFrame:
         return matching.customer_keys(self.table("customers"))
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return matching.block(self.premises, self.customers)
+        """All candidate pairs: the report; the run itself takes the best ones without them."""
+        return matching.block(self.leads, self.customers)
 
     @cached_property
     def scored(self) -> DataFrame:
-        return matching.score_pairs(self.pairs, self.premises, self.customers, self.cfg)
+        return matching.score_pairs(self.pairs, self.leads, self.customers, self.cfg)
 
     @cached_property
     def best(self) -> DataFrame:
-        return matching.best_match(self.scored)
+        return matching.best_customers(self.leads, self.customers, self.cfg)
 
     @cached_property
     def classified(self) -> DataFrame:
-        return self.kept("classified", matching.classify_match(self.premises, self.best, self.cfg))
+        return self.kept("classified", matching.classify_match(self.leads, self.best, self.cfg))
 
     @cached_property
     def registrations(self) -> DataFrame:
-        return self.kept("registrations", matching.match_registrations(self.premises, self.table("registrations")))
+        return self.kept("registrations", matching.match_registrations(self.leads, self.table("registrations")))
 
     @cached_property
     def companies(self) -> DataFrame:
-        return self.kept("companies", matching.match_companies(self.premises, self.registrations, self.table("companies")))
+        return self.kept("companies", matching.match_companies(self.leads, self.registrations, self.table("companies")))
 
     @cached_property
     def boundary(self) -> DataFrame:
-        d = self.premises.filter("area <> 'SW'").select(F.col("district").alias("code"), F.when(F.col("area") == "SL", "expansion").otherwise("in_area").alias("membership"))
-        return self.kept("boundary", territory.import_boundary(d.distinct()))
+        return self.kept("boundary", territory.import_boundary(self.table("boundary")))
 
     @cached_property
     def owners(self) -> DataFrame:
@@ -102,7 +139,8 @@ class LeadRun:
         out = self.classified.join(r, "lead_key", "left").join(c, "lead_key", "left")
         out = territory.classify_delivery(out, self.boundary)
         out = routing.food_flag(accounts.verify_state(out), self.cfg)
-        return self.kept("enriched", scoring.size_proxy(out.withColumn("place_reviews", F.when(F.col("premises_no") % 3 == 0, 700))))
+        place = self.table("place_lookups").groupBy("premises_no").agg(F.max("reviews").alias("place_reviews"))
+        return self.kept("enriched", scoring.size_proxy(out.join(place, "premises_no", "left")))
 
     @cached_property
     def triggers(self) -> DataFrame:
@@ -110,7 +148,7 @@ class LeadRun:
         new = self.registrations.filter(F.col("days_since_registration") < self.cfg.new_days).select("lead_key", F.lit("Registered recently").alias("snippet"), day(F.col("days_since_registration")).alias("trigger_date"))
         changed = self.companies.select("lead_key", "ch_number").join(self.owners, "ch_number").select("lead_key", F.col("reason").alias("snippet"), F.col("changed_on").alias("trigger_date"))
         hits = triggers.review_snippet(triggers.mine_reviews(self.table("reviews"), self.cfg))
-        complaint = self.premises.select("lead_key", "premises_no").join(hits, "premises_no").select("lead_key", "snippet", F.col("review_date").alias("trigger_date"))
+        complaint = self.leads.select("lead_key", "premises_no").join(hits, "premises_no").select("lead_key", "snippet", F.col("review_date").alias("trigger_date"))
         return triggers.lead_triggers(new, changed, complaint)
 
     @cached_property
@@ -128,7 +166,33 @@ class LeadRun:
     @cached_property
     def routed(self) -> DataFrame:
         out = accounts.confidence(self.enriched.join(self.final, "lead_key"))
-        return self.kept("routed", routing.route(out, self.cfg).withColumn("run_no", 199501 + F.col("premises_no") % 12))
+        return self.kept("routed", routing.route(out, self.cfg))
+
+    @cached_property
+    def items(self) -> DataFrame:
+        """(batch_id, lead_key) of the leads for export: the batches of a run are numbered by its number."""
+        return export.build_batch(self.routed.filter("route = 'export'"), F.col("run_no") % 4)[0]
+
+    @cached_property
+    def gate(self) -> DataFrame:
+        return export.export_gate(self.table("batches"), self.items, self.table("batch_fields"), self.table("mappings"))
+
+    @cached_property
+    def export_marked(self) -> DataFrame:
+        """Leads of the items that the gate lets through, with suppressed and erased keys as the lists
+        are at the time of export."""
+        open_ = self.gate.filter("may_export").select("batch_id")
+        leads = self.routed.join(self.items.join(open_, "batch_id", "left_semi").select("lead_key").distinct(), "lead_key", "left_semi")
+        return compliance.mark_denied(leads, self.table("suppression"), self.table("tombstones"), compliance.listing_subjects(leads), normal_phone(F.col("phone")), "import", self.pepper)
+
+    @cached_property
+    def cleared(self) -> DataFrame:
+        return self.export_marked.filter(F.size("denied") == 0).drop("denied")
+
+    @cached_property
+    def removed(self) -> DataFrame:
+        """Rows that the two deny stages removed, by hash and scope."""
+        return compliance.removed_keys(self.marked, "head").unionByName(compliance.removed_keys(self.export_marked, "export"))
 
     @cached_property
     def units(self) -> DataFrame:
@@ -149,7 +213,7 @@ def lead_run(spark: SparkSession, folder: str) -> LeadRun:
     if key not in _RUNS:
         for old in [k for k in _RUNS if k[:2] == key[:2]]:
             _RUNS.pop(old).release()
-        _RUNS[key] = LeadRun(spark, folder)
+        _RUNS[key] = LeadRun(spark, adapters.tables(spark, folder, adapters.PEPPER), pepper=adapters.PEPPER, folder=folder)
     return _RUNS[key]
 
 

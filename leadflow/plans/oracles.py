@@ -52,40 +52,42 @@ CTES: dict[str, str] = {name: text for name, (_, text) in SQL.items()}
 CTES |= {
     "lp": f"select *, {parts()}, {akey()} as address_key from listings",
     "prem": """select address_key, unit, sector, district, area, first(brand_name order by reviews desc, listing_id) as primary_brand, first(address order by reviews desc, listing_id) as address,
-  first(premises_no order by reviews desc, listing_id) as premises_no, array_to_string(list_sort(list(distinct brand_name)), ' | ') as all_brands, count(distinct brand_name) as brand_count, count(distinct platform) as platforms_count,
+  first(premises_no order by reviews desc, listing_id) as premises_no, first(run_no order by reviews desc, listing_id) as run_no, array_to_string(list_sort(list(distinct brand_name)), ' | ') as all_brands, count(distinct brand_name) as brand_count, count(distinct platform) as platforms_count,
   cast(sum(reviews) as bigint) as reviews, max(rating_tenths) as rating_tenths, first(phone order by reviews desc, listing_id) as phone, count(*) as listings, count(distinct brand_name)>1 as multi_brand, array_to_string(list_sort(list(distinct cuisine_type)), ' | ') as cuisines,
   coalesce(address_key, '')||'|'||coalesce(unit, '')||coalesce('|#'||solo, '') as lead_key
   from (select *, case when unit is null or coalesce(address_key, '')='' then listing_id end as solo from lp) keyed group by address_key, unit, sector, district, area, solo""",
+    "denied_phones": "select match_value from denied where match_type='phone' and status='active' union select subject from erased where scope='import'",
+    "scoped": "select * from lp where district in (select value from territory) and phone not in (select match_value from denied_phones) and unit not in (select match_value from denied where match_type='postcode' and status='active')",
     "cust": f"select *, {parts()}, {akey()} as address_key from customers",
-    "pairs": """select l.lead_key, c.account_code from prem l join cust c on l.sector=c.sector union select l.lead_key, c.account_code from prem l join cust c on l.phone=c.phone
-  union select l.lead_key, c.account_code from prem l join cust c on l.address_key=c.address_key""",
+    "pairs": """select l.lead_key, c.account_code from leads l join cust c on l.sector=c.sector union select l.lead_key, c.account_code from leads l join cust c on l.phone=c.phone
+  union select l.lead_key, c.account_code from leads l join cust c on l.address_key=c.address_key""",
     "named": f"""select p.lead_key, p.account_code, c.status, coalesce(l.phone=c.phone, false) as same_phone, coalesce(l.unit=c.unit, false) as same_unit,
   greatest({ratio('lower(l.primary_brand)', 'lower(c.name)')}, {ratio(sorted_tokens('l.primary_brand'), sorted_tokens('c.name'))}) as name_score
-  from pairs p join prem l on p.lead_key=l.lead_key join cust c on p.account_code=c.account_code""",
+  from pairs p join leads l on p.lead_key=l.lead_key join cust c on p.account_code=c.account_code""",
     "scored": f"""select lead_key, account_code, status, name_score, cast(floor({C.name_weight}*name_score+{C.phone_weight}*(case when same_phone then 100.0 else 0.0 end)+{C.postcode_weight}*(case when same_unit then 100.0 else 0.0 end)+0.5) as bigint) as match_pct,
   (case when same_phone then 'Phone exact, ' else '' end)||(case when same_unit then 'Postcode exact, ' else '' end)||'Name '||name_score||'%' as matched_fields from named""",
     "best": "select * exclude r from (select *, row_number() over (partition by lead_key order by match_pct desc, account_code) as r from scored) where r=1",
     "classified": f"""select *, case when match_class in ('none','partial') then case when match_pct>={C.amber_from} then 'Amber' else 'Green' end end as match_colour from (
   select l.*, b.account_code, b.status as match_status, b.match_pct, b.matched_fields, case when b.status='active' and b.match_pct>={C.active_threshold} then 'active_match' when b.status='inactive' and b.match_pct>={C.inactive_threshold} then 'inactive_match' when b.match_pct is null then 'none' else 'partial' end as match_class
-  from prem l left join best b on l.lead_key=b.lead_key)""",
+  from leads l left join best b on l.lead_key=b.lead_key)""",
     "regk": f"select *, {parts()}, {akey()} as address_key from registrations",
     "regn": "select address_key, unit, count(*) as registrations from regk group by address_key, unit",
-    "regexact": "select l.lead_key, l.address_key, l.unit, r.fsa_id, r.operator_name, r.business_type, r.hygiene, r.days_since_registration, r.last_inspection_age, r.lat, r.lng, 1 as how, 100 as likeness from prem l join regk r on l.address_key=r.address_key and l.unit=r.unit",
+    "regexact": "select l.lead_key, l.address_key, l.unit, r.fsa_id, r.operator_name, r.business_type, r.hygiene, r.days_since_registration, r.last_inspection_age, r.lat, r.lng, 1 as how, 100 as likeness from leads l join regk r on l.address_key=r.address_key and l.unit=r.unit and (l.tenant is null or l.tenant=r.fsa_id)",
     "regnear": f"""select l.lead_key, l.address_key, l.unit, r.fsa_id, r.operator_name, r.business_type, r.hygiene, r.days_since_registration, r.last_inspection_age, r.lat, r.lng, 2 as how, {ratio(sorted_tokens('l.primary_brand'), sorted_tokens('r.operator_name'))} as likeness
-  from prem l join regk r on l.unit=r.unit where l.lead_key not in (select lead_key from regexact)""",
+  from leads l join regk r on l.unit=r.unit where l.lead_key not in (select lead_key from regexact)""",
     "regm": """select m.lead_key, fsa_id, operator_name, business_type, hygiene, days_since_registration, last_inspection_age, lat, lng, cast(how as bigint) as how, coalesce(n.registrations, 0) as registrations from (
   select *, row_number() over (partition by lead_key order by how, likeness desc, fsa_id) as k from (select * from regexact union all select * from regnear where likeness>=80)) m left join regn n on m.address_key=n.address_key and m.unit=n.unit where k=1""",
     "compk": f"select *, {parts()}, {akey()} as address_key from companies",
     "compm": """select lead_key, ch_number, company_name, ch_status, sic_code, director_no, age_days, cast(how as bigint) as how from (select *, row_number() over (partition by lead_key order by how, ch_number) as r from (
-  select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, c.age_days, 1 as how from prem l join regm r on l.lead_key=r.lead_key join compk c on r.operator_name=c.company_name and l.unit=c.unit
-  union all select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, c.age_days, 2 from prem l join compk c on l.address_key=c.address_key and l.unit=c.unit
-  union all select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, c.age_days, 3 from prem l join compk c on l.sector=c.sector and lower(l.primary_brand||' Foods')=lower(c.company_name))) where r=1""",
+  select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, c.age_days, 1 as how from leads l join regm r on l.lead_key=r.lead_key join compk c on r.operator_name=c.company_name and l.unit=c.unit
+  union all select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, c.age_days, 2 from leads l join compk c on l.address_key=c.address_key and l.unit=c.unit
+  union all select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, c.age_days, 3 from leads l join compk c on l.sector=c.sector and lower(l.primary_brand||' Foods')=lower(c.company_name))) where r=1""",
     "boundary": "select distinct district as code, 'district' as granularity, case when area='SL' then 'expansion' else 'in_area' end as membership from lp where area<>'SW'",
     "enriched": f"""select c.*, r.fsa_id, r.operator_name, r.business_type, r.hygiene, r.days_since_registration, r.last_inspection_age, r.lat, r.lng, r.registrations, m.ch_number, m.company_name, m.ch_status, m.sic_code, m.director_no, m.age_days as company_age,
   coalesce(b.membership, 'outside') as membership, case when m.ch_status='Dissolved' then 'rejected' when r.fsa_id is not null and m.ch_status is not null then 'fsa_ch' when r.fsa_id is not null then 'fsa_only' else 'unverified' end as verify_state,
   not (coalesce(r.business_type='{C.not_food_types[0]}', false) or coalesce(not starts_with(m.sic_code, '{C.food_sic}'), false)) as is_food,
-  case when c.reviews<500 then greatest(c.reviews, case when c.premises_no%3=0 then 700 else 0 end) else c.reviews end as size_reviews
-  from classified c left join regm r on c.lead_key=r.lead_key left join compm m on c.lead_key=m.lead_key left join boundary b on c.district=b.code""",
+  case when c.reviews<500 then greatest(c.reviews, coalesce(g.place_reviews, 0)) else c.reviews end as size_reviews
+  from classified c left join regm r on c.lead_key=r.lead_key left join compm m on c.lead_key=m.lead_key left join boundary b on c.district=b.code left join (select premises_no, max(reviews) as place_reviews from place_lookups group by premises_no) g on c.premises_no=g.premises_no""",
     "sized": "select *, case when size_reviews>=15000 and rating_tenths>=30 then 'large' when size_reviews>=5000 then 'medium' else 'small' end as size_class from enriched",
     "lagged": f"select *, lag(ch_status) over w as before_status from compk window w as (partition by address_key, sector order by age_days desc, ch_number)",
     "changes": f"""select ch_number, 're-incorporated' as reason, {AS_OF}-cast(age_days as int) as changed_on from lagged where before_status='Dissolved' and ch_status='Active'
@@ -96,7 +98,7 @@ CTES |= {
     "snippets": "select *, substr(hits||' recent review(s) mention '||replace(terms, ',', ', '), 1, 200) as snippet from hits",
     "trig": f"""select lead_key, 'new_fsa' as trigger_type, 'Registered recently' as snippet, {AS_OF}-cast(days_since_registration as int) as trigger_date from regm where days_since_registration<{C.new_days}
   union all select m.lead_key, 'ownership_change', o.reason, o.changed_on from compm m join owner o on m.ch_number=o.ch_number
-  union all select p.lead_key, 'review_complaint', h.snippet, h.review_date from prem p join snippets h on p.premises_no=h.premises_no""",
+  union all select p.lead_key, 'review_complaint', h.snippet, h.review_date from leads p join snippets h on p.premises_no=h.premises_no""",
     "bonus": f"select lead_key, cast(sum({POINTS}) as bigint) as bonus from (select distinct lead_key, trigger_type from trig) group by lead_key",
     "facts": """select lead_key, 'type' as factor, case when multi_brand then 'multi' else 'single' end as value from sized union all select lead_key, 'area', area from sized union all
   select lead_key, 'phone', case when starts_with(phone, '07') then 'mobile' else 'landline' end from sized union all select lead_key, 'size', size_class from sized union all select lead_key, 'verified', verify_state from sized""",
@@ -107,16 +109,17 @@ CTES |= {
   select b.lead_key, base, breakdown, coalesce(bonus, 0) as bonus, base+coalesce(bonus, 0) as score from base b left join bonus x on b.lead_key=x.lead_key)""",
     "routed": f"""select *, case rule when 1 then 'ignored' when 2 then 'reactivation' when 3 then 'ignored' when 4 then 'ignored' when 5 then 'expansion' when 6 then 'ignored' when 7 then 'manual_review' when 8 then 'ignored' else 'export' end as route,
   case rule when 1 then 'ACTIVE_MATCH' when 2 then 'INACTIVE_MATCH' when 3 then 'NOT_FOOD' when 4 then 'DISSOLVED' when 5 then 'HELD_OUT_OF_AREA' when 6 then 'OUT_OF_AREA' when 7 then 'NO_FSA' when 8 then 'LOW_SCORE' else 'OK' end as reason from (
-  select s.*, f.base, f.bonus, f.score, f.tier, f.breakdown, 199501+s.premises_no%12 as run_no, case when match_class='active_match' then 1 when match_class='inactive_match' then 2 when not is_food then 3 when verify_state='rejected' then 4
+  select s.*, f.base, f.bonus, f.score, f.tier, f.breakdown, case when match_class='active_match' then 1 when match_class='inactive_match' then 2 when not is_food then 3 when verify_state='rejected' then 4
   when membership<>'in_area' and verify_state in ('fsa_ch','fsa_only') then 5 when membership<>'in_area' then 6 when fsa_id is null then 7 when tier='Ignore' then 8 else 9 end as rule,
   (case when fsa_id is not null then 50 else 0 end)+(case when ch_status='Active' then 30 else 0 end)+(case when hygiene>=3 then 10 else 0 end)+(case when phone is not null then 10 else 0 end) as legitimacy_pct,
   case when match_class='active_match' then 0 else 100-cast(floor(coalesce(match_pct,0)/2.0+0.5) as bigint) end as uniqueness_pct from sized s join final f on s.lead_key=f.lead_key)""",
     "routedx": by_level("run_no, route", "routed"),
     "units": """select run_no, code, granularity, count(*) as found, count(*) filter (route='ignored') as ignored, count(*) filter (route='export') as exported, count(*) filter (route='reactivation') as reactivation
   from routedx group by run_no, code, granularity""",
-    "summary": """select u.*, coalesce(b.membership, 'outside') as membership, 1 as boundary_version from (
+    "summary": """select coalesce(u.code, b.code) as code, coalesce(u.granularity, b.granularity) as granularity, coalesce(runs, 0) as runs, first_run, last_run, coalesce(found, 0) as found, coalesce(ignored, 0) as ignored, coalesce(exported, 0) as exported,
+  coalesce(reactivation, 0) as reactivation, coalesce(b.membership, 'outside') as membership, 1 as boundary_version from (
   select code, granularity, count(distinct u.run_no) as runs, min(last_day) as first_run, max(last_day) as last_run, cast(sum(found) as bigint) as found, cast(sum(ignored) as bigint) as ignored, cast(sum(exported) as bigint) as exported, cast(sum(reactivation) as bigint) as reactivation
-  from units u left join runs r on u.run_no=r.run_no group by code, granularity) u left join boundary b on u.code=b.code and u.granularity=b.granularity""",
+  from units u left join runs r on u.run_no=r.run_no group by code, granularity) u full outer join boundary b on u.code=b.code and u.granularity=b.granularity""",
     "acp": f"""select ch_number, accounts_type, period_end as accounts_date, {', '.join(f'{x} as c_{x}, p_{x}' for x in FIGURES)}, p_period_end from (select *, {', '.join(f'lag({x}) over w as p_{x}' for x in (*FIGURES, 'period_end'))},
   row_number() over (partition by ch_number order by period_end desc, filing_id desc) as r from filings window w as (partition by ch_number order by period_end, filing_id)) where r=1""",
     "acg": "select *, case when p_net_assets<>0 then cast(floor(100.0*(c_net_assets-p_net_assets)/p_net_assets+0.5) as bigint) end as net_assets_growth from acp",
@@ -125,6 +128,11 @@ CTES |= {
 
 
 
+# Leads of a run: premises in scope, split by tenant.
+CTES["tenanted"] = CTES["prem"].replace("from lp)", "from scoped)")
+CTES["leads"] = "select p.* replace (p.lead_key||coalesce('|T'||r.fsa_id, '') as lead_key), p.lead_key as premises_key, r.fsa_id as tenant from tenanted p left join regn n on p.address_key=n.address_key and p.unit=n.unit left join regk r on n.registrations>1 and r.address_key=p.address_key and r.unit=p.unit"
+
+
 def oracle(body: str, extra: dict[str, str] | None = None) -> str:
     """A query with all the expressions that it needs in front, each after those it uses."""
     known = CTES | (extra or {})

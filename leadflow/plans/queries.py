@@ -13,9 +13,9 @@ from leadflow.config import ENUMS
 from leadflow.functions import text as T
 from leadflow.operators import accounts, compliance, contacts, export, matching, premises, quality, reporting, routing, scoring, territory, triggers
 from leadflow.plans.leads import lead_run
-from leadflow.plans.oracles import AS_OF, CTES, PEPPER, akey, by_level, hmac, oracle, parts, ratio, sorted_tokens
+from leadflow.plans.oracles import AS_OF, CTES, akey, by_level, hmac, oracle, parts, ratio, sorted_tokens
 from leadflow.sources import files
-from leadflow.sources.adapters import FIGURES, projected
+from leadflow.sources.adapters import FIGURES, MAPPINGS, PEPPER, projected
 from leadflow.streaming import same_day
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,20 +119,21 @@ def _(r):
     return accounts.facts_wide(accounts.extract_filing_facts(r.table("filings").select("filing_id", F.expr(_BODY).alias("body"))))
 
 
-_EXPORTED = "select 'crm' as output, count(*) as rows_written from routed where route='export' union all select 'ignored_log', count(*) from routed where route='ignored' union all select 'reactivation', count(*) from routed where route='reactivation' union all select 'expansion', count(*) from routed where route='expansion' union all select 'telemetry', 4"
+_EXPORTED = "select 'crm' as output, count(*) as rows_written from routed where route='export' and run_no%4=1 union all select 'ignored_log', count(*) from routed where route='ignored' union all select 'reactivation', count(*) from routed where route='reactivation' union all select 'expansion', count(*) from routed where route='expansion' union all select 'telemetry', 4"
 
 
 @query("outputs_roundtrip", "output run_id:n rows_written:n", f"select *, 199501 as run_id from ({_EXPORTED}) o")
 def _(r):
     outputs = {
-        "crm": export.mapped_snapshot(export.apply_mapping(_flat(r, "export").select("Lead_ID", *[m[0] for m in _MAPS]), _mappings(r))),
+        "crm": export.mapped_snapshot(export.apply_mapping(_flat(r, r.cleared).select("Lead_ID", *[m[0] for m in MAPPINGS]), r.table("mappings"))),
         "ignored_log": routing.ignored_log(r.routed),
         "reactivation": routing.reactivation(r.routed, _last_orders(r)),
         "expansion": routing.expansion(r.routed),
         "telemetry": _telemetry(r),
     }
     paths = files.write_outputs(outputs, f"{r.work}/outputs", 199501)
-    read = [r.spark.read.parquet(path).groupBy("run_id").agg(F.count("*").alias("rows_written")).withColumn("output", F.lit(name)) for name, path in paths.items()]
+    schemas = {name: f"{df.schema.simpleString()[7:-1]},run_id:bigint" for name, df in outputs.items()}
+    read = [r.spark.read.schema(schemas[name]).parquet(path).groupBy("run_id").agg(F.count("*").alias("rows_written")).withColumn("output", F.lit(name)) for name, path in paths.items()]
     return reduce(DataFrame.unionByName, read)
 
 
@@ -213,6 +214,21 @@ def _(r):
     return territory.overlay(coverage, r.customers)
 
 
+_ROADS = "select s_name as road, case s_suppkey%3 when 0 then 'feeder' when 1 then 'primary' else 'other' end as road_class, s_suppkey%7=0 as listed from supplier"
+
+
+# Every mode of the configuration: the custom list holds each seventh road.
+@query("roads_modes", "mode road road_class", "select 'all' as mode, road, road_class from roads union all select 'primary', road, road_class from roads where road_class='primary' union all select 'feeder', road, road_class from roads where road_class='feeder' union all select 'custom', road, road_class from roads where listed", {"roads": _ROADS})
+def _(r):
+    k = F.col("s_suppkey")
+    s = r.spark.read.parquet(f"{r.folder}/supplier.parquet").select(F.col("s_name").alias("road"), F.when(k % 3 == 0, "feeder").when(k % 3 == 1, "primary").otherwise("other").alias("class"), (k % 7 == 0).alias("listed"))
+    out = []
+    for mode in ("all", "primary", "feeder", "custom"):
+        config = s.agg(F.collect_set(F.when(F.col("listed"), F.col("road"))).alias("custom")).select(F.lit(True).alias("is_default"), F.lit(mode).alias("mode"), "custom")  # a configured list
+        out.append(territory.select_roads(s, config).select(F.lit(mode).alias("mode"), "road", F.col("class").alias("road_class")))
+    return reduce(DataFrame.unionByName, out)
+
+
 # C. Premises and contacts
 @query("address_key", "listing_id address_key", f"select listing_id, {akey('addr')} as address_key from (select listing_id, case when listing_id%3=0 then replace(address, 'Road', 'Rd.') else upper(address) end as addr from listings)")
 def _(r):
@@ -279,22 +295,27 @@ def _(r):
 
 
 _CONTACTS = {
-    "rawc": """select lead_key, phone, 4 as priority, 'listing' as source from prem union all select l.lead_key, case when customer_no%3=0 then '+44 '||substr(c.phone, 2) else c.phone end, 5, 'customer' from prem l join cust c on l.address_key=c.address_key and l.unit=c.unit
-  union all select lead_key, '020'||lpad(cast(premises_no%10000000 as varchar), 8, '0'), 3, 'place' from prem where premises_no%4=0 union all select lead_key, '', 2, 'website' from prem""",
+    "rawc": """select lead_key, phone, 4 as priority, 'listing' as source from leads union all select l.lead_key, case when customer_no%3=0 then '+44 '||substr(c.phone, 2) else c.phone end, 5, 'customer' from leads l join cust c on l.address_key=c.address_key and l.unit=c.unit
+  union all select lead_key, '020'||lpad(cast(premises_no%10000000 as varchar), 8, '0'), 3, 'place' from leads where premises_no%4=0
+  union all select lead_key, case when premises_no%2=0 then '0161'||lpad(cast(premises_no%1000000 as varchar), 7, '0') else '' end, 2, 'website' from leads
+  union all select lead_key, '0113 '||lpad(cast(premises_no%1000000 as varchar), 7, '0'), 2, 'website' from leads where premises_no%8=0 union all select lead_key, '079'||lpad(cast(premises_no%1000000 as varchar), 8, '0'), 1, 'whatsapp' from leads where premises_no%5=0""",
     "normc": "select lead_key, case when regexp_matches(d, '^44[0-9]{10}$') then '0'||substr(d, 3) else nullif(d, '') end as phone, priority, source from (select *, regexp_replace(phone, '[^0-9]', '', 'g') as d from rawc)",
     "allc": "select lead_key, phone, case when starts_with(phone, '07') then 'mobile' else 'landline' end as kind, min(priority) as priority, first(source order by priority) as source from normc where phone is not null group by lead_key, phone",
 }
 
 
 def _contacts(r) -> DataFrame:
-    p, c = r.premises, r.customers
+    p, c = r.leads, r.customers
+    made = lambda every, start, width: p.filter(F.col("premises_no") % every == 0).select("lead_key", F.concat(F.lit(start), F.lpad((F.col("premises_no") % 1000000).cast("string"), width, "0")).alias("phone"))
+    site = p.filter("premises_no % 2 <> 0").select("lead_key", F.lit("").alias("phone")).unionByName(made(2, "0161", 7)).unionByName(made(8, "0113 ", 7))
     near = p.select("lead_key", "address_key", "unit").join(c.select("address_key", "unit", "customer_no", "phone"), ["address_key", "unit"])
     place = p.filter("premises_no % 4 = 0").select("lead_key", F.concat(F.lit("020"), F.lpad((F.col("premises_no") % 10000000).cast("string"), 8, "0")).alias("phone"))
     return contacts.collect_contacts({
         "listing": p.select("lead_key", "phone"),
         "customer": near.select("lead_key", F.when(F.col("customer_no") % 3 == 0, F.concat(F.lit("+44 "), F.substr("phone", F.lit(2), F.lit(20)))).otherwise(F.col("phone")).alias("phone")),
         "place": place,
-        "website": p.select("lead_key", F.lit("").alias("phone")),
+        "website": site,
+        "whatsapp": made(5, "079", 8),
     })
 
 
@@ -355,9 +376,9 @@ def _(r):
     return r.pairs
 
 
-@query("similarity", "lead_key account_code edit:n sorted:n token_set:n", f"select p.lead_key, p.account_code, {ratio('l.primary_brand', 'c.name')} as edit, {ratio(sorted_tokens('l.primary_brand'), sorted_tokens('c.name'))} as sorted, cast(floor(100.0*len(list_intersect(list_distinct(string_split(lower(l.primary_brand), ' ')), list_distinct(string_split(lower(c.name), ' '))))/len(list_distinct(list_concat(string_split(lower(l.primary_brand), ' '), string_split(lower(c.name), ' '))))+0.5) as bigint) as token_set from pairs p join prem l on p.lead_key=l.lead_key join cust c on p.account_code=c.account_code")
+@query("similarity", "lead_key account_code edit:n sorted:n token_set:n", f"select p.lead_key, p.account_code, {ratio('l.primary_brand', 'c.name')} as edit, {ratio(sorted_tokens('l.primary_brand'), sorted_tokens('c.name'))} as sorted, cast(floor(100.0*len(list_intersect(list_distinct(string_split(lower(l.primary_brand), ' ')), list_distinct(string_split(lower(c.name), ' '))))/len(list_distinct(list_concat(string_split(lower(l.primary_brand), ' '), string_split(lower(c.name), ' '))))+0.5) as bigint) as token_set from pairs p join leads l on p.lead_key=l.lead_key join cust c on p.account_code=c.account_code")
 def _(r):
-    j = r.pairs.join(r.premises.select("lead_key", "primary_brand"), "lead_key").join(r.customers.select("account_code", "name"), "account_code")
+    j = r.pairs.join(r.leads.select("lead_key", "primary_brand"), "lead_key").join(r.customers.select("account_code", "name"), "account_code")
     a, b = F.col("primary_brand"), F.col("name")
     return j.select("lead_key", "account_code", T.edit_ratio(a, b).alias("edit"), T.token_sort_ratio(a, b).alias("sorted"), T.token_set_ratio(a, b).alias("token_set"))
 
@@ -512,7 +533,7 @@ def _(r):
 
 @query("recalibration", "factor value leads:n converted:n conversion_pct:n lift_pct:n", "select factor, value, count(*) as leads, count(*) filter (converted) as converted, cast(floor(100.0::double*count(*) filter (converted)/count(*)+0.5) as bigint) as conversion_pct, cast(floor(10000.0::double*count(*) filter (converted)/count(*)/(select 100.0::double*count(*) filter (premises_no%5<2)/count(*) from sized)+0.5) as bigint) as lift_pct from (select f.*, s.premises_no%5<2 as converted from facts f join sized s on f.lead_key=s.lead_key) group by factor, value")
 def _(r):
-    outcomes = r.premises.select("lead_key", (F.col("premises_no") % 5 < 2).alias("converted"))
+    outcomes = r.leads.select("lead_key", (F.col("premises_no") % 5 < 2).alias("converted"))
     return scoring.recalibrate(scoring.factors(r.enriched), outcomes)
 
 
@@ -561,12 +582,12 @@ def _(r):
     return routing.expansion(r.routed)
 
 
-_REPS = {"repmap": "select district, 'REP-'||substr(district, 1, 2) as rep from (select distinct district, area from lp) where area in ('TW', 'UB')", "reps": "select p.*, coalesce(m.rep, 'REP-'||(premises_no%3+1)) as rep from prem p left join repmap m on p.district=m.district"}
+_REPS = {"repmap": "select district, 'REP-'||substr(district, 1, 2) as rep from (select distinct district, area from lp) where area in ('TW', 'UB')", "reps": "select p.*, coalesce(m.rep, 'REP-'||(premises_no%3+1)) as rep from leads p left join repmap m on p.district=m.district"}
 
 
 def _with_reps(r) -> DataFrame:
     m = r.keyed.filter("area in ('TW', 'UB')").select("district").distinct().withColumn("rep", F.concat(F.lit("REP-"), F.substring("district", 1, 2)))
-    return routing.assign_reps(r.premises, m, ["REP-1", "REP-2", "REP-3"])
+    return routing.assign_reps(r.leads, m, ["REP-1", "REP-2", "REP-3"])
 
 
 @query("assign_reps", "lead_key district rep", "reps", _REPS)
@@ -587,23 +608,30 @@ def _(r):
 
 
 # I. Export
-def _flat(r, route: str | None = None) -> DataFrame:
-    """The flat layout of all leads, or of those of a route."""
-    slots = contacts.contact_slots(_contacts(r))
-    wide = premises.pivot_platforms(premises.platform_profiles(r.keyed)).withColumn("lead_key", F.concat_ws("|", "address_key", "unit")).drop("address_key", "unit")
+def _outgoing(r) -> DataFrame:
+    """Numbers of the leads that may leave: neither suppressed nor erased."""
+    phone = F.col("phone")
+    return compliance.mark_denied(_contacts(r), r.table("suppression"), r.table("tombstones"), {"phone": phone}, phone, "import", PEPPER).filter(F.size("denied") == 0).drop("denied")
+
+
+def _flat(r, rows: DataFrame | None = None) -> DataFrame:
+    """The flat layout of all leads, or of the rows given."""
+    slots = contacts.contact_slots(_outgoing(r))
+    wide = premises.pivot_platforms(premises.platform_profiles(r.scoped)).withColumn("premises_key", F.concat_ws("|", "address_key", "unit")).drop("address_key", "unit")
     traced = matching.trace_directors(r.table("companies")).select("ch_number", "other_list", F.col("flag").alias("other_flag"))
     owner = r.owners.select("ch_number", "changed_on", F.lit(True).alias("ownership_flag"))
     hits = triggers.review_snippet(triggers.mine_reviews(r.table("reviews"))).select("premises_no", "snippet", F.col("source").alias("review_source"), "review_date", F.lit(True).alias("review_flag"))
-    ids = premises.assign_lead_id(r.premises.withColumn("tenant", F.lit(None).cast("bigint")), C.prefix).select("lead_key", "lead_id")
+    ids = premises.assign_lead_id(r.leads, C.prefix).select("lead_key", "lead_id")
     flags, people = matching.red_flags(r.table("companies")), matching.people_slots(matching.people_json(r.table("officers")))
     day = lambda age: F.date_sub(F.lit(C.as_of).cast("date"), F.col(age).cast("int"))
     place = r.table("place_lookups").select("premises_no", "place_id", F.col("rating_tenths").alias("google_rating"), F.col("reviews").alias("google_reviews"), F.col("phone").alias("google_phone"), F.col("address").alias("google_address"), day("looked_up_age").alias("google_looked_up"))
     of_kind = lambda k: F.min(F.when(F.col("kind") == k, F.col("value")))
     page = contacts.extract_page_contacts(_linked_pages(r)).groupBy(F.col("page_id").alias("premises_no")).agg(of_kind("whatsapp").alias("whatsapp"), of_kind("tel").alias("website_phone"), of_kind("profile").alias("facebook_url"))
-    out = r.routed if route is None else r.routed.filter(F.col("route") == route)
-    for table, key in ((ids, "lead_key"), (slots, "lead_key"), (wide, "lead_key"), (_with_reps(r).select("lead_key", "rep"), "lead_key"), (r.accounts, "ch_number"), (traced, "ch_number"), (owner, "ch_number"), (flags, "ch_number"), (people, "ch_number"), (hits, "premises_no"), (place, "premises_no"), (page, "premises_no")):
+    out = r.routed if rows is None else rows
+    for table, key in ((ids, "lead_key"), (slots, "lead_key"), (wide, "premises_key"), (_with_reps(r).select("lead_key", "rep"), "lead_key"), (r.accounts, "ch_number"), (traced, "ch_number"), (owner, "ch_number"), (flags, "ch_number"), (people, "ch_number"), (hits, "premises_no"), (place, "premises_no"), (page, "premises_no")):
         out = out.join(table, key, "left")
     shown = F.col("match_pct") < C.active_threshold
+    out = compliance.hide_denied(out, ["google_phone", "website_phone", "whatsapp"], r.table("suppression"), r.table("tombstones"), "import", PEPPER)
     return export.flatten_layout(out.withColumns({
         "new_business": F.col("days_since_registration") < C.new_days, "shown_match_pct": F.when(shown, F.col("match_pct")), "shown_fields": F.when(shown, F.col("matched_fields")),
         "run_date": F.lit(C.as_of), "search_code": F.col("district"), "lead_status": F.lit("new"), "last_inspection": day("last_inspection_age"), "incorporated_on": day("company_age"),
@@ -620,7 +648,7 @@ def _flat_sql() -> str:
         "Lead_ID": "i.lead_id", "Last_Inspection_Date": day("r.last_inspection_age"), "Incorporation_Date": day("r.company_age"), "Red_Flags": "f.red_flags", "Directors_Other_Food_Companies": yes("t.flag"), "Directors_Other_Companies_List": "t.other_list",
         "Multi_Brand_Flag": yes("r.multi_brand"), "New_Business_Flag": yes(f"r.days_since_registration<{C.new_days}"), "Recent_Ownership_Change_Flag": yes("o.reason is not null"), "Ownership_Change_Date": "o.changed_on", "Review_Trigger_Flag": yes("h.snippet is not null"),
         "Review_Trigger_Snippet": "h.snippet", "Review_Trigger_Source": "h.source", "Review_Trigger_Date": "h.review_date", "Match_Pct": shown("r.match_pct"), "Matched_Fields": shown("r.matched_fields"), "Run_Date": f"'{C.as_of}'", "Search_Code": "r.district", "Lead_Status": "'new'",
-        "Google_Place_ID": "g.place_id", "Google_Rating": tenths("g.rating_tenths"), "Google_Reviews": "g.reviews", "Google_Phone": "g.phone", "Google_Address": "g.address", "Google_Lookup_Date": day("g.looked_up_age"),
+        "Google_Place_ID": "g.place_id", "Google_Rating": tenths("g.rating_tenths"), "Google_Reviews": "g.reviews", "Google_Phone": "case when g.phone not in (select match_value from denied_phones) then g.phone end", "Google_Address": "g.address", "Google_Lookup_Date": day("g.looked_up_age"),
         "WhatsApp_Link_Number": "case when v.page_id%3=0 then '0044'||lpad(cast(v.page_id as varchar), 8, '0') end", "Website_Phone": "case when v.page_id%5=0 then '+44 '||lpad(cast(v.page_id as varchar), 8, '0') end", "Facebook_URL": "null", "Assigned_Rep": "p.rep",
     }
     of = {"mobile_": "s", "landline_": "s", "sources": "s", "justeat_": "w", "ubereats_": "w", "deliveroo_": "w", "c_": "a", "p_net": "a", "net_assets": "a", "accounts_": "a", "financial_": "a", "director_": "d", "psc_": "d"}
@@ -628,16 +656,18 @@ def _flat_sql() -> str:
     for name, kind, src in export.LAYOUT:
         at = next((f"{t}.{src}" for prefix, t in of.items() if src and src.startswith(prefix)), f"r.{src}" if src else "null")
         made.append(f'cast({own.get(name) or (tenths(at) if kind == "d" else at)} as varchar) as "{name}"')
-    joins = "left join slots s on r.lead_key=s.lead_key left join wide w on r.lead_key=w.address_key||'|'||w.unit left join acl a on r.ch_number=a.ch_number left join traced t on r.ch_number=t.ch_number left join owner o on r.ch_number=o.ch_number left join snippets h on r.premises_no=h.premises_no"
+    joins = "left join slots s on r.lead_key=s.lead_key left join wide w on r.premises_key=w.address_key||'|'||w.unit left join acl a on r.ch_number=a.ch_number left join traced t on r.ch_number=t.ch_number left join owner o on r.ch_number=o.ch_number left join snippets h on r.premises_no=h.premises_no"
     joins += " left join flags f on r.ch_number=f.ch_number left join people d on r.ch_number=d.ch_number left join place_lookups g on r.premises_no=g.premises_no left join raw_pages v on r.premises_no=v.page_id join reps p on r.lead_key=p.lead_key"
     return f"select {', '.join(made)}, r.route from routed r join ids i on r.lead_key=i.lead_key {joins}"
 
 
 _FLAGS = "select ch_number, case when charges and strike_off then 'Charges / Strike-off' when charges then 'Charges' when strike_off then 'Strike-off' else 'None' end as red_flags from companies"
 _FLAT = _CONTACTS | _PROFILES | _PEOPLE | _REPS | _TRACE | {
-    "slots": _SLOT,
+    "outc": "select * from allc where phone not in (select match_value from denied_phones)",
+    "profiles": _PROFILES["profiles"].replace("from lp", "from scoped"),
+    "slots": _SLOT.replace("from allc", "from outc"),
     "wide": _WIDE,
-    "ids": "select lead_key, 'LD-'||area||'-'||lpad(cast(row_number() over (partition by area order by sector, unit, address_key, lead_key) as varchar), 5, '0') as lead_id from prem",
+    "ids": "select lead_key, 'LD-'||area||'-'||lpad(cast(row_number() over (partition by area order by sector, unit, address_key, lead_key, coalesce(tenant, 0)) as varchar), 5, '0') as lead_id from leads",
     "flags": _FLAGS,
     "flat": _flat_sql(),
 }
@@ -648,36 +678,18 @@ def _(r):
     return _flat(r)
 
 
-_MAPS = (("Primary_Brand_Name", "name", "upper", True), ("Lead_Score", "score", "none", True), ("Phone_Mobile_1", "phone", "digits", True), ("Priority_Tier", "tier", "none", False))
-
-
-def _mappings(r) -> DataFrame:
-    return r.spark.createDataFrame(list(_MAPS), "internal_field string, target_field string, transform string, is_verified boolean")
-
-
 @query("field_mapping", "Lead_ID mapped_values", """select "Lead_ID", '{"name":"'||upper("Primary_Brand_Name")||'","phone":"'||coalesce("Phone_Mobile_1", '')||'","score":"'||"Lead_Score"||'"}' as mapped_values from flat""", _FLAT)
 def _(r):
-    return export.mapped_snapshot(export.apply_mapping(_flat(r).select("Lead_ID", *[m[0] for m in _MAPS]), _mappings(r)))
+    return export.mapped_snapshot(export.apply_mapping(_flat(r).select("Lead_ID", *[m[0] for m in MAPPINGS]), r.table("mappings")))
 
 
 _ITEMS2 = {"items": "select lead_key, run_no%4 as batch_id from routed where route='export'", "batches": "select distinct run_no%4 as batch_id, case run_no%4 when 0 then 'draft' else 'approved' end as status from runs"}
 
 
-def _items(r) -> DataFrame:
-    return export.build_batch(r.routed.filter("route = 'export'"), F.col("run_no") % 4)[0]
-
-
-def _batches(r) -> DataFrame:
-    b = F.col("run_no") % 4
-    return r.table("runs").select(b.alias("batch_id"), F.when(b == 0, "draft").otherwise("approved").alias("status")).distinct()
-
-
 # Batches 0 and 1 use verified mappings only, batch 2 one that is not verified, batch 3 none.
 @query("export_gate", "batch_id:n status items:n verified may_export", "select b.batch_id, b.status, coalesce(i.n, 0) as items, b.batch_id<2 as verified, b.status='approved' and coalesce(i.n, 0)>0 and b.batch_id<2 as may_export from batches b left join (select batch_id, count(*) as n from items group by batch_id) i on b.batch_id=i.batch_id", _ITEMS2)
 def _(r):
-    fields = [(k, m[0]) for k in range(3) for m in _MAPS if m[3] or k == 2]
-    used = r.spark.createDataFrame(fields, "batch_id bigint, internal_field string")
-    return export.export_gate(_batches(r), _items(r), used, _mappings(r))
+    return r.gate
 
 
 @query("export_batch", "batch_id:n lead_count:n", "select batch_id, count(*) as lead_count from items group by batch_id", _ITEMS2)
@@ -690,7 +702,7 @@ _SAFE = {"safe": f"select * from (select *, row_number() over (partition by lead
 
 def _telesales(r) -> DataFrame:
     leads = r.routed.join(_with_reps(r).select("lead_key", "rep"), "lead_key")
-    return export.telesales_rows(_items(r), leads, contacts.safe_contact(_contacts(r), _suppression(r), PEPPER), _batches(r).filter("status = 'approved'"), r.triggers, C.as_of)
+    return export.telesales_rows(r.items, leads, contacts.safe_contact(_contacts(r), _suppression(r), PEPPER), r.table("batches").filter("status = 'approved'"), r.triggers, C.as_of)
 
 
 _TELE = _ITEMS2 | _CONTACTS | _SUPP | _SAFE | _REPS | {
@@ -708,13 +720,13 @@ def _(r):
 # The leads of the export, and all leads of the run as a set that must not go out.
 @query("contamination", "item_set items:n contaminated:n", "select 'export' as item_set, count(*) as items, count(*) filter (match_class='active_match') as contaminated from routed where route='export' union all select 'all_leads', count(*), count(*) filter (match_class='active_match') from routed", _ITEMS2)
 def _(r):
-    export_set = _items(r).select("lead_key", F.lit("export").alias("item_set"))
+    export_set = r.items.select("lead_key", F.lit("export").alias("item_set"))
     return export.contamination(export_set.unionByName(r.routed.select("lead_key", F.lit("all_leads").alias("item_set"))), r.classified)
 
 
 @query("apply_outcomes", "lead_key rep worked_status lead_status outcome_notes rejected", "select lead_key, rep, case when premises_no%3=1 then 'contacted' else 'open' end as worked_status, case when premises_no%3=1 and premises_no%2=0 then 'contacted' else 'new' end as lead_status, case when premises_no%3=1 then 'called' end as outcome_notes, premises_no%3=2 as rejected from reps", _REPS)
 def _(r):
-    a = _with_reps(r).join(r.premises.select("lead_key", "premises_no"), "lead_key").withColumns({"worked_status": F.lit("open"), "lead_status": F.lit("new"), "outcome_notes": F.lit(None).cast("string")})
+    a = _with_reps(r).join(r.leads.select("lead_key", "premises_no"), "lead_key").withColumns({"worked_status": F.lit("open"), "lead_status": F.lit("new"), "outcome_notes": F.lit(None).cast("string")})
     k = F.col("premises_no") % 3
     updates = a.filter(k != 0).select(
         "lead_key", F.when(k == 1, F.col("rep")).otherwise("NOBODY").alias("rep"), F.lit("contacted").alias("worked_status"),
@@ -736,6 +748,14 @@ def _(r):
     return compliance.suppress(r.premises, _suppression(r).unionByName(codes).unionByName(old), PEPPER)
 
 
+_HEAD = "select 'head' as stage, 'suppressed' as reason, 'phone' as match_type, {p} as match_hmac, count(*) as n from lp where phone in (select match_value from denied where match_type='phone' and status='active') group by phone union all select 'head', 'suppressed', 'postcode', {u}, count(*) from lp where unit in (select match_value from denied where match_type='postcode') group by unit union all select 'head', 'erased', 'import', {p}, count(*) from lp where phone in (select subject from erased where scope='import') group by phone"
+
+
+@query("deny_stage", "stage reason match_type match_hmac n:n", _HEAD.format(p=hmac("phone"), u=hmac("unit")))
+def _(r):
+    return r.removed
+
+
 @query("erasure_block", "account_code", "select account_code from customers where customer_no%19<>0")
 def _(r):
     c = r.table("customers")
@@ -764,7 +784,7 @@ def _snapshots(r) -> tuple[DataFrame, DataFrame]:
 _AUDIT = {
     "bef": "select account_code, customer_no, status, phone from customers where customer_no%26<>0",
     "aft": "select account_code, customer_no, case when customer_no%10=0 then 'closed' else status end as status, case when customer_no%22=0 then null else phone end as phone from customers where customer_no%14<>0",
-    "audit": "select coalesce(a.account_code, b.account_code) as entity_id, case when b.account_code is null then 'insert' when a.account_code is null then 'delete' else 'update' end as action, case when b.account_code is not null then 'status='||b.status end as before, case when a.account_code is not null then 'status='||a.status end as after from bef b full outer join aft a on a.account_code=b.account_code where a.account_code is null or b.account_code is null or a.status is distinct from b.status or a.phone is distinct from b.phone",
+    "audit": """select coalesce(a.account_code, b.account_code) as entity_id, case when b.account_code is null then 'insert' when a.account_code is null then 'delete' else 'update' end as action, case when b.account_code is not null then '{"status":"'||b.status||'"}' end as before, case when a.account_code is not null then '{"status":"'||a.status||'"}' end as after from bef b full outer join aft a on a.account_code=b.account_code where a.account_code is null or b.account_code is null or a.status is distinct from b.status or a.phone is distinct from b.phone""",
 }
 
 
@@ -862,6 +882,14 @@ def _(r):
     return r.summary
 
 
+# Units of even runs first, then those of odd runs merged into the stored summary: the same as one rebuild.
+@query("coverage_merge", "code granularity runs:n first_run:d last_run:d found:n ignored:n exported:n reactivation:n membership boundary_version:n", "summary")
+def _(r):
+    even = F.col("run_no") % 2 == 0
+    first = reporting.rebuild_summary(r.units.filter(even), r.table("runs"), r.boundary)
+    return reporting.merge_summary(first, r.units.filter(even), r.units.filter(~even), r.table("runs"), r.boundary)
+
+
 @query("coverage_stale", "code granularity", "select code, granularity from summary where code like 'TW%'")
 def _(r):
     s = r.summary.withColumn("boundary_version", F.when(F.col("code").startswith("TW"), 1).otherwise(2))
@@ -873,9 +901,9 @@ def _(r):
     return r.summary.select("code", "granularity", reporting.coverage_level(F.col("runs")).alias("level"), (F.col("runs") == 0).alias("is_gap"), (F.col("membership") == "expansion").alias("is_expansion"))
 
 
-@query("coverage_progress", "total:n targeted:n gaps:n expansion_held:n pct:n", "select *, cast(floor(100.0::double*targeted/total+0.5) as bigint) as pct from (select count(*) filter (b.membership='in_area') as total, count(*) filter (b.membership='in_area' and coalesce(s.runs,0)>0) as targeted, count(*) filter (b.membership='in_area' and not coalesce(s.runs,0)>0) as gaps, count(*) filter (b.membership='expansion') as expansion_held from boundary b left join (select * from summary where granularity='district' and code not like '%7') s on b.code=s.code)")
+@query("coverage_progress", "total:n targeted:n gaps:n expansion_held:n pct:n", "select *, cast(floor(100.0::double*targeted/total+0.5) as bigint) as pct from (select count(*) filter (b.membership='in_area') as total, count(*) filter (b.membership='in_area' and coalesce(s.runs,0)>0) as targeted, count(*) filter (b.membership='in_area' and not coalesce(s.runs,0)>0) as gaps, count(*) filter (b.membership='expansion') as expansion_held from boundary b left join (select * from summary where granularity='district') s on b.code=s.code)")
 def _(r):
-    return reporting.coverage_progress(r.summary.filter("code not like '%7'"), r.boundary)
+    return reporting.coverage_progress(r.summary, r.boundary)
 
 
 @query("ignored_summary", "reason n:n", "select reason, count(*) as n from routed where route='ignored' group by reason")
@@ -883,10 +911,9 @@ def _(r):
     return r.routed.filter("route = 'ignored'").groupBy("reason").agg(F.count("*").alias("n"))
 
 
-@query("overview", "leads:n ready:n tier_a:n ignored:n held:n", "select count(*) as leads, count(*) filter (route='export') as ready, count(*) filter (route='export' and tier='A') as tier_a, count(*) filter (route='ignored') as ignored, count(*) filter (route='expansion') as held from routed")
+@query("overview", "leads:n ready:n export_ready:n telesales_open:n tier_a:n ignored:n held:n gaps:n", "select count(*) as leads, count(*) filter (route='export') as ready, count(*) filter (route='export' and run_no%4=1) as export_ready, (select count(*) from tele where worked_status='open') as telesales_open, count(*) filter (route='export' and tier='A') as tier_a, count(*) filter (route='ignored') as ignored, count(*) filter (route='expansion') as held, (select count(*) from summary where granularity='district' and membership='in_area' and runs=0) as gaps from routed", _TELE)
 def _(r):
-    n = F.count_if
-    return r.routed.agg(F.count("*").alias("leads"), n(F.col("route") == "export").alias("ready"), n((F.col("route") == "export") & (F.col("tier") == "A")).alias("tier_a"), n(F.col("route") == "ignored").alias("ignored"), n(F.col("route") == "expansion").alias("held"))
+    return reporting.overview(r.routed, r.cleared, _telesales(r), r.summary)
 
 
 @query("budget", "run_no:n last_day:d pence:n day_pence:n over_cap over_target", f"select run_no, last_day, pence, cast(sum(pence) over (partition by last_day order by run_no) as bigint) as day_pence, sum(pence) over (partition by last_day order by run_no)>{100 * C.daily_cap} as over_cap, pence>{100 * C.district_target} as over_target from (select *, cast(floor(cost*100+0.5) as bigint) as pence from runs)")
@@ -905,16 +932,22 @@ def _(r):
     return reporting.search(r.routed, "KeBab", ["primary_brand", "unit"], ("tier", "B"))
 
 
+@query("search_counts", "shown:n total:n", "select count(*) filter ((contains(lower(primary_brand), 'kebab') or contains(lower(unit), 'kebab')) and tier='B') as shown, count(*) as total from routed")
+def _(r):
+    return reporting.search_counts(r.routed, "KeBab", ["primary_brand", "unit"], ("tier", "B"))
+
+
 @query("status_class", "run_no:n status status_class", "select run_no, status, case when contains(status, 'complete') then 'complete' else 'draft' end as status_class from runs")
 def _(r):
     return reporting.with_status_class(r.table("runs"))
 
 
-@query("run_history", "run_no:n run_type last_day:d discovered:n deduplicated:n status status_class", "select r.run_no, run_type, last_day, d.n as discovered, p.n as deduplicated, status, case when status='complete' then 'complete' else 'draft' end as status_class from runs r left join (select 199501+premises_no%12 as run_no, count(*) as n from listings group by 1) d on r.run_no=d.run_no left join (select 199501+premises_no%12 as run_no, count(*) as n from prem group by 1) p on r.run_no=p.run_no")
+@query("run_history", "run_no:n territory run_type last_day:d pence:n discovered:n deduplicated:n status status_class", "select r.run_no, t.r_name as territory, run_type, last_day, cast(floor(cost*100+0.5) as bigint) as pence, d.n as discovered, p.n as deduplicated, status, case when status='complete' then 'complete' else 'draft' end as status_class from runs r left join region t on r.territory_no=t.r_regionkey left join (select run_no, count(*) as n from listings group by 1) d on r.run_no=d.run_no left join (select run_no, count(*) as n from prem group by 1) p on r.run_no=p.run_no")
 def _(r):
-    run = (199501 + F.col("premises_no") % 12).alias("run_no")
-    n = lambda df, s: df.groupBy(run).agg(F.count("*").alias("n")).withColumn("stage", F.lit(s))
-    return reporting.run_history(r.table("runs"), n(r.listings, "discovered").unionByName(n(r.premises, "deduplicated")))
+    n = lambda df, s: df.groupBy("run_no").agg(F.count("*").alias("n")).withColumn("stage", F.lit(s))
+    sets = r.spark.read.parquet(f"{r.folder}/region.parquet").select(F.col("r_regionkey").alias("territory_no"), F.col("r_name").alias("territory"))
+    out = reporting.run_history(r.table("runs"), n(r.listings, "discovered").unionByName(n(r.premises, "deduplicated")), sets)
+    return out.withColumn("pence", T.percent(F.col("cost") * 100))
 
 
 @query("territory_overview", "territory_set items:n mix postcodes:n last_used:d", "select area as territory_set, count(distinct district) as items, 'outer_code' as mix, count(distinct unit) as postcodes, max(listed_on) as last_used from lp group by area")

@@ -5,7 +5,12 @@ On a session, `source(spark, folder, name)` reads only the table and columns tha
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leadflow.functions.text import hmac_sha256, normal_phone, normal_postcode
 
 
 def _q(k: str, n: int) -> str:
@@ -53,6 +58,7 @@ _K = "(case when o_orderkey%5=0 then o_custkey+100000 else o_custkey end)"
 _C = "(case when c_custkey%2=0 then c_custkey else c_custkey+500000 end)"
 _P8 = "(case when p_partkey%8<>0 then p_partkey else p_partkey+500000 end)"
 _P9 = "(case when p_partkey%9<>0 then p_partkey else p_partkey+500000 end)"
+_DISTRICT = f"{_area(_K)} || {_s(_q(_K, 6) + '%9+1')}"
 _N = "cast(floor(o_totalprice) as bigint)"
 # Figures of filed accounts; the same names with c_ and p_ in front are those of the current and the prior year.
 FIGURES = ("total_assets", "fixed_assets", "current_assets", "cash_at_bank", "debtors", "creditors", "current_liabilities", "net_assets", "equity", "turnover", "gross_profit", "net_profit", "employees")
@@ -67,7 +73,7 @@ SQL: dict[str, tuple[str, str]] = {
   (case when o_orderkey%7=0 then {_name(_K + '+13')} else {_name(_K)} end) || (case when o_orderkey%4=0 then ' Ltd' else '' end) as brand_name,
   {_address(_K)} as address, {_postcode(_K)} as postcode, {_phone(_K)} as phone,
   cast(floor(o_totalprice/100) as bigint) as reviews, cast(10+o_orderkey%41 as bigint) as rating_tenths, cast(o_orderdate as date) as listed_on,
-  'https://p' || {_s('o_orderkey%3')} || '.example/' || {_s('o_orderkey')} as url, {_w2(_q(_K, 7) + '%7')} as cuisine_type
+  'https://p' || {_s('o_orderkey%3')} || '.example/' || {_s('o_orderkey')} as url, {_w2(_q(_K, 7) + '%7')} as cuisine_type, 199501+{_K}%12 as run_no
 from orders""",
     ),
     "customers": (
@@ -113,9 +119,28 @@ from events where event_type in ('signup', 'purchase', 'error')""",
     ),
     "runs": (
         "orders",
-        """select run_id, run_id as run_no, 'weekly' as run_type, case when run_id%7=0 then 'failed' else 'complete' end as status, discovered, cost, last_day from (
+        """select run_id, run_id as run_no, run_id%5 as territory_no, 'weekly' as run_type, case when run_id%7=0 then 'failed' else 'complete' end as status, discovered, cost, last_day from (
   select year(o_orderdate)*100+month(o_orderdate) as run_id, count(*) as discovered, cast(count(*)%900 as double)/100 as cost, max(cast(o_orderdate as date)) as last_day from orders group by year(o_orderdate)*100+month(o_orderdate)) r""",
     ),
+    "territory": (
+        "orders",
+        f"""select distinct 'outer_code' as item_type, {_DISTRICT} as value, cast(null as string) as source_file_id, false as is_expansion from orders where {_q(_K, 6)}%9+1<>8""",
+    ),
+    "boundary": (
+        "orders",
+        f"""select distinct {_DISTRICT} as code, case when {_area(_K)}='SL' then 'expansion' else 'in_area' end as membership from orders where {_area(_K)}<>'SW'""",
+    ),
+    "denied": (
+        "customer",
+        f"""select 'phone' as match_type, {_phone('c_custkey')} as match_value, case when c_custkey%100=0 then 'withdrawn' else 'active' end as status from customer where c_custkey%50=0
+  union all select 'postcode', {_postcode('c_custkey')}, 'active' from customer where c_custkey%90=0
+  union all select 'phone', '020' || lpad({_s('c_custkey')}, 8, '0'), 'active' from customer where c_custkey%70=0""",
+    ),
+    "erased": ("customer", f"""select {_phone('c_custkey')} as subject, case when c_custkey%2=0 then 'import' else 'marketing' end as scope from customer where c_custkey%45=0"""),
+    "batches": (
+        "orders",
+        """select distinct (year(o_orderdate)*100+month(o_orderdate))%4 as batch_id, case (year(o_orderdate)*100+month(o_orderdate))%4 when 0 then 'draft' else 'approved' end as status from orders""",
+    ),
     "reviews": ("documents", "select doc_id as premises_no, source, text, doc_id%200 as age_days from documents"),
     "raw_pages": ("pages", "select page_id, url, html from pages"),
 }
@@ -129,3 +154,30 @@ def projected(spark: SparkSession, name: str, table: DataFrame) -> DataFrame:
 
 def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return projected(spark, name, spark.read.parquet(f"{folder}/{SQL[name][0]}.parquet"))
+
+
+# Mapping table of the CRM file: (layout field, target field, transform, verified), and the fields that each batch uses.
+MAPPINGS = (("Primary_Brand_Name", "name", "upper", True), ("Lead_Score", "score", "none", True), ("Phone_Mobile_1", "phone", "digits", True), ("Priority_Tier", "tier", "none", False))
+PEPPER = "pepper"  # of these projections only; a run over landed files is given its own
+
+
+def tables(spark: SparkSession, folder: str, pepper: str) -> Callable[[str], DataFrame]:
+    """The tables of a lead run from a folder of star-schema tables. Suppressed and erased subjects are
+    hashed here, as they would be when they are entered."""
+    value = F.when(F.col("match_type") == "phone", normal_phone(F.col("match_value"))).when(F.col("match_type") == "postcode", normal_postcode(F.col("match_value"))).otherwise(F.lower("match_value"))
+
+    def table(name: str) -> DataFrame:
+        if name == "suppression":
+            return source(spark, folder, "denied").select("match_type", hmac_sha256(value, pepper).alias("match_hmac"), "status").distinct()
+        if name == "tombstones":
+            return source(spark, folder, "erased").select(hmac_sha256(normal_phone(F.col("subject")), pepper).alias("subject_hmac"), "scope").distinct()
+        if name == "territory_files":
+            return spark.createDataFrame([], "file_id string, code string")
+        if name == "mappings":
+            return spark.createDataFrame(list(MAPPINGS), "internal_field string, target_field string, transform string, is_verified boolean")
+        if name == "batch_fields":  # batches 0 and 1 use verified mappings only, batch 2 one that is not, batch 3 none
+            fields = [(k, m[0]) for k in range(3) for m in MAPPINGS if m[3] or k == 2]
+            return spark.createDataFrame(fields, "batch_id bigint, internal_field string")
+        return source(spark, folder, name)
+
+    return table

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LISTING_SCHEMA = "listing_id bigint, platform string, brand_name string, address string, postcode string, phone string, reviews bigint, rating_tenths bigint, listed_on date"
+from leadflow.operators.premises import PLATFORMS
+
+LISTING_SCHEMA = "listing_id bigint, premises_no bigint, platform string, brand_name string, address string, postcode string, phone string, reviews bigint, rating_tenths bigint, listed_on date, url string, cuisine_type string, run_no bigint"
 CUSTOMER_SCHEMA = "account_code string, name string, address string, postcode string, phone string, status string, rep_no bigint, _corrupt string"
 
 
@@ -31,6 +34,29 @@ def load_customers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CUSTOMER_SCHEMA).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").csv(path)
 
 
+def landed(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
+    """The tables of a lead run from landed files: listings/<platform>.<json|csv|parquet>, customers.csv
+    (lines that do not fit the schema are left out here; they keep their text in load_customers), and
+    <name>.parquet for all others. Listings are found by their platform's file, whatever its format."""
+    base = folder.rstrip("/")
+
+    def exists(path: str) -> bool:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+    def table(name: str) -> DataFrame:
+        if name == "listings":
+            paths = {p: f"{base}/listings/{p}.{kind}" for p in PLATFORMS for kind in ("json", "csv", "parquet") if exists(f"{base}/listings/{p}.{kind}")}
+            if not paths:
+                raise FileNotFoundError(f"no landed listings in {base}/listings")
+            return load_listings(spark, paths)
+        if name == "customers":
+            return load_customers(spark, f"{base}/customers.csv").filter("_corrupt is null").drop("_corrupt")
+        return spark.read.parquet(f"{base}/{name}.parquet")
+
+    return table
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder for written stages where all executors see it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
