@@ -34,7 +34,17 @@ class Config:
     unit_cost: float = 0.05
     district_target: float = 2.0
     prefix: str = "LD"
-    lexicon: tuple[str, ...] = field(default=("stock", "late", "quality", "the", "stupid"))
+    # Fixed values: (term, category, negated) of complaints in reviews; a negated term counts only behind a negation ("no stock"), the others only without one.
+    lexicon: tuple[tuple[str, str, bool], ...] = field(
+        default=(
+            ("arrived", "supply", True), ("delayed", "supply", False), ("delivered", "supply", True), ("late", "supply", False), ("shortage", "supply", False),
+            ("sold", "stock", False), ("stock", "stock", True), ("unavailable", "stock", False),
+            ("burnt", "quality", False), ("cold", "quality", False), ("fresh", "quality", True), ("soggy", "quality", False), ("stale", "quality", False),
+            ("inconsistent", "consistency", False), ("missing", "consistency", False), ("varies", "consistency", False), ("wrong", "consistency", False),
+        )
+    )
+    negations: tuple[str, ...] = ("never", "no", "not", "without", "isn't", "wasn't", "didn't")
+    negation_window: int = 3
 
 
 DEFAULT = Config()

@@ -17,20 +17,38 @@ TAGS = {
 }
 
 
+CONTEXT = r"(?s)<(?:\w+:)?context\b[^>]*?\bid\s*=\s*[\"']([^\"']+)[\"'][^>]*>(.*?)</(?:\w+:)?context>"
+PERIOD_END = r"<(?:\w+:)?(?:instant|endDate)[^>]*>\s*([0-9]{4}-[0-9]{2}-[0-9]{2})"
+
+
 def extract_filing_facts(filings: DataFrame) -> DataFrame:
-    """(filing_id, tag, current, prior) of the known facts in the body of each filing. Attributes may
-    stand in any order; scale is a power of ten; a sign attribute, a minus or parentheses make the
-    amount negative; decimals says how exact it is and changes nothing."""
-    group = lambda i: F.regexp_extract_all("body", F.lit(FACT), i)
-    facts = filings.select("filing_id", F.explode(F.arrays_zip(group(1).alias("attributes"), group(2).alias("shown"))).alias("f")).select("filing_id", "f.attributes", "f.shown")
+    """(filing_id, tag, current, prior) of the known facts in the body of each filing.
+
+    A fact's contextRef is resolved within its document: the context's instant or end date is the fact's
+    date; the latest date of known facts is the current period, the one before it the prior. Contexts of
+    a part of the company (with a dimension member) and facts of undefined contexts are left out, but a
+    document that defines none may name its contexts `current` and `prior`. Attributes may stand in any
+    order; scale is a power of ten; a sign attribute, a minus or parentheses make the amount negative;
+    decimals says how exact it is and changes nothing."""
+    group = lambda p, i: F.regexp_extract_all("body", F.lit(p), i)
+    pairs = F.arrays_zip(group(CONTEXT, 1).alias("id"), group(CONTEXT, 2).alias("inner"))
+    whole = F.filter(pairs, lambda c: ~c["inner"].rlike(r"(?:explicit|typed)Member\b"))
+    ends = F.transform(whole, lambda c: F.struct(c["id"].alias("id"), F.regexp_extract(c["inner"], PERIOD_END, 1).try_cast("date").alias("end")))
+    undefined = F.when(F.size("pairs") == 0, F.array(*[F.struct(F.lit(n).alias("id"), F.lit(d).cast("date").alias("end")) for n, d in (("current", "9999-12-31"), ("prior", "9999-12-30"))]))
+    docs = filings.select("filing_id", "body", pairs.alias("pairs"), ends.alias("defined")).select("filing_id", F.coalesce(undefined, "defined").alias("contexts"), F.arrays_zip(group(FACT, 1).alias("attributes"), group(FACT, 2).alias("shown")).alias("f"))
+    facts = docs.select("filing_id", "contexts", F.explode("f").alias("f")).select("filing_id", "contexts", "f.attributes", "f.shown")
     attribute = lambda name: F.regexp_extract("attributes", rf"(?:^|\s){name}\s*=\s*[\"']([^\"']*)[\"']", 1)
     size = F.regexp_replace("shown", "[^0-9.]", "").try_cast("decimal(20,4)")
     scaled = size * F.pow(F.lit(10), F.coalesce(attribute("scale").try_cast("int"), F.lit(0))).cast("decimal(18,6)")
     negative = (attribute("sign") == "-") | F.col("shown").rlike(r"^\s*[-(]")
     amount = F.when(negative, -scaled).otherwise(scaled).cast("decimal(18,2)")
-    facts = facts.select("filing_id", F.regexp_extract(attribute("name"), "([A-Za-z]+)$", 1).alias("tag"), attribute("contextRef").alias("context"), amount.alias("amount"))
-    at = lambda c: F.max(F.when(F.col("context") == c, F.col("amount")))
-    return facts.filter(F.col("tag").isin(list(TAGS))).groupBy("filing_id", "tag").agg(at("current").alias("current"), at("prior").alias("prior"))
+    named = facts.select("filing_id", "contexts", F.regexp_extract(attribute("name"), "([A-Za-z]+)$", 1).alias("tag"), attribute("contextRef").alias("context"), amount.alias("amount")).filter(F.col("tag").isin(list(TAGS)))
+    end = F.get(F.filter("contexts", lambda c: c["id"] == F.col("context")), F.lit(0))["end"]
+    dated = named.select("filing_id", "tag", "amount", end.alias("end")).filter("end is not null")
+    w = W.partitionBy("filing_id").orderBy(F.desc("end"))
+    ranked = dated.withColumn("r", F.dense_rank().over(w))
+    at = lambda r: F.max(F.when(F.col("r") == r, F.col("amount")))
+    return ranked.filter("r <= 2").groupBy("filing_id", "tag").agg(at(1).alias("current"), at(2).alias("prior"))
 
 
 def facts_wide(facts: DataFrame) -> DataFrame:

@@ -165,42 +165,94 @@ def match_companies(leads: DataFrame, regs: DataFrame, companies: DataFrame) ->
     """Company of each lead: registered operator, then address, then brand name in the sector.
     regs: the result of match_registrations."""
     more = ["age_days"] if "age_days" in companies.columns else []
-    c = with_address_key(with_postcode_parts(companies)).select("address_key", "unit", "sector", "ch_number", "company_name", "ch_status", "sic_code", "director_no", *more)
+    c = with_address_key(with_postcode_parts(companies)).select("address_key", "unit", "sector", "ch_number", "company_name", "ch_status", "sic_code", *more)
     l = leads.join(regs.select("lead_key", "operator_name"), "lead_key", "left").select("lead_key", "address_key", "unit", "sector", "primary_brand", "operator_name")
     d = c.drop("address_key", "sector")
     by_operator = l.join(d, (l["operator_name"] == d["company_name"]) & (l["unit"] == d["unit"])).select("lead_key", *[d[x] for x in d.columns if x != "unit"]).withColumn("how", F.lit(1))
-    by_address = l.join(c.drop("sector"), ["address_key", "unit"]).select("lead_key", "ch_number", "company_name", "ch_status", "sic_code", "director_no", *more).withColumn("how", F.lit(2))
-    e = c.select("sector", F.lower("company_name").alias("n"), "ch_number", "company_name", "ch_status", "sic_code", "director_no", *more)
-    by_name = l.withColumn("n", F.lower(F.concat("primary_brand", F.lit(" Foods")))).join(e, ["sector", "n"]).select("lead_key", "ch_number", "company_name", "ch_status", "sic_code", "director_no", *more).withColumn("how", F.lit(3))
+    by_address = l.join(c.drop("sector"), ["address_key", "unit"]).select("lead_key", "ch_number", "company_name", "ch_status", "sic_code", *more).withColumn("how", F.lit(2))
+    e = c.select("sector", F.lower("company_name").alias("n"), "ch_number", "company_name", "ch_status", "sic_code", *more)
+    by_name = l.withColumn("n", F.lower(F.concat("primary_brand", F.lit(" Foods")))).join(e, ["sector", "n"]).select("lead_key", "ch_number", "company_name", "ch_status", "sic_code", *more).withColumn("how", F.lit(3))
     order = W.partitionBy("lead_key").orderBy("how", "ch_number")
     every = by_operator.unionByName(by_address).unionByName(by_name)
     return every.withColumn("r", F.row_number().over(order)).filter("r = 1").drop("r").withColumn("how", F.col("how").cast("bigint"))
 
 
-def trace_directors(companies: DataFrame, prefix: str = DEFAULT.food_sic, listed: int = 5) -> DataFrame:
-    """Per company: number of other food companies of the same director and the first of them."""
-    food = companies.filter(F.col("sic_code").startswith(prefix)).select("director_no", "ch_number")
-    counts = food.groupBy("director_no").agg(F.count("*").alias("n"))
-    first = food.withColumn("r", F.row_number().over(W.partitionBy("director_no").orderBy("ch_number"))).filter(F.col("r") <= listed + 1)  # cut before the shuffle
-    lists = first.groupBy("director_no").agg(F.array_sort(F.collect_list("ch_number")).alias("all"))
-    out = companies.join(counts, "director_no", "left").join(lists, "director_no", "left")
-    own = F.coalesce(F.col("sic_code").startswith(prefix), F.lit(False)).cast("int")
+# Titles in front of names.
+TITLES = ("mr", "mrs", "ms", "miss", "dr", "sir", "dame", "prof")
+
+
+def person_key(name: Column, birth_month: Column) -> Column:
+    """One key for the forms of a person's name ("SURNAME, First", titles, case, spaces) and the birth
+    month where it is given; null for an empty name."""
+    turned = F.when(F.contains(name, F.lit(",")), F.concat_ws(" ", F.split_part(name, F.lit(","), F.lit(2)), F.split_part(name, F.lit(","), F.lit(1)))).otherwise(name)
+    plain = F.trim(F.regexp_replace(F.regexp_replace(F.lower(turned), "[^a-z0-9 ]", " "), " +", " "))
+    bare = F.regexp_replace(plain, f"^({'|'.join(TITLES)}) ", "")
+    return F.concat_ws("|", F.nullif(bare, F.lit("")), F.coalesce(birth_month, F.lit(""))).alias("person")
+
+
+def linked_companies(officers: DataFrame, written) -> DataFrame:
+    """(ch_number, chain): companies that share a director, directly or over others, have one chain, named
+    by its smallest company. Labels go from companies to persons and back, then each company takes the
+    label of its label, so a chain of n companies needs about log n rounds. Each round is written by
+    `written(name, df)`, so lineage stays short; a person of very many companies is one row a round."""
+    links = officers.filter("kind = 'director'").select("ch_number", person_key(F.col("person_name"), F.col("birth_month")).alias("person")).filter("person not like '|%' and ch_number is not null").distinct()
+    links = written("links", links)
+    labels = links.select("ch_number").distinct().withColumn("chain", F.col("ch_number"))
+    turn = 0
+    while True:
+        labels = written(f"chain-{turn}", labels)
+        of_person = links.join(labels, "ch_number").groupBy("person").agg(F.min("chain").alias("chain"))
+        heard = links.join(of_person, "person").groupBy("ch_number").agg(F.min("chain").alias("least"))
+        jumped = labels.select(F.col("ch_number").alias("chain"), F.col("chain").alias("further"))
+        new = labels.join(heard, "ch_number").join(jumped, "chain", "left").select("ch_number", F.col("chain").alias("old"), F.least("chain", "least", "further").alias("chain"))
+        new = written(f"turn-{turn}", new)
+        if new.filter("chain <> old").isEmpty():
+            return new.select("ch_number", "chain")
+        labels, turn = new.select("ch_number", "chain"), turn + 1
+
+
+def trace_directors(companies: DataFrame, chains: DataFrame, prefix: str = DEFAULT.food_sic, listed: int = 5) -> DataFrame:
+    """Per company: number of other food companies on its chain of shared directors and the first of
+    them. A chain's list is cut to what is shown before it is grouped."""
+    c = companies.select("ch_number", F.coalesce(F.col("sic_code").startswith(prefix), F.lit(False)).alias("food")).join(chains, "ch_number", "left")
+    food = c.filter("food and chain is not null").select("chain", "ch_number")
+    counts = food.groupBy("chain").agg(F.count("*").alias("n"))
+    first = food.withColumn("r", F.row_number().over(W.partitionBy("chain").orderBy("ch_number"))).filter(F.col("r") <= listed + 1)
+    lists = first.groupBy("chain").agg(F.array_sort(F.collect_list("ch_number")).alias("all"))
+    out = c.join(counts, "chain", "left").join(lists, "chain", "left")
     others = F.slice(F.filter(F.coalesce("all", F.array().cast("array<string>")), lambda x: x != F.col("ch_number")), 1, listed)
-    return out.select("ch_number", "director_no", (F.coalesce("n", F.lit(0)) - own).alias("others"), F.array_join(others, " | ").alias("other_list")).withColumn("flag", F.col("others") > 0)
+    n = F.coalesce("n", F.lit(0)) - F.when(F.col("food") & F.col("chain").isNotNull(), 1).otherwise(0)
+    return out.select("ch_number", "chain", n.alias("others"), F.array_join(others, " | ").alias("other_list")).withColumn("flag", F.col("others") > 0)
+
+
+def _days_ago(age: Column, cfg: Config) -> Column:
+    return F.date_sub(F.lit(cfg.as_of).cast("date"), age.cast("int"))
+
+
+def reincorporations(companies: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """(ch_number, predecessor, dissolved_on, changed_on): for each live company the last dissolution at
+    its address (key and sector) on or before its incorporation, an as-of join: dissolutions and
+    incorporations of an address in one order, the last dissolution carried forward. On one day
+    dissolutions come first; of several the largest number is the last."""
+    c = companies if {"address_key", "sector"} <= set(companies.columns) else with_address_key(with_postcode_parts(companies))
+    c = c.filter("address_key <> '' and sector is not null")
+    ended = c.filter("ch_status = 'Dissolved' and dissolved_age is not null").select("address_key", "sector", "ch_number", _days_ago(F.col("dissolved_age"), cfg).alias("day"), F.lit(0).alias("kind"))
+    begun = c.filter("ch_status = 'Active' and age_days is not null").select("address_key", "sector", "ch_number", _days_ago(F.col("age_days"), cfg).alias("day"), F.lit(1).alias("kind"))
+    w = W.partitionBy("address_key", "sector").orderBy("day", "kind", "ch_number").rowsBetween(W.unboundedPreceding, 0)
+    last = F.last(F.when(F.col("kind") == 0, F.struct("ch_number", "day")), ignorenulls=True).over(w)
+    out = ended.unionByName(begun).withColumn("last", last).filter("kind = 1 and last is not null")
+    return out.select("ch_number", F.col("last.ch_number").alias("predecessor"), F.col("last.day").alias("dissolved_on"), F.col("day").alias("changed_on"))
 
 
 def ownership_changes(companies: DataFrame, officers: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Companies with a director or owner appointed within the window, or live after another one
-    dissolved at the address; the latest change of each."""
+    """Companies with a director or owner appointed within the window, or incorporated at an address
+    after another one was dissolved there; the latest change of each, with the predecessor."""
     c = with_address_key(with_postcode_parts(companies))
-    day = lambda age: F.date_sub(F.lit(cfg.as_of).cast("date"), age.cast("int"))
-    w = W.partitionBy("address_key", "sector").orderBy(F.desc("age_days"), "ch_number")
-    again = c.withColumn("before_status", F.lag("ch_status").over(w)).filter((F.col("before_status") == "Dissolved") & (F.col("ch_status") == "Active"))
-    moved = again.select("ch_number", F.lit("re-incorporated").alias("reason"), day(F.col("age_days")).alias("changed_on"))
-    recent = officers.filter(F.col("appointed_age") < cfg.window_days).groupBy("ch_number").agg(F.max(day(F.col("appointed_age"))).alias("changed_on"))
-    both = moved.unionByName(recent.withColumn("reason", F.lit("appointment")))
-    last = both.groupBy("ch_number").agg(F.max(F.struct("changed_on", "reason")).alias("x"))
-    return c.select("ch_number", "address_key", "unit").join(last, "ch_number").select("ch_number", "address_key", "unit", "x.reason", "x.changed_on")
+    moved = reincorporations(c, cfg).select("ch_number", F.lit("re-incorporated").alias("reason"), "changed_on", "predecessor")
+    recent = officers.filter(F.col("appointed_age") < cfg.window_days).groupBy("ch_number").agg(F.max(_days_ago(F.col("appointed_age"), cfg)).alias("changed_on"))
+    both = moved.unionByName(recent.select("ch_number", F.lit("appointment").alias("reason"), "changed_on", F.lit(None).cast("string").alias("predecessor")))
+    last = both.groupBy("ch_number").agg(F.max(F.struct("changed_on", "reason", "predecessor")).alias("x"))
+    return c.select("ch_number", "address_key", "unit").join(last, "ch_number").select("ch_number", "address_key", "unit", "x.reason", "x.changed_on", "x.predecessor")
 
 
 def red_flags(companies: DataFrame) -> DataFrame:

@@ -126,6 +126,11 @@ class LeadRun:
     def owners(self) -> DataFrame:
         return matching.ownership_changes(self.table("companies"), self.table("officers"), self.cfg)
 
+    @cached_property
+    def chains(self) -> DataFrame:
+        """Companies linked by directors."""
+        return matching.linked_companies(self.table("officers"), lambda name, df: self.kept(f"directors-{name}", df))
+
     @cached_property
     def accounts(self) -> DataFrame:
         a = accounts.current_and_prior(self.table("filings"))

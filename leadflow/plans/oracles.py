@@ -46,7 +46,6 @@ def by_level(cols: str, table: str) -> str:
 
 AS_OF = f"date '{C.as_of}'"
 POINTS = f"case trigger_type when 'new_fsa' then {C.points_new} when 'ownership_change' then {C.points_ownership} else {C.points_review} end"
-LEX = [f"case when regexp_matches(lower(text), '(^|[^a-z]){w}([^a-z]|$)') then '{w}' end" for w in sorted(C.lexicon)]
 
 CTES: dict[str, str] = {name: text for name, (_, text) in SQL.items()}
 CTES |= {
@@ -78,24 +77,29 @@ CTES |= {
     "regm": """select m.lead_key, fsa_id, operator_name, business_type, hygiene, days_since_registration, last_inspection_age, lat, lng, cast(how as bigint) as how, coalesce(n.registrations, 0) as registrations from (
   select *, row_number() over (partition by lead_key order by how, likeness desc, fsa_id) as k from (select * from regexact union all select * from regnear where likeness>=80)) m left join regn n on m.address_key=n.address_key and m.unit=n.unit where k=1""",
     "compk": f"select *, {parts()}, {akey()} as address_key from companies",
-    "compm": """select lead_key, ch_number, company_name, ch_status, sic_code, director_no, age_days, cast(how as bigint) as how from (select *, row_number() over (partition by lead_key order by how, ch_number) as r from (
-  select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, c.age_days, 1 as how from leads l join regm r on l.lead_key=r.lead_key join compk c on r.operator_name=c.company_name and l.unit=c.unit
-  union all select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, c.age_days, 2 from leads l join compk c on l.address_key=c.address_key and l.unit=c.unit
-  union all select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.director_no, c.age_days, 3 from leads l join compk c on l.sector=c.sector and lower(l.primary_brand||' Foods')=lower(c.company_name))) where r=1""",
+    "compm": """select lead_key, ch_number, company_name, ch_status, sic_code, age_days, cast(how as bigint) as how from (select *, row_number() over (partition by lead_key order by how, ch_number) as r from (
+  select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.age_days, 1 as how from leads l join regm r on l.lead_key=r.lead_key join compk c on r.operator_name=c.company_name and l.unit=c.unit
+  union all select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.age_days, 2 from leads l join compk c on l.address_key=c.address_key and l.unit=c.unit
+  union all select l.lead_key, c.ch_number, c.company_name, c.ch_status, c.sic_code, c.age_days, 3 from leads l join compk c on l.sector=c.sector and lower(l.primary_brand||' Foods')=lower(c.company_name))) where r=1""",
     "boundary": "select distinct district as code, 'district' as granularity, case when area='SL' then 'expansion' else 'in_area' end as membership from lp where area<>'SW'",
-    "enriched": f"""select c.*, r.fsa_id, r.operator_name, r.business_type, r.hygiene, r.days_since_registration, r.last_inspection_age, r.lat, r.lng, r.registrations, m.ch_number, m.company_name, m.ch_status, m.sic_code, m.director_no, m.age_days as company_age,
+    "enriched": f"""select c.*, r.fsa_id, r.operator_name, r.business_type, r.hygiene, r.days_since_registration, r.last_inspection_age, r.lat, r.lng, r.registrations, m.ch_number, m.company_name, m.ch_status, m.sic_code, m.age_days as company_age,
   coalesce(b.membership, 'outside') as membership, case when m.ch_status='Dissolved' then 'rejected' when r.fsa_id is not null and m.ch_status is not null then 'fsa_ch' when r.fsa_id is not null then 'fsa_only' else 'unverified' end as verify_state,
   not (coalesce(r.business_type='{C.not_food_types[0]}', false) or coalesce(not starts_with(m.sic_code, '{C.food_sic}'), false)) as is_food,
   case when c.reviews<500 then greatest(c.reviews, coalesce(g.place_reviews, 0)) else c.reviews end as size_reviews
   from classified c left join regm r on c.lead_key=r.lead_key left join compm m on c.lead_key=m.lead_key left join boundary b on c.district=b.code left join (select premises_no, max(reviews) as place_reviews from place_lookups group by premises_no) g on c.premises_no=g.premises_no""",
     "sized": "select *, case when size_reviews>=15000 and rating_tenths>=30 then 'large' when size_reviews>=5000 then 'medium' else 'small' end as size_class from enriched",
-    "lagged": f"select *, lag(ch_status) over w as before_status from compk window w as (partition by address_key, sector order by age_days desc, ch_number)",
-    "changes": f"""select ch_number, 're-incorporated' as reason, {AS_OF}-cast(age_days as int) as changed_on from lagged where before_status='Dissolved' and ch_status='Active'
-  union all select ch_number, 'appointment', max({AS_OF}-cast(appointed_age as int)) from officers where appointed_age<{C.window_days} group by ch_number""",
-    "owner": "select o.ch_number, c.address_key, c.unit, first(o.reason order by o.changed_on desc, o.reason desc) as reason, max(o.changed_on) as changed_on from changes o join compk c on o.ch_number=c.ch_number group by o.ch_number, c.address_key, c.unit",
-    "hitrows": f"select premises_no, source, {AS_OF}-cast(age_days as int) as day, list_filter([{', '.join(LEX)}], lambda x: x is not null) as terms from reviews where age_days<{C.window_days}",
-    "hits": "select premises_no, count(*) as hits, first(source order by day desc, source desc) as source, max(day) as review_date, array_to_string(list_sort(list_distinct(flatten(list(terms)))), ',') as terms from hitrows where len(terms)>0 group by premises_no",
-    "snippets": "select *, substr(hits||' recent review(s) mention '||replace(terms, ',', ', '), 1, 200) as snippet from hits",
+    "moved": f"""select b.ch_number, d.ch_number as predecessor, {AS_OF}-cast(d.dissolved_age as int) as dissolved_on, {AS_OF}-cast(b.age_days as int) as changed_on from compk b join compk d on b.address_key=d.address_key and b.sector=d.sector
+  where b.ch_status='Active' and d.ch_status='Dissolved' and d.dissolved_age>=b.age_days qualify row_number() over (partition by b.ch_number order by d.dissolved_age, d.ch_number desc)=1""",
+    "changes": f"""select ch_number, 're-incorporated' as reason, changed_on, predecessor from moved
+  union all select ch_number, 'appointment', max({AS_OF}-cast(appointed_age as int)), null from officers where appointed_age<{C.window_days} group by ch_number""",
+    "owner": "select o.ch_number, c.address_key, c.unit, first(o.reason order by o.changed_on desc, o.reason desc) as reason, max(o.changed_on) as changed_on, first(o.predecessor order by o.changed_on desc, o.reason desc) as predecessor from changes o join compk c on o.ch_number=c.ch_number group by o.ch_number, c.address_key, c.unit",
+    "lexicon": f"select * from (values {', '.join(f"('{t}','{c}',{str(n).lower()})" for t, c, n in C.lexicon)}) t(term, category, negated)",
+    "seen": f"select distinct premises_no, source, text, age_days from reviews where age_days<{C.window_days}",
+    "reviewwords": "select *, row_number() over () as review, list_filter(string_split_regex(lower(coalesce(text, '')), '[^a-z'']+'), lambda x: x<>'') as w from seen",
+    "termrows": f"select premises_no, source, {AS_OF}-cast(age_days as int) as day, review, w[i] as term, len(list_intersect(w[greatest(i-{C.negation_window}, 1):i-1], [{', '.join("'" + n.replace("'", "''") + "'" for n in C.negations)}]))>0 as negated from (select *, unnest(range(1, len(w)+1)) as i from reviewwords) x where w[i] in (select term from lexicon)",
+    "complained": "select distinct premises_no, source, day, review, category, h.term from termrows h join lexicon l on h.term=l.term and h.negated=l.negated",
+    "hits": "select premises_no, count(distinct review) as hits, first(source order by day desc, source desc) as source, max(day) as review_date, array_to_string(list_sort(list(distinct term)), ',') as terms, count(distinct review) filter (category='supply') as supply, count(distinct review) filter (category='stock') as stock, count(distinct review) filter (category='quality') as quality, count(distinct review) filter (category='consistency') as consistency from complained group by premises_no",
+    "snippets": "select *, substr(hits||' recent review(s) complain: '||concat_ws(', ', case when supply>0 then 'supply '||supply end, case when stock>0 then 'stock '||stock end, case when quality>0 then 'quality '||quality end, case when consistency>0 then 'consistency '||consistency end), 1, 200) as snippet from hits",
     "trig": f"""select lead_key, 'new_fsa' as trigger_type, 'Registered recently' as snippet, {AS_OF}-cast(days_since_registration as int) as trigger_date from regm where days_since_registration<{C.new_days}
   union all select m.lead_key, 'ownership_change', o.reason, o.changed_on from compm m join owner o on m.ch_number=o.ch_number
   union all select p.lead_key, 'review_complaint', h.snippet, h.review_date from leads p join snippets h on p.premises_no=h.premises_no""",
@@ -143,10 +147,10 @@ def oracle(body: str, extra: dict[str, str] | None = None) -> str:
             if name in known and name not in order:
                 own = known[name]
                 if not re.search(rf"from\s+{name}\b", own) or name not in SQL:
-                    add(own)
+                    add(re.sub(rf"\b(from|join)\s+{name}\b", "", own))  # one that calls itself stands once
                 if name not in order:
                     order.append(name)
 
     add(body)
     head = ",\n".join(f"{n} as ({known[n]})" for n in order)
-    return (f"with {head}\n" if head else "") + body
+    return (f"with recursive {head}\n" if head else "") + body

@@ -96,27 +96,44 @@ def _(r):
 
 
 _TAG = "'<ix:nonFraction {a}>'||{v}||'</ix:nonFraction>'"
-# Attributes in any order, amounts in thousands, negative amounts by attribute and by parentheses, an unknown tag.
-_BODY = " || ' ' || ".join(_TAG.format(a=a, v=v) for a, v in (
-    ('name="uk:NetAssets" contextRef="current" unitRef="GBP"', "cast(net_assets as string)"),
-    ('contextRef="prior" decimals="0" name="uk:NetAssets"', "cast(net_assets-filing_id%1000 as string)"),
-    ('name="uk:CashBankOnHand" contextRef="current"', "'1,'||lpad(cast(filing_id%1000 as string), 3, '0')"),
-    ('scale="3" contextRef="current" name="core:Debtors"', "cast(filing_id%70 as string)"),
-    ('name="core:Creditors" sign="-" contextRef="current"', "cast(creditors as string)"),
-    ('name="core:NetProfit" contextRef="current"', "'('||cast(filing_id%90 as string)||')'"),
-    ('name="core:Other" contextRef="current"', "'5'"),
-))
+_CONTEXT = "'<xbrli:context id=\"{i}\"><xbrli:entity><xbrli:identifier>1</xbrli:identifier>{m}</xbrli:entity><xbrli:period>{p}</xbrli:period></xbrli:context>'"
+_INSTANT, _SPAN = "<xbrli:instant>#{d}</xbrli:instant>", "<xbrli:startDate>2000-01-01</xbrli:startDate><xbrli:endDate>#{d}</xbrli:endDate>"
+_MEMBER = "<xbrli:segment><xbrldi:explicitMember dimension=\"d\">m</xbrldi:explicitMember></xbrli:segment>"
+# Contexts with ids that differ from filing to filing: instants and spans of this year, last year and the year
+# before, and one of a part of the company. Attributes in any order, amounts in thousands, negative amounts by
+# attribute and by parentheses, an unknown tag, facts of contexts that are not the company's two years.
+_BODY = " || ' ' || ".join([
+    *(_CONTEXT.format(i=i, m=m, p=p) for i, m, p in (("p@", "", _INSTANT.format(d="P")), ("c@i", "", _INSTANT.format(d="C")), ("@d", "", _SPAN.format(d="C")), ("o@", "", _INSTANT.format(d="O")), ("s@", _MEMBER, _INSTANT.format(d="C")))),
+    *(_TAG.format(a=a, v=v) for a, v in (
+        ('name="uk:NetAssets" contextRef="c@i" unitRef="GBP"', "cast(net_assets as string)"),
+        ('contextRef="p@" decimals="0" name="uk:NetAssets"', "cast(net_assets-filing_id%1000 as string)"),
+        ('contextRef="o@" name="uk:NetAssets"', "'77'"),
+        ('name="uk:NetAssets" contextRef="s@"', "'999999999'"),
+        ('name="uk:CashBankOnHand" contextRef="c@i"', "'1,'||lpad(cast(filing_id%1000 as string), 3, '0')"),
+        ('scale="3" contextRef="c@i" name="core:Debtors"', "cast(filing_id%70 as string)"),
+        ('name="core:Creditors" sign="-" contextRef="c@i"', "cast(creditors as string)"),
+        ('name="core:NetProfit" contextRef="@d"', "'('||cast(filing_id%90 as string)||')'"),
+        ('name="core:Other" contextRef="c@i"', "'5'"),
+    )),
+])
+
+
+def _filed(r) -> DataFrame:
+    body = F.expr(_BODY)
+    for mark, value in (("@", "cast(filing_id%90 as string)"), ("#C", "cast(period_end as string)"), ("#P", "cast(date_sub(period_end, 365) as string)"), ("#O", "cast(date_sub(period_end, 730) as string)")):
+        body = F.replace(body, F.lit(mark), F.expr(value))
+    return r.table("filings").select("filing_id", body.alias("body"))
 
 
 @query("filing_facts", "filing_id tag current_amount:n prior_amount:n", "select filing_id, 'NetAssets' as tag, net_assets as current_amount, net_assets-filing_id%1000 as prior_amount from filings union all select filing_id, 'CashBankOnHand', 1000+filing_id%1000, null from filings union all select filing_id, 'Debtors', 1000*(filing_id%70), null from filings union all select filing_id, 'Creditors', -creditors, null from filings union all select filing_id, 'NetProfit', -(filing_id%90), null from filings")
 def _(r):
-    out = accounts.extract_filing_facts(r.table("filings").select("filing_id", F.expr(_BODY).alias("body")))
+    out = accounts.extract_filing_facts(_filed(r))
     return out.withColumnsRenamed({"current": "current_amount", "prior": "prior_amount"})
 
 
 @query("filing_figures", "filing_id net_assets:n cash_at_bank:n debtors:n creditors:n net_profit:n turnover:n", "select filing_id, net_assets, 1000+filing_id%1000 as cash_at_bank, 1000*(filing_id%70) as debtors, -creditors as creditors, -(filing_id%90) as net_profit, null as turnover from filings")
 def _(r):
-    return accounts.facts_wide(accounts.extract_filing_facts(r.table("filings").select("filing_id", F.expr(_BODY).alias("body"))))
+    return accounts.facts_wide(accounts.extract_filing_facts(_filed(r)))
 
 
 _EXPORTED = "select 'crm' as output, count(*) as rows_written from routed where route='export' and run_no%4=1 union all select 'ignored_log', count(*) from routed where route='ignored' union all select 'reactivation', count(*) from routed where route='reactivation' union all select 'expansion', count(*) from routed where route='expansion' union all select 'telemetry', 4"
@@ -132,8 +149,8 @@ def _(r):
         "telemetry": _telemetry(r),
     }
     paths = files.write_outputs(outputs, f"{r.work}/outputs", 199501)
-    schemas = {name: f"{df.schema.simpleString()[7:-1]},run_id:bigint" for name, df in outputs.items()}
-    read = [r.spark.read.schema(schemas[name]).parquet(path).groupBy("run_id").agg(F.count("*").alias("rows_written")).withColumn("output", F.lit(name)) for name, path in paths.items()]
+    schemas = {name: df.withColumn("run_id", F.lit(0).cast("bigint")).schema for name, df in outputs.items()}
+    read = [r.spark.read.schema(schemas[name]).parquet(path).filter("run_id = 199501").agg(F.count("*").alias("rows_written")).select(F.lit(name).alias("output"), F.lit(199501).alias("run_id"), "rows_written") for name, path in paths.items()]
     return reduce(DataFrame.unionByName, read)
 
 
@@ -408,19 +425,35 @@ def _(r):
     return r.companies
 
 
-_TRACE = {"traced": "select c.ch_number, count(o.ch_number) as others, coalesce(array_to_string(list_sort(list(o.ch_number) filter (o.ch_number is not null))[1:5], ' | '), '') as other_list, count(o.ch_number)>0 as flag from companies c left join companies o on c.director_no=o.director_no and o.sic_code like '56%' and o.ch_number<>c.ch_number group by c.ch_number"}
+_PERSON = "trim(regexp_replace(regexp_replace(lower(case when contains(person_name, ',') then split_part(person_name, ',', 2)||' '||split_part(person_name, ',', 1) else person_name end), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))"
+_TRACE = {
+    "links": f"select distinct ch_number, regexp_replace({_PERSON}, '^({'|'.join(matching.TITLES)}) ', '')||'|'||coalesce(birth_month, '') as person from officers where kind='director'",
+    "reached": "select distinct ch_number, ch_number as other from links union select r.ch_number, b.ch_number from reached r join links a on r.other=a.ch_number join links b on a.person=b.person",
+    "chained": "select ch_number, min(other) as chain from reached group by ch_number",
+    "traced": "select c.ch_number, k.chain, count(o.ch_number) as others, coalesce(array_to_string(list_sort(list(o.ch_number) filter (o.ch_number is not null))[1:5], ' | '), '') as other_list, count(o.ch_number)>0 as flag from companies c left join chained k on c.ch_number=k.ch_number left join (select x.ch_number, y.chain from companies x join chained y on x.ch_number=y.ch_number where x.sic_code like '56%') o on k.chain=o.chain and o.ch_number<>c.ch_number group by c.ch_number, k.chain",
+}
 
 
-@query("director_trace", "ch_number others:n other_list flag", "traced", _TRACE)
+@query("director_chains", "ch_number chain", "chained", _TRACE)
 def _(r):
-    return matching.trace_directors(r.table("companies"))
+    return r.chains
 
 
-@query("ownership_change", "ch_number unit reason changed_on:d", "owner")
+@query("director_trace", "ch_number chain others:n other_list flag", "traced", _TRACE)
+def _(r):
+    return matching.trace_directors(r.table("companies"), r.chains)
+
+
+@query("ownership_change", "ch_number unit reason changed_on:d predecessor", "owner")
 def _(r):
     return r.owners
 
 
+@query("reincorporation", "ch_number predecessor dissolved_on:d changed_on:d", "moved")
+def _(r):
+    return matching.reincorporations(r.table("companies"), C)
+
+
 @query("red_flags", "ch_number red_flags", "select ch_number, case when charges and strike_off then 'Charges / Strike-off' when charges then 'Charges' when strike_off then 'Strike-off' else 'None' end as red_flags from companies")
 def _(r):
     return matching.red_flags(r.table("companies"))
@@ -466,7 +499,7 @@ def _(r):
     return triggers.new_business(r.table("registrations"))
 
 
-@query("trigger_reviews", "premises_no hits:n source review_date:d terms", "hits")
+@query("trigger_reviews", "premises_no hits:n source review_date:d terms supply:n stock:n quality:n consistency:n", "hits")
 def _(r):
     return triggers.mine_reviews(r.table("reviews"))
 
@@ -494,12 +527,26 @@ def _(r):
     return triggers.same_day_queue(r.table("signals"), _DAY)
 
 
-@query("same_day_stream", "day:d lead_no trigger_type n:n", "select cast(ts as date) as day, lead_no, trigger_type, count(*) as n from signals where lead_no is not null and ts is not null group by cast(ts as date), lead_no, trigger_type")
+# Signals land twice: all but each 17th event, then the others, of which those behind the watermark (a day
+# before the latest signal that was there) are dropped. Days that the watermark has passed are closed: one
+# row a lead and day, its first signal. The stream stops in between and goes on from its checkpoint.
+_STREAM = {
+    "timed": "select event_id, user_id as lead_no, case event_type when 'signup' then 'new_fsa' when 'purchase' then 'ownership_change' else 'review_complaint' end as trigger_type, ts from events where event_type in ('signup', 'purchase', 'error') and user_id is not null and ts is not null",
+    "mark": "select max(ts) filter (event_id%17<>0) - interval 1 day as first_mark, max(ts) - interval 1 day as last_mark from timed",
+    "accepted": "select * from timed cross join mark where event_id%17<>0 or ts>=first_mark",
+}
+
+
+@query("same_day_stream", "day:d lead_no trigger_type first_ts:s n:n", "select cast(ts as date) as day, lead_no, first(trigger_type order by ts, trigger_type) as trigger_type, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as first_ts, count(*) as n from accepted where cast(ts as date)+interval 1 day<=last_mark group by cast(ts as date), lead_no", _STREAM)
 def _(r):
-    landed = f"{r.folder}/event[s].parquet"  # a pattern: the files that have landed so far
-    events = r.spark.readStream.schema(r.spark.read.parquet(landed).schema).parquet(landed)
-    out = same_day.drain(r.spark, projected(r.spark, "signals", events), files.work_folder(r.spark, "same-day"))
-    return out.select(F.to_date("start").alias("day"), "lead_no", "trigger_type", "n")
+    folder = files.work_folder(r.spark, "same-day")
+    events = r.spark.read.parquet(f"{r.folder}/events.parquet")
+    for late in (False, True):  # what has landed is drained, then the rest lands
+        events.filter((F.col("event_id") % 17 == 0) == late).write.mode("append").parquet(f"{folder}/landed")
+        landed = r.spark.readStream.schema(events.schema).parquet(f"{folder}/landed")
+        out = same_day.drain(r.spark, projected(r.spark, "signals", landed), folder)
+    files.remove_folder(r.spark, f"{folder}/landed")
+    return out.withColumn("first_ts", F.date_format("first_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 # G. Scoring
@@ -618,7 +665,7 @@ def _flat(r, rows: DataFrame | None = None) -> DataFrame:
     """The flat layout of all leads, or of the rows given."""
     slots = contacts.contact_slots(_outgoing(r))
     wide = premises.pivot_platforms(premises.platform_profiles(r.scoped)).withColumn("premises_key", F.concat_ws("|", "address_key", "unit")).drop("address_key", "unit")
-    traced = matching.trace_directors(r.table("companies")).select("ch_number", "other_list", F.col("flag").alias("other_flag"))
+    traced = matching.trace_directors(r.table("companies"), r.chains).select("ch_number", "other_list", F.col("flag").alias("other_flag"))
     owner = r.owners.select("ch_number", "changed_on", F.lit(True).alias("ownership_flag"))
     hits = triggers.review_snippet(triggers.mine_reviews(r.table("reviews"))).select("premises_no", "snippet", F.col("source").alias("review_source"), "review_date", F.lit(True).alias("review_flag"))
     ids = premises.assign_lead_id(r.leads, C.prefix).select("lead_key", "lead_id")

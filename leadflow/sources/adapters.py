@@ -65,6 +65,8 @@ FIGURES = ("total_assets", "fixed_assets", "current_assets", "cash_at_bank", "de
 _REGISTRATION = f"""{_name(_P9)} || ' Foods' as operator_name, {_address(_P9)} as address, {_postcode(_P9)} as postcode, p_type as business_type, cast(p_size%6 as bigint) as hygiene, cast(p_partkey%400 as bigint) as days_since_registration,
   cast(p_size*10 as bigint) as last_inspection_age, cast('51.' || lpad({_s('p_partkey%10000')}, 4, '0') as decimal(8,4)) as lat, cast('-0.' || lpad({_s('p_partkey*3%10000')}, 4, '0') as decimal(8,4)) as lng from part"""
 
+_COMPANY = f"""{_name(_P8)} || ' Foods' as company_name, {_address(_P8)} as address, {_postcode(_P8)} as postcode, case when p_partkey%4=3 then '47110' else '56103' end as sic_code, p_partkey%13=0 as charges, p_partkey%17=0 as strike_off"""
+
 SQL: dict[str, tuple[str, str]] = {
     "listings": (
         "orders",
@@ -91,16 +93,17 @@ from orders""",
     ),
     "companies": (
         "part",
-        f"""select lpad({_s(_P8)}, 8, '0') as ch_number, {_name(_P8)} || ' Foods' as company_name, {_address(_P8)} as address, {_postcode(_P8)} as postcode,
-  case p_partkey%10 when 0 then 'Dissolved' when 1 then 'In Administration' else 'Active' end as ch_status,
-  case when p_partkey%4=3 then '47110' else '56103' end as sic_code, cast(p_partkey%300 as bigint) as director_no,
-  cast(p_partkey%700 as bigint) as age_days, p_partkey%13=0 as charges, p_partkey%17=0 as strike_off from part""",
+        f"""select ch_number, company_name, address, postcode, ch_status, sic_code, age_days, case when ch_status='Dissolved' then gone end as dissolved_age, charges, strike_off from (
+  select lpad({_s(_P8)}, 8, '0') as ch_number, {_COMPANY}, case p_partkey%10 when 0 then 'Dissolved' when 1 then 'In Administration' else 'Active' end as ch_status, cast(p_partkey%700 as bigint) as age_days, cast(p_partkey%350 as bigint) as gone from part
+  union all select 'X' || lpad({_s(_P8)}, 7, '0'), {_COMPANY}, 'Dissolved', cast(900+p_partkey%50 as bigint), cast(p_partkey%701+p_partkey%3-1 as bigint) from part where p_partkey%6=1
+  union all select 'Y' || lpad({_s(_P8)}, 7, '0'), {_COMPANY}, 'Dissolved', cast(950 as bigint), cast(p_partkey%701+p_partkey%5-1 as bigint) from part where p_partkey%12=1) c""",
     ),
     "officers": (
         "part",
-        f"""select lpad({_s(_P8)}, 8, '0') as ch_number, 'Dir ' || lpad({_s('p_partkey%300')}, 3, '0') as person_name, 'director' as kind, 'Director' as role, cast(p_partkey*7%900 as bigint) as appointed_age from part
-  union all select lpad({_s(_P8)}, 8, '0'), 'Other ' || lpad({_s('p_partkey%300')}, 3, '0'), 'director', 'Director', cast(p_partkey*13%900 as bigint) from part where p_partkey%2=0
-  union all select lpad({_s(_P8)}, 8, '0'), 'Psc ' || lpad({_s(_P8)}, 8, '0'), 'psc', '', cast(p_partkey*11%900 as bigint) from part""",
+        f"""select lpad({_s(_P8)}, 8, '0') as ch_number, case p_partkey%4 when 0 then 'Mr Dir Person' || {_s('p_partkey%300')} when 1 then 'PERSON' || {_s('p_partkey%300')} || ', Dir' else 'dir  person' || {_s('p_partkey%300')} end as person_name,
+  {_s('p_partkey%300%12+1')} as birth_month, 'director' as kind, 'Director' as role, cast(p_partkey*7%900 as bigint) as appointed_age from part
+  union all select lpad({_s(_P8)}, 8, '0'), 'Other ' || lpad({_s('(case when p_partkey%50=0 then p_partkey+1 else p_partkey end)%300')}, 3, '0'), null, 'director', 'Director', cast(p_partkey*13%900 as bigint) from part where p_partkey%2=0 or p_partkey%50=1
+  union all select lpad({_s(_P8)}, 8, '0'), 'Psc ' || lpad({_s(_P8)}, 8, '0'), null, 'psc', '', cast(p_partkey*11%900 as bigint) from part""",
     ),
     "filings": (
         "orders",
@@ -141,7 +144,11 @@ from events where event_type in ('signup', 'purchase', 'error')""",
         "orders",
         """select distinct (year(o_orderdate)*100+month(o_orderdate))%4 as batch_id, case (year(o_orderdate)*100+month(o_orderdate))%4 when 0 then 'draft' else 'approved' end as status from orders""",
     ),
-    "reviews": ("documents", "select doc_id as premises_no, source, text, doc_id%200 as age_days from documents"),
+    "reviews": (
+        "documents",
+        """select doc_id%997 as premises_no, source, text || case doc_id%11 when 0 then ' The order was late again and late once more.' when 1 then ' Not late this time, but the food was cold.' when 2 then ' All sold before noon, they had no stock.' when 3 then ' Never stale, always in stock.'
+  when 4 then ' Wrong items twice and it never arrived hot.' when 5 then ' Quality varies; bread not very fresh.' else '' end as text, doc_id%200 as age_days from documents""",
+    ),
     "raw_pages": ("pages", "select page_id, url, html from pages"),
 }
 
