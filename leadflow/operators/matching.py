@@ -187,7 +187,7 @@ def person_key(name: Column, birth_month: Column) -> Column:
     turned = F.when(F.contains(name, F.lit(",")), F.concat_ws(" ", F.split_part(name, F.lit(","), F.lit(2)), F.split_part(name, F.lit(","), F.lit(1)))).otherwise(name)
     plain = F.trim(F.regexp_replace(F.regexp_replace(F.lower(turned), "[^a-z0-9 ]", " "), " +", " "))
     bare = F.regexp_replace(plain, f"^({'|'.join(TITLES)}) ", "")
-    return F.concat_ws("|", F.nullif(bare, F.lit("")), F.coalesce(birth_month, F.lit(""))).alias("person")
+    return F.concat(F.nullif(bare, F.lit("")), F.lit("|"), F.coalesce(birth_month, F.lit(""))).alias("person")
 
 
 def linked_companies(officers: DataFrame, written) -> DataFrame:
@@ -195,7 +195,7 @@ def linked_companies(officers: DataFrame, written) -> DataFrame:
     by its smallest company. Labels go from companies to persons and back, then each company takes the
     label of its label, so a chain of n companies needs about log n rounds. Each round is written by
     `written(name, df)`, so lineage stays short; a person of very many companies is one row a round."""
-    links = officers.filter("kind = 'director'").select("ch_number", person_key(F.col("person_name"), F.col("birth_month")).alias("person")).filter("person not like '|%' and ch_number is not null").distinct()
+    links = officers.filter("kind = 'director'").select("ch_number", person_key(F.col("person_name"), F.col("birth_month")).alias("person")).filter("person is not null and ch_number is not null").distinct()
     links = written("links", links)
     labels = links.select("ch_number").distinct().withColumn("chain", F.col("ch_number"))
     turn = 0

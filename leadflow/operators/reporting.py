@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import time
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,23 +13,20 @@ from leadflow.functions.text import percent, status_class
 from leadflow.operators.territory import explode_granularity
 
 
-def telemetry(spark: SparkSession, stages: list[tuple[str, DataFrame, float]], folder: str | None = None) -> DataFrame:
-    """Runs the stages (name, rows, cost) in order and returns a row for each: count, seconds, cost,
-    failure. Counts are observed while a stage's rows are written (under the folder, if given), so
-    they cost no pass of their own; a failed stage has no count, and its first line of error."""
-    rows = []
-    for step, (name, df, cost) in enumerate(stages):
-        seen, start, failure, n = Observation(), time.monotonic(), None, None
-        try:
-            writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
-            writer.parquet(f"{folder}/{name}") if folder else writer.format("noop").save()
-            n = seen.get["n"]
-        except Exception as e:  # what a stage raises belongs to its row
-            failure = f"{type(e).__name__}: {str(e).splitlines()[0]}"
-        rows.append((step, name, n, time.monotonic() - start, float(cost), failure))
+def telemetry(spark: SparkSession, log: list[dict], costs: dict[str, float]) -> DataFrame:
+    """A row for each stage of a run's log, in order: count, seconds, cost, failure. Counts were observed
+    while the stage's rows were written, so this reads nothing again."""
+    rows = [(i, e["stage"], e["n"], e["seconds"], float(costs.get(e["stage"], 0.0)), e["failure"]) for i, e in enumerate(log)]
     return spark.createDataFrame(rows, "step bigint, stage string, n bigint, seconds double, cost double, failure string")
 
 
+def stage_maps(telemetry_rows: DataFrame) -> DataFrame:
+    """One row: the map of finished stages to their counts, as it is stored on a run, and what they cost."""
+    done = F.col("failure").isNull()
+    pairs = F.array_sort(F.collect_list(F.when(done, F.struct("stage", "n"))))
+    return telemetry_rows.agg(F.map_from_entries(pairs).alias("stages"), F.sum("cost").alias("cost"), F.count_if(~done).alias("failed"))
+
+
 def run_coverage(routed: DataFrame) -> DataFrame:
     """Per run, code and level: found, ignored, exported."""
     is_route = lambda r: F.count_if(F.col("route") == r)

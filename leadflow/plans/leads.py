@@ -10,17 +10,22 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import hashlib
+import json
+import time
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JNetworkError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from leadflow.config import DEFAULT, Config
 from leadflow.functions.text import normal_phone, with_postcode_parts
 from leadflow.operators import accounts, compliance, export, matching, premises, reporting, routing, scoring, territory, triggers
 from leadflow.sources import adapters
-from leadflow.sources.files import remove_folder, work_folder
+from leadflow.sources.files import file_states, read_texts, remove_folder, work_folder, write_text
 
 
 # The tables that a run reads, by name; `sources.files.landed` reads them from landed files.
@@ -30,64 +35,127 @@ TABLES = (
 )
 
 
+def stage(make: Callable) -> cached_property:
+    """A property of a run that is written as a stage under its name."""
+
+    def get(self):
+        return self.kept(make.__name__, lambda: make(self))
+
+    get.__doc__ = make.__doc__
+    return cached_property(get)
+
+
 class LeadRun:
     """A run over `tables`: a function from a name of TABLES to a DataFrame, or a dictionary. The pepper
-    is the key of the hashes on the suppression list and the tombstones; it is given at run time."""
+    is the key of the hashes on the suppression list and the tombstones; it is given at run time. resume:
+    a folder that all executors share, in which stages and their manifest stay; a later run over the same
+    inputs goes on behind the stages that were finished there."""
 
-    def __init__(self, spark: SparkSession, tables: Callable[[str], DataFrame] | dict[str, DataFrame], cfg: Config = DEFAULT, *, pepper: str, folder: str = ""):
-        self.spark, self.cfg, self.pepper, self.folder = spark, cfg, pepper, folder
+    def __init__(self, spark: SparkSession, tables: Callable[[str], DataFrame] | dict[str, DataFrame], cfg: Config = DEFAULT, *, pepper: str, folder: str = "", resume: str | None = None):
+        self.spark, self.cfg, self.pepper, self.folder, self.resume = spark, cfg, pepper, folder, resume
+        self.log: list[dict] = []
         self.table: Callable[[str], DataFrame] = tables.__getitem__ if isinstance(tables, dict) else tables
 
     @cached_property
     def work(self) -> str:
-        return work_folder(self.spark, "lead-run")
+        return self.resume or work_folder(self.spark, "lead-run")
 
-    def kept(self, name: str, df: DataFrame) -> DataFrame:
-        """A stage that several later stages read: written once, so later plans begin at its table and
-        a lost executor costs no stage again."""
+    def _written(self, name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{self.work}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.work}/{name}")
 
+    def kept(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A stage that later stages read: written once, so later plans begin at its table and a lost
+        executor costs no stage again. Its rows are counted as they are written. A run that resumes takes
+        over a finished stage of the same inputs without planning it."""
+        done = self.manifest.get(name)
+        if done and done["failure"] is None and done["inputs"] == self.inputs:
+            self.log.append({**done, "taken_over": True})
+            return self.spark.read.schema(StructType.fromJson(json.loads(done["schema"]))).parquet(f"{self.work}/{name}")
+        entry: dict = {"stage": name, "n": None, "schema": None, "failure": None, "inputs": self.inputs, "taken_over": False}
+        df = make()  # stages that this one waits for have entries of their own
+        seen, start = Observation(), time.monotonic()
+        try:
+            df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{self.work}/{name}")
+            entry |= {"n": seen.get["n"], "schema": df.schema.json()}
+        except Exception as e:
+            entry["failure"] = f"{type(e).__name__}: {str(e).strip().splitlines()[0]}"
+            raise
+        finally:
+            entry["seconds"] = time.monotonic() - start
+            self.log.append(entry)
+            if self.resume:
+                with contextlib.suppress(Py4JNetworkError):  # the session is gone: its failure is on its way
+                    write_text(self.spark, f"{self.work}/manifest/{name}.json", json.dumps(entry))
+        return self.spark.read.schema(df.schema).parquet(f"{self.work}/{name}")
+
+    @cached_property
+    def manifest(self) -> dict[str, dict]:
+        """The stages that a former run left in the folder to resume from."""
+        return {e["stage"]: e for e in map(json.loads, read_texts(self.spark, f"{self.work}/manifest"))} if self.resume else {}
+
+    @cached_property
+    def inputs(self) -> str:
+        """A fingerprint of what the run reads: names, sizes and times of the input files (the rows of a
+        table without files), the configuration and the pepper. Only a run that may resume takes it."""
+        if not self.resume:
+            return ""
+        seen = [repr(self.cfg), self.pepper]
+        for name in TABLES:
+            df = self.table(name)
+            files = file_states(self.spark, df.inputFiles())
+            seen.append(f"{name}:{df.schema.simpleString()}:{files or df.select(F.count('*'), F.bit_xor(F.xxhash64(*df.columns))).head()}")
+        return hashlib.sha256("\n".join(seen).encode()).hexdigest()
+
+    @property
+    def stage_map(self) -> dict[str, int]:
+        """Rows of each stage that is finished."""
+        return {e["stage"]: e["n"] for e in self.log if e["failure"] is None}
+
+    def telemetry(self, costs: dict[str, float] | None = None) -> DataFrame:
+        """A row for each stage of the run so far, from its log."""
+        return reporting.telemetry(self.spark, self.log, costs or {})
+
     def release(self) -> None:
         """Delete the written stages."""
         if "work" in self.__dict__:
             remove_folder(self.spark, self.work)
-        self.__dict__ = {k: v for k, v in self.__dict__.items() if k in ("spark", "folder", "cfg", "pepper", "table")}
+        self.__dict__ = {k: v for k, v in self.__dict__.items() if k in ("spark", "folder", "cfg", "pepper", "table", "resume")} | {"log": []}
 
     @cached_property
     def listings(self) -> DataFrame:
         return self.table("listings")
 
-    @cached_property
+    @stage
     def keyed(self) -> DataFrame:
         """Listings with postcode parts and address key, parsed once."""
-        return self.kept("keyed", premises.with_address_key(with_postcode_parts(self.listings)))
+        return premises.with_address_key(with_postcode_parts(self.listings))
 
-    @cached_property
+    @stage
     def premises(self) -> DataFrame:
-        return self.kept("premises", premises.group_premises(self.keyed))
+        return premises.group_premises(self.keyed)
 
-    @cached_property
+    @stage
     def territory(self) -> DataFrame:
         """The codes that the run covers."""
-        return self.kept("territory", territory.resolve_territory(self.table("territory"), self.table("territory_files")))
+        return territory.resolve_territory(self.table("territory"), self.table("territory_files"))
 
-    @cached_property
+    @stage
     def marked(self) -> DataFrame:
         """Keyed listings with the suppressed or erased keys of each."""
         k = self.keyed
         erased = normal_phone(F.col("phone"))
-        return self.kept("marked", compliance.mark_denied(k, self.table("suppression"), self.table("tombstones"), compliance.listing_subjects(k), erased, "import", self.pepper))
+        return compliance.mark_denied(k, self.table("suppression"), self.table("tombstones"), compliance.listing_subjects(k), erased, "import", self.pepper)
 
     @cached_property
     def scoped(self) -> DataFrame:
         """Listings of the territory without a suppressed or erased key."""
         return territory.filter_territory(self.marked.filter(F.size("denied") == 0).drop("denied"), self.territory)
 
-    @cached_property
+    @stage
     def leads(self) -> DataFrame:
         """Premises in scope, one lead for each tenant where several are registered."""
-        return self.kept("leads", premises.leads_of(premises.group_premises(self.scoped), self.table("registrations")))
+        return premises.leads_of(premises.group_premises(self.scoped), self.table("registrations"))
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -106,37 +174,37 @@ class LeadRun:
     def best(self) -> DataFrame:
         return matching.best_customers(self.leads, self.customers, self.cfg)
 
-    @cached_property
+    @stage
     def classified(self) -> DataFrame:
-        return self.kept("classified", matching.classify_match(self.leads, self.best, self.cfg))
+        return matching.classify_match(self.leads, self.best, self.cfg)
 
-    @cached_property
+    @stage
     def registrations(self) -> DataFrame:
-        return self.kept("registrations", matching.match_registrations(self.leads, self.table("registrations")))
+        return matching.match_registrations(self.leads, self.table("registrations"))
 
-    @cached_property
+    @stage
     def companies(self) -> DataFrame:
-        return self.kept("companies", matching.match_companies(self.leads, self.registrations, self.table("companies")))
+        return matching.match_companies(self.leads, self.registrations, self.table("companies"))
 
-    @cached_property
+    @stage
     def boundary(self) -> DataFrame:
-        return self.kept("boundary", territory.import_boundary(self.table("boundary")))
+        return territory.import_boundary(self.table("boundary"))
 
     @cached_property
     def owners(self) -> DataFrame:
         return matching.ownership_changes(self.table("companies"), self.table("officers"), self.cfg)
 
-    @cached_property
+    @stage
     def chains(self) -> DataFrame:
         """Companies linked by directors."""
-        return matching.linked_companies(self.table("officers"), lambda name, df: self.kept(f"directors-{name}", df))
+        return matching.linked_companies(self.table("officers"), lambda name, df: self._written(f"directors-{name}", df))
 
     @cached_property
     def accounts(self) -> DataFrame:
         a = accounts.current_and_prior(self.table("filings"))
         return accounts.financial_label(accounts.net_assets_growth(a), self.cfg)
 
-    @cached_property
+    @stage
     def enriched(self) -> DataFrame:
         """One row per lead with matches, delivery class, verification, food flag and size."""
         r = self.registrations.withColumnRenamed("how", "reg_how")
@@ -145,7 +213,7 @@ class LeadRun:
         out = territory.classify_delivery(out, self.boundary)
         out = routing.food_flag(accounts.verify_state(out), self.cfg)
         place = self.table("place_lookups").groupBy("premises_no").agg(F.max("reviews").alias("place_reviews"))
-        return self.kept("enriched", scoring.size_proxy(out.join(place, "premises_no", "left")))
+        return scoring.size_proxy(out.join(place, "premises_no", "left"))
 
     @cached_property
     def triggers(self) -> DataFrame:
@@ -168,10 +236,10 @@ class LeadRun:
     def final(self) -> DataFrame:
         return scoring.final_score(self.base, self.bonus, self.cfg)
 
-    @cached_property
+    @stage
     def routed(self) -> DataFrame:
         out = accounts.confidence(self.enriched.join(self.final, "lead_key"))
-        return self.kept("routed", routing.route(out, self.cfg))
+        return routing.route(out, self.cfg)
 
     @cached_property
     def items(self) -> DataFrame:

@@ -51,9 +51,13 @@ def _(r):
     return files.union_listings([r.listings.filter(F.col("platform") == p) for p in premises.PLATFORMS])
 
 
-@query("customers_load", "account_code name address postcode phone status rep_no:n", "customers")
+# Customers land as a CSV file in which each 50th line has a representative that is no number.
+@query("customers_load", "account_code name address postcode phone status rep_no:n corrupt", "select account_code, name, address, postcode, phone, status, case when customer_no%50<>0 then rep_no end as rep_no, customer_no%50=0 as corrupt from customers")
 def _(r):
-    return r.table("customers")
+    folder = f"{r.work}/landed-customers"
+    rep = F.when(F.col("customer_no") % 50 == 0, "none").otherwise(F.col("rep_no").cast("string"))
+    r.table("customers").select("account_code", "name", "address", "postcode", "phone", "status", rep.alias("rep_no")).write.mode("overwrite").option("header", True).csv(folder)
+    return files.load_customers(r.spark, folder).withColumn("corrupt", F.col("_corrupt").isNotNull())
 
 
 _RAW = "select case when customer_no%7=0 then null when customer_no%11=0 then lower(postcode)||'  ' when customer_no%13=0 then 'N/A' else postcode end as postcode from customers"
@@ -88,11 +92,18 @@ def _(r):
     return territory.boundary_counts(_boundary_list(r))
 
 
-@query("file_manifest", "file row_count:n length:n sha256", None)
+# The files that one table was landed in, a line a customer; sizes and hashes are those of the text itself.
+_LINES = "select customer_no%5 as part, string_agg(customer_no||chr(10), '' order by customer_no) as body, count(*) as row_count from customers group by 1"
+
+
+@query("file_manifest", "file row_count:n length:n sha256", f"select 'part'||part||'.txt' as file, row_count, octet_length(encode(body)) as length, sha256(body) as sha256 from ({_LINES}) f")
 def _(r):
-    names = [row.path for row in r.spark.read.format("binaryFile").load(f"{r.folder}/*.parquet").select("path").collect()]  # a row per file
-    rows = [r.spark.read.parquet(n).select("_metadata.file_path").select(F.struct("file_path").alias("_metadata")) for n in names]
-    return files.file_manifest(r.spark, f"{r.folder}/*.parquet", reduce(DataFrame.unionByName, rows))
+    folder = f"{r.work}/landed-lines"
+    lines = r.table("customers").select((F.col("customer_no") % 5).alias("part"), F.col("customer_no"))
+    lines.repartition("part").sortWithinPartitions("part", "customer_no").select(F.col("customer_no").cast("string").alias("value"), "part").write.mode("overwrite").partitionBy("part").text(folder)
+    got = files.file_manifest(r.spark, f"{folder}/*/*.txt", r.spark.read.text(f"{folder}/*/*.txt"))
+    part = r.spark.read.format("binaryFile").load(f"{folder}/*/*.txt").select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), F.regexp_extract("path", "part=([0-9]+)", 1).alias("part"))
+    return got.join(part, "file").select(F.concat(F.lit("part"), "part", F.lit(".txt")).alias("file"), "row_count", "length", "sha256")
 
 
 _TAG = "'<ix:nonFraction {a}>'||{v}||'</ix:nonFraction>'"
@@ -136,7 +147,7 @@ def _(r):
     return accounts.facts_wide(accounts.extract_filing_facts(_filed(r)))
 
 
-_EXPORTED = "select 'crm' as output, count(*) as rows_written from routed where route='export' and run_no%4=1 union all select 'ignored_log', count(*) from routed where route='ignored' union all select 'reactivation', count(*) from routed where route='reactivation' union all select 'expansion', count(*) from routed where route='expansion' union all select 'telemetry', 4"
+_EXPORTED = "select 'crm' as output, count(*) as rows_written from routed where route='export' and run_no%4=1 union all select 'ignored_log', count(*) from routed where route='ignored' union all select 'reactivation', count(*) from routed where route='reactivation' union all select 'expansion', count(*) from routed where route='expansion' union all select 'telemetry', 10"
 
 
 @query("outputs_roundtrip", "output run_id:n rows_written:n", f"select *, 199501 as run_id from ({_EXPORTED}) o")
@@ -907,16 +918,24 @@ def _(r):
 
 
 # K. Reporting
+_STEPS = {"keyed": "lp", "marked": "lp", "territory": "territory", "leads": "leads", "classified": "classified", "registrations": "regm", "companies": "compm", "boundary": "boundary", "enriched": "sized", "routed": "routed"}
+
+
 def _telemetry(r) -> DataFrame:
-    export_rows = r.routed.filter("route = 'export'")
-    broken = r.best.select(F.raise_error(F.lit("no such stage")).alias("x"))
-    return reporting.telemetry(r.spark, [("discovered", r.listings, 0.0), ("deduplicated", r.premises, 0.0), ("enriched", broken, 0.0), ("export", export_rows, C.unit_cost)])
+    """The log of the run up to the routed leads."""
+    _ = r.routed
+    return r.telemetry({"companies": C.unit_cost}).filter(F.col("stage").isin(list(_STEPS)))
+
+
+# Seconds differ from run to run and are left out.
+@query("telemetry", "stage n:n pence:n failed", " union all ".join(f"select '{k}' as stage, count(*) as n, {round(100 * C.unit_cost) if k == 'companies' else 0} as pence, false as failed from {v}" for k, v in _STEPS.items()))
+def _(r):
+    return _telemetry(r).select("stage", "n", T.percent(F.col("cost") * 100).alias("pence"), F.col("failure").isNotNull().alias("failed"))
 
 
-# The third stage fails: it has no count but a failure. Seconds differ from run to run and are left out.
-@query("telemetry", "step:n stage n:n pence:n failed", f"select 0 as step, 'discovered' as stage, count(*) as n, 0 as pence, false as failed from listings union all select 1, 'deduplicated', count(*), 0, false from prem union all select 2, 'enriched', null, 0, true union all select 3, 'export', count(*), {round(100 * C.unit_cost)}, false from routed where route='export'")
+@query("stage_map", "stages pence:n failed:n", "select '{'||string_agg('\"'||stage||'\":'||n, ',' order by stage)||'}' as stages, " + f"{round(100 * C.unit_cost)} as pence, 0 as failed from (" + " union all ".join(f"select '{k}' as stage, count(*) as n from {v}" for k, v in _STEPS.items()) + ") s")
 def _(r):
-    return _telemetry(r).select("step", "stage", "n", T.percent(F.col("cost") * 100).alias("pence"), F.col("failure").isNotNull().alias("failed"))
+    return reporting.stage_maps(_telemetry(r)).select(F.to_json("stages").alias("stages"), T.percent(F.col("cost") * 100).alias("pence"), "failed")
 
 
 @query("run_coverage", "run_no:n code granularity found:n ignored:n exported:n reactivation:n", "units")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from leadflow.operators.premises import PLATFORMS
 
@@ -16,12 +18,16 @@ CUSTOMER_SCHEMA = "account_code string, name string, address string, postcode st
 
 
 def load_listings(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Union of landed listings; paths: platform -> path ending in .json, .csv or .parquet."""
+    """Union of landed listings; paths: platform -> path ending in .json, .csv or .parquet. Columns are
+    found by name; one that a file lacks is null, and so is a value that does not fit its type."""
+    wanted = StructType.fromDDL(LISTING_SCHEMA)
     frames = []
     for platform, path in sorted(paths.items()):
         kind = path.rstrip("/").rsplit(".", 1)[-1]
-        read = spark.read.option("header", True) if kind == "csv" else spark.read
-        frames.append(read.schema(LISTING_SCHEMA).format(kind).load(path).withColumn("platform", F.coalesce("platform", F.lit(platform))))
+        read = spark.read.option("header", True).csv(path) if kind == "csv" else spark.read.schema(wanted).format(kind).load(path)
+        have = {c.lower(): c for c in read.columns}
+        cols = [(F.col(have[f.name]).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted]
+        frames.append(read.select(cols).withColumn("platform", F.coalesce("platform", F.lit(platform))))
     return union_listings(frames)
 
 
@@ -72,12 +78,44 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def _at(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file in any store that Spark reaches."""
+    fs, at = _at(spark, path)
+    out = fs.create(at, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_texts(spark: SparkSession, folder: str) -> list[str]:
+    """The small text files of a folder; none if there is no such folder."""
+    fs, at = _at(spark, folder)
+    if not fs.exists(at):
+        return []
+    return [row.value for row in spark.read.option("wholetext", True).text(folder).collect()]
+
+
+def file_states(spark: SparkSession, paths: list[str]) -> str:
+    """A digest of names, sizes and times of files."""
+    states = []
+    for path in sorted(paths):
+        fs, at = _at(spark, path)
+        s = fs.getFileStatus(at)
+        states.append(f"{path}:{s.getLen()}:{s.getModificationTime()}")
+    return hashlib.sha256("\n".join(states).encode()).hexdigest() if states else ""
+
+
 def file_manifest(spark: SparkSession, path: str, rows: DataFrame | None = None) -> DataFrame:
-    """Hash, size and row count per file; rows: the files read as a table."""
+    """Hash, size and row count per file. rows: the same files read as a table, whatever their columns;
+    each row names its file, so one read counts them all."""
     files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "length", F.sha2("content", 256).alias("sha256"))
     if rows is None:
         return files
-    n = rows.groupBy(F.regexp_extract("_metadata.file_path", "[^/]+$", 0).alias("file")).agg(F.count("*").alias("row_count"))
+    n = rows.select(F.regexp_extract("_metadata.file_path", "[^/]+$", 0).alias("file")).groupBy("file").agg(F.count("*").alias("row_count"))
     return files.join(n, "file", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)))
 
 
