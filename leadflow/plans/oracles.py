@@ -153,4 +153,5 @@ def oracle(body: str, extra: dict[str, str] | None = None) -> str:
 
     add(body)
     head = ",\n".join(f"{n} as ({known[n]})" for n in order)
-    return (f"with recursive {head}\n" if head else "") + body
+    kind = "with recursive" if any(re.search(rf"\b(from|join)\s+{n}\b", known[n]) for n in order if n not in SQL) else "with"
+    return (f"{kind} {head}\n" if head else "") + body

@@ -110,13 +110,14 @@ def file_states(spark: SparkSession, paths: list[str]) -> str:
 
 
 def file_manifest(spark: SparkSession, path: str, rows: DataFrame | None = None) -> DataFrame:
-    """Hash, size and row count per file. rows: the same files read as a table, whatever their columns;
-    each row names its file, so one read counts them all."""
-    files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "length", F.sha2("content", 256).alias("sha256"))
+    """Path, name, size, hash and row count per file. rows: the same files read as a table, whatever
+    their columns; each row names its file, so one read counts them all."""
+    plain = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/+", "/")  # noqa: E731  # one form for both readers
+    files = spark.read.format("binaryFile").load(path).select(plain(F.col("path")).alias("path"), F.regexp_extract("path", "[^/]+$", 0).alias("file"), "length", F.sha2("content", 256).alias("sha256"))
     if rows is None:
         return files
-    n = rows.select(F.regexp_extract("_metadata.file_path", "[^/]+$", 0).alias("file")).groupBy("file").agg(F.count("*").alias("row_count"))
-    return files.join(n, "file", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)))
+    n = rows.select(plain(F.col("_metadata.file_path")).alias("path")).groupBy("path").agg(F.count("*").alias("row_count"))
+    return files.join(n, "path", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)))
 
 
 def write_outputs(outputs: dict[str, DataFrame], base: str, run_id: int) -> dict[str, str]:
