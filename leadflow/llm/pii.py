@@ -8,8 +8,11 @@ the three parts of a social security number by the number of values that are val
 Punctuation, case, length, country codes and domains stay; check digits are made anew. The
 permutation depends on kind, key and value only, so equal values get equal pseudonyms in every
 document and different values different ones (per kind and length), and valid ones stay valid.
-Dates with slashes are read day first; where only the month can come first, they are written so
-again, and the permutation walks on until it meets another date that can be read in no other way.
+Dates of all forms have one permutation of days. Dates with slashes are read day first, or month
+first where only that can be; so that such a one can be written, and read, month first again, the
+permutation walks on until it meets a day after the 12th for one after the 12th, and another for the
+others. Country codes are told by the world's
+numbering plan, so spaces in a number do not matter; a national number keeps its leading zero.
 
 The key is given at run time: by argument, or for the registered queries by the session setting
 KEY_SETTING. Without it a known key is used with a warning; its pseudonyms protect nobody.
@@ -28,16 +31,18 @@ from pyspark.sql import functions as F
 
 from leadflow.llm.common import fresh
 
-ROUNDS, WALK = 8, 64  # a walk ends by chance after two steps; the chance of more than WALK is below 1e-25
+ROUNDS, WALK = 8, 128  # a walk ends by chance after two or three steps; the chance of more than WALK is below 1e-27
 KEY_SETTING = "spark.leadflow.pseudonymKey"
 DAYS, SIDE = 72_900, 270  # 1900-01-01 and the 72,899 days after it
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IP = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)(?![A-Za-z_])"
-DATE = r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-])"
+DATE = r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-])"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 CARD = r"(?<![\w.+-])(?:\d{13,19}|\d{4}([ -])\d{4}\g\d{4}\g\d{1,7}|\d{4}([ -])\d{6}\h\d{5})(?![\w-])"
-PHONE = r"(?<![\w+(])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4})(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])"
+PHONE = r"(?<![\w+(])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4})(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}|0\d{2,4}[ -]\d{3,4}[ -]?\d{3,4})(?![\w-])"
+# Forms of the country codes of the world's telephone numbering plan; all others have three digits.
+COUNTRY = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 CARD = CARD.replace(r"\g", r"\1").replace(r"\h", r"\2")  # the pattern's own groups come first below
 ANY = "|".join((CARD, EMAIL, IP, DATE, SSN, IBAN, PHONE))
@@ -120,7 +125,7 @@ def kind_of(m: Column) -> Column:
     return (
         F.when(m.contains("@"), F.when(F.split_part(m, F.lit("@"), F.lit(1)).rlike("[A-Za-z0-9]"), "email"))
         .when(m.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), F.when(octets, "ip"))
-        .when(m.rlike(r"^(\d{4}-\d{2}-\d{2}|\d{2}[/.]\d{2}[/.]\d{4})$"), F.when((day >= 0) & (day < DAYS), "date"))
+        .when(m.rlike(r"^(\d{4}([-/])\d{2}\2\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{2}\.\d{2}\.\d{4})$"), F.when((day >= 0) & (day < DAYS), "date"))
         .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), F.when(~m.rlike(r"^(000|666|9)") & ~m.rlike(r"-00-|-0000$"), "ssn"))
         .when(m.rlike(r"^[A-Z]{2}\d{2}"), F.when(F.length(bban).between(15, 34) & (mod97(turned) == 1), "iban"))
         .when(m.rlike(r"^\d[\d -]*$") & n.between(13, 19), F.when(luhn_sum(digits(m), 0) % 10 == 0, "card"))
@@ -130,14 +135,15 @@ def kind_of(m: Column) -> Column:
 
 def month_first(m: Column) -> Column:
     """Whether a date with slashes can only be read month first."""
-    return m.rlike(r"^(0[1-9]|1[0-2])/(1[3-9]|2[0-9]|3[01])/")
+    return m.rlike(r"^(0?[1-9]|1[0-2])/(1[3-9]|2[0-9]|3[01])/")
 
 
 def days_of(m: Column) -> Column:
     day = F.coalesce(
         F.when(m.rlike(r"^\d{4}-"), F.try_to_timestamp(m, F.lit("yyyy-MM-dd"))),
-        F.when(month_first(m), F.try_to_timestamp(m, F.lit("MM/dd/yyyy"))),
-        F.when(m.rlike(r"^\d{2}/"), F.try_to_timestamp(m, F.lit("dd/MM/yyyy"))),
+        F.when(m.rlike(r"^\d{4}/"), F.try_to_timestamp(m, F.lit("yyyy/MM/dd"))),
+        F.when(month_first(m), F.try_to_timestamp(m, F.lit("M/d/yyyy"))),
+        F.when(m.rlike(r"^\d{1,2}/"), F.try_to_timestamp(m, F.lit("d/M/yyyy"))),
         F.when(m.rlike(r"^\d{2}\.\d{2}\.\d{4}$"), F.try_to_timestamp(m, F.lit("dd.MM.yyyy"))),
     )
     return F.datediff(day.cast("date"), F.lit("1900-01-01").cast("date"))
@@ -172,13 +178,15 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
             return let(feistel(parts, F.array_repeat(F.lit(SIDE), 2), key, kind), lambda v: (F.get(v, F.lit(0)) * SIDE + F.get(v, F.lit(1))).cast("int"))
 
         on = lambda d: F.date_add(F.lit("1900-01-01").cast("date"), d)
-        # among the dates with a day over 12, by walking on through the permutation of all
-        walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), moved(days_of(x)), lambda d, _: F.when(F.dayofmonth(on(d)) > 12, d).otherwise(moved(d)))
-        day = on(moved(days_of(x)))
+        late = lambda d: F.dayofmonth(on(d)) > 12
+        walk = lambda start: F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), moved(start), lambda d, _: F.when(late(d) == late(start), d).otherwise(moved(d)))
+        day = on(let(days_of(x), walk))
+        wide, first = x.rlike(r"^\d{2}/\d{2}/"), month_first(x)
         return (
             F.when(x.rlike(r"^\d{4}-"), F.date_format(day, "yyyy-MM-dd"))
-            .when(month_first(x), F.date_format(on(walked), "MM/dd/yyyy"))
-            .when(x.contains("/"), F.date_format(day, "dd/MM/yyyy"))
+            .when(x.rlike(r"^\d{4}/"), F.date_format(day, "yyyy/MM/dd"))
+            .when(x.contains("/") & wide, F.when(first, F.date_format(day, "MM/dd/yyyy")).otherwise(F.date_format(day, "dd/MM/yyyy")))
+            .when(x.contains("/"), F.when(first, F.date_format(day, "M/d/yyyy")).otherwise(F.date_format(day, "d/M/yyyy")))
             .otherwise(F.date_format(day, "dd.MM.yyyy"))
         )
 
@@ -190,7 +198,7 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
         shown = lambda v: F.format_string("%03d-%02d-%04d", F.get(v, F.lit(0)) + 1 + (F.get(v, F.lit(0)) >= 665).cast("int"), F.get(v, F.lit(1)) + 1, F.get(v, F.lit(2)) + 1)
         return let(feistel(parts, radixes, key, kind), shown)
 
-    country = F.when(m.startswith("+"), F.length(F.regexp_extract(m, r"^\+\d{1,3}?(?=\D|\d{7,12}$)", 0))).otherwise(0)
+    country = F.when(m.startswith("+"), F.length(F.regexp_extract(m, COUNTRY, 0))).when(m.startswith("0"), 1).otherwise(0)
     return (
         F.when(kind == "email", num(m, _flags(m, "[0-9A-Za-z]", 0, F.locate("@", m) - 1), key, kind))
         .when(kind == "ip", ip(m))
