@@ -64,13 +64,13 @@ def test_a_failed_run_goes_on_where_it_stopped(spark, tmp_path):
     star, folder = lead_run(spark, SF), str(tmp_path / "run")
     tables = {name: star.table(name) for name in TABLES}
     broken = {**tables, "registrations": tables["registrations"].withColumn("operator_name", F.raise_error(F.lit("lost")).cast("string"))}
-    first = LeadRun(spark, broken, pepper="p", resume=folder)
+    first = LeadRun(spark, broken, pepper=star.pepper, resume=folder)
     first.__dict__["inputs"] = "same"  # the failure is the machine's, not the table's
     with pytest.raises(Exception, match="lost"):
         _ = first.routed
     failed = [e["stage"] for e in first.log if e["failure"]]
     assert failed == ["registrations"] and {"keyed", "marked", "territory", "leads"} <= set(first.stage_map)
-    second = LeadRun(spark, tables, pepper="p", resume=folder)
+    second = LeadRun(spark, tables, pepper=star.pepper, resume=folder)
     second.__dict__["inputs"] = "same"
     n = second.routed.count()
     over = {e["stage"] for e in second.log if e["taken_over"]}
