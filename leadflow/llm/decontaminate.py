@@ -177,6 +177,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, doc_col: str = "doc_id",
     of_class = listed.select(F.struct("len", "window").alias("class"), F.col("item").cast("string").alias("item"))
     of_set = members.join(of_class, "class").groupBy("n", "a", "b").agg(F.array_sort(F.collect_set("item")).alias("items"))
     of_set = materialised(of_set.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)), "item-sets")
+    for used in (printed, windows, classed):
+        discard(used)
 
     h = F.col("hit")
     begins = F.filter(h, lambda x, i: (i == 0) | (F.get(h, i - 1) != x - 1))
