@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -549,7 +550,7 @@ _STREAM = {
 
 @query("same_day_stream", "day:d lead_no trigger_type first_ts:s n:n", "select cast(ts as date) as day, lead_no, first(trigger_type order by ts, trigger_type) as trigger_type, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as first_ts, count(*) as n from accepted where cast(ts as date)+interval 1 day<=last_mark group by cast(ts as date), lead_no", _STREAM)
 def _(r):
-    folder = files.work_folder(r.spark, "same-day")
+    folder = f"{r.work}/same-day-{uuid.uuid4().hex}"
     events = r.spark.read.parquet(f"{r.folder}/events.parquet")
     for late in (False, True):  # what has landed is drained, then the rest lands
         events.filter((F.col("event_id") % 17 == 0) == late).write.mode("append").parquet(f"{folder}/landed")
