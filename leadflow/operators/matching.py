@@ -74,7 +74,7 @@ def best_match(scored: DataFrame) -> DataFrame:
     return scored.withColumn("r", F.row_number().over(order)).filter("r = 1").drop("r")
 
 
-def best_customers(leads: DataFrame, cust: DataFrame, cfg: Config = DEFAULT, counts: dict | None = None) -> DataFrame:
+def best_customers(leads: DataFrame, cust: DataFrame, cfg: Config = DEFAULT, counts: dict | None = None, written=lambda name, df: df) -> DataFrame:
     """The rows of best_match(score_pairs(block(...))) without joining whole sectors or addresses.
 
     A pair's percent is bounded by what it shares: with neither phone nor unit postcode it cannot pass
@@ -84,7 +84,8 @@ def best_customers(leads: DataFrame, cust: DataFrame, cfg: Config = DEFAULT, cou
     (ties included: shorter names than EXACT_LENGTH with one difference stay below a full score). The
     others are compared by name only, and by distinct name: each name of a sector or address once with
     each distinct name of customers there whose length lets it reach the lead's best so far. counts, if
-    given, receives the number of pairs compared in both steps (as data frames)."""
+    given, receives the number of pairs compared in both steps (as data frames); written, if given,
+    writes the first step's result, which the second reads several times."""
     l = leads.select("lead_key", F.col("primary_brand").alias("brand"), "sector", "address_key", F.col("phone").alias("l_phone"), F.col("unit").alias("l_unit"))
     c = cust.select("account_code", "name", "status", F.col("sector").alias("c_sector"), F.col("address_key").alias("c_address"), F.col("phone").alias("c_phone"), F.col("unit").alias("c_unit"))
     lw, cw = l.withColumn("words", _sorted_words(F.col("brand"))), c.withColumn("c_words", _sorted_words(F.col("name")))
@@ -99,7 +100,7 @@ def best_customers(leads: DataFrame, cust: DataFrame, cfg: Config = DEFAULT, cou
         firm.append(lw.join(first.join(c.drop(other), "account_code"), (F.col(own) == F.col(other)) & same_words).drop("words", "c_words"))
     cols = ["lead_key", "account_code", "brand", "name", "status", "l_phone", "c_phone", "l_unit", "c_unit"]
     pairs = reduce(DataFrame.unionByName, [f.select(cols) for f in firm])
-    found = best_match(_scored(pairs, cfg))
+    found = written("best-firm", best_match(_scored(pairs, cfg)))
     most = percent(F.lit(100.0 * cfg.name_weight))
     sure = (F.col("match_pct") > most) | ((F.col("match_pct") == most) & (F.col("name_score") == 100) & (F.length("brand") < EXACT_LENGTH))
     so_far = l.join(found.select("lead_key", "match_pct", "name_score"), "lead_key", "left")
@@ -112,12 +113,11 @@ def best_customers(leads: DataFrame, cust: DataFrame, cfg: Config = DEFAULT, cou
         bound = percent(cfg.name_weight * percent(F.greatest(reach("brand", "n"), reach(_sorted_words(F.col("brand")), _sorted_words(F.col("n"))))))
         met = brands.join(names, (F.col(own) == F.col(other)) & (bound >= F.col("so_far")))
         score = F.greatest(edit_ratio(F.lower("brand"), F.col("n")), token_sort_ratio(F.col("brand"), F.col("n")))
-        kept = met.withColumn("pct", percent(cfg.name_weight * score)).groupBy(own, "brand").agg(F.max(F.struct("pct", "n")).alias("top"), F.max("pct").alias("best"), F.count("*").alias("compared"))
+        # one pass over the pairs: the smallest account of each percent, then that of the best
+        by_pct = met.withColumn("pct", percent(cfg.name_weight * score)).groupBy(own, "brand", "pct").agg(F.min("account_code").alias("account_code"), F.count("*").alias("compared"))
+        first = by_pct.groupBy(own, "brand").agg(F.max_by("account_code", "pct").alias("account_code"))
         if counts is not None:
-            counts[own] = kept.agg(F.sum("compared").alias("n"))
-        # ties in percent go to the smallest account of all names that reach it
-        at_best = met.withColumn("pct", percent(cfg.name_weight * score)).join(kept.select(own, "brand", "best"), [own, "brand"]).filter("pct = best")
-        first = at_best.groupBy(own, "brand").agg(F.min("account_code").alias("account_code"))
+            counts[own] = by_pct.agg(F.sum("compared").alias("n"))
         near.append(open_.join(first, [own, "brand"]).select("lead_key", "account_code", "brand", "l_phone", "l_unit"))
     if counts is not None:
         counts["firm"] = pairs.agg(F.count("*").alias("n"))

@@ -172,7 +172,7 @@ class LeadRun:
 
     @cached_property
     def best(self) -> DataFrame:
-        return matching.best_customers(self.leads, self.customers, self.cfg)
+        return matching.best_customers(self.leads, self.customers, self.cfg, written=self._written)
 
     @stage
     def classified(self) -> DataFrame:
