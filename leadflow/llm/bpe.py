@@ -17,12 +17,14 @@ and null ids are kept as they are; other columns are not looked at.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
 import unicodedata
 from array import array
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -32,11 +34,12 @@ from leadflow.llm.common import returning, sliced, small_batches, text_or_empty
 
 # Fixed value: the published split pattern of this vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# A space beside other white space, and a space between two other characters.
+# White space but spaces and line ends, a space beside white space, and a space between two other characters.
+RARE = re.compile(r"[^\S \n]")
 SPACED = re.compile(r"\s | \s")
 BETWEEN = re.compile(r"(?<=\S)(?= \S)")
 END = {".", ",", "!", "?", ";", ":"}
-CACHE_WORDS, CACHE_RUNS = 100_000, 50_000
+CACHE, HEAD = 150_000, 32
 _LOADED: dict[str, "ByteBpe"] = {}
 
 
@@ -65,6 +68,20 @@ def _ranges(points: list[int]) -> list[list[int]]:
     return out
 
 
+def is_word(text: str) -> bool:
+    """Letters, with a space before them or not: one piece of the pattern."""
+    return text[1:].isalpha() and (text[0] == " " or text[0].isalpha())
+
+
+def shared_heads(words: list[bytes]) -> list[int]:
+    """How many of its first HEAD bytes each word shares with the one before it."""
+    heads = np.array([b"", *words], f"S{HEAD}").view(np.uint8).reshape(-1, HEAD)
+    apart = heads[1:] != heads[:-1]
+    same = np.where(apart.any(axis=1), apart.argmax(axis=1), HEAD)
+    size = np.array([0, *map(len, words)])
+    return np.minimum(same, np.minimum(size[1:], size[:-1])).tolist()
+
+
 class ByteBpe:
     """Tables of one vocabulary; ids are in merge order after the 256 bytes."""
 
@@ -98,10 +115,8 @@ class ByteBpe:
         self.longest: list[int | None] = [None] * len(self.path_of)
         self.shorter: dict[int, int] = {}
         self.beside: dict[int, bool] = {}
-        self.words: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-        self.old_runs: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.split = regex.compile(SPLIT)
         self.chars = chars
         self.newer = regex.compile(f"[{_newer_letters()}]")
@@ -150,24 +165,26 @@ class ByteBpe:
     def learn(self, words: set[str]) -> None:
         """Encode the words that are not known yet in one walk over their trie."""
         nxt, longest, shorter, size, packed = self.next, self.longest, self.shorter, self.size, self.packed
-        beside, done, todo = self.beside, self.words, sorted((w.encode(), w) for w in words)
+        beside, done, todo = self.beside, self.known, sorted(words)  # the order of their UTF-8 bytes as well
         if len(beside) > 300_000:
             beside.clear()
+        coded = [text.encode() for text in todo]
         before, states, last = b"", [0], []
-        for word, text in todo:
-            keep, most = 0, min(len(word), len(before))
-            if word[:most] == before[:most]:
-                keep = most
-            else:
-                while word[keep] == before[keep]:
-                    keep += 1
+        for text, word, keep in zip(todo, coded, shared_heads(coded), strict=True):
+            if keep == HEAD:
+                most = min(len(word), len(before))
+                if word[:most] == before[:most]:
+                    keep = most
+                else:
+                    while word[keep] == before[keep]:
+                        keep += 1
             del states[keep + 1 :], last[keep:]
             state = states[keep]
-            for i in range(keep, len(word)):
+            for i, byte in enumerate(word[keep:], keep):
                 try:
-                    state = nxt[state << 8 | word[i]]
+                    state = nxt[state << 8 | byte]
                 except KeyError:
-                    state = self._step(state, word[i])
+                    state = self._step(state, byte)
                 t = longest[state]
                 while (start := i - size[t]) >= 0:
                     pair = last[start] << 20 | t
@@ -188,16 +205,16 @@ class ByteBpe:
                 t = last[end]
                 ids.append(packed[t])
                 end -= size[t]
-            done[text] = b"".join(reversed(ids))
+            ids.reverse()
+            done[text] = b"".join(ids)
             before = word
 
     def pieces(self, text: str) -> list[str]:
         """The library's split of a text: by pattern, or by the library itself where its Unicode
         tables may be older than the pattern engine's."""
-        body = text[1:] if text[:1] == " " else text
-        if body.isalpha():  # a space and letters are one piece
+        if is_word(text):
             return [text]
-        if body[-1:] in END and body[:-1].isalpha():
+        if text[-1:] in END and is_word(text[:-1]):
             return [text[:-1], text[-1]]
         if text.isascii() or not self.newer.search(text):
             return self.split.findall(text)
@@ -206,34 +223,41 @@ class ByteBpe:
         found = ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str(text)
         return [bytes(self.chars[c] for c in p).decode() for p, _ in found]
 
-    def _known(self, wanted: set[str], new: dict, old: dict) -> set[str]:
+    def _unknown(self, wanted: set[str]) -> set[str]:
         """The wanted keys that neither generation has; those of the old one move to the new."""
-        missing = wanted - new.keys()
-        for k in missing & old.keys():
-            new[k] = old[k]
-        return missing - old.keys()
+        missing = wanted - self.known.keys()
+        for k in missing & self.old.keys():
+            self.known[k] = self.old[k]
+        return missing - self.old.keys() if self.old else missing
 
     def _learn_runs(self, runs: set[str]) -> None:
-        if len(self.runs) > CACHE_RUNS:
-            self.runs, self.old_runs = {}, self.runs
-        if len(self.words) > CACHE_WORDS:
-            self.words, self.old_words = {}, self.words
-        split = {r: self.pieces(r) for r in self._known(runs, self.runs, self.old_runs)}
-        self.learn(self._known({w for p in split.values() for w in p}, self.words, self.old_words))
-        get = self.words.__getitem__
-        for r, p in split.items():
-            self.runs[r] = b"".join(map(get, p))
+        """Ids of the runs that are not known yet; a run of one piece is a word itself."""
+        if len(self.known) > CACHE:
+            self.known, self.old = {}, self.known
+        words, more = set(), {}
+        for r in self._unknown(runs):
+            if is_word(r):
+                words.add(r)
+            else:
+                p = self.pieces(r)
+                words.update(p)
+                if len(p) != 1:
+                    more[r] = p
+        self.learn(self._unknown(words))
+        get = self.known.__getitem__
+        for r, p in more.items():
+            self.known[r] = b"".join(map(get, p))
 
     def forget(self) -> None:
         """Drop what was learned from texts; the tables stay."""
-        for d in (self.words, self.old_words, self.runs, self.old_runs, self.beside):
-            d.clear()
+        self.known.clear()
+        self.old.clear()
 
     def _runs(self, text: str) -> list[str]:
         """Cut before each space that stands between two other characters: no piece of the pattern
         crosses such a place, so the runs can be encoded, and kept, one by one."""
         first, *rest = text.split(" ")
-        if all(rest) and first and not SPACED.search(text):
+        if first and all(rest) and "\n " not in text and " \n" not in text and not (RARE.search(text) and SPACED.search(text)):
             return [first, *[" " + x for x in rest]]
         return BETWEEN.split(text)
 
@@ -254,7 +278,7 @@ class ByteBpe:
                     seen.update(p)
             parts.append(found)
         self._learn_runs(seen)
-        get = self.runs.__getitem__
+        get = self.known.__getitem__
         return [b"".join([p if isinstance(p, bytes) else b"".join(map(get, p)) for p in found]) for found in parts]
 
     def decode(self, ids: bytes) -> str:
@@ -276,13 +300,17 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     def run(batches):
         bpe = tokenizer(path)
-        for b in sliced(batches, 4 << 20):
-            ids = bpe.encode(b.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())],
-                names=["id", "ids_le", "decoded"],
-            )
-        bpe.forget()
+        gc.disable()  # no cycles here, and going through the many small objects again and again takes time
+        try:
+            for b in sliced(batches, 4 << 20):
+                ids = bpe.encode(b.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())],
+                    names=["id", "ids_le", "decoded"],
+                )
+        finally:
+            bpe.forget()
+            gc.enable()
 
     src = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     out = src.mapInArrow(returning(run), f"id {id_type}, ids_le binary, decoded string")

@@ -566,6 +566,34 @@ def test_bpe_equals_the_library(spark, docs, texts):
     assert bpe.op10_query(empty(spark), path).count() == 0
 
 
+def test_bpe_keeps_pairs_and_holds_runs_once(monkeypatch):
+    tokenizers = pytest.importorskip("tokenizers")
+    from leadflow.llm.queries import tokenizer_path
+
+    path = tokenizer_path()
+    t, b = tokenizers.Tokenizer.from_file(path), bpe.ByteBpe(path)
+    monkeypatch.setattr(bpe, "CACHE", 500, raising=False)  # so that generations change between the slices below
+    rnd = random.Random(8)
+    odd = ["", " ", "  ", "a", "a\x00", "a\x00\x00b", "x\t y", "x \ty", "x\u2028 y", "x\x1c y", "end. \nnext", "end.\n next", " lead", "trail ", "a" * 31, "a" * 32, "a" * 33, "a" * 400, "a" * 400 + "b", "é" * 16 + "x", "é" * 17]
+    slices = [[*odd, "".join(rnd.choice("ab é\n.\t\x00Ж中1'") for _ in range(3000))] for _ in range(4)]
+    asked = []
+    apart = b._apart
+    monkeypatch.setattr(b, "_apart", lambda x, y: asked.append((x, y)) or apart(x, y))
+    for texts in [*slices, *slices]:
+        ids = [t.encode(x, add_special_tokens=False).ids for x in texts]
+        assert b.encode(texts) == [np.array(x, "<u4").tobytes() for x in ids]
+    assert len(asked) == len(set(asked))
+    b.forget()
+    b.encode(slices[0])
+    assert len(asked) == len(set(asked))  # what the vocabulary alone decides is not worked out again
+    learned = []
+    learn = b.learn
+    monkeypatch.setattr(b, "learn", lambda words: learned.append(set(words)) or learn(words))
+    b.encode(["one two", "one three two"])
+    b.encode(["three", "three one two one"])
+    assert learned == [{"one", " two", " three"}, {"three", " one"}]
+
+
 def test_extra_columns_with_clashing_names(spark, docs):
     more = {c: docs["lang"] for c in ("score", "size", "taken", "target", "shard", "sig", "sid", "comp", "kept", "n", "found", "value", "pii", "host", "rid", "runs", "key", "to", "ids_le", "decoded")}
     wide = docs.withColumns(more)
