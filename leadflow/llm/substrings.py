@@ -21,6 +21,10 @@ that Spark splits them when skewed. The covered bytes are removed in a last pass
 A null text is empty. Texts shorter than LENGTH lose nothing. Equal texts are removed whole (from
 LENGTH bytes on), since each byte is covered by a string that also starts in the other copy; repeated
 rows and rows without an id count as documents like others. Matches never cross documents.
+
+Beside the bytes, passages of over 50 words that documents share are told, whatever their bytes and
+the white space between the words: the same rounds over words in place of bytes, with windows of
+WORDS words, of which only those count that stand in two documents.
 """
 
 from __future__ import annotations
@@ -33,26 +37,28 @@ from pyspark.sql import functions as F
 from leadflow.llm.common import discard, materialised, release, returning, sliced
 
 LENGTH, SPREAD, K = 400, 128, 16
+WORDS, WORD_SPREAD, WORD_K = 51, 24, 6
 BROADCAST_IDS = 500_000
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SYMBOLS = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _UP = [np.ones(1, np.uint64)]
 _DOWN = [np.ones(1, np.uint64)]
 
 
 class Hashed:
-    """A text with prefix sums, for the hash of any of its substrings."""
+    """A sequence of symbols with prefix sums, for the hash of any of its substrings."""
 
-    def __init__(self, data: bytes):
-        self.n = n = len(data)
+    def __init__(self, symbols: np.ndarray):
+        self.n = n = len(symbols)
         if len(_UP[0]) <= n:
             for table, base in ((_UP, _BASE), (_DOWN, _INVERSE)):
                 p = np.full(max(n + 1, 1 << 17), base, np.uint64)
                 p[0] = 1
                 table[0] = np.multiply.accumulate(p)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_SYMBOLS[np.frombuffer(data, np.uint8)] * _UP[0][:n], out=self.sums[1:])
+        np.cumsum(symbols * _UP[0][:n], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         h = (self.sums[end] - self.sums[start]) * _DOWN[0][start]
@@ -63,6 +69,19 @@ class Hashed:
         return h ^ (h >> np.uint64(29))
 
 
+def by_bytes(text: str) -> Hashed:
+    return Hashed(_SYMBOLS[np.frombuffer(text.encode(), np.uint8)])
+
+
+def by_words(text: str) -> Hashed:
+    """Words are runs of anything but ASCII white space (common.WORD)."""
+    data = text.encode()
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = ~_SPACE[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(np.diff(inside))
+    return Hashed(by_bytes(text).of(edges[::2], edges[1::2]))
+
+
 def anchors(t: Hashed, length: int, spread: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place, first, last): each anchor and the first and last window start that it serves."""
     if t.n < length:
@@ -92,7 +111,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("rid"))
 
 
-def anchor_rows(docs: DataFrame, length: int, spread: int, k: int) -> DataFrame:
+def anchor_rows(docs: DataFrame, length: int, spread: int, k: int, units=by_bytes) -> DataFrame:
     """(rid, pack, core, whole): text key, windows and offset of an anchor in one number, hashes of
     the string all its windows share and of their union."""
     depth = length - spread + 1
@@ -101,7 +120,7 @@ def anchor_rows(docs: DataFrame, length: int, spread: int, k: int) -> DataFrame:
         for b in sliced(batches):
             out = []
             for rid, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                t = Hashed(text.encode())
+                t = units(text)
                 p, first, last = anchors(t, length, spread, k)
                 if len(p):
                     pack = (first << 20) | ((p - first) << 10) | (last - first)
@@ -112,14 +131,14 @@ def anchor_rows(docs: DataFrame, length: int, spread: int, k: int) -> DataFrame:
     return _keyed(docs).select("rid", "text").mapInArrow(returning(run), "rid bigint, pack bigint, core bigint, whole bigint")
 
 
-def window_rows(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+def window_rows(docs: DataFrame, wanted: DataFrame, length: int, units=by_bytes) -> DataFrame:
     """(h, core, rid, at, open) of the windows of the wanted anchors: (rid, packs, cores, opens)."""
 
     def run(batches):
         for b in sliced(batches):
             out = []
             for rid, text, todo in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                t = Hashed(text.encode())
+                t = units(text)
                 pack = np.array([x["pack"] for x in todo], np.int64)
                 count = (pack & 1023) + 1
                 at = np.repeat(pack >> 20, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -135,10 +154,11 @@ def window_rows(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return texts.join(wanted, "rid").select("rid", "text", "todo").mapInArrow(returning(run), "h bigint, core bigint, rid bigint, at bigint, open boolean")
 
 
-def repeated_starts(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, k: int = K) -> DataFrame:
-    """(rid, runs array<struct<a, b>>): first and last starts of runs of repeated windows, per text key."""
+def repeated_starts(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, k: int = K, units=by_bytes, across: bool = False) -> DataFrame:
+    """(rid, runs array<struct<a, b>>): first and last starts of runs of repeated windows, per text
+    key. across: only windows that stand in two documents."""
     spark = docs.sparkSession
-    rows = materialised(anchor_rows(docs, length, spread, k), "anchors")
+    rows = materialised(anchor_rows(docs, length, spread, k, units), "anchors")
     shared = materialised(rows.groupBy("core").agg(F.count("*").alias("c")).filter("c > 1").select("core"), "cores")
     met = materialised(rows.join(shared, "core"), "shared")  # no aggregation behind it: a hot core is split
     discard(rows)
@@ -148,22 +168,30 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD,
     discard(shared)
     release(spark)
 
-    unions = kept.groupBy("core", "whole").agg(F.sum("n").alias("c"), F.min(F.struct("rid", "pack")).alias("one"))
+    # a text's n is over 1 if several documents have it
+    many = F.expr("min(rid) <> max(rid) or max(n) > 1" if across else "sum(n) > 1").alias("many")
+    unions = kept.groupBy("core", "whole").agg(many, F.min(F.struct("rid", "pack")).alias("one"))
     unions = materialised(unions, "unions")
-    edges = unions.filter("c = 1").select("core").distinct()
-    once = unions.filter("c = 1").select("core", F.col("one.rid").alias("rid"), F.col("one.pack").alias("pack"), F.lit(True).alias("open"))
-    beside = unions.filter("c > 1").join(edges, "core", "left_semi").select("core", F.col("one.rid").alias("rid"), F.col("one.pack").alias("pack"), F.lit(False).alias("open"))
+    edges = unions.filter("not many").select("core").distinct()
+    if across:  # a union that one document alone has may stand in it at several places
+        met = unions.groupBy("core").agg(F.expr("bool_or(many) or min(one.rid) <> max(one.rid)").alias("met")).filter("met").select("core")
+        lone = unions.filter("not many").join(met, "core", "left_semi").select("core", "whole")
+        once = kept.join(lone, ["core", "whole"], "left_semi").select("core", "rid", "pack", F.lit(True).alias("open"))
+    else:
+        once = unions.filter("not many").select("core", F.col("one.rid").alias("rid"), F.col("one.pack").alias("pack"), F.lit(True).alias("open"))
+    beside = unions.filter("many").join(edges, "core", "left_semi").select("core", F.col("one.rid").alias("rid"), F.col("one.pack").alias("pack"), F.lit(False).alias("open"))
     # a single member of a block of one text that is alone in it cannot meet another
     wanted = once.unionByName(beside).groupBy("rid").agg(F.collect_list(F.struct("pack", "core", "open")).alias("todo"))
     wanted = materialised(wanted, "wanted")
 
-    windows = window_rows(docs, wanted, length)
-    twice = windows.groupBy("h", "core").agg(F.count("*").alias("c"), F.max(F.col("open").cast("int")).alias("o")).filter("c > 1 and o = 1").select("h", "core")
+    windows = window_rows(docs, wanted, length, units)
+    more = "min(rid) <> max(rid) or not bool_and(open)" if across else "count(*) > 1"
+    twice = windows.groupBy("h", "core").agg(F.expr(more).alias("more"), F.max(F.col("open").cast("int")).alias("o")).filter("more and o = 1").select("h", "core")
     found = windows.filter("open").join(twice, ["h", "core"], "left_semi").select("rid", F.col("at").alias("a"), F.col("at").alias("b"))
     found = materialised(found, "windows")
     release(spark)
 
-    sure = kept.join(unions.filter("c > 1").select("core", "whole"), ["core", "whole"], "left_semi")
+    sure = kept.join(unions.filter("many").select("core", "whole"), ["core", "whole"], "left_semi")
     first = F.shiftright("pack", 20)
     sure = sure.select("rid", first.alias("a"), (first + F.col("pack").bitwiseAND(1023)).alias("b"))
     runs = sure.unionByName(found).groupBy("rid").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
@@ -174,36 +202,52 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD,
     return runs
 
 
-def remove_repeated(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, k: int = K) -> DataFrame:
-    """(doc_id, n_bytes, starts, ends, kept): removed runs and the remaining bytes of every document."""
+def spans(first: list[int] | None, last: list[int] | None, length: int) -> list[list[int]]:
+    """Start and end of what windows cover, from the first and last starts of runs of them."""
+    out: list[list[int]] = []
+    for x, y in sorted(zip(first or (), last or (), strict=True)):
+        if out and x <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], y + length)
+        else:
+            out.append([x, y + length])
+    return out
+
+
+def remove_repeated(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, k: int = K, words: int = 0) -> DataFrame:
+    """(doc_id, n_bytes, starts, ends, kept, n_shared_words): removed runs and the remaining bytes of
+    every document; its words inside strings of as many words as given that another document has
+    (none are looked for if 0)."""
     runs = repeated_starts(docs, length, spread, k)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    src = _keyed(docs).join(runs, "rid", "left").select("doc_id", "text", F.col("runs.a").alias("a"), F.col("runs.b").alias("b"))
+    src = _keyed(docs).join(runs, "rid", "left").withColumn("shared", F.lit(None).cast("array<struct<a:bigint,b:bigint>>"))
+    if words:
+        near = min(WORD_SPREAD, words)
+        shared = repeated_starts(docs, words, near, min(WORD_K, words - near + 1), by_words, across=True)
+        src = src.drop("shared").join(shared.withColumnRenamed("runs", "shared"), "rid", "left")
+    src = src.select("doc_id", "text", *[F.col(f"{c}.{x}").alias(f"{c}_{x}") for c in ("runs", "shared") for x in "ab"])
     big = pa.list_(pa.int64())
 
     def run(batches):
         for b in sliced(batches):
-            sizes, starts, ends, rest = [], [], [], []
-            for text, first, last in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+            sizes, starts, ends, rest, told = [], [], [], [], []
+            for text, first, last, a, z in zip(*(b.column(i).to_pylist() for i in range(1, 6)), strict=True):
                 data = text.encode()
-                spans: list[list[int]] = []
-                for x, y in sorted(zip(first or (), last or (), strict=True)):
-                    if spans and x <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], y + length)
-                    else:
-                        spans.append([x, y + length])
-                cuts = [0, *[p for s in spans for p in s], len(data)]
+                gone = spans(first, last, length)
+                cuts = [0, *[p for s in gone for p in s], len(data)]
                 sizes.append(len(data))
-                starts.append([s[0] for s in spans])
-                ends.append([s[1] for s in spans])
+                starts.append([s[0] for s in gone])
+                ends.append([s[1] for s in gone])
                 rest.append(b"".join(data[cuts[i] : cuts[i + 1]] for i in range(0, len(cuts), 2)))
-            yield _arrow(["doc_id", "n_bytes", "starts", "ends", "kept"], b.column(0), pa.array(sizes, pa.int64()), pa.array(starts, big), pa.array(ends, big), pa.array(rest, pa.binary()))
+                told.append(sum(y - x for x, y in spans(a, z, words)))
+            names = ["doc_id", "n_bytes", "starts", "ends", "kept", "n_shared_words"]
+            yield _arrow(names, b.column(0), pa.array(sizes, pa.int64()), pa.array(starts, big), pa.array(ends, big), pa.array(rest, pa.binary()), pa.array(told, pa.int64()))
 
-    return src.mapInArrow(returning(run), f"doc_id {id_type}, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary")
+    return src.mapInArrow(returning(run), f"doc_id {id_type}, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary, n_shared_words bigint")
 
 
-def op5_query(docs: DataFrame) -> DataFrame:
-    out = remove_repeated(docs)
+def op5_query(docs: DataFrame, words: int = 0) -> DataFrame:
+    """words: also tell the words of passages of so many words or more that documents share."""
+    out = remove_repeated(docs, words=words)
     return out.select(
         "doc_id",
         "n_bytes",
@@ -212,4 +256,5 @@ def op5_query(docs: DataFrame) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"),
         # the text that is left; a character of which a removed run took a part shows as U+FFFD
         F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
+        *(["n_shared_words", (F.col("n_shared_words") > 0).alias("shares_passage")] if words else []),
     )

@@ -4,6 +4,7 @@ repeated rows, empty tables, extra columns."""
 import collections
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -265,6 +266,41 @@ def test_substrings_of_one_text_and_small_length(spark):
         assert (got[i].n_bytes, got[i].n_bytes - len(got[i].kept), len(got[i].starts), hashlib.sha256(got[i].kept).hexdigest()) == w
 
 
+def brute_shared_words(all_texts, n):
+    every = [[w for w in re.split(r"[\x20\x09-\x0D]+", t or "") if w] for t in all_texts]
+    holders = collections.defaultdict(set)
+    for i, w in enumerate(every):
+        for x in range(len(w) - n + 1):
+            holders[tuple(w[x : x + n])].add(i)
+    out = []
+    for w in every:
+        cover = [False] * len(w)
+        for x in range(len(w) - n + 1):
+            if len(holders[tuple(w[x : x + n])]) > 1:
+                cover[x : x + n] = [True] * n
+        out.append(sum(cover))
+    return out
+
+
+def test_substrings_tell_passages_of_over_50_words_that_documents_share(spark, docs):
+    rnd = random.Random(15)
+    passage = words(rnd, 60, 40).split()
+    short = " ".join(w[:3] for w in passage)
+    assert len(short) < 400
+    t = [words(rnd, 30) + " " + short + " " + words(rnd, 30), words(rnd, 9) + "\n" + short.replace(" ", "\t "), " ".join(short.split()[:50]) + " " + words(rnd, 70)]
+    t += ["twice here: " + " ".join(short.split()[::-1]) + " x " + " ".join(short.split()[::-1]), "to be " * 80, "to be " * 26, "copy " * 60, "copy " * 60, words(rnd, 50), None, "", " \n "]
+    t += [a.text for a in docs.collect()]
+    d = spark.createDataFrame(list(enumerate(t)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in substrings.op5_query(d, substrings.WORDS).collect()}
+    want = brute_shared_words(t, 51)
+    assert [got[i].n_shared_words for i in range(len(t))] == want
+    assert [got[i].shares_passage for i in range(len(t))] == [n > 0 for n in want]
+    assert want[:4] == [60, 60, 0, 0] and got[0].n_removed == got[1].n_removed == 0  # under 400 bytes
+    for n in (1, 2, 7, 30):
+        got = {r.doc_id: r.n_shared_words for r in substrings.remove_repeated(d, words=n).collect()}
+        assert [got[i] for i in range(len(t))] == brute_shared_words(t, n)
+
+
 def test_secret_scan(spark):
     rnd = random.Random(4)
     hexes = ["".join(rnd.choice("0123456789abcdef") for _ in range(40)) for _ in range(40)]
