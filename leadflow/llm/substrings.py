@@ -174,8 +174,9 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD,
     unions = materialised(unions, "unions")
     edges = unions.filter("not many").select("core").distinct()
     if across:  # a union that one document alone has may stand in it at several places
-        met = unions.groupBy("core").agg(F.expr("bool_or(many) or min(one.rid) <> max(one.rid)").alias("met")).filter("met").select("core")
-        lone = unions.filter("not many").join(met, "core", "left_semi").select("core", "whole")
+        crossing = unions.groupBy("core").agg(F.expr("bool_or(many) or min(one.rid) <> max(one.rid)").alias("met")).filter("met").select("core")
+        crossing = materialised(crossing, "crossing")  # no aggregation beside the join: a hot core is split
+        lone = unions.filter("not many").join(crossing, "core", "left_semi").select("core", "whole")
         once = kept.join(lone, ["core", "whole"], "left_semi").select("core", "rid", "pack", F.lit(True).alias("open"))
     else:
         once = unions.filter("not many").select("core", F.col("one.rid").alias("rid"), F.col("one.pack").alias("pack"), F.lit(True).alias("open"))
@@ -196,21 +197,26 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD,
     sure = sure.select("rid", first.alias("a"), (first + F.col("pack").bitwiseAND(1023)).alias("b"))
     runs = sure.unionByName(found).groupBy("rid").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
     runs = materialised(runs, "runs")
-    for t in (kept, unions, wanted, found):
+    for t in (kept, unions, wanted, found, *([crossing] if across else [])):
         discard(t)
     release(spark)
     return runs
 
 
-def spans(first: list[int] | None, last: list[int] | None, length: int) -> list[list[int]]:
-    """Start and end of what windows cover, from the first and last starts of runs of them."""
-    out: list[list[int]] = []
-    for x, y in sorted(zip(first or (), last or (), strict=True)):
-        if out and x <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], y + length)
-        else:
-            out.append([x, y + length])
-    return out
+def spans(first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of what windows cover, from the first and last starts of runs of them."""
+    if not len(first):
+        return first, last
+    order = np.argsort(first)
+    start, end = first[order], np.maximum.accumulate(last[order] + length)
+    apart = start[1:] > end[:-1]
+    return start[np.concatenate([[True], apart])], end[np.concatenate([apart, [True]])]
+
+
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column; a null is empty."""
+    values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
+    return [values[i:j] for i, j in zip(offsets, offsets[1:])]
 
 
 def remove_repeated(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, k: int = K, words: int = 0) -> DataFrame:
@@ -230,15 +236,15 @@ def remove_repeated(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD,
     def run(batches):
         for b in sliced(batches):
             sizes, starts, ends, rest, told = [], [], [], [], []
-            for text, first, last, a, z in zip(*(b.column(i).to_pylist() for i in range(1, 6)), strict=True):
+            for text, first, last, a, z in zip(b.column(1).to_pylist(), *(_lists(b.column(i)) for i in range(2, 6)), strict=True):
                 data = text.encode()
-                gone = spans(first, last, length)
-                cuts = [0, *[p for s in gone for p in s], len(data)]
+                x, y = spans(first, last, length)
                 sizes.append(len(data))
-                starts.append([s[0] for s in gone])
-                ends.append([s[1] for s in gone])
-                rest.append(b"".join(data[cuts[i] : cuts[i + 1]] for i in range(0, len(cuts), 2)))
-                told.append(sum(y - x for x, y in spans(a, z, words)))
+                starts.append(x.tolist())
+                ends.append(y.tolist())
+                rest.append(b"".join(data[i:j] for i, j in zip([0, *ends[-1]], [*starts[-1], len(data)], strict=True)))
+                a, z = spans(a, z, words)
+                told.append(int((z - a).sum()))
             names = ["doc_id", "n_bytes", "starts", "ends", "kept", "n_shared_words"]
             yield _arrow(names, b.column(0), pa.array(sizes, pa.int64()), pa.array(starts, big), pa.array(ends, big), pa.array(rest, pa.binary()), pa.array(told, pa.int64()))
 
