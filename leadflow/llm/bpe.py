@@ -39,7 +39,8 @@ RARE = re.compile(r"[^\S \n]")
 SPACED = re.compile(r"\s | \s")
 BETWEEN = re.compile(r"(?<=\S)(?= \S)")
 END = {".", ",", "!", "?", ";", ":"}
-CACHE, HEAD = 150_000, 32
+CACHE, PAIRS, HEAD = 40_000, 120_000, 32  # words and pairs of tokens that a worker keeps; beyond, it decides anew
+SLICE = 1 << 19  # bytes of text whose runs are held at a time
 _LOADED: dict[str, "ByteBpe"] = {}
 
 
@@ -166,7 +167,7 @@ class ByteBpe:
         """Encode the words that are not known yet in one walk over their trie."""
         nxt, longest, shorter, size, packed = self.next, self.longest, self.shorter, self.size, self.packed
         beside, done, todo = self.beside, self.known, sorted(words)  # the order of their UTF-8 bytes as well
-        if len(beside) > 300_000:
+        if len(beside) > PAIRS:
             beside.clear()
         coded = [text.encode() for text in todo]
         before, states, last = b"", [0], []
@@ -293,6 +294,16 @@ def tokenizer(path: str) -> ByteBpe:
     return _LOADED[path]
 
 
+def encode_batches(bpe: ByteBpe, batches):
+    """Batches (id, ids_le, decoded) of batches (id, text)."""
+    for b in sliced(batches, SLICE):
+        ids = bpe.encode(b.column(1).to_pylist())
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())],
+            names=["id", "ids_le", "decoded"],
+        )
+
+
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids_le, decoded): ids as little-endian unsigned 32-bit integers, and the text they decode to."""
     small_batches(docs.sparkSession)
@@ -302,12 +313,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         bpe = tokenizer(path)
         gc.disable()  # no cycles here, and going through the many small objects again and again takes time
         try:
-            for b in sliced(batches, 4 << 20):
-                ids = bpe.encode(b.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())],
-                    names=["id", "ids_le", "decoded"],
-                )
+            yield from encode_batches(bpe, batches)
         finally:
             bpe.forget()
             gc.enable()

@@ -90,10 +90,15 @@ def mix(docs: DataFrame, seed: int = 42, weights=WEIGHTS, share: float = SHARE,
     per.sort(key=lambda r: (r.source is None, r.source or ""))
     goal = targets([r.source_size for r in per], weights, share, times)
     blocks = apportion(goal, round(sum(goal) / block))
-    plan = spark.createDataFrame(
-        [(r.source, int(r.source_size), g, b, round(g), min(MOST_SHARDS, max(1, -(-r.n // SHARD_ROWS)))) for r, g, b in zip(per, goal, blocks, strict=True)],
-        "source string, source_size bigint, target double, blocks bigint, goal bigint, shards bigint",
-    )
+    columns = {
+        "source": pa.array([r.source for r in per], pa.string()),
+        "source_size": pa.array([int(r.source_size) for r in per], pa.int64()),
+        "target": pa.array(goal, pa.float64()),
+        "blocks": pa.array(blocks, pa.int64()),
+        "goal": pa.array([round(g) for g in goal], pa.int64()),
+        "shards": pa.array([min(MOST_SHARDS, max(1, -(-r.n // SHARD_ROWS))) for r in per], pa.int64()),
+    }
+    plan = spark.createDataFrame(pa.table(columns))  # from Arrow, so without Python workers
     # one row per source; at most MAX_SOURCES, so it may be sent to all tasks
     dealt = sized.join(F.broadcast(plan), sized["source"].eqNullSafe(plan["source"]), "left").drop(plan["source"])
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("pos", F.lit(seed + 1)), F.greatest("shards", F.lit(1))))
