@@ -405,3 +405,10 @@ def test_audit_payload_is_json(spark):
     after = spark.createDataFrame([(1, "c=d", "x")], "k int, v string, w string")
     r = compliance.audit_safe(before, after, "k", ["v", "w"]).head()
     assert json.loads(r.before) == {"v": 'a,"b"', "w": None} and json.loads(r.after) == {"v": "c=d", "w": "x"}
+
+
+def test_mapping_keeps_leads_whose_ids_agree(spark):
+    flat = spark.createDataFrame([("LD-TW-10000", "a b", "07 1"), ("LD-TW-10000", "c", None)], "Lead_ID string, brand string, phone string")
+    maps = spark.createDataFrame([("brand", "name", "upper", True), ("phone", "phone", "digits", True), ("phone", "raw", "none", False), ("absent", "x", "none", True)], "internal_field string, target_field string, transform string, is_verified boolean")
+    got = sorted((r.Lead_ID, r.mapped_values) for r in export.mapped_snapshot(flat, maps).collect())
+    assert got == [("LD-TW-10000", '{"name":"A B","phone":"071"}'), ("LD-TW-10000", '{"name":"C","phone":""}')]
