@@ -133,7 +133,9 @@ def _filed(r) -> DataFrame:
     body = F.expr(_BODY)
     for mark, value in (("@", "cast(filing_id%90 as string)"), ("#C", "cast(period_end as string)"), ("#P", "cast(date_sub(period_end, 365) as string)"), ("#O", "cast(date_sub(period_end, 730) as string)")):
         body = F.replace(body, F.lit(mark), F.expr(value))
-    return r.table("filings").select("filing_id", body.alias("body"))
+    tasks = int(r.spark.conf.get("spark.sql.shuffle.partitions"))
+    filings = r.table("filings").repartition(tasks, "filing_id")  # a file of one row group is read by one task; the steps behind shuffle no more
+    return filings.select("filing_id", body.alias("body"))
 
 
 @query("filing_facts", "filing_id tag current_amount:n prior_amount:n", "select filing_id, 'NetAssets' as tag, net_assets as current_amount, net_assets-filing_id%1000 as prior_amount from filings union all select filing_id, 'CashBankOnHand', 1000+filing_id%1000, null from filings union all select filing_id, 'Debtors', 1000*(filing_id%70), null from filings union all select filing_id, 'Creditors', -creditors, null from filings union all select filing_id, 'NetProfit', -(filing_id%90), null from filings")

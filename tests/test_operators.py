@@ -412,3 +412,12 @@ def test_mapping_keeps_leads_whose_ids_agree(spark):
     maps = spark.createDataFrame([("brand", "name", "upper", True), ("phone", "phone", "digits", True), ("phone", "raw", "none", False), ("absent", "x", "none", True)], "internal_field string, target_field string, transform string, is_verified boolean")
     got = sorted((r.Lead_ID, r.mapped_values) for r in export.mapped_snapshot(flat, maps).collect())
     assert got == [("LD-TW-10000", '{"name":"A B","phone":"071"}'), ("LD-TW-10000", '{"name":"C","phone":""}')]
+
+
+def test_filing_facts_are_cut_out_once_and_in_every_task(spark):
+    run = lead_run(spark, SF)
+    plan = entry_queries()["filing_figures"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan.split("RepartitionByExpression")[1]  # nothing is cut out ahead of the deal over tasks
+    bodies = run.table("filings").select("filing_id", F.lit('<xbrli:context id="a"><xbrli:instant>2001-01-01</xbrli:instant></xbrli:context><ix:nonFraction name="NetAssets" contextRef="a">5</ix:nonFraction>').alias("body"))
+    physical = accounts.facts_wide(accounts.extract_filing_facts(bodies.repartition(3, "filing_id")))._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("Exchange") == 1
