@@ -421,3 +421,16 @@ def test_filing_facts_are_cut_out_once_and_in_every_task(spark):
     bodies = run.table("filings").select("filing_id", F.lit('<xbrli:context id="a"><xbrli:instant>2001-01-01</xbrli:instant></xbrli:context><ix:nonFraction name="NetAssets" contextRef="a">5</ix:nonFraction>').alias("body"))
     physical = accounts.facts_wide(accounts.extract_filing_facts(bodies.repartition(3, "filing_id")))._jdf.queryExecution().executedPlan().toString()
     assert physical.count("Exchange") == 1
+
+
+def test_pairs_come_once_without_a_shuffle_of_pairs(spark):
+    shape = "string, sector string, unit string, phone string, address_key string"
+    l = spark.createDataFrame([("l1", "S 1", "S 1A", "p1", "a1", "Big Grill"), ("l2", None, None, None, "a1", "Grill big"), ("l3", "S 2", "S 2A", "p1", None, None)], f"lead_key {shape}, primary_brand string")
+    c = spark.createDataFrame([("c1", "S 1", "S 1A", "p1", "a1", "big grill", "active"), ("c2", "S 2", "S 2B", "p1", "a1", "Grill", "active"), ("c3", None, None, None, None, "x", "inactive")], f"account_code {shape}, name string, status string")
+    pairs = matching.block(l, c)
+    assert sorted(tuple(r) for r in pairs.collect()) == [("l1", "c1"), ("l1", "c2"), ("l2", "c1"), ("l2", "c2"), ("l3", "c1"), ("l3", "c2")]
+    assert "Aggregate [lead_key" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    same = lambda df: sorted(map(str, df.collect()))
+    assert same(matching.scored_pairs(l, c)) == same(matching.score_pairs(pairs, l, c))
+    twice = c.union(c.withColumn("sector", F.lit("S 1")))  # codes that name two rows
+    assert same(matching.scored_pairs(l, twice)) == same(matching.score_pairs(matching.block(l, twice), l, twice)) and matching.block(l, twice).count() == 7
